@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelane.functions import event_time
+from quotelane.sources.files import spread
 
 START_MS = 1_704_067_200_000  # 2024-01-01 UTC
 STEP_MS = 250
@@ -120,7 +121,7 @@ def block_orders(spark: SparkSession, sf_dir: str, max_allocations: int = MAX_AL
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_from(table(spark, sf_dir, "documents"))
+    return lines_from(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def lines_from(documents: DataFrame) -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The characters that count as blank.
+BLANKS = " \t\n\x0b\f\r"
+
 
 def event_time(epoch_ms: str | Column) -> Column:
     """Epoch milliseconds as a timestamp."""
@@ -31,9 +34,9 @@ def whitespace_words(text: str | Column) -> Column:
     has no pieces, the empty text has one empty piece.
     """
     text = F.col(text) if isinstance(text, str) else text
-    pieces = F.split(F.regexp_replace(text, r"\s+\z", ""), r"\s")
-    blank_only = (F.length(text) > 0) & (F.regexp_replace(text, r"\s+\z", "") == "")
-    return F.when(blank_only, F.array().cast("array<string>")).otherwise(pieces)
+    kept = F.rtrim(text, F.lit(BLANKS))
+    blank_only = (kept == "") & (text != "")
+    return F.when(blank_only, F.array().cast("array<string>")).otherwise(F.split(kept, r"\s"))
 
 
 def token_words(text: str | Column) -> Column:

@@ -43,27 +43,34 @@ def price_single_slot(
     row before and the latest price matter, so segments exchange their last row, their last price
     and the earliest locking row.
     """
-    columns = ["cusip", "ord", "timestamp", "kind", "price", *fields]
-    cut = with_segments(events.select(*columns), ["cusip"], "ord", segment_rows)
-    in_segment = Window.partitionBy("cusip", "_seg").orderBy("ord")
     is_price = F.col("kind") == "price"
-    local = cut.select(
+    # Both uses of the shuffled rows need exactly these columns, so that they share one exchange.
+    rows = with_segments(events, ["cusip"], "ord", segment_rows).select(
+        "cusip",
+        "_seg",
+        "ord",
+        F.struct("kind", "timestamp", *fields).alias("_row"),
+        F.when(is_price, F.col("price")).alias("_quote"),
+    )
+    in_segment = Window.partitionBy("cusip", "_seg").orderBy("ord")
+    local = rows.select(
         "*",
-        F.lag(F.struct("kind", *fields)).over(in_segment).alias("_prev"),
-        F.last(F.when(is_price, F.col("price")), ignorenulls=True).over(in_segment).alias("_px"),
+        F.lag("_row").over(in_segment).alias("_prev"),
+        F.last("_quote", ignorenulls=True).over(in_segment).alias("_px"),
     )
+    row_is_price = F.col("_row.kind") == "price"
     summary = local.groupBy("cusip", "_seg").agg(
-        F.max_by(F.struct("kind", *fields), F.col("ord")).alias("_last"),
-        F.max_by("price", F.when(is_price, F.col("ord"))).alias("_last_px"),
-        F.min_by("kind", "ord").alias("_first_kind"),
+        F.max_by("_row", "ord").alias("_last"),
+        F.max_by("_quote", F.when(F.col("_quote").isNotNull(), F.col("ord"))).alias("_last_px"),
+        F.min_by("_row", "ord").alias("_first"),
         F.min("ord").alias("_first_ord"),
-        F.min(F.when(is_price & (F.col("_prev.kind") == "price"), F.col("ord"))).alias("_lock_in"),
+        F.min(F.when(row_is_price & (F.col("_prev.kind") == "price"), F.col("ord"))).alias("_lock_in"),
     )
     over_segments = Window.partitionBy("cusip").orderBy("_seg")
     entering = summary.select(
         "cusip",
         "_seg",
-        "_first_kind",
+        F.col("_first.kind").alias("_first_kind"),
         "_first_ord",
         "_lock_in",
         F.lag("_last").over(over_segments).alias("_enter"),
@@ -85,15 +92,22 @@ def price_single_slot(
     )
     joined = local.join(carry, ["cusip", "_seg"]).withColumn("_before", F.coalesce("_prev", "_enter"))
     spent = (
-        is_price
+        row_is_price
         & (F.col("_before.kind") == "position")
         & (F.col("_lock").isNull() | (F.col("ord") < F.col("_lock")))
     )
-    cached = (F.col("kind") == "position") & (F.col("ord") > F.col("_lock"))
-    return joined.where(spent | cached).select(
+    cached = (F.col("_row.kind") == "position") & (F.col("ord") > F.col("_lock"))
+    priced = joined.where(spent | cached).select(
+        "cusip",
+        F.when(row_is_price, F.col("_before")).otherwise(F.col("_row")).alias("_position"),
+        F.coalesce("_quote", "_px", "_enter_px").alias("price"),
+        "ord",
+        F.col("_row.timestamp").alias("timestamp"),
+    )
+    return priced.select(
         "cusip",
-        *[F.when(is_price, F.col(f"_before.{f}")).otherwise(F.col(f)).alias(f) for f in fields],
-        F.when(is_price, F.col("price")).otherwise(F.coalesce("_px", "_enter_px")).alias("price"),
+        *[F.col(f"_position.{f}").alias(f) for f in fields],
+        "price",
         "ord",
         "timestamp",
         event_time("timestamp").alias("ts"),

@@ -2,8 +2,8 @@
 
 A window over ``partitionBy(key)`` sorts all rows of a key in one task. Here a key is cut into
 segments of consecutive arrival numbers. Arrival numbers are unique integers within a key, so a
-segment of ``segment_rows`` numbers never holds more than ``segment_rows`` rows, however skewed
-the key. Each segment is scanned alone, a one-row summary per segment is scanned over the key,
+segment of ``segment_rows`` numbers (rounded up to a power of two) never holds more than that many
+rows, however skewed the key. Each segment is scanned alone, a one-row summary per segment is scanned over the key,
 and what enters a segment is joined back on (key, segment). The join reuses the partitioning and
 order of the segment scan, so the rows are shuffled once.
 
@@ -34,11 +34,13 @@ def segment_rows_of(df: DataFrame, segment_rows: int | None) -> int:
 def with_segments(
     df: DataFrame, keys: Sequence[str], order: str, segment_rows: int | None
 ) -> DataFrame:
-    rows = segment_rows_of(df, segment_rows)
-    present = F.col(order).isNotNull()
+    bits = (segment_rows_of(df, segment_rows) - 1).bit_length()
+    cut = df.withColumn("_seg", F.shiftright(F.col(order).cast("bigint"), bits))
+    present = F.col(order).isNotNull() & F.col("_seg").isNotNull()
     for key in keys:
         present = present & F.col(key).isNotNull()
-    return df.where(present).withColumn("_seg", F.floor(F.col(order) / F.lit(rows)).cast("bigint"))
+    # a join on the segment would add its null test to one side only and so part the two exchanges
+    return cut.where(present)
 
 
 @dataclass(frozen=True)

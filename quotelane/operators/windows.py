@@ -117,9 +117,10 @@ def cusip_allocations(
             .where(F.col("n") > max_list)
             .select("w", "cusip", "from")
         )
-        part = F.floor(F.col("ord") / max_list) - F.floor(F.col("from") / max_list)
+        bits = max_list.bit_length() - 1
+        part = F.shiftright("ord", bits) - F.shiftright("from", bits)
         rows = rows.join(F.broadcast(oversize), ["w", "cusip"], "left").withColumn(
-            "part", F.coalesce(part, F.lit(0)).cast("bigint")
+            "part", F.coalesce(part, F.lit(0).cast("bigint"))
         )
     entry = F.struct("ord", "account", "subAccount", F.col("quantity").cast("bigint").alias("quantity"))
     listed = rows.groupBy("w", "cusip", "part").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
