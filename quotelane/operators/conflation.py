@@ -144,11 +144,17 @@ def price_timer_conflation(
     fields: Sequence[str] = ("quantity", "orderId"),
     period_ms: int = PERIOD_MS,
     span_ms: int = SPAN_MS,
+    fires: DataFrame | None = None,
 ) -> DataFrame:
-    """Value the latest position of every slot at each fire of its security."""
+    """Value the latest position of every slot at each fire of its security.
+
+    ``fires`` takes fire times already worked out from the same price rows.
+    """
     is_price = F.col("kind") == "price"
     rows = events.select("cusip", "ord", "timestamp", "kind", "price", *slot, *fields)
-    timed = assign_fires(rows, fire_times(rows.where(is_price), period_ms, span_ms), period_ms)
+    if fires is None:
+        fires = fire_times(rows.where(is_price), period_ms, span_ms)
+    timed = assign_fires(rows, fires, period_ms)
     order = F.struct("timestamp", "ord")
     held = (
         timed.where(F.col("kind") == "position")

@@ -33,16 +33,10 @@ def tag_sides(
     return left.unionByName(right, allowMissingColumns=True)
 
 
-def price_single_slot(
-    events: DataFrame, fields: Sequence[str] = ACCOUNT_FIELDS, segment_rows: int | None = None
-) -> DataFrame:
-    """Pair through one position slot and one price slot per security.
-
-    A price that meets a waiting position is spent on it. The first price that meets none is kept
-    for good: from that row on (``lock``) every position goes out at the latest price. Only the
-    row before and the latest price matter, so segments exchange their last row, their last price
-    and the earliest locking row.
-    """
+def _single_slot_segments(
+    events: DataFrame, fields: Sequence[str], segment_rows: int | None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with what precedes them in their segment, and what enters each segment."""
     is_price = F.col("kind") == "price"
     # Both uses of the shuffled rows need exactly these columns, so that they share one exchange.
     rows = with_segments(events, ["cusip"], "ord", segment_rows).select(
@@ -90,6 +84,21 @@ def price_single_slot(
         .over(Window.partitionBy("cusip"))
         .alias("_lock"),
     )
+    return local, carry
+
+
+def price_single_slot(
+    events: DataFrame, fields: Sequence[str] = ACCOUNT_FIELDS, segment_rows: int | None = None
+) -> DataFrame:
+    """Pair through one position slot and one price slot per security.
+
+    A price that meets a waiting position is spent on it. The first price that meets none is kept
+    for good: from that row on (``lock``) every position goes out at the latest price. Only the
+    row before and the latest price matter, so segments exchange their last row, their last price
+    and the earliest locking row.
+    """
+    local, carry = _single_slot_segments(events, fields, segment_rows)
+    row_is_price = F.col("_row.kind") == "price"
     joined = local.join(carry, ["cusip", "_seg"]).withColumn("_before", F.coalesce("_prev", "_enter"))
     spent = (
         row_is_price
@@ -114,6 +123,24 @@ def price_single_slot(
     )
 
 
+def slot_state(
+    events: DataFrame, fields: Sequence[str] = ACCOUNT_FIELDS, segment_rows: int | None = None
+) -> DataFrame:
+    """The rows of ``events`` that alone put single-slot pricing where it ends: per security the
+    latest price once one is kept, else the position that waits, else none."""
+    _, carry = _single_slot_segments(events, fields, segment_rows)
+    locks = carry.groupBy("cusip").agg(F.min("_lock").alias("_lock"))
+    row = F.struct(*events.columns)
+    last = events.where(F.col("cusip").isNotNull()).groupBy("cusip").agg(
+        F.max_by(row, F.col("ord")).alias("_last"),
+        F.max_by(row, F.when(F.col("kind") == "price", F.col("ord"))).alias("_last_price"),
+    )
+    kept = F.when(F.col("_lock").isNotNull(), F.col("_last_price")).when(
+        F.col("_last.kind") == "position", F.col("_last")
+    )
+    return last.join(locks, "cusip").select(kept.alias("_kept")).where(F.col("_kept").isNotNull()).select("_kept.*")
+
+
 def price_list_buffer(
     events: DataFrame, fields: Sequence[str] = ACCOUNT_FIELDS, segment_rows: int | None = None
 ) -> DataFrame:

@@ -1,0 +1,127 @@
+"""Stateful pricing per micro-batch, with one security spread over many tasks.
+
+Between micro-batches the state is a table of rows: those that put the pricing rule back to where
+it stood. A micro-batch is priced by the batch operators over state and new rows together, which
+cut a security into segments. State and output of a micro-batch are written under its number, so a
+repeated micro-batch replaces what it wrote. Two state tables take turns: a micro-batch reads the
+one before it and writes the other, so state does not pile up.
+
+Rows must come in arrival order across micro-batches, as from a topic.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
+
+from quotelane.operators import conflation, pricing, windows
+from quotelane.operators.pricing import ACCOUNT_FIELDS
+
+# takes the rows of state and micro-batch, gives output and next state
+Step = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+
+
+def single_slot_step(fields: tuple[str, ...] = ACCOUNT_FIELDS, segment_rows: int | None = None) -> Step:
+    """State: the latest price where one is kept, else the position that waits."""
+
+    def step(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        priced = pricing.price_single_slot(rows, fields, segment_rows)
+        return priced, pricing.slot_state(rows, fields, segment_rows)
+
+    return step
+
+
+def list_buffer_step(fields: tuple[str, ...] = ACCOUNT_FIELDS, segment_rows: int | None = None) -> Step:
+    """State: the positions that wait."""
+
+    def step(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        priced = pricing.price_list_buffer(rows, fields, segment_rows)
+        last_price = rows.where(F.col("kind") == "price").groupBy("cusip").agg(F.max("ord").alias("_lp"))
+        waiting = (
+            rows.where(F.col("kind") == "position")
+            .join(last_price, "cusip", "left")
+            .where(F.col("_lp").isNull() | (F.col("ord") > F.col("_lp")))
+            .drop("_lp")
+        )
+        return priced, waiting
+
+    return step
+
+
+def timer_conflation_step(period_ms: int = conflation.PERIOD_MS) -> Step:
+    """State: the rows that no fire up to the latest time seen has used, cut down to what counts."""
+
+    def step(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        is_price = F.col("kind") == "price"
+        clock = rows.agg(F.max("timestamp")).first()[0]
+        fires = conflation.fire_times(rows.where(is_price), period_ms)
+        done = fires.where(F.col("fire") <= clock)
+        priced = conflation.price_timer_conflation(rows, period_ms=period_ms, fires=done)
+        last_done = done.groupBy("cusip").agg(F.max("fire").alias("_from"))
+        left = (
+            rows.join(last_done, "cusip", "left")
+            .where(F.col("_from").isNull() | (F.col("timestamp") >= F.col("_from")))
+            .drop("_from")
+        )
+        order = F.struct("timestamp", "ord")
+        row = F.struct(*[c for c in rows.columns])
+        positions = (
+            left.where(~is_price).groupBy("cusip", "account", "subAccount").agg(F.max_by(row, order).alias("r"))
+        )
+        prices = left.where(is_price).groupBy("cusip").agg(
+            F.array_distinct(F.array(F.min_by(row, order), F.max_by(row, order))).alias("rs")
+        )
+        state = positions.select("r.*").unionByName(
+            prices.select(F.explode("rs").alias("r")).select("r.*")
+        )
+        return priced, state
+
+    return step
+
+
+def rolling_quantity_step(segment_rows: int | None = None) -> Step:
+    """State: one row per key that holds its total."""
+
+    def step(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        summed = windows.rolling_quantity(
+            rows.withColumn("quantity", F.col("quantity").cast("bigint")), segment_rows=segment_rows
+        )
+        totals = rows.groupBy(*windows.ACCOUNT_KEY).agg(
+            F.max_by(F.struct(*[c for c in rows.columns if c not in windows.ACCOUNT_KEY]), "ord").alias("r"),
+            F.sum("quantity").alias("total"),
+        )
+        state = totals.select(
+            *[
+                F.col("total").alias(c)
+                if c == "quantity"
+                else F.col(c)
+                if c in windows.ACCOUNT_KEY
+                else F.col(f"r.{c}").alias(c)
+                for c in rows.columns
+            ]
+        )
+        return summed.where(~F.col("isState")).drop("isState"), state
+
+    return step
+
+
+def writer(
+    rows: DataFrame, step: Step, output: str, state: str, checkpoint: str
+) -> DataStreamWriter:
+    """A writer that prices each micro-batch into ``output``/batch=N; start it as any other."""
+    columns = rows.columns
+
+    def run(batch: DataFrame, number: int) -> None:
+        spark: SparkSession = batch.sparkSession
+        both = batch.select(*columns, F.lit(False).alias("isState"))
+        if number:
+            held = spark.read.parquet(f"{state}/turn={(number - 1) % 2}")
+            both = both.unionByName(held.withColumn("isState", F.lit(True)))
+        out, left = step(both)
+        out.write.mode("overwrite").parquet(f"{output}/batch={number}")
+        left.select(*columns).write.mode("overwrite").parquet(f"{state}/turn={number % 2}")
+
+    return rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
