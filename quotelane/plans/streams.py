@@ -75,6 +75,12 @@ def batches_price_enrich_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay_batches(spark, sf_dir, fixtures.ticks_from, step, "list-batches").drop("ts")
 
 
+def batches_price_timer_conflation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    step = batches.timer_conflation_step()
+    out = replay_batches(spark, sf_dir, fixtures.ticks_from, step, "timer-batches", close=True)
+    return out.drop("ts")
+
+
 def batches_rolling_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
     step = batches.rolling_quantity_step()
 
@@ -97,6 +103,7 @@ STREAMS: dict[str, Query] = {
         stream_word_count_5s,
         batches_price_enrich_act,
         batches_price_enrich_list,
+        batches_price_timer_conflation,
         batches_rolling_quantity,
     )
 }

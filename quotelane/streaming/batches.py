@@ -57,6 +57,7 @@ def timer_conflation_step(period_ms: int = conflation.PERIOD_MS) -> Step:
     def step(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         is_price = F.col("kind") == "price"
         clock = rows.agg(F.max("timestamp")).first()[0]
+        rows = rows.where(F.col("cusip").isNotNull())
         fires = conflation.fire_times(rows.where(is_price), period_ms)
         done = fires.where(F.col("fire") <= clock)
         priced = conflation.price_timer_conflation(rows, period_ms=period_ms, fires=done)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from quotelane import fixtures
 from quotelane.session import ROCKSDB, work_dir
@@ -42,11 +44,67 @@ def _table_stream(spark: SparkSession, path: str, number: str) -> DataFrame:
     return reader.parquet(f"{folder}/{{{name}}}")
 
 
+@contextmanager
+def _stream_settings(spark: SparkSession, rows: DataFrame) -> Iterator[None]:
+    """Settings a stream takes over when it starts; the session's own come back after.
+
+    State is cut into the session's number of shuffle partitions, or fewer on inputs of fewer
+    splits than cores, where most partitions would be empty.
+    """
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    useful = max(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.shuffle.partitions": str(min(wanted, useful)),
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def _finish(writer) -> None:
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
 
 
+def _run(
+    spark: SparkSession,
+    path: str,
+    number: str,
+    work: str,
+    writer: Callable[[DataFrame], DataStreamWriter],
+    close: bool,
+) -> None:
+    given = spark.read.parquet(path)
+    rows = _table_stream(spark, path, number)
+    closing = f"{work}/closing"
+    if close:
+        given.limit(0).write.parquet(closing)
+        rows = rows.unionByName(spark.readStream.schema(given.schema).parquet(closing))
+    with _stream_settings(spark, given):
+        _finish(writer(rows))
+        if close:
+            _closing_row(given, number).write.mode("append").parquet(closing)
+            _finish(writer(rows))
+
+
+def _closing_row(given: DataFrame, number: str) -> DataFrame:
+    """One row numbered far past the last, its texts empty and all else null."""
+    last = given.agg((F.max(number) + CLOSING_GAP).alias(number))
+    rest = {
+        f.name: F.lit("" if f.dataType.simpleString() == "string" else None).cast(f.dataType)
+        for f in given.schema
+        if f.name != number
+    }
+    return last.select(number, *[v.alias(n) for n, v in rest.items()]).select(*given.columns)
+
+
 def replay(
     spark: SparkSession,
     sf_dir: str,
@@ -62,30 +120,16 @@ def replay(
     past the last (column ``number``) is added on a second input; its own window stays open.
     Plans without windows or timers take ``close=False``.
     """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     work = work_dir(spark, label)
-    path = f"{sf_dir}/{table}.parquet"
-    given = spark.read.parquet(path)
-    closing = f"{work}/closing"
-    given.limit(0).write.parquet(closing)
-    rows = _table_stream(spark, path, number).unionByName(
-        spark.readStream.schema(given.schema).parquet(closing)
-    )
-    out = plan(rows)
+    schema = []
 
-    def write():
+    def writer(rows: DataFrame) -> DataStreamWriter:
+        out = plan(rows)
+        schema.append(out.schema)
         return file_writer(out, f"{work}/out", f"{work}/checkpoint")
 
-    _finish(write())
-    if not close:
-        return spark.read.schema(out.schema).parquet(f"{work}/out")
-    last = given.agg((F.max(number) + CLOSING_GAP).alias(number))
-    empty = {f.name: F.lit("" if f.dataType.simpleString() == "string" else None).cast(f.dataType) for f in given.schema}
-    last.select(
-        *[F.col(n) if n == number else v.alias(n) for n, v in empty.items()]
-    ).coalesce(1).write.mode("append").parquet(closing)
-    _finish(write())
-    return spark.read.schema(out.schema).parquet(f"{work}/out")
+    _run(spark, f"{sf_dir}/{table}.parquet", number, work, writer, close)
+    return spark.read.schema(schema[0]).parquet(f"{work}/out")
 
 
 def replay_batches(
@@ -94,12 +138,15 @@ def replay_batches(
     prepare: Callable[[DataFrame], DataFrame],
     step: batches.Step,
     label: str,
+    close: bool = False,
 ) -> DataFrame:
     """Stream the events through a micro-batch pricing step and read what it wrote."""
     work = work_dir(spark, label)
-    path = f"{sf_dir}/events.parquet"
-    rows = prepare(_table_stream(spark, path, "event_id"))
-    _finish(batches.writer(rows, step, f"{work}/out", f"{work}/state", f"{work}/checkpoint"))
+
+    def writer(rows: DataFrame) -> DataStreamWriter:
+        return batches.writer(prepare(rows), step, f"{work}/out", f"{work}/state", f"{work}/checkpoint")
+
+    _run(spark, f"{sf_dir}/events.parquet", "event_id", work, writer, close)
     return spark.read.parquet(f"{work}/out").drop("batch")
 
 
