@@ -24,13 +24,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotelane.functions import event_time, market_value
 
 PERIOD_MS = 60_000
-SPAN_MS = 3_600_000
+SPAN_MS = 4 * 3_600_000
 LOG_START = -(1 << 62)
 
 _PAIRS = "cusip string, span bigint, arm bigint, lastFire bigint"
@@ -39,8 +40,9 @@ _FIRES = "cusip string, fire bigint"
 
 
 def _spans_to_pairs(period_ms: int, span_ms: int):
-    def pairs(key: tuple, times: pd.DataFrame) -> pd.DataFrame:
-        at = np.sort(times["at"].to_numpy())
+    def pairs(key: tuple, times: pa.Table) -> pa.Table:
+        cusip, span = (part.as_py() for part in key)
+        at = np.sort(times.column("at").to_numpy())
         following = np.searchsorted(at, at + period_ms)
         last = np.where(following < len(at), following, np.arange(len(at)))
         while True:  # doubles the reach of every step
@@ -48,13 +50,18 @@ def _spans_to_pairs(period_ms: int, span_ms: int):
             if np.array_equal(further, last):
                 break
             last = further
-        fire = at[last] + period_ms
         # a timer armed in an earlier span fires less than one period into this one
-        arming = int(np.searchsorted(at, key[1] * span_ms + period_ms)) + 1
-        arm, fire = at[:arming], fire[:arming]
+        arming = int(np.searchsorted(at, span * span_ms + period_ms)) + 1
+        arm, fire = at[:arming], at[last[:arming]] + period_ms
         keep = np.append(fire[1:] != fire[:-1], True)
-        return pd.DataFrame(
-            {"cusip": key[0], "span": key[1], "arm": arm[keep], "lastFire": fire[keep]}
+        arm, fire = arm[keep], fire[keep]
+        return pa.table(
+            {
+                "cusip": pa.array([cusip] * len(arm), pa.string()),
+                "span": pa.array(np.full(len(arm), span)),
+                "arm": pa.array(arm),
+                "lastFire": pa.array(fire),
+            }
         )
 
     return pairs
@@ -75,14 +82,20 @@ def _walk_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _spans_to_fires(period_ms: int):
-    def fires(key: tuple, times: pd.DataFrame) -> pd.DataFrame:
-        at = np.sort(times["at"].to_numpy())
+    def fires(key: tuple, times: pa.Table) -> pa.Table:
+        at = np.sort(times.column("at").to_numpy())
         found = []
-        i = int(np.searchsorted(at, times["notBefore"].iat[0]))
+        i = int(np.searchsorted(at, times.column("notBefore")[0].as_py()))
         while i < len(at):
-            found.append(at[i] + period_ms)
+            found.append(int(at[i]) + period_ms)
             i = int(np.searchsorted(at, found[-1]))
-        return pd.DataFrame({"cusip": key[0], "fire": np.array(found, dtype="int64")})
+        cusip = key[0].as_py()
+        return pa.table(
+            {
+                "cusip": pa.array([cusip] * len(found), pa.string()),
+                "fire": pa.array(found, pa.int64()),
+            }
+        )
 
     return fires
 
@@ -97,7 +110,7 @@ def fire_times(prices: DataFrame, period_ms: int = PERIOD_MS, span_ms: int = SPA
         .distinct()
         .withColumn("span", F.floor(F.col("at") / span_ms).cast("bigint"))
     )
-    pairs = times.groupBy("cusip", "span").applyInPandas(_spans_to_pairs(period_ms, span_ms), _PAIRS)
+    pairs = times.groupBy("cusip", "span").applyInArrow(_spans_to_pairs(period_ms, span_ms), _PAIRS)
     entries = (
         pairs.repartition("cusip")
         .sortWithinPartitions("cusip", "span", "arm")
@@ -106,7 +119,7 @@ def fire_times(prices: DataFrame, period_ms: int = PERIOD_MS, span_ms: int = SPA
     return (
         times.join(entries, ["cusip", "span"])
         .groupBy("cusip", "span")
-        .applyInPandas(_spans_to_fires(period_ms), _FIRES)
+        .applyInArrow(_spans_to_fires(period_ms), _FIRES)
     )
 
 

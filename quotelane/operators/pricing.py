@@ -47,30 +47,35 @@ def _single_slot_segments(
         F.when(is_price, F.col("price")).alias("_quote"),
     )
     in_segment = Window.partitionBy("cusip", "_seg").orderBy("ord")
-    local = rows.select(
-        "*",
-        F.lag("_row").over(in_segment).alias("_prev"),
-        F.last("_quote", ignorenulls=True).over(in_segment).alias("_px"),
-    )
+    so_far = in_segment.rowsBetween(Window.unboundedPreceding, 0)
+    previous = F.lag("_row").over(in_segment).alias("_prev")
+    latest = F.last("_quote", ignorenulls=True).over(so_far).alias("_px")
+    local = rows.select("*", previous, latest)
+    # What leaves a segment is read off its last row, which has seen all of it.
     row_is_price = F.col("_row.kind") == "price"
-    summary = local.groupBy("cusip", "_seg").agg(
-        F.max_by("_row", "ord").alias("_last"),
-        F.max_by("_quote", F.when(F.col("_quote").isNotNull(), F.col("ord"))).alias("_last_px"),
-        F.min_by("_row", "ord").alias("_first"),
-        F.min("ord").alias("_first_ord"),
-        F.min(F.when(row_is_price & (F.col("_prev.kind") == "price"), F.col("ord"))).alias("_lock_in"),
+    locks = F.when(row_is_price & (F.col("_prev.kind") == "price"), F.col("ord"))
+    summary = (
+        rows.select(
+            "*",
+            previous,
+            latest,
+            F.first("_row").over(so_far).alias("_first"),
+            F.first("ord").over(so_far).alias("_first_ord"),
+            F.lead("ord").over(in_segment).alias("_next_ord"),
+        )
+        .withColumn("_lock_in", F.min(locks).over(so_far))
+        .where(F.col("_next_ord").isNull())
     )
     over_segments = Window.partitionBy("cusip").orderBy("_seg")
+    before = over_segments.rowsBetween(Window.unboundedPreceding, -1)
     entering = summary.select(
         "cusip",
         "_seg",
         F.col("_first.kind").alias("_first_kind"),
         "_first_ord",
         "_lock_in",
-        F.lag("_last").over(over_segments).alias("_enter"),
-        F.last("_last_px", ignorenulls=True)
-        .over(over_segments.rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_enter_px"),
+        F.lag("_row").over(over_segments).alias("_enter"),
+        F.last("_px", ignorenulls=True).over(before).alias("_enter_px"),
     )
     locks_at_start = (F.col("_first_kind") == "price") & (
         F.col("_enter").isNull() | (F.col("_enter.kind") == "price")

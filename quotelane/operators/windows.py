@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from quotelane.functions import market_value
@@ -20,29 +20,51 @@ SYMBOL_KEY = ("cusip",)
 MAX_LIST = 1 << 20
 
 
-def window_bounds(window: str = "window") -> list[Column]:
-    """Start and end as epoch ms."""
-    return [
-        F.unix_millis(F.col(f"{window}.start")).alias("windowStart"),
-        F.unix_millis(F.col(f"{window}.end")).alias("windowEnd"),
-    ]
+class _Windowed:
+    """Rows put into tumbling windows, ready to group.
+
+    A streaming frame groups by the window itself, which carries the watermark. A static one
+    groups by the window's start as a number, which sorts and hashes cheaper than a struct.
+    """
+
+    def __init__(self, df: DataFrame, width: str, within: str = "ts") -> None:
+        self.streaming = df.isStreaming
+        if self.streaming:
+            self.rows = df.withColumn("_w", F.window(within, width))
+            self.key = "_w"
+            start, end = F.unix_millis("_w.start"), F.unix_millis("_w.end")
+        else:
+            # rows that were in a window before stand at its start
+            at = F.timestamp_millis("windowStart") if within == "window" else F.col(within)
+            self.rows = df.withColumn("_start", F.unix_millis(F.window(at, width)["start"]))
+            self.key = "_start"
+            start = F.col("_start")
+            end = start + F.expr(f"unix_millis(timestamp_millis(0) + interval {width})")
+        self.end = end
+        self.bounds = [start.alias("windowStart"), end.alias("windowEnd")]
+        # for a further aggregate in the same window
+        self.onward = [F.col("_w").alias("window")] if self.streaming else []
+
+    def by(self, *keys: str) -> GroupedData:
+        return self.rows.groupBy(self.key, *keys)
 
 
 def last_value_in_window(
     priced: DataFrame, keys: Sequence[str], carried: Sequence[str] = (), width: str = "1 minute"
 ) -> DataFrame:
     """Market value of the last priced position per key and window, stamped with the window end."""
-    last = priced.groupBy(F.window("ts", width), *keys).agg(
+    windowed = _Windowed(priced, width)
+    last = windowed.by(*keys).agg(
         F.max_by(F.struct("quantity", "price", *carried), F.struct("ts", "ord")).alias("last")
     )
     return last.select(
-        *window_bounds(),
+        *windowed.bounds,
         *keys,
         *[F.col(f"last.{c}").alias(c) for c in carried],
         F.col("last.quantity").alias("quantity"),
         F.col("last.price").alias("price"),
         market_value("last.quantity", "last.price").alias("marketValue"),
-        F.unix_millis(F.col("window.end")).alias("timestamp"),
+        windowed.end.alias("timestamp"),
     )
 
 
@@ -52,17 +74,15 @@ def sum_in_window(
     first: Sequence[str] = ("orderId", "timestamp"),
     width: str = "10 seconds",
 ) -> DataFrame:
-    """Quantity per key and window; the ``first`` columns are those of the window's first row.
-
-    Keeps ``window``, so a second aggregate can follow in the same window.
-    """
-    summed = positions.groupBy(F.window("ts", width), *keys).agg(
+    """Quantity per key and window; the ``first`` columns are those of the window's first row."""
+    windowed = _Windowed(positions, width)
+    summed = windowed.by(*keys).agg(
         F.sum("quantity").alias("quantity"),
         F.min_by(F.struct("ord", *first), F.struct("ts", "ord")).alias("head"),
     )
     return summed.select(
-        "window",
-        *window_bounds(),
+        *windowed.onward,
+        *windowed.bounds,
         *keys,
         "quantity",
         F.col("head.ord").alias("ord"),
@@ -74,9 +94,10 @@ def total_in_window(
     positions: DataFrame, keys: Sequence[str] = ACCOUNT_KEY, width: str = "10 seconds"
 ) -> DataFrame:
     """Quantity per key and window as a fresh record without time or order id."""
-    return positions.groupBy(F.window("ts", width), *keys).agg(F.sum("quantity").alias("quantity")).select(
-        "window",
-        *window_bounds(),
+    windowed = _Windowed(positions, width)
+    return windowed.by(*keys).agg(F.sum("quantity").alias("quantity")).select(
+        *windowed.onward,
+        *windowed.bounds,
         *keys,
         "quantity",
         F.lit(0).cast("bigint").alias("timestamp"),
@@ -85,11 +106,13 @@ def total_in_window(
 
 
 def symbol_quantity(positions: DataFrame, width: str = "10 seconds", within: str = "ts") -> DataFrame:
-    """Quantity per security and window, stamped with the window end."""
-    return positions.groupBy(F.window(within, width).alias("w"), "cusip").agg(
-        F.sum("quantity").alias("quantity")
-    ).select(
-        *window_bounds("w"), "cusip", "quantity", F.unix_millis(F.col("w.end")).alias("timestamp")
+    """Quantity per security and window, stamped with the window end.
+
+    ``within="window"`` rolls up rows that come from a window aggregate.
+    """
+    windowed = _Windowed(positions, width, within)
+    return windowed.by("cusip").agg(F.sum("quantity").alias("quantity")).select(
+        *windowed.bounds, "cusip", "quantity", windowed.end.alias("timestamp")
     )
 
 
@@ -107,25 +130,28 @@ def cusip_allocations(
     range of arrival numbers, which are unique, so a part has at most ``max_list`` entries.
     ``max_list=None`` leaves the cutting out, as a streaming frame needs.
     """
-    rows = positions.withColumn("w", F.window(within, width))
+    windowed = _Windowed(positions, width, within)
+    rows = windowed.rows
     if max_list is None:
         rows = rows.withColumn("part", F.lit(0).cast("bigint"))
     else:
         oversize = (
-            rows.groupBy("w", "cusip")
+            windowed.by("cusip")
             .agg(F.count("*").alias("n"), F.min("ord").alias("from"))
             .where(F.col("n") > max_list)
-            .select("w", "cusip", "from")
+            .select(windowed.key, "cusip", "from")
         )
         bits = max_list.bit_length() - 1
         part = F.shiftright("ord", bits) - F.shiftright("from", bits)
-        rows = rows.join(F.broadcast(oversize), ["w", "cusip"], "left").withColumn(
+        rows = rows.join(F.broadcast(oversize), [windowed.key, "cusip"], "left").withColumn(
             "part", F.coalesce(part, F.lit(0).cast("bigint"))
         )
     entry = F.struct("ord", "account", "subAccount", F.col("quantity").cast("bigint").alias("quantity"))
-    listed = rows.groupBy("w", "cusip", "part").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    listed = rows.groupBy(windowed.key, "cusip", "part").agg(
+        F.sort_array(F.collect_list(entry)).alias("entries")
+    )
     return listed.select(
-        *window_bounds("w"),
+        *windowed.bounds,
         "cusip",
         "part",
         F.transform(
@@ -151,9 +177,8 @@ def allocation_text(allocations: str | Column = "allocations") -> Column:
 
 
 def word_count(words: DataFrame, width: str = "5 seconds") -> DataFrame:
-    return words.groupBy(F.window("ts", width), "word").agg(F.count("*").alias("count")).select(
-        *window_bounds(), "word", "count"
-    )
+    windowed = _Windowed(words, width)
+    return windowed.by("word").agg(F.count("*").alias("count")).select(*windowed.bounds, "word", "count")
 
 
 def rolling_quantity(

@@ -188,11 +188,11 @@ def mv_by_symbol_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def position_window_sum_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.sum_in_window(fixtures.positions(spark, sf_dir)).drop("window")
+    return windows.sum_in_window(fixtures.positions(spark, sf_dir))
 
 
 def position_window_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.total_in_window(fixtures.positions(spark, sf_dir)).drop("window")
+    return windows.total_in_window(fixtures.positions(spark, sf_dir))
 
 
 def _flat_allocations(lists: DataFrame) -> DataFrame:
