@@ -51,31 +51,30 @@ def _single_slot_segments(
     previous = F.lag("_row").over(in_segment).alias("_prev")
     latest = F.last("_quote", ignorenulls=True).over(so_far).alias("_px")
     local = rows.select("*", previous, latest)
-    # What leaves a segment is read off its last row, which has seen all of it.
+    # A segment's first and last row and its locking prices tell all; few rows reach the aggregate.
     row_is_price = F.col("_row.kind") == "price"
-    locks = F.when(row_is_price & (F.col("_prev.kind") == "price"), F.col("ord"))
+    locks = row_is_price & (F.col("_prev.kind") == "price")
     summary = (
-        rows.select(
-            "*",
-            previous,
-            latest,
-            F.first("_row").over(so_far).alias("_first"),
-            F.first("ord").over(so_far).alias("_first_ord"),
-            F.lead("ord").over(in_segment).alias("_next_ord"),
+        rows.select("*", previous, latest, F.lead("ord").over(in_segment).alias("_next_ord"))
+        .where(F.col("_prev").isNull() | F.col("_next_ord").isNull() | locks)
+        .groupBy("cusip", "_seg")
+        .agg(
+            F.max_by(F.struct("_row", "_px"), "ord").alias("_last"),
+            F.min_by(F.col("_row.kind"), "ord").alias("_first_kind"),
+            F.min("ord").alias("_first_ord"),
+            F.min(F.when(locks, F.col("ord"))).alias("_lock_in"),
         )
-        .withColumn("_lock_in", F.min(locks).over(so_far))
-        .where(F.col("_next_ord").isNull())
     )
     over_segments = Window.partitionBy("cusip").orderBy("_seg")
     before = over_segments.rowsBetween(Window.unboundedPreceding, -1)
     entering = summary.select(
         "cusip",
         "_seg",
-        F.col("_first.kind").alias("_first_kind"),
+        "_first_kind",
         "_first_ord",
         "_lock_in",
-        F.lag("_row").over(over_segments).alias("_enter"),
-        F.last("_px", ignorenulls=True).over(before).alias("_enter_px"),
+        F.lag("_last._row").over(over_segments).alias("_enter"),
+        F.last("_last._px", ignorenulls=True).over(before).alias("_enter_px"),
     )
     locks_at_start = (F.col("_first_kind") == "price") & (
         F.col("_enter").isNull() | (F.col("_enter.kind") == "price")
