@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from quotelane import fixtures, schemas
 from quotelane.operators import codec, conflation, lateness, pricing, projection, windows
-from quotelane.plans import desk
+from quotelane.plans import desk, jobs
+from quotelane.session import work_dir
+from quotelane.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -251,6 +253,12 @@ def price_timer_conflation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conflation.price_timer_conflation(fixtures.ticks(spark, sf_dir)).drop("ts")
 
 
+def rolling_then_priced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ticks = fixtures.ticks(spark, sf_dir)
+    prices = ticks.where(F.col("kind") == "price")
+    return jobs.rolled_then_priced(fixtures.positions(spark, sf_dir), prices).drop("ts")
+
+
 # ---- late data ---------------------------------------------------------------------------------
 
 _LATE_COLUMNS = ("ord", "arrival", "timestamp", "windowEnd", "watermark", "isLate")
@@ -276,6 +284,72 @@ def watermark_late_timelag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("sourcePartition", "arrivalTimestamp", *_LATE_COLUMNS)
 
 
+# ---- messages in, messages out -----------------------------------------------------------------
+
+
+def position_messages(spark: SparkSession, sf_dir: str, by_symbol: bool = False) -> DataFrame:
+    """Position topic of four partitions; a row's number is its offset."""
+    records = symbol_records(spark, sf_dir) if by_symbol else position_records(spark, sf_dir)
+    encode = codec.encode_symbol_positions if by_symbol else codec.encode_positions
+    return _in_topic(encode(records), fixtures.START_MS)
+
+
+def price_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_topic(codec.encode_prices(price_records(spark, sf_dir)), fixtures.START_MS)
+
+
+def _in_topic(messages: DataFrame, start_ms: int) -> DataFrame:
+    """Add the columns a topic adds; messages arrive at the time they carry."""
+    at = F.get_json_object(F.col("value").cast("string"), "$.timestamp").cast("bigint")
+    offset = F.floor((at - start_ms) / fixtures.STEP_MS)
+    return messages.select(
+        "key",
+        "value",
+        "topic",
+        (offset % 4).cast("int").alias("partition"),
+        offset.alias("offset"),
+        F.timestamp_millis(at).alias("timestamp"),
+    )
+
+
+def message_mv_by_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = jobs.account_value_messages(position_messages(spark, sf_dir), price_messages(spark, sf_dir))
+    return codec.decode_positions(messages)
+
+
+def message_mv_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    positions = position_messages(spark, sf_dir, by_symbol=True)
+    return codec.decode_symbol_positions(jobs.symbol_value_messages(positions, price_messages(spark, sf_dir)))
+
+
+# ---- files -------------------------------------------------------------------------------------
+
+
+def source_keyed_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders written as ``key:{json}`` lines and read back."""
+    messages = codec.encode_orders(fixtures.block_orders(spark, sf_dir))
+    path = work_dir(spark, "lines")
+    line = F.concat(F.col("key").cast("string"), F.lit(":"), F.col("value").cast("string"))
+    messages.select(line.alias("value")).write.mode("append").text(path)
+    decoded = _flat_orders(codec.decode_orders(files.keyed_json_lines(spark, path)))
+    return decoded.withColumn("bidOffer", F.col("bidOffer").cast("double"))
+
+
+def source_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date and three numbers of every line item, written without header and read back."""
+    path = work_dir(spark, "csv")
+    fixtures.table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").cast("date"), "l_extendedprice", "l_discount", "l_tax"
+    ).write.mode("append").csv(path)
+    rates = files.tbill_csv(spark, path)
+    return rates.groupBy(F.date_format("date", "yyyy-MM-dd").alias("date")).agg(
+        F.count("*").alias("rows"),
+        F.max("daily").alias("daily"),
+        F.min("monthly").alias("monthly"),
+        F.max("other").alias("other"),
+    )
+
+
 BATCH: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -313,6 +387,11 @@ BATCH: dict[str, Query] = {
         price_enrich_symbol,
         price_enrich_list,
         price_timer_conflation,
+        rolling_then_priced,
+        message_mv_by_account,
+        message_mv_by_symbol,
+        source_keyed_json_lines,
+        source_csv,
         watermark_late_periodic,
         watermark_late_ascending,
         watermark_late_punctuated,

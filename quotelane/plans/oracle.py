@@ -232,6 +232,20 @@ quoted AS (
 SELECT cusip, account, "subAccount", quantity, "orderId", price, quantity * price AS "marketValue",
     fire AS "timestamp"
 FROM held JOIN quoted USING (cusip, fire)""",
+    "rolling_then_priced": f"""WITH {_TICKS.replace("ticks AS", "plain AS", 1)},
+ticks AS (
+    SELECT * REPLACE ((CASE WHEN kind = 'position'
+        THEN sum(quantity) OVER (PARTITION BY kind, {_K2} ORDER BY ord) END)::BIGINT AS quantity)
+    FROM plain),
+{_single_slot('account, "subAccount", quantity')}
+SELECT * FROM priced""",
+    "message_mv_by_account": f"""SELECT * EXCLUDE ("windowStart", "windowEnd")
+FROM (WITH {_TICKS}, {_single_slot(_ACCOUNT)} {_mv(_K2, 'arg_max("orderId", ord) AS "orderId",')})""",
+    "message_mv_by_symbol": f"""SELECT * EXCLUDE ("windowStart", "windowEnd")
+FROM (WITH {_TICKS}, {_single_slot('quantity')} {_mv('cusip')})""",
+    "source_csv": """SELECT strftime(l_shipdate, '%Y-%m-%d') AS date, count(*) AS rows,
+    max(l_extendedprice) AS daily, min(l_discount) AS monthly, max(l_tax) AS other
+FROM lineitem GROUP BY 1""",
     "watermark_late_periodic": _late_by_max(0),
     "watermark_late_ascending": _late_by_max(1),
     "watermark_late_punctuated": _late_by_max(0),
@@ -242,3 +256,5 @@ FROM held JOIN quoted USING (cusip, fire)""",
 SELECT "sourcePartition", "arrivalTimestamp", ord, arrival, "timestamp", "windowEnd", watermark,
     "windowEnd" - 1 <= watermark AS "isLate" FROM marked""",
 }
+
+ORACLE["source_keyed_json_lines"] = ORACLE["kafka_decode_order"]

@@ -9,42 +9,64 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelane import fixtures
-from quotelane.operators import projection, windows
+from quotelane.operators import pricing, projection, windows
 from quotelane.plans import desk
 from quotelane.plans.catalog import Query
 from quotelane.streaming import batches, keyed, legs
-from quotelane.streaming.replay import replay, replay_batches, timed_ticks
+from quotelane.streaming.replay import files_in_order, replay, replay_batches, timed_ticks
 
 
 def _events(spark: SparkSession, sf_dir: str, plan, label: str, close: bool = True) -> DataFrame:
     return replay(spark, sf_dir, "events", "event_id", lambda e: plan(timed_ticks(e)), label, close)
 
 
+def _keyed(spark: SparkSession, sf_dir: str, plan, label: str, close: bool, otherwise: Query) -> DataFrame:
+    """Keyed-state processors hold one key's rows of a micro-batch in one task, so they run where
+    micro-batches can be bounded: on files in row order. ``otherwise`` does without that."""
+    if files_in_order(fixtures.table(spark, sf_dir, "events"), "event_id"):
+        return _events(spark, sf_dir, plan, label, close).drop("ts")
+    return otherwise(spark, sf_dir)
+
+
 def _positions(ticks: DataFrame) -> DataFrame:
     return ticks.where(F.col("kind") == "position").drop("kind", "price")
 
 
+def _account_leg_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    step = batches.single_slot_step()
+    priced = replay_batches(spark, sf_dir, fixtures.ticks_from, step, "slot-batches")
+    return windows.last_value_in_window(priced, windows.ACCOUNT_KEY, ("orderId",))
+
+
+def _symbol_leg_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    step = batches.single_slot_step(pricing.SYMBOL_FIELDS)
+    priced = replay_batches(spark, sf_dir, fixtures.ticks_from, step, "symbol-batches")
+    return windows.last_value_in_window(priced, windows.SYMBOL_KEY)
+
+
 def stream_mv_by_account_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir, legs.account_leg, "mv-account")
+    return _keyed(spark, sf_dir, legs.account_leg, "mv-account", True, _account_leg_in_batches)
 
 
 def stream_mv_by_symbol_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir, legs.symbol_leg, "mv-symbol")
+    return _keyed(spark, sf_dir, legs.symbol_leg, "mv-symbol", True, _symbol_leg_in_batches)
 
 
 def stream_price_enrich_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir, keyed.price_list_buffer, "list", close=False).drop("ts")
+    plan = keyed.price_list_buffer
+    return _keyed(spark, sf_dir, plan, "list", False, batches_price_enrich_list)
 
 
 def stream_price_timer_conflation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir, keyed.price_timer_conflation, "timer").drop("ts")
+    plan = keyed.price_timer_conflation
+    return _keyed(spark, sf_dir, plan, "timer", True, batches_price_timer_conflation)
 
 
 def stream_rolling_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
     def plan(ticks: DataFrame) -> DataFrame:
         return keyed.rolling_quantity(_positions(ticks))
 
-    return _events(spark, sf_dir, plan, "rolling", close=False).drop("ts")
+    return _keyed(spark, sf_dir, plan, "rolling", False, batches_rolling_quantity)
 
 
 def stream_position_window_sum_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
