@@ -25,7 +25,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotelane.functions import event_time, market_value
@@ -100,6 +100,11 @@ def _spans_to_fires(period_ms: int):
     return fires
 
 
+def _floor_div(column: str, by: int) -> Column:
+    """Whole-number division rounding down, also below zero."""
+    return F.call_function("div", F.col(column) - F.pmod(column, F.lit(by)), F.lit(by))
+
+
 def fire_times(prices: DataFrame, period_ms: int = PERIOD_MS, span_ms: int = SPAN_MS) -> DataFrame:
     """The fires (epoch ms) of every security, from price rows with ``timestamp``."""
     if span_ms < period_ms:
@@ -108,7 +113,9 @@ def fire_times(prices: DataFrame, period_ms: int = PERIOD_MS, span_ms: int = SPA
         prices.where(F.col("cusip").isNotNull() & F.col("timestamp").isNotNull())
         .select("cusip", F.col("timestamp").alias("at"))
         .distinct()
-        .withColumn("span", F.floor(F.col("at") / span_ms).cast("bigint"))
+        .withColumn("span", _floor_div("at", span_ms))
+        # both uses below then need the same rows and share one exchange
+        .where(F.col("span").isNotNull())
     )
     pairs = times.groupBy("cusip", "span").applyInArrow(_spans_to_pairs(period_ms, span_ms), _PAIRS)
     entries = (
@@ -125,11 +132,8 @@ def fire_times(prices: DataFrame, period_ms: int = PERIOD_MS, span_ms: int = SPA
 
 def assign_fires(rows: DataFrame, fires: DataFrame, period_ms: int = PERIOD_MS) -> DataFrame:
     """Add ``fire``, the first fire after each row; rows before no fire are left out."""
-    stretch = F.floor(F.col("timestamp") / period_ms).cast("bigint")
-    rows = rows.withColumn("stretch", stretch)
-    marks = fires.select(
-        "cusip", F.floor(F.col("fire") / period_ms).cast("bigint").alias("stretch"), "fire"
-    )
+    rows = rows.withColumn("stretch", _floor_div("timestamp", period_ms))
+    marks = fires.select("cusip", _floor_div("fire", period_ms).alias("stretch"), "fire")
     later = (
         Window.partitionBy("cusip")
         .orderBy(F.col("stretch").desc())

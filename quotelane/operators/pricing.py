@@ -145,19 +145,23 @@ def slot_state(
     return last.join(locks, "cusip").select(kept.alias("_kept")).where(F.col("_kept").isNotNull()).select("_kept.*")
 
 
-def price_list_buffer(
+def with_next_price(
     events: DataFrame, fields: Sequence[str] = ACCOUNT_FIELDS, segment_rows: int | None = None
 ) -> DataFrame:
-    """Every position waits for the next price of its security, which values it."""
+    """Add ``_next`` to every row: price, arrival number and time of the next price after it."""
     upcoming = F.when(F.col("kind") == "price", F.struct("price", "ord", "timestamp"))
-    scanned = running(
+    return running(
         events.select("cusip", "ord", "timestamp", "kind", "price", *fields),
         ["cusip"],
         "ord",
         [Running("_next", "last", upcoming)],
         backward=True,
+        inclusive=False,
         segment_rows=segment_rows,
     )
+
+
+def value_at_next_price(scanned: DataFrame, fields: Sequence[str] = ACCOUNT_FIELDS) -> DataFrame:
     return scanned.where((F.col("kind") == "position") & F.col("_next").isNotNull()).select(
         "cusip",
         *fields,
@@ -168,3 +172,10 @@ def price_list_buffer(
         event_time("_next.timestamp").alias("ts"),
         F.col("ord").alias("positionOrd"),
     )
+
+
+def price_list_buffer(
+    events: DataFrame, fields: Sequence[str] = ACCOUNT_FIELDS, segment_rows: int | None = None
+) -> DataFrame:
+    """Every position waits for the next price of its security, which values it."""
+    return value_at_next_price(with_next_price(events, fields, segment_rows), fields)

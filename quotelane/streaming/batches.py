@@ -38,15 +38,13 @@ def list_buffer_step(fields: tuple[str, ...] = ACCOUNT_FIELDS, segment_rows: int
     """State: the positions that wait."""
 
     def step(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        priced = pricing.price_list_buffer(rows, fields, segment_rows)
-        last_price = rows.where(F.col("kind") == "price").groupBy("cusip").agg(F.max("ord").alias("_lp"))
-        waiting = (
-            rows.where(F.col("kind") == "position")
-            .join(last_price, "cusip", "left")
-            .where(F.col("_lp").isNull() | (F.col("ord") > F.col("_lp")))
-            .drop("_lp")
-        )
-        return priced, waiting
+        scanned = pricing.with_next_price(rows, (*fields, *extra(rows)), segment_rows)
+        waiting = scanned.where((F.col("kind") == "position") & F.col("_next").isNull()).drop("_next")
+        return pricing.value_at_next_price(scanned, fields), waiting
+
+    def extra(rows: DataFrame) -> list[str]:
+        known = {"cusip", "ord", "timestamp", "kind", "price", *fields}
+        return [c for c in rows.columns if c not in known]
 
     return step
 

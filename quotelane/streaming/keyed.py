@@ -10,6 +10,7 @@ key over tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,6 +20,8 @@ from quotelane.operators.conflation import PERIOD_MS
 
 ACCOUNT_SLOT = "account STRING, subAccount STRING, quantity INT, orderId STRING"
 SYMBOL_SLOT = "quantity INT"
+# Rows given out at a time from a list of any length.
+CHUNK = 10_000
 _STAMP = "ord BIGINT, timestamp BIGINT, ts TIMESTAMP"
 
 
@@ -116,30 +119,32 @@ class ListBuffer(StatefulProcessor):
         positions = batch[~is_price].rename(columns={"ord": "positionOrd"})[columns]
         prices = batch.loc[is_price, stamps]
         if len(prices):
-            held = pd.DataFrame([tuple(w) for w in self.waiting.get()], columns=columns)
-            held["positionOrd"] = held["positionOrd"].astype("int64")
+            # all that waited so far came before the first price
+            held = iter(self.waiting.get())
+            while chunk := list(islice(held, CHUNK)):
+                first = {c: prices[c].iloc[0] for c in stamps}
+                yield self._valued(key[0], pd.DataFrame(chunk, columns=columns).assign(**first))
             self.waiting.clear()
-            ahead = pd.concat([held, positions]) if len(held) else positions
             paired = pd.merge_asof(
-                ahead.sort_values("positionOrd"),
-                prices,
-                left_on="positionOrd",
-                right_on="ord",
-                direction="forward",
-                allow_exact_matches=False,
+                positions, prices, left_on="positionOrd", right_on="ord",
+                direction="forward", allow_exact_matches=False,
             )
             valued = paired[paired["ord"].notna()]
             positions = paired.loc[paired["ord"].isna(), columns]
             if len(valued):
-                out = valued.assign(cusip=key[0], marketValue=valued["quantity"].astype(float) * valued["price"])
-                out["quantity"] = out["quantity"].astype("Int32")
-                out[["ord", "timestamp"]] = out[["ord", "timestamp"]].astype("int64")
-                yield out[["cusip", *self.names, "price", "marketValue", "ord", "timestamp", "ts", "positionOrd"]]
+                yield self._valued(key[0], valued)
         if len(positions):
             self.waiting.appendList(
                 [(*_slot(row, self.names), int(row["positionOrd"])) for _, row in positions.iterrows()]
             )
 
+    def _valued(self, cusip: str, rows: pd.DataFrame) -> pd.DataFrame:
+        out = rows.assign(cusip=cusip, marketValue=rows["quantity"].astype(float) * rows["price"])
+        out["quantity"] = out["quantity"].astype("Int32")
+        longs = ["ord", "timestamp", "positionOrd"]
+        out[longs] = out[longs].astype("int64")
+        return out[["cusip", *self.names, "price", "marketValue", "ord", "timestamp", "ts", "positionOrd"]]
+
 
 class TimerConflation(StatefulProcessor):
     """The latest position of every account slot, valued when the security's timer fires.
