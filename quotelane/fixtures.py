@@ -74,7 +74,7 @@ def block_orders(spark: SparkSession, sf_dir: str, max_allocations: int = MAX_AL
     messages of the same order, so that no row grows without bound; the list of those orders has
     at most (lines / max_allocations) rows and is broadcast.
     """
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("int").alias("quantity")
     )
     oversize = (
