@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelane.llm import mixing, quality, secrets
+from quotelane.llm import frames, language, mixing, packing, quality, secrets
 from quotelane.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,4 +46,31 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op1_mixing": op1_mixing, "op2_secrets": op2_secrets, "op3_quality": op3_quality}
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    dictionaries = language.learn(docs.where(~held_out).select("text", "lang"))
+    marked = docs.select("text", "doc_id", held_out.alias("held_out"))
+    found = language.identify(marked, dictionaries, ["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op9_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written to files and read back."""
+    return frames.read_frames(spark, frames.write_frames(table(spark, sf_dir, "documents")))
+
+
+QUERIES: dict[str, Query] = {
+    "op1_mixing": op1_mixing,
+    "op2_secrets": op2_secrets,
+    "op3_quality": op3_quality,
+    "op7_packing": op7_packing,
+    "op8_language": op8_language,
+    "op9_frames": op9_frames,
+}

@@ -89,7 +89,7 @@ QUALITY = rf"""
 WITH texts AS (
   SELECT doc_id, row_number() OVER () AS row, COALESCE(text, '') AS t,
          regexp_extract_all(COALESCE(text, ''), '{WORD}') AS w,
-         list_filter(string_split(COALESCE(text, ''), chr(10)), x -> regexp_matches(x, '{WORD}')) AS lines
+         list_filter(string_split(COALESCE(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines
   FROM documents
 ), positions AS (
   SELECT row, unnest(w) AS word, unnest(range(len(w))) AS i FROM texts
