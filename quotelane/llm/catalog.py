@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelane.llm import frames, language, mixing, packing, quality, secrets
+from quotelane.llm import arc, frames, language, mixing, mtree, packing, quality, secrets
 from quotelane.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,13 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_arc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as legacy archives, converted to WARC and read back."""
+    warcs = arc.convert(arc.write_arcs(table(spark, sf_dir, "pages")))
+    read = arc.read_warcs(warcs)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -66,11 +73,19 @@ def op9_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.read_frames(spark, frames.write_frames(table(spark, sf_dir, "documents")))
 
 
+def op10_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest products of every 20th vector with all others."""
+    vectors = mtree.quantised(table(spark, sf_dir, "embeddings"))
+    return mtree.top_k(vectors, F.col("id") % 20 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_secrets": op2_secrets,
     "op3_quality": op3_quality,
+    "op4_arc": op4_arc,
     "op7_packing": op7_packing,
     "op8_language": op8_language,
     "op9_frames": op9_frames,
+    "op10_mtree": op10_mtree,
 }

@@ -117,4 +117,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM tested
 """
 
-SQL = {"op1_mixing": MIX, "op2_secrets": SECRETS, "op3_quality": QUALITY}
+ARC = """
+WITH p AS (SELECT page_id, COALESCE(html, '') AS payload, row_number() OVER () AS row FROM pages),
+d AS (SELECT page_id, row, octet_length(encode(payload))::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT *, first_value(row) OVER w AS first_row, first_value(page_id) OVER w AS first_id FROM d
+      WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id NULLS LAST, row))
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND row <> first_row THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND row <> first_row THEN first_id END AS refers_to
+FROM f
+"""
+
+MTREE = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20
+"""
+
+SQL = {"op1_mixing": MIX, "op2_secrets": SECRETS, "op3_quality": QUALITY, "op4_arc": ARC, "op10_mtree": MTREE}
