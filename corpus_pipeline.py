@@ -1,8 +1,101 @@
-"""The corpus pipeline (stages follow)."""
+"""From raw documents to packed training sequences, in five stages.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a frame with the columns of documents, but for the
+last, whose rows are pieces of packed sequences. ``run`` writes each stage's result as Parquet and
+reads it back for the next.
+
+Defined cases, beside those of the operators: a null text has no language and goes in the first
+stage; documents without id can't be named by the join and stay, repeated ones once; an empty table
+passes through every stage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quotelane.llm import jaccard, language, mixing, packing, secrets
+from quotelane.llm.common import WORD, table, word_count, written
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+NEAR_WORDS = 5
+NEAR_SHARE = (80, 100)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents whose language is told; it replaces the given one."""
+    docs = docs.select(*COLUMNS)
+    dictionaries = language.learn(docs.select("text", "lang"))
+    found = language.identify(docs.withColumn("_kept", F.col("text")), dictionaries, ["doc_id", "_kept", "source", "n_chars"])
+    return found.where(~F.col("rejected")).select(
+        "doc_id", F.col("_kept").alias("text"), F.col("lang_pred").alias("lang"), "source", "n_chars"
+    )
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of smallest id of each group of near copies."""
+    docs = docs.select(*COLUMNS)
+    found = jaccard.classes(docs, NEAR_WORDS, NEAR_SHARE)
+    goes = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(goes, "doc_id", "left_anti")
+    return kept.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).select(*COLUMNS)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace every secret by a mark."""
+    docs = docs.select(*COLUMNS)
+    found = secrets.findings_by_path(docs, secrets.scan(docs.select("text")))
+    text = secrets.redact(F.col("text"), F.coalesce("findings", F.array()))
+    changed = F.size("findings") > 0
+    return found.select(
+        "doc_id",
+        F.when(changed, text).otherwise(F.col("text")).alias("text"),
+        "lang",
+        "source",
+        F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
+    )
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; where a source's budget ends, the words up to there."""
+    docs = docs.select(*COLUMNS).withColumn("_hash", F.xxhash64("text"))
+    taken = mixing.mix(docs, word_count(F.col("text")), keys=("doc_id", "_hash")).where(F.col("taken") > 0)
+    taken = taken.select(
+        F.col("doc_id").alias("_id"),
+        F.col("_hash").alias("_key"),
+        F.col("epochs").cast("int").alias("_epochs"),
+        (F.col("taken") - F.col("epochs") * F.col("size")).cast("int").alias("_cut"),
+    )
+    rows = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_id"]) & (docs["_hash"] == taken["_key"]))
+    words = F.regexp_extract_all("text", F.lit(rf"([\x20\x09-\x0D]*{WORD})"), F.lit(1))
+    rest = F.when(F.col("_cut") > 0, F.array(F.array_join(F.slice(words, 1, F.col("_cut")), ""))).otherwise(
+        F.array().cast("array<string>")
+    )
+    copies = rows.select(
+        "doc_id", F.explode(F.concat(F.array_repeat("text", F.col("_epochs")), rest)).alias("text"), "lang", "source", "n_chars"
+    )
+    return copies.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 1024 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language identification", identify_language),
+    ("near copies", drop_near_copies),
+    ("secrets", redact_secrets),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+
+# Compression sizes and tokens are beyond SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelane.llm import arc, frames, jaccard, language, mixing, mtree, packing, quality, secrets
+from quotelane.llm import arc, frames, jaccard, language, mixing, mtree, packing, quality, secrets, suffixes
 from quotelane.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,11 @@ def op4_arc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 50-byte strings that documents of smaller id have."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with at least 90 % of their 3-word shingles in common."""
     return jaccard.classes(table(spark, sf_dir, "documents"))
@@ -89,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op2_secrets": op2_secrets,
     "op3_quality": op3_quality,
     "op4_arc": op4_arc,
+    "op5_suffixes": op5_suffixes,
     "op6_jaccard": op6_jaccard,
     "op7_packing": op7_packing,
     "op8_language": op8_language,

@@ -10,7 +10,7 @@ texts of smallest hash, the first ``SAMPLE_BYTES / SAMPLE_DOCS`` bytes of each.
 
 Defined cases: a null text or one without letters is ``und`` with score 0, and rejected; with one
 learned language every other text is that language; with none, every text is ``und``; equal sizes
-go to the language whose dictionary was learned first in order of name.
+go to the language that more of the labelled texts have.
 """
 
 from __future__ import annotations
@@ -27,7 +27,9 @@ SAMPLE_BYTES = 32 * 1024
 MOST_LANGUAGES = 256
 BLOCK = 2048
 LEVEL = 6
-LEAST_MARGIN = 0.002
+FINE_LEVEL = 19  # for texts that the level above can't tell: it takes matches of three bytes
+LEAST_MARGIN = 0.001
+LEAST_BYTES = 64  # a margin tells nothing of a text of a few words; shorter ones are not rejected for it
 
 
 def learn(labelled: DataFrame, docs: int = SAMPLE_DOCS, size: int = SAMPLE_BYTES) -> dict[str, bytes]:
@@ -46,8 +48,9 @@ def learn(labelled: DataFrame, docs: int = SAMPLE_DOCS, size: int = SAMPLE_BYTES
         texts.setdefault(row["lang"], []).append((row["n"], row["head"]))
     if len(texts) > MOST_LANGUAGES:
         raise ValueError(f"{len(texts)} languages; dictionaries are sent to every task, at most {MOST_LANGUAGES}")
+    often = {r["lang"]: r["count"] for r in labelled.where(F.col("lang").isin(list(texts))).groupBy("lang").count().collect()}
     return {
-        lang: "\n".join(t for _, t in sorted(texts[lang])).lower().encode()[:size] for lang in sorted(texts)
+        lang: "\n".join(t for _, t in sorted(texts[lang])).lower().encode()[:size] for lang in sorted(texts, key=lambda x: (-often[x], x))
     }
 
 
@@ -55,18 +58,18 @@ def _classify(dictionaries: dict[str, bytes], block: int, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        coders = []
-        for lang, raw in dictionaries.items():
-            learned = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            learned.precompute_compress(level=level)
-            coders.append(
-                (
-                    lang,
-                    zstandard.ZstdCompressor(
-                        level=level, dict_data=learned, write_content_size=False, write_checksum=False
-                    ),
-                )
-            )
+        def coders_of(level: int) -> list[zstandard.ZstdCompressor]:
+            out = []
+            for raw in dictionaries.values():
+                learned = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                learned.precompute_compress(level=level)
+                out.append(zstandard.ZstdCompressor(level=level, dict_data=learned, write_content_size=False))
+            return out
+
+        def ranked(coders: list[zstandard.ZstdCompressor], parts: list[bytes]) -> list[tuple[int, int]]:
+            return sorted((sum(len(coder.compress(part)) for part in parts), i) for i, coder in enumerate(coders))
+
+        names, coders, fine = list(dictionaries), coders_of(level), None
         letters = lambda text: any(c.isalpha() for c in text)
         for batch in batches:
             langs, scores = [], []
@@ -78,10 +81,11 @@ def _classify(dictionaries: dict[str, bytes], block: int, level: int):
                     continue
                 raw = text.lower().encode("utf-8", "surrogatepass")
                 parts = [raw[i : i + block] for i in range(0, len(raw), block)]
-                sizes = sorted(
-                    (sum(len(coder.compress(part)) for part in parts), i) for i, (_, coder) in enumerate(coders)
-                )
-                langs.append(coders[sizes[0][1]][0])
+                sizes = ranked(coders, parts)
+                if len(sizes) > 1 and sizes[0][0] == sizes[1][0]:
+                    fine = fine or coders_of(FINE_LEVEL)
+                    sizes = ranked(fine, parts)
+                langs.append(names[sizes[0][1]])
                 scores.append(1 - sizes[0][0] / sizes[1][0] if len(sizes) > 1 else 1.0)
             kept = [batch.column(i) for i in range(1, batch.num_columns)]
             yield pa.RecordBatch.from_arrays(
@@ -99,12 +103,14 @@ def identify(
     block: int = BLOCK,
     level: int = LEVEL,
     least_margin: float = LEAST_MARGIN,
+    least_bytes: int = LEAST_BYTES,
 ) -> DataFrame:
     """``keep`` columns with lang_pred, score (the margin, 0 to 1) and rejected."""
-    kept = docs.select(F.col("text").alias("_text"), *keep)
+    kept = docs.select(F.col("text").alias("_text"), F.octet_length("text").alias("_bytes"), *keep)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[1:])
     found = kept.mapInArrow(
         _classify(dictionaries, block, level), f"{fields}, lang_pred string, margin double"
     )
-    rejected = (F.col("lang_pred") == UNKNOWN) | (F.col("margin") < least_margin)
+    narrow = (F.col("margin") < least_margin) & (F.col("_bytes") >= least_bytes)
+    rejected = (F.col("lang_pred") == UNKNOWN) | narrow
     return found.select(*keep, "lang_pred", F.col("margin").alias("score"), rejected.alias("rejected"))

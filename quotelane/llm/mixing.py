@@ -63,13 +63,14 @@ def mix(
     weights: tuple[int, ...] = (1, 2, 3),
     share: float = 1.0,
     most: int = 3,
+    keys: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
-    """A row per document: doc_id, size, source_size, target, epochs and taken.
+    """A row per document: its ``keys``, size, source, source_size, target, epochs and taken.
 
     ``taken`` are the words the mix takes of the document: ``epochs`` whole copies, and for the
     document in which the budget ends, the words up to there.
     """
-    rows = docs.select("doc_id", "source", size.alias("size"), hash_key().alias("key"))
+    rows = docs.select(*keys, "source", size.alias("size"), hash_key().alias("key"))
     rows = written(rows, "sizes")
     ranges = pieces(rows.count(), ROWS_PER_RANGE)
     rows = rows.withColumn("range", F.shiftright(F.shiftright("key", 30) * ranges, 30))
@@ -91,20 +92,20 @@ def mix(
     starts = _join(starts, targets, ["source"]).select(
         "source", "range", "range_before", "source_size", "target"
     )
-    within = before("size", ["source", "range"], ["key", "doc_id", "size"])
+    within = before("size", ["source", "range"], ["key", *keys, "size"])
     placed = _join(rows.withColumn("within", within), starts, ["source", "range"])
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)
     rest = budget - epochs * F.col("source_size") - F.col("range_before") - F.col("within")
     cut = F.greatest(F.lit(0), F.least(F.col("size"), rest))
     return placed.select(
-        "doc_id",
+        *keys,
         "size",
+        "source",
         "source_size",
         "target",
         epochs.cast("long").alias("epochs"),
         (epochs * F.col("size") + cut).cast("long").alias("taken"),
-        "source",
     )
 
 

@@ -20,6 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotelane.llm.common import written
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -160,7 +162,8 @@ def findings_by_path(
             ).alias("findings"),
         )
     )
-    return address(versions, content).join(per_blob, "blob", "left")
+    # written apart from the join, so that a blob with many paths can be split there
+    return address(versions, content).join(written(per_blob, "findings"), "blob", "left")
 
 
 def listed(findings: Column) -> Column:
