@@ -7,7 +7,7 @@ import sys
 import types
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelane.session import work_dir
@@ -20,11 +20,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+ARROW_ROWS = 1000
+_ARROW_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write an intermediate result to the shared folder and read it back, which cuts its lineage."""
+    """Write an intermediate result to the shared folder and read it back, which cuts its lineage.
+
+    Rows that hold texts or packed lists go to Python a thousand at a time, which bounds a batch.
+    """
     spark = df.sparkSession
     path = work_dir(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_ARROW_SETTING)
+    spark.conf.set(_ARROW_SETTING, str(ARROW_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ARROW_SETTING, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -42,26 +54,6 @@ def pieces(total: int | None, each: int) -> int:
     return max(1, math.ceil((total or 0) / each))
 
 
-def numbered(df: DataFrame, order: list[Column], label: str, name: str = "number") -> DataFrame:
-    """Number all rows from 0 in a global order without sorting them in one task.
-
-    Rows are range-partitioned, numbered within their range and shifted by the number of rows in
-    the ranges before. The driver sees one count per range.
-    """
-    ranged = written(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), label)
-    spark, before, shifts = df.sparkSession, 0, []
-    for row in sorted(ranged.groupBy("_range").count().collect()):
-        shifts.append((row["_range"], before))
-        before += row["count"]
-    shift = spark.createDataFrame(shifts, "_range int, _shift long")
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return (
-        ranged.join(F.broadcast(shift), "_range")  # a row per range
-        .withColumn(name, F.col("_shift") + within - 1)
-        .drop("_range", "_shift")
-    )
-
-
 def worker_state(key: str, make: Callable[[], object]) -> object:
     """An object made once per Python worker and kept between its tasks."""
     home = sys.modules.setdefault("_quotelane_worker_state", types.ModuleType("_quotelane_worker_state"))

@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotelane.llm.common import numbered, pieces, written
+from quotelane.llm.common import pieces, written
+from quotelane.operators.numbering import numbered
 
 ROWS_PER_RANGE = 512
 RANGES_PER_GROUP = 1024
@@ -34,7 +35,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, mos
     ``sizes`` has a row per source: source, source_size.
     """
     order = [F.col("source").asc_nulls_last()]
-    ranked = numbered(sizes, order, "sources", "_rank")
+    ranked = numbered(sizes, order, "_rank")
     pick = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))
     ranked = written(
         ranked.select("source", "source_size", pick.cast("long").alias("weight"), (F.col("source_size") * most).alias("cap")),

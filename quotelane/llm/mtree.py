@@ -33,7 +33,7 @@ from quotelane.llm.common import pieces, written
 SCALE = 64
 MOST_PIVOTS = 256
 BLOCK_ROWS = 4096
-LEAF_ROWS = 128
+LEAF_ROWS = 512
 FANOUT = 16
 QUERIES_PER_CHUNK = 4096
 EXACT = 2.0**53
@@ -65,15 +65,6 @@ def _raised(v: np.ndarray, most: float) -> np.ndarray:
     return np.hstack([x, np.sqrt(np.maximum(0.0, most * most - (x * x).sum(1)))[:, None]])
 
 
-def _products(v: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Whole-numbered products; floating-point arithmetic only where it is exact."""
-    if len(v) == 0:
-        return np.empty(0, np.int64)
-    if float(np.abs(v).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, v.shape[1]) < EXACT:
-        return (v.astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
-    return v @ q
-
-
 def _distances(centre: np.ndarray, points: np.ndarray) -> np.ndarray:
     d = points - centre
     return np.sqrt(np.einsum("ij,ij->i", d, d))
@@ -86,6 +77,7 @@ class Tree:
         order = np.argsort(ids, kind="stable")
         self.ids, self.v, self.most = ids[order], v[order], most
         self.points = _raised(self.v, most)
+        self.largest = float(np.abs(self.v).max(initial=0)) * max(1, v.shape[1])
         self.pages: list[dict] = []
         self.computed = 0
         centre = self.points.mean(0)
@@ -116,7 +108,8 @@ class Tree:
                     {"leaf": False, "children": children, "centres": centres, "radii": np.array(radii), "parent": _distances(centre, centres)}
                 )
                 return len(self.pages) - 1
-        self.pages.append({"leaf": True, "rows": rows, "parent": away})  # equal vectors may overfill a page
+        # equal vectors may overfill a page
+        self.pages.append({"leaf": True, "ids": self.ids[rows], "v": self.v[rows], "exact": self.points[rows, :-1], "parent": away})
         return len(self.pages) - 1
 
     def search(self, q: np.ndarray, k: int, skip: int | None, floor: int | None) -> list[tuple[int, int]]:
@@ -124,6 +117,8 @@ class Tree:
         point = np.append(q.astype(np.float64), 0.0)
         base = float(point @ point) + self.most * self.most
         slack = 1e-9 * base + 1e-6
+        # floating-point products only where they are exact
+        exact = self.largest * float(np.abs(q).max(initial=0)) < EXACT
         best: list[tuple[int, int]] = []  # a heap of (product, -id)
 
         def reach() -> float:
@@ -141,17 +136,22 @@ class Tree:
                 break
             page = self.pages[page]
             if page["leaf"]:
-                rows = page["rows"]
+                names, v = page["ids"], page["exact"] if exact else page["v"]
                 if limit < math.inf:
-                    rows = rows[np.abs(page["parent"] - away) <= limit + 1e-6]
-                self.computed += len(rows)
-                products = _products(self.v[rows], q)
-                names = self.ids[rows]
-                if skip is not None:
-                    products, names = products[names != skip], names[names != skip]
+                    near = np.abs(page["parent"] - away) <= limit + 1e-6
+                    if not near.all():
+                        names, v = names[near], v[near]
+                self.computed += len(names)
+                products = v @ (point[:-1] if exact else q)
+                if exact:
+                    products = products.astype(np.int64)
                 least = best[0][0] if len(best) == k else floor
                 if least is not None:
-                    products, names = products[products >= least], names[products >= least]
+                    enough = products >= least
+                    products, names = products[enough], names[enough]
+                if skip is not None and len(names):
+                    other = names != skip
+                    products, names = products[other], names[other]
                 if len(products) > k:
                     order = np.lexsort((names, -products))[:k]
                     products, names = products[order], names[order]
@@ -223,6 +223,7 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = 20) -> DataFrame:
     radii = {r["pivot"]: r["radius"] for r in sizes}
     number = F.create_map(*[F.lit(x) for p, n in blocks.items() for x in (p, n)])
     block = F.struct("pivot", F.pmod(F.xxhash64("id"), number[F.col("pivot")]).cast("int").alias("part"))
+    tasks = sum(blocks.values())
     placed = placed.withColumn("block", block).select(
         F.col("block.pivot").alias("pivot"), F.col("block.part").alias("part"), "id", "v", "is_query"
     )
@@ -234,7 +235,7 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = 20) -> DataFrame:
             rows += [(int(ids[i]), name, score) for score, name in tree.search(v[i], k, int(ids[i]), None)]
         return _found(rows)
 
-    local = written(placed.groupBy("pivot", "part").applyInArrow(at_home, FOUND), "home")
+    local = written(placed.repartition(tasks, "pivot", "part").groupBy("pivot", "part").applyInArrow(at_home, FOUND), "home")
     bound = local.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least"))
     asked = placed.where("is_query").join(bound, placed["id"] == bound["query_id"], "left").select(
         "pivot", "part", "id", "v", F.when(F.col("n") >= k, F.col("least")).alias("least")
@@ -283,6 +284,7 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = 20) -> DataFrame:
         return _found(rows)
 
     keys = ("pivot", "part", "chunk")
+    held, visits = (side.repartition(tasks * chunks, *keys) for side in (held, visits))
     others = held.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(away, FOUND)
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
