@@ -11,8 +11,6 @@ from quotelane.sources.files import spread
 START_MS = 1_704_067_200_000  # 2024-01-01 UTC
 STEP_MS = 250
 CUSIPS = 8
-# An order message with more allocations than this arrives as several messages of the same order.
-MAX_ALLOCATIONS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,43 +64,26 @@ def late_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def block_orders(spark: SparkSession, sf_dir: str, max_allocations: int = MAX_ALLOCATIONS) -> DataFrame:
-    """Nested block orders.
+def block_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested block orders, one message each.
 
-    The lines of an order are nested by one aggregation on the order key; a join with orders on
-    that same key follows. Orders of more than ``max_allocations`` lines are cut into several
-    messages of the same order, so that no row grows without bound; the list of those orders has
-    at most (lines / max_allocations) rows and is broadcast.
+    The lines of an order are nested by one aggregation on the order key; the join with orders on
+    that same key reuses its partitioning.
     """
     lines = spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("int").alias("quantity")
     )
-    oversize = (
-        lines.groupBy("l_orderkey").agg(F.count("*").alias("n")).where(F.col("n") > max_allocations)
-        .select("l_orderkey", F.ceil(F.col("n") / max_allocations).alias("messages"))
-    )
-    nested = (
-        lines.join(F.broadcast(oversize), "l_orderkey", "left")
-        .withColumn(
-            "message",
-            # the scan order of parquet splits is fixed, so a retried task cuts in the same way
-            F.when(F.col("messages").isNull(), F.lit(0).cast("bigint")).otherwise(
-                F.monotonically_increasing_id() % F.col("messages")
-            ),
-        )
-        .groupBy("l_orderkey", "message")
-        .agg(
-            F.sum("quantity").cast("int").alias("quantity"),
-            F.sort_array(
-                F.collect_list(
-                    F.struct(
-                        F.concat(F.lit("ACC"), F.col("l_suppkey") % 3).alias("account"),
-                        F.concat(F.lit("S"), F.col("l_linenumber") % 2).alias("subAccount"),
-                        F.col("quantity"),
-                    )
+    nested = lines.groupBy("l_orderkey").agg(
+        F.sum("quantity").cast("int").alias("quantity"),
+        F.sort_array(
+            F.collect_list(
+                F.struct(
+                    F.concat(F.lit("ACC"), F.col("l_suppkey") % 3).alias("account"),
+                    F.concat(F.lit("S"), F.col("l_linenumber") % 2).alias("subAccount"),
+                    F.col("quantity"),
                 )
-            ).alias("allocations"),
-        )
+            )
+        ).alias("allocations"),
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     stamp = F.lit(START_MS) + F.col("o_orderkey") * STEP_MS

@@ -30,13 +30,14 @@ def _fields(fields: StructType) -> list[Column]:
 
 
 def decode(messages: DataFrame, schema: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of the messages in ``value``; a malformed message fails the query.
+    """Rows of the messages in ``value``; a malformed or absent message fails the query.
 
     Unknown fields are ignored. ``extra`` names message columns to keep, such as ``offset``.
     """
     fields = StructType.fromDDL(schema)
     parsed = F.from_json(F.col("value").cast("string"), schema, {"mode": "FAILFAST"})
-    return messages.withColumn("_m", parsed).select(*_fields(fields), *extra)
+    whole = F.coalesce(parsed, F.raise_error(F.lit("a message has no value")).cast(fields))
+    return messages.withColumn("_m", whole).select(*_fields(fields), *extra)
 
 
 def decode_split(messages: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotelane.operators.numbering import numbered
 from quotelane.operators.scan import Running, running
 
 
@@ -31,15 +32,16 @@ def late_by_running_max(
     Slack 0 is the periodic and the punctuated rule, slack 1 the rule for ascending times, which
     allows for further rows of the latest millisecond.
     """
+    # arrival numbers may be far apart; segments of dense ones are full
     seen = running(
-        df,
+        numbered(df, [F.col(arrival)], "_number"),
         [source],
-        arrival,
+        "_number",
         [Running("_seen", "max", F.col("timestamp"))],
         inclusive=False,
         segment_rows=segment_rows,
     )
-    return _flag(seen, F.col("_seen") - slack_ms, width_ms).drop("_seen")
+    return _flag(seen, F.col("_seen") - slack_ms, width_ms).drop("_seen", "_number")
 
 
 def late_by_time_lag(

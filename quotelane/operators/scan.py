@@ -3,7 +3,8 @@
 A window over ``partitionBy(key)`` sorts all rows of a key in one task. Here a key is cut into
 segments of consecutive arrival numbers. Arrival numbers are unique integers within a key, so a
 segment of ``segment_rows`` numbers (rounded up to a power of two) never holds more than that many
-rows, however skewed the key. Each segment is scanned alone, a one-row summary per segment is scanned over the key,
+rows, however skewed the key; where numbers are far apart, ``numbering.numbered`` makes dense ones
+first, or else there would be a segment for every few rows. Each segment is scanned alone, a one-row summary per segment is scanned over the key,
 and what enters a segment is joined back on (key, segment). The join reuses the partitioning and
 order of the segment scan, so the rows are shuffled once.
 

@@ -17,7 +17,6 @@ from quotelane.operators.scan import Running, running
 
 ACCOUNT_KEY = ("account", "subAccount", "cusip")
 SYMBOL_KEY = ("cusip",)
-MAX_LIST = 1 << 20
 
 
 class _Windowed:
@@ -116,44 +115,17 @@ def symbol_quantity(positions: DataFrame, width: str = "10 seconds", within: str
     )
 
 
-def cusip_allocations(
-    positions: DataFrame,
-    width: str = "10 seconds",
-    within: str = "ts",
-    max_list: int | None = MAX_LIST,
-) -> DataFrame:
+def cusip_allocations(positions: DataFrame, width: str = "10 seconds", within: str = "ts") -> DataFrame:
     """The allocations of a security and window as one list in arrival order.
 
-    A row holds its whole list, so a list must stay small enough for one row. Lists of more than
-    ``max_list`` entries are cut into consecutive rows numbered by ``part``; nothing is dropped.
-    The table of such windows has at most (rows / max_list) rows and is broadcast; ``part`` is a
-    range of arrival numbers, which are unique, so a part has at most ``max_list`` entries.
-    ``max_list=None`` leaves the cutting out, as a streaming frame needs.
+    The list is the record itself, so it must fit a row.
     """
     windowed = _Windowed(positions, width, within)
-    rows = windowed.rows
-    if max_list is None:
-        rows = rows.withColumn("part", F.lit(0).cast("bigint"))
-    else:
-        oversize = (
-            windowed.by("cusip")
-            .agg(F.count("*").alias("n"), F.min("ord").alias("from"))
-            .where(F.col("n") > max_list)
-            .select(windowed.key, "cusip", "from")
-        )
-        bits = max_list.bit_length() - 1
-        part = F.shiftright("ord", bits) - F.shiftright("from", bits)
-        rows = rows.join(F.broadcast(oversize), [windowed.key, "cusip"], "left").withColumn(
-            "part", F.coalesce(part, F.lit(0).cast("bigint"))
-        )
     entry = F.struct("ord", "account", "subAccount", F.col("quantity").cast("bigint").alias("quantity"))
-    listed = rows.groupBy(windowed.key, "cusip", "part").agg(
-        F.sort_array(F.collect_list(entry)).alias("entries")
-    )
+    listed = windowed.by("cusip").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     return listed.select(
         *windowed.bounds,
         "cusip",
-        "part",
         F.transform(
             "entries",
             lambda e: F.struct(

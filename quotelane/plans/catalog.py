@@ -322,6 +322,19 @@ def message_mv_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec.decode_symbol_positions(jobs.symbol_value_messages(positions, price_messages(spark, sf_dir)))
 
 
+def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order topic; an order's number is its offset."""
+    return _in_topic(codec.encode_orders(fixtures.block_orders(spark, sf_dir), "orders"), fixtures.START_MS)
+
+
+def message_symbol_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codec.decode_symbol_positions(jobs.symbol_quantity_messages(order_messages(spark, sf_dir)))
+
+
+def message_cusip_allocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _readable(jobs.cusip_allocation_messages(order_messages(spark, sf_dir)))
+
+
 # ---- files -------------------------------------------------------------------------------------
 
 
@@ -390,6 +403,8 @@ BATCH: dict[str, Query] = {
         rolling_then_priced,
         message_mv_by_account,
         message_mv_by_symbol,
+        message_symbol_quantity,
+        message_cusip_allocations,
         source_keyed_json_lines,
         source_csv,
         watermark_late_periodic,

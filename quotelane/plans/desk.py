@@ -32,10 +32,8 @@ def rolled_up_quantity(positions: DataFrame, width: str = "10 seconds") -> DataF
     return windows.symbol_quantity(windows.sum_in_window(positions, width=width), width, "window")
 
 
-def rolled_up_allocations(
-    positions: DataFrame, width: str = "10 seconds", max_list: int | None = windows.MAX_LIST
-) -> DataFrame:
+def rolled_up_allocations(positions: DataFrame, width: str = "10 seconds") -> DataFrame:
     """Window sums by account, listed by security in the same windows."""
     return windows.cusip_allocations(
-        windows.sum_in_window(positions, width=width), width, "window", max_list
+        windows.sum_in_window(positions, width=width), width, "window"
     )

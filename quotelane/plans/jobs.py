@@ -8,62 +8,70 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotelane import schemas
 from quotelane.functions import event_time
 from quotelane.operators import codec, pricing, projection, windows
+from quotelane.operators.numbering import numbered
 from quotelane.plans import desk
 from quotelane.sinks import writers
 from quotelane.sources import files, kafka
 from quotelane.streaming import legs
 
 
-def arrival_number(side: int) -> Column:
-    """One rising number for a message: its time, then the side, topic partition and offset.
-
-    Unique while a topic partition takes no more than 8192 messages in a millisecond and a topic
-    has no more than 64 partitions.
-    """
-    place = F.shiftleft(F.pmod("partition", F.lit(64)).cast("bigint"), 13) + F.pmod("offset", F.lit(8192))
-    return F.shiftleft(F.unix_millis("timestamp"), 20) + F.lit(side << 19) + place
+# Messages are taken in this order: by time, positions before prices, then as their topic has them.
+ARRIVAL = ("timestamp", "kind", "partition", "offset")
+SLACK_MS = 60_000
 
 
-def _arrived(messages: DataFrame, schema: str, side: int) -> DataFrame:
-    numbered = messages.select(
-        "value", arrival_number(side).alias("ord"), F.unix_millis("timestamp").alias("_arrived")
+def _arrived(messages: DataFrame, schema: str, fields: Sequence[str], kind: str) -> DataFrame:
+    at = messages.select("value", "partition", "offset", F.unix_millis("timestamp").alias("_arrived"))
+    records = codec.decode(at, schema, extra=("partition", "offset", "_arrived"))
+    return records.drop("timestamp").select(
+        F.col("_arrived").alias("timestamp"), "partition", "offset", "cusip", F.lit(kind).alias("kind"), *fields
     )
-    records = codec.decode(numbered, schema, extra=("ord", "_arrived"))
-    return records.drop("timestamp").withColumnRenamed("_arrived", "timestamp")
 
 
 def leg_events(
-    positions: DataFrame, prices: DataFrame, schema: str, fields: Sequence[str]
+    positions: DataFrame, prices: DataFrame, schema: str, fields: Sequence[str], slack_ms: int = SLACK_MS
 ) -> DataFrame:
-    """Both sides of a leg as one frame, from two message frames; static or streaming."""
-    both = pricing.tag_sides(
-        _arrived(positions, schema, 0), _arrived(prices, schemas.PRICE, 1), fields
-    )
-    return both.withColumn("ts", event_time("timestamp"))
+    """Both sides of a leg as one frame, from two message frames.
+
+    Static rows get a dense arrival number. Streaming sides get a watermark each, ``slack_ms`` behind
+    their latest message, before they are united: the slower side holds the clock, so a side that
+    runs ahead makes no row of the other late. ``slack_ms`` covers disorder within a side.
+    """
+    left = _arrived(positions, schema, fields, "position")
+    right = _arrived(prices, schemas.PRICE, ("price",), "price").withColumn("price", F.col("price").cast("double"))
+    if positions.isStreaming or prices.isStreaming:
+        left, right = (legs.with_periodic_watermark(s.withColumn("ts", event_time("timestamp")), slack_ms) for s in (left, right))
+        return left.unionByName(right, allowMissingColumns=True)
+    both = left.unionByName(right, allowMissingColumns=True)
+    return numbered(both, [F.col(c) for c in ARRIVAL], "ord").withColumn("ts", event_time("timestamp"))
 
 
-def account_value_messages(positions: DataFrame, prices: DataFrame, topic: str = kafka.ACCOUNT_VALUES) -> DataFrame:
+def account_value_messages(
+    positions: DataFrame, prices: DataFrame, topic: str = kafka.ACCOUNT_VALUES, slack_ms: int = SLACK_MS
+) -> DataFrame:
     """Position and price messages to market-value messages by account."""
-    events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS)
+    events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS, slack_ms)
     if events.isStreaming:
-        values = legs.account_leg(legs.with_periodic_watermark(events))
+        values = legs.account_leg(events, in_order=False)
     else:
         values = desk.account_leg(events)
     return codec.encode_positions(values, topic)
 
 
-def symbol_value_messages(positions: DataFrame, prices: DataFrame, topic: str = kafka.SYMBOL_VALUES) -> DataFrame:
+def symbol_value_messages(
+    positions: DataFrame, prices: DataFrame, topic: str = kafka.SYMBOL_VALUES, slack_ms: int = SLACK_MS
+) -> DataFrame:
     """Position and price messages to market-value messages by security."""
-    events = leg_events(positions, prices, schemas.SYMBOL_POSITION, pricing.SYMBOL_FIELDS)
+    events = leg_events(positions, prices, schemas.SYMBOL_POSITION, pricing.SYMBOL_FIELDS, slack_ms)
     if events.isStreaming:
-        values = legs.symbol_leg(legs.with_periodic_watermark(events))
+        values = legs.symbol_leg(events, in_order=False)
     else:
         values = desk.symbol_leg(events)
     return codec.encode_symbol_positions(values, topic)
@@ -76,6 +84,52 @@ def compliance_messages(positions: DataFrame, topic: str = "out") -> DataFrame:
     )
 
 
+def order_positions(orders: DataFrame, slack_ms: int = SLACK_MS) -> DataFrame:
+    """Order messages to signed positions at the time the message arrived."""
+    arrived = orders.select("value", F.unix_millis("timestamp").alias("_arrived"))
+    decoded = codec.decode(arrived, schemas.ORDER, extra=("_arrived",))
+    split = projection.split_orders(decoded.drop("timestamp").withColumnRenamed("_arrived", "timestamp"))
+    # within a window, allocations are listed by account
+    positions = split.withColumn("ts", event_time("timestamp")).withColumn("ord", F.lit(0).cast("bigint"))
+    return legs.with_periodic_watermark(positions, slack_ms) if orders.isStreaming else positions
+
+
+def symbol_quantity_messages(
+    orders: DataFrame, topic: str = kafka.SYMBOL_POSITIONS, slack_ms: int = SLACK_MS, width: str = "10 seconds"
+) -> DataFrame:
+    """Order messages to quantities by security and window, rolled up from those by account."""
+    rolled = windows.symbol_quantity(
+        windows.sum_in_window(order_positions(orders, slack_ms), first=(), width=width), width, "window"
+    )
+    unpriced = F.lit(0.0)
+    return codec.encode_symbol_positions(
+        rolled.select(
+            "timestamp", "cusip", F.col("quantity").cast("int"), unpriced.alias("price"), unpriced.alias("marketValue")
+        ),
+        topic,
+    )
+
+
+def cusip_allocation_messages(
+    orders: DataFrame, topic: str = "positionsByCusip", slack_ms: int = SLACK_MS, width: str = "10 seconds"
+) -> DataFrame:
+    """Order messages to lists of allocations by security and window."""
+    summed = windows.sum_in_window(order_positions(orders, slack_ms), first=(), width=width)
+    return codec.encode_cusip_allocations(windows.cusip_allocations(summed, width, "window"), topic)
+
+
+def start_roll_ups(
+    spark: SparkSession, servers: str, checkpoint: str, orders: str = "orders", **source_options
+) -> list[StreamingQuery]:
+    """Order messages to quantities and allocation lists by security, topic to topic."""
+    return [
+        kafka.topic_writer(make(kafka.topic_stream(spark, servers, orders, **source_options)), servers, f"{checkpoint}/{name}")
+        .queryName(name)
+        .start()
+        for name, make in (("symbol-quantities", symbol_quantity_messages), ("cusip-allocations", cusip_allocation_messages))
+    ]
+
+
 def start_desk(
     spark: SparkSession,
     servers: str,
@@ -105,18 +159,33 @@ def start_desk(
 
 
 def start_price_log(
-    spark: SparkSession, servers: str, checkpoint: str, topic: str = kafka.PRICES, **source_options
+    spark: SparkSession, servers: str, path: str, checkpoint: str, topic: str = kafka.PRICES, **source_options
 ) -> StreamingQuery:
-    """Log every price."""
+    """Log every price to text files under ``path``."""
     prices = kafka.price_stream(spark, servers, topic, **source_options)
-    return writers.log_writer(prices, "**** prices {}", "quotelane.prices", checkpoint).start()
+    return writers.log_writer(prices, "price {}", path, checkpoint).start()
 
 
-def start_word_count(spark: SparkSession, path: str, width: str = "5 seconds") -> StreamingQuery:
+def start_compliance(
+    spark: SparkSession,
+    servers: str,
+    checkpoint: str,
+    positions: str = kafka.ACCOUNT_POSITIONS,
+    topic: str = "out",
+    **source_options,
+) -> StreamingQuery:
+    """Position messages to compliance messages, topic to topic."""
+    messages = compliance_messages(kafka.topic_stream(spark, servers, positions, **source_options), topic)
+    return kafka.topic_writer(messages, servers, checkpoint).queryName("compliance").start()
+
+
+def start_word_count(
+    spark: SparkSession, path: str, checkpoint: str, width: str = "5 seconds", out=None
+) -> StreamingQuery:
     """Print word counts of the text files that appear under ``path``."""
     lines = legs.with_periodic_watermark(files.text_stream(spark, path))
     counts = windows.word_count(projection.split_words(lines), width)
-    return writers.print_writer(counts).outputMode("append").start()
+    return writers.print_writer(counts, checkpoint, out).outputMode("append").start()
 
 
 def rolled_then_priced(

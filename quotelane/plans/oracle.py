@@ -182,7 +182,7 @@ FROM sums""",
 SELECT ws AS "windowStart", ws + 10000 AS "windowEnd", {_K2}, quantity, 0::BIGINT AS "timestamp",
     NULL::VARCHAR AS "orderId" FROM sums""",
     "cusip_allocations_10s": f"""WITH {_POSITIONS}
-SELECT ws AS "windowStart", ws + 10000 AS "windowEnd", cusip, 0::BIGINT AS part,
+SELECT ws AS "windowStart", ws + 10000 AS "windowEnd", cusip,
     {_ENTRY} AS allocations, count(*) AS entries FROM {_WINDOWED} GROUP BY ws, cusip""",
     "symbol_quantity_10s": f"""WITH {_POSITIONS}
 SELECT ws AS "windowStart", ws + 10000 AS "windowEnd", cusip, sum(quantity)::BIGINT AS quantity,
@@ -194,11 +194,21 @@ SELECT {_bounds(5000, 't')}, word, count(*) AS count FROM timed GROUP BY 1, 2, 3
 SELECT ord, "timestamp", account, "subAccount", cusip, quantity,
     (sum(quantity) OVER (PARTITION BY {_K2} ORDER BY ord))::BIGINT AS "rollingQuantity"
 FROM positions""",
+    "message_symbol_quantity": f"""WITH {_ORDERS}
+SELECT "timestamp" - "timestamp" % 10000 + 10000 AS "timestamp", cusip, sum(quantity)::INTEGER AS quantity,
+    0::DOUBLE AS price, 0::DOUBLE AS "marketValue" FROM split GROUP BY 1, 2""",
+    "message_cusip_allocations": f"""WITH {_ORDERS},
+sums AS (SELECT "timestamp" - "timestamp" % 10000 AS ws, {_K2}, sum(quantity)::BIGINT AS quantity
+    FROM split GROUP BY 1, 2, 3, 4)
+SELECT cusip AS key, '{{"f0":"' || cusip || '","f1":[' || string_agg('{{"account":"' || account
+    || '","subAccount":"' || "subAccount" || '","quantity":' || quantity || '}}', ',' ORDER BY account, "subAccount")
+    || ']}}' AS value, 'positionsByCusip' AS topic
+FROM sums GROUP BY ws, cusip""",
     "chained_window_rollup": f"""WITH {_POSITIONS}, {_SUM_10S}
 SELECT ws AS "windowStart", ws + 10000 AS "windowEnd", cusip, sum(quantity)::BIGINT AS quantity,
     ws + 10000 AS "timestamp" FROM sums GROUP BY ws, cusip""",
     "chained_window_allocations": f"""WITH {_POSITIONS}, {_SUM_10S}
-SELECT ws AS "windowStart", ws + 10000 AS "windowEnd", cusip, 0::BIGINT AS part,
+SELECT ws AS "windowStart", ws + 10000 AS "windowEnd", cusip,
     {_ENTRY} AS allocations, count(*) AS entries FROM sums GROUP BY ws, cusip""",
     "price_enrich_act": f"WITH {_TICKS}, {_single_slot(_ACCOUNT)}\nSELECT * FROM priced",
     "price_enrich_act_many_cusips": f"WITH {_USER_TICKS}, {_single_slot(_ACCOUNT)}\nSELECT * FROM priced",

@@ -8,10 +8,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelane import fixtures
-from quotelane.operators import pricing, projection, windows
-from quotelane.plans import desk
+from quotelane import fixtures, schemas
+from quotelane.operators import codec, pricing, projection, windows
+from quotelane.plans import catalog, desk, jobs
 from quotelane.plans.catalog import Query
+from quotelane.session import work_dir
+from quotelane.sinks.writers import file_writer
 from quotelane.streaming import batches, keyed, legs
 from quotelane.streaming.replay import files_in_order, replay, replay_batches, timed_ticks
 
@@ -87,6 +89,65 @@ def stream_word_count_5s(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(spark, sf_dir, "documents", "doc_id", plan, "words")
 
 
+def _topic_files(messages: DataFrame, path: str, files: int) -> None:
+    """A topic as files, each with a span of time, written one after another."""
+    first, last = messages.agg(F.min("timestamp"), F.max("timestamp")).first()
+    for i in range(files):
+        cut = [first + (last - first) * (i + k) / files for k in range(2)]
+        inside = F.col("timestamp") >= F.lit(cut[0])
+        inside = inside & ((F.col("timestamp") < F.lit(cut[1])) if i + 1 < files else F.lit(True))
+        messages.where(inside).coalesce(1).write.mode("append").parquet(path)
+
+
+def live_messages(topics: dict[str, tuple[DataFrame, int]], make, label: str, slack_ms: int = 0) -> DataFrame:
+    """The messages that a live job makes of topics, each cut into a number of files.
+
+    Topics of fewer files run ahead. A late message on every topic closes the last windows; it makes
+    no value itself.
+    """
+    spark = next(iter(topics.values()))[0].sparkSession
+    work = work_dir(spark, label)
+    for name, (messages, files) in topics.items():
+        _topic_files(messages, f"{work}/{name}", files)
+
+    def topic(name: str) -> DataFrame:
+        return spark.readStream.schema(schemas.MESSAGE).option("maxFilesPerTrigger", 1).parquet(f"{work}/{name}")
+
+    out = make(*[topic(name) for name in topics], slack_ms=slack_ms)
+
+    def run() -> None:
+        query = file_writer(out, f"{work}/out", f"{work}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    run()
+    for name, (messages, _) in topics.items():
+        late = messages.limit(1).withColumn("timestamp", F.expr("timestamp'2100-01-01 00:00:00'"))
+        late.write.mode("append").parquet(f"{work}/{name}")
+    run()
+    return spark.read.schema(out.schema).parquet(f"{work}/out")
+
+
+def stream_message_mv_by_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topics = {"positions": (catalog.position_messages(spark, sf_dir), 5), "prices": (catalog.price_messages(spark, sf_dir), 1)}
+    return codec.decode_positions(live_messages(topics, jobs.account_value_messages, "live-account"))
+
+
+def stream_message_mv_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topics = {"positions": (catalog.position_messages(spark, sf_dir, True), 5), "prices": (catalog.price_messages(spark, sf_dir), 1)}
+    return codec.decode_symbol_positions(live_messages(topics, jobs.symbol_value_messages, "live-symbol"))
+
+
+def stream_message_symbol_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topics = {"orders": (catalog.order_messages(spark, sf_dir), 4)}
+    return codec.decode_symbol_positions(live_messages(topics, jobs.symbol_quantity_messages, "live-quantity"))
+
+
+def stream_message_cusip_allocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topics = {"orders": (catalog.order_messages(spark, sf_dir), 4)}
+    out = live_messages(topics, jobs.cusip_allocation_messages, "live-allocations")
+    return out.withColumns({c: F.col(c).cast("string") for c in ("key", "value")})
+
+
 def batches_price_enrich_act(spark: SparkSession, sf_dir: str) -> DataFrame:
     step = batches.single_slot_step()
     return replay_batches(spark, sf_dir, fixtures.ticks_from, step, "slot-batches").drop("ts")
@@ -123,6 +184,10 @@ STREAMS: dict[str, Query] = {
         stream_position_window_sum_10s,
         stream_chained_window_rollup,
         stream_word_count_5s,
+        stream_message_mv_by_account,
+        stream_message_mv_by_symbol,
+        stream_message_symbol_quantity,
+        stream_message_cusip_allocations,
         batches_price_enrich_act,
         batches_price_enrich_list,
         batches_price_timer_conflation,

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-LEVELS = {"TRACE": 5, "DEBUG": logging.DEBUG, "INFO": logging.INFO, "ERROR": logging.ERROR}
+LEVELS = ("TRACE", "DEBUG", "INFO", "ERROR")
 
 
 def file_writer(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> DataStreamWriter:
@@ -27,23 +25,29 @@ def log_frame(rows: DataFrame, marker: str, level: str = "INFO") -> DataFrame:
 
 
 def log_writer(
-    rows: DataFrame, marker: str, logger: str, checkpoint: str, level: str = "INFO"
+    rows: DataFrame, marker: str, path: str, checkpoint: str, level: str = "INFO"
 ) -> DataStreamWriter:
-    """Log every row under a marker, from the task that holds it.
+    """A log line for every row, exactly once, in text files under ``path``: level, then the marker.
 
-    ``marker`` may hold ``{}`` where the row goes; otherwise the marker alone is logged.
+    ``marker`` may hold ``{}`` where the row goes; otherwise the marker alone is logged. Lines are
+    written by the tasks that hold the rows, whatever the level.
     """
-    at = LEVELS[level]
+    before, hole, after = marker.partition("{}")
+    text = F.concat(F.lit(f"{level} {before}"), F.col("value") if hole else F.lit(""), F.lit(after))
+    return file_writer(log_frame(rows, marker, level).select(text.alias("line")), path, checkpoint, "text")
+
 
-    def log_row(row) -> None:
-        logging.getLogger(logger).log(at, "%s", marker.replace("{}", row["value"], 1))
+def print_writer(rows: DataFrame, checkpoint: str, out=None) -> DataStreamWriter:
+    """Print every row of each micro-batch, one line each, as JSON.
 
-    return log_frame(rows, marker, level).writeStream.foreach(log_row).option("checkpointLocation", checkpoint)
+    The driver fetches a micro-batch partition by partition.
+    """
 
+    def show(batch: DataFrame, number: int) -> None:
+        for row in batch.toJSON().toLocalIterator():
+            print(row, file=out)
 
-def print_writer(rows: DataFrame, lines: int = 20) -> DataStreamWriter:
-    """Show the first rows of each micro-batch on the console."""
-    return rows.writeStream.format("console").option("numRows", lines).option("truncate", "false")
+    return rows.writeStream.foreachBatch(show).option("checkpointLocation", checkpoint)
 
 
 def collecting_writer(rows: DataFrame, name: str) -> DataStreamWriter:

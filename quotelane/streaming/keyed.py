@@ -101,6 +101,59 @@ class SingleSlot(StatefulProcessor):
         return out
 
 
+class HeldSlot(SingleSlot):
+    """Single-slot pricing of rows that arrive in any order.
+
+    Rows wait in state until the watermark has passed them, for then no earlier one can come, and
+    are priced in the order of time, kind, partition and offset. What waits is what one side of the
+    leg is ahead of the other, and the slack.
+    """
+
+    ORDER = ("timestamp", "kind", "partition", "offset")
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
+        self.columns = ["timestamp", "kind", "partition", "offset", "price", *self.names]
+        self.held = handle.getListState(
+            "held", f"timestamp BIGINT, kind STRING, partition INT, offset BIGINT, price DOUBLE, {self.slot}"
+        )
+        self.taken = handle.getValueState("taken", "taken BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for batch in rows:
+            whole = {"timestamp", "partition", "offset", "quantity"}
+            columns = [
+                [None if pd.isna(v) else int(v) if c in whole else v for v in batch[c].tolist()] for c in self.columns
+            ]
+            if len(batch):
+                self.held.appendList(list(zip(*columns, strict=True)))
+        yield from self._release(key, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._release(key, timerValues)
+
+    def _release(self, key, timerValues) -> Iterator[pd.DataFrame]:
+        clock = timerValues.getCurrentWatermarkInMs()
+        waiting = list(self.held.get())
+        ready = [tuple(r) for r in waiting if r[0] <= clock]
+        later = [tuple(r) for r in waiting if r[0] > clock]
+        if later:
+            self.handle.registerTimer(min(r[0] for r in later))
+        if not ready:
+            return
+        if later:
+            self.held.put(later)
+        else:
+            self.held.clear()
+        batch = pd.DataFrame(ready, columns=self.columns).sort_values(list(self.ORDER), ignore_index=True)
+        first = self.taken.get()[0] if self.taken.exists() else 0
+        self.taken.update((first + len(batch),))
+        batch["ord"] = range(first, first + len(batch))
+        batch["ts"] = pd.to_datetime(batch["timestamp"], unit="ms")
+        yield from super().handleInputRows(key, iter([batch]), timerValues)
+
+
 class ListBuffer(StatefulProcessor):
     """All positions wait for the security's next price."""
 
@@ -135,7 +188,10 @@ class ListBuffer(StatefulProcessor):
                 yield self._valued(key[0], valued)
         if len(positions):
             self.waiting.appendList(
-                [(*_slot(row, self.names), int(row["positionOrd"])) for _, row in positions.iterrows()]
+                [
+                    (*_slot(row, self.names), int(row["positionOrd"]))
+                    for row in positions.to_dict("records")
+                ]
             )
 
     def _valued(self, cusip: str, rows: pd.DataFrame) -> pd.DataFrame:
@@ -165,7 +221,7 @@ class TimerConflation(StatefulProcessor):
         self.deadline = handle.getValueState("deadline", "at BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows)
+        batch = pd.concat(list(rows)).sort_values(["timestamp", "ord"], ignore_index=True)
         at = batch["timestamp"].to_numpy()
         is_price = (batch["kind"] == "price").to_numpy()
         start = 0
@@ -196,7 +252,7 @@ class TimerConflation(StatefulProcessor):
         if len(prices):
             self.price.update((float(prices["price"].iloc[-1]),))
         positions = rows[rows["kind"] == "position"]
-        for _, row in positions.drop_duplicates(["account", "subAccount"], keep="last").iterrows():
+        for row in positions.drop_duplicates(["account", "subAccount"], keep="last").to_dict("records"):
             self.held.updateValue(
                 _slot(row, ["account", "subAccount"]), _slot(row, ["quantity", "orderId"])
             )
@@ -227,9 +283,13 @@ class RollingTotal(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows)
-        before = self.total.get()[0] if self.total.exists() else 0
-        batch["rollingQuantity"] = batch["quantity"].fillna(0).astype("int64").cumsum() + before
-        self.total.update((int(batch["rollingQuantity"].iloc[-1]),))
+        before = self.total.get()[0] if self.total.exists() else None
+        # null until the first quantity, as a running sum is
+        known = batch["quantity"].notna().cummax() | (before is not None)
+        total = batch["quantity"].fillna(0).astype("int64").cumsum() + (before or 0)
+        batch["rollingQuantity"] = total.astype("Int64").where(known)
+        if known.iloc[-1]:
+            self.total.update((int(total.iloc[-1]),))
         batch["quantity"] = batch["quantity"].astype("Int32")
         yield batch[
             ["account", "subAccount", "cusip", "ord", "timestamp", "ts", "quantity", "rollingQuantity"]
@@ -247,6 +307,21 @@ def price_single_slot(events: DataFrame, slot: str = ACCOUNT_SLOT) -> DataFrame:
     )
 
 
+def price_single_slot_held(events: DataFrame, slot: str = ACCOUNT_SLOT) -> DataFrame:
+    """``price_single_slot`` for sides that run ahead of each other; see ``HeldSlot``.
+
+    Events have ``partition`` and ``offset`` in place of ``ord``, and a watermark on ``ts``. The
+    ``ord`` of the result numbers a security's rows.
+    """
+    return events.groupBy("cusip").transformWithStateInPandas(
+        HeldSlot(slot),
+        f"cusip STRING, {slot}, price DOUBLE, {_STAMP}",
+        "append",
+        "eventTime",
+        eventTimeColumnName="ts",
+    )
+
+
 def price_list_buffer(events: DataFrame, slot: str = ACCOUNT_SLOT) -> DataFrame:
     return events.groupBy("cusip").transformWithStateInPandas(
         ListBuffer(slot),

@@ -25,11 +25,14 @@ def with_lagging_watermark(df: DataFrame, lag_ms: int = 5_000) -> DataFrame:
     return df.withWatermark("ts", f"{lag_ms} milliseconds")
 
 
-def account_leg(events: DataFrame, width: str = "1 minute") -> DataFrame:
-    priced = keyed.price_single_slot(events, keyed.ACCOUNT_SLOT)
+def account_leg(events: DataFrame, width: str = "1 minute", in_order: bool = True) -> DataFrame:
+    """``in_order``: a security's rows arrive in order from one micro-batch to the next."""
+    price = keyed.price_single_slot if in_order else keyed.price_single_slot_held
+    priced = price(events, keyed.ACCOUNT_SLOT)
     return windows.last_value_in_window(priced, windows.ACCOUNT_KEY, ("orderId",), width)
 
 
-def symbol_leg(events: DataFrame, width: str = "1 minute") -> DataFrame:
-    priced = keyed.price_single_slot(events, keyed.SYMBOL_SLOT)
+def symbol_leg(events: DataFrame, width: str = "1 minute", in_order: bool = True) -> DataFrame:
+    price = keyed.price_single_slot if in_order else keyed.price_single_slot_held
+    priced = price(events, keyed.SYMBOL_SLOT)
     return windows.last_value_in_window(priced, windows.SYMBOL_KEY, (), width)

@@ -1,7 +1,11 @@
 """Messages in, messages out; and the stream queries where files are not in row order."""
 
+import datetime
+import io
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 import __spark_entry__ as contract
 from quotelane import fixtures, schemas
@@ -19,32 +23,29 @@ def _rows(df):
 
 
 @pytest.mark.parametrize("by_symbol", [False, True])
-def test_live_leg_over_topics(spark, tmp_path, by_symbol):
-    """Both topics as file streams, through the leg, into a topic of files."""
+def test_live_leg_loses_nothing(spark, by_symbol):
+    """Prices come in one file, positions in five: no row is late, and the values are the batch's."""
     make = jobs.symbol_value_messages if by_symbol else jobs.account_value_messages
     decode = codec.decode_symbol_positions if by_symbol else codec.decode_positions
-    positions = catalog.position_messages(spark, SF, by_symbol)
-    prices = catalog.price_messages(spark, SF)
-    paths = {n: str(tmp_path / n) for n in ("positions", "prices", "out", "checkpoint")}
-    positions.write.parquet(paths["positions"])
-    prices.write.parquet(paths["prices"])
+    positions, prices = catalog.position_messages(spark, SF, by_symbol), catalog.price_messages(spark, SF)
+    dropped = []
 
-    def topic(name):
-        return spark.readStream.schema(schemas.MESSAGE).parquet(paths[name])
+    class Watch(StreamingQueryListener):
+        def onQueryStarted(self, event):
+            pass
 
-    out = make(topic("positions"), topic("prices"))
+        def onQueryProgress(self, event):
+            dropped.extend(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
 
-    def run():
-        query = writers.file_writer(out, paths["out"], paths["checkpoint"]).trigger(availableNow=True).start()
-        query.awaitTermination()
+        def onQueryTerminated(self, event):
+            pass
 
-    run()
-    closing = positions.limit(1).withColumn("timestamp", F.expr("timestamp'2100-01-01 00:00:00'"))
-    closing.write.mode("append").parquet(paths["positions"])
-    run()
-    got = spark.read.schema(out.schema).parquet(paths["out"])
-    assert _rows(decode(got)) == _rows(decode(make(positions, prices)))
-    assert got.count() > 0
+    watch = Watch()
+    spark.streams.addListener(watch)
+    got = _rows(decode(streams.live_messages({"positions": (positions, 5), "prices": (prices, 1)}, make, "test")))
+    spark.streams.removeListener(watch)
+    assert got == _rows(decode(make(positions, prices))) and got
+    assert dropped and not any(dropped)
 
 
 def test_compliance_messages(spark):
@@ -53,13 +54,25 @@ def test_compliance_messages(spark):
     assert {r.topic for r in out.select("topic").distinct().collect()} == {"out"}
 
 
-def test_arrival_numbers_are_unique_and_rise_with_time(spark):
-    messages = catalog.position_messages(spark, SF)
-    numbered = messages.select("timestamp", jobs.arrival_number(0).alias("n"), jobs.arrival_number(1).alias("m"))
-    n = numbered.count()
-    assert numbered.select("n").union(numbered.select("m")).distinct().count() == 2 * n
-    rows = numbered.orderBy("timestamp").collect()
-    assert [r.n for r in rows] == sorted(r.n for r in rows)
+def test_messages_are_taken_in_order(spark):
+    """Offsets past a power of two, and partitions past 63, of one millisecond."""
+    at = datetime.datetime(2024, 1, 1)
+    value = '{"timestamp": 1, "account": "A", "subAccount": "S", "cusip": "X", "quantity": %d, "price": 0, "marketValue": 0, "orderId": "%d"}'
+    places = [(p, o) for p in (0, 1, 64) for o in (8190, 8191, 8192, 8193)]
+    rows = [(b"k", (value % (i, i)).encode(), "t", p, o, at) for i, (p, o) in enumerate(places)]
+    price = [(b"", b'{"timestamp": 1, "id": "p", "cusip": "X", "price": 2, "effectiveDateTime": 1}', "t", 9, 1, at)]
+    positions, prices = (spark.createDataFrame(r, schemas.MESSAGE) for r in (rows[::-1], price))
+    events = jobs.leg_events(positions, prices, schemas.POSITION, ("quantity",))
+    assert [r["quantity"] for r in events.orderBy("ord").collect()] == [*range(12), None]
+    assert sorted(r["ord"] for r in events.collect()) == list(range(13))
+
+
+def test_an_absent_message_fails(spark):
+    messages = spark.createDataFrame([(None,)], "value BINARY")
+    with pytest.raises(Exception, match="no value"):
+        codec.decode_positions(messages).collect()
+    good, bad = codec.decode_split(messages, schemas.POSITION)
+    assert (good.count(), bad.count()) == (0, 1)
 
 
 def test_in_memory_demo(spark):
@@ -74,13 +87,28 @@ def test_in_memory_demo(spark):
 
 
 def test_word_count_job(spark, tmp_path):
-    (tmp_path / "a.txt").write_text("to be or not to be\n")
-    query = jobs.start_word_count(spark, str(tmp_path))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("to be or not to be\n")
+    query = jobs.start_word_count(spark, str(tmp_path / "in"), str(tmp_path / "checkpoint"))
     query.processAllAvailable()
     query.stop()
     assert query.exception() is None
 
 
+def test_every_row_is_printed_and_logged(spark, tmp_path):
+    spark.range(50).write.parquet(str(tmp_path / "in"))
+    rows = spark.readStream.schema("id BIGINT").parquet(str(tmp_path / "in"))
+    out = io.StringIO()
+    for writer in (
+        writers.print_writer(rows, str(tmp_path / "c1"), out),
+        writers.log_writer(rows, "saw {}.", str(tmp_path / "log"), str(tmp_path / "c2")),
+    ):
+        writer.trigger(availableNow=True).start().awaitTermination()
+    assert len(out.getvalue().splitlines()) == 50
+    lines = {r[0] for r in spark.read.text(str(tmp_path / "log")).collect()}
+    assert lines == {f'INFO saw {{"id":{i}}}.' for i in range(50)}
+
+
 @pytest.mark.parametrize("name", ["stream_mv_by_account_1m", "stream_mv_by_symbol_1m", "stream_price_enrich_list"])
 def test_streams_without_row_order(spark, monkeypatch, name):
     monkeypatch.setattr(streams, "files_in_order", lambda rows, number: False)

@@ -140,16 +140,10 @@ def test_last_value_in_window(spark, positions):
     assert got == [("X", -7, -14.0, "4", 60_000), ("Y", 1, 2.0, "6", 60_000)]
 
 
-def test_allocation_lists_are_cut_but_whole(spark):
+def test_allocation_lists_are_whole(spark):
     rows = [(i, i, f"A{i}", "X", i) for i in range(21)] + [(100, 5, "B", "Y", 1)]
-    lists = windows.cusip_allocations(_positions(spark, rows), max_list=4)
-    got = {}
-    for r in lists.orderBy("cusip", "part").collect():
-        assert len(r.allocations) <= 4
-        got.setdefault(r.cusip, []).extend(a.account for a in r.allocations)
+    got = {r.cusip: [a.account for a in r.allocations] for r in windows.cusip_allocations(_positions(spark, rows)).collect()}
     assert got == {"X": [f"A{i}" for i in range(21)], "Y": ["B"]}
-    whole = windows.cusip_allocations(_positions(spark, rows), max_list=21)
-    assert {(r.cusip, r.part, len(r.allocations)) for r in whole.collect()} == {("X", 0, 21), ("Y", 0, 1)}
 
 
 @pytest.mark.parametrize("segment_rows", [1, 3, 1 << 20])
@@ -199,11 +193,3 @@ def test_late_by_clock(spark):
         (14_998, False), (14_999, True),
     ]
 
-
-def test_large_orders_come_as_several_messages(spark):
-    sf = "/root/testdata/sf0.001"
-    whole = fixtures.block_orders(spark, sf)
-    cut = fixtures.block_orders(spark, sf, max_allocations=2)
-    assert cut.agg(F.max(F.size("allocations"))).first()[0] < whole.agg(F.max(F.size("allocations"))).first()[0]
-    columns = ("timestamp", "account", "subAccount", "cusip", "quantity")
-    assert _rows(projection.split_orders(cut), *columns) == _rows(projection.split_orders(whole), *columns)

@@ -126,7 +126,7 @@ def test_chained_windows(spark, cut_events):
 
 
 def test_chained_allocation_lists(spark, cut_events):
-    out = _stream(spark, cut_events, lambda t: desk.rolled_up_allocations(_positions(t), max_list=None))
+    out = _stream(spark, cut_events, lambda t: desk.rolled_up_allocations(_positions(t)))
     _same(out, desk.rolled_up_allocations(fixtures.positions(spark, SF)))
 
 
