@@ -236,7 +236,7 @@ def _convert(table: pa.Table) -> pa.Table:
 def convert(arcs: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
     """Convert ARC files to WARC files; returns the new paths."""
     spread = arcs.repartition("path")
-    index = written(spread.mapInArrow(_index, "path string, place long, page_id long, payload_bytes long, digest string"), "arc-index")
+    index = written(spread.mapInArrow(_index, "path string, place long, page_id long, payload_bytes long, digest string"), "arc-index", light=True)
     own = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "path", "place")
     first = (
         index.where(F.col("payload_bytes") >= least)

@@ -24,13 +24,16 @@ ARROW_ROWS = 1000
 _ARROW_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, light: bool = False) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back, which cuts its lineage.
 
     Rows that hold texts or packed lists go to Python a thousand at a time, which bounds a batch.
+    ``light`` is for rows of a few numbers: they go to a few files per core of the cluster.
     """
     spark = df.sparkSession
     path = work_dir(spark, label)
+    if light:
+        df = df.coalesce(4 * spark.sparkContext.defaultParallelism)
     before = spark.conf.get(_ARROW_SETTING)
     spark.conf.set(_ARROW_SETTING, str(ARROW_ROWS))
     try:

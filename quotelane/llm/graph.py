@@ -20,6 +20,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct(),
         label,
+        light=True,
     )
     while True:
         # large star: neighbours above u go to u's smallest neighbour (or u)
@@ -36,7 +37,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             .where(F.col("u") != F.col("v"))
             .distinct()
         )
-        after = written(small, label)
+        after = written(small, label, light=True)
         # every node under one smallest neighbour which has none itself: the stars are complete
         heads = after.select(F.col("v").alias("h")).distinct()
         twice = after.groupBy("u").count().where("count > 1").limit(1).count()

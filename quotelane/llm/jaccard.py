@@ -365,7 +365,7 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE)
     entries = written(asked.groupBy("bucket").applyInArrow(_shared, "cell long, rep long"), "cells")
     pivots = entries.groupBy("cell").agg(F.min("rep").alias("pivot"))
     pairs = written(
-        entries.join(pivots, "cell").where("rep <> pivot").select("pivot", "rep").distinct(), "pairs"
+        entries.join(pivots, "cell").where("rep <> pivot").select("pivot", "rep").distinct(), "pairs", light=True
     )
     # a bit map of fixed size says which documents' sets may be wanted; the joins decide
     wanted = pairs.select("rep").unionByName(pairs.select(F.col("pivot").alias("rep"))).distinct()

@@ -40,6 +40,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, mos
     ranked = written(
         ranked.select("source", "source_size", pick.cast("long").alias("weight"), (F.col("source_size") * most).alias("cap")),
         "weights",
+        light=True,
     )
     total = ranked.agg(F.sum("source_size")).first()[0] or 0
     # the level only rises, so a stopped source stays stopped; every turn stops one more at least
@@ -76,7 +77,7 @@ def mix(
     ranges = pieces(rows.count(), ROWS_PER_RANGE)
     rows = rows.withColumn("range", F.shiftright(F.shiftright("key", 30) * ranges, 30))
     per_range = rows.groupBy("source", "range").agg(F.sum("size").alias("words"))
-    per_range = written(per_range.withColumn("group", F.floor(F.col("range") / RANGES_PER_GROUP)), "ranges")
+    per_range = written(per_range.withColumn("group", F.floor(F.col("range") / RANGES_PER_GROUP)), "ranges", light=True)
     per_group = per_range.groupBy("source", "group").agg(F.sum("words").alias("group_words"))
 
     def before(column: str, keys: list[str], order: list[str]) -> F.Column:

@@ -371,7 +371,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     total = light.agg(F.sum("n_bytes")).first()[0]
     groups, askers = pieces(total, GROUP_BYTES), pieces(total, BUCKET_BYTES)
-    reps = written(light.groupBy("sha").agg(F.min("doc_id").alias("rep")), "reps")
+    reps = written(light.groupBy("sha").agg(F.min("doc_id").alias("rep")), "reps", light=True)
     group = F.pmod(F.hash("doc_id"), F.lit(groups)).alias("grp")
     held = f"quotelane_repeats_{uuid.uuid4().hex}"
     # bucketed by group, so that the passes below read it without a shuffle
