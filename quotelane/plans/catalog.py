@@ -197,14 +197,14 @@ def position_window_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.total_in_window(fixtures.positions(spark, sf_dir))
 
 
-def _flat_allocations(lists: DataFrame) -> DataFrame:
+def flat_allocations(lists: DataFrame) -> DataFrame:
     return lists.withColumn("entries", F.size("allocations").cast("bigint")).withColumn(
         "allocations", windows.allocation_text()
     )
 
 
 def cusip_allocations_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat_allocations(windows.cusip_allocations(fixtures.positions(spark, sf_dir)))
+    return flat_allocations(windows.cusip_allocations(fixtures.positions(spark, sf_dir)))
 
 
 def symbol_quantity_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,7 +225,7 @@ def chained_window_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chained_window_allocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat_allocations(desk.rolled_up_allocations(fixtures.positions(spark, sf_dir)))
+    return flat_allocations(desk.rolled_up_allocations(fixtures.positions(spark, sf_dir)))
 
 
 # ---- pricing -----------------------------------------------------------------------------------

@@ -77,6 +77,33 @@ def stream_position_window_sum_10s(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def stream_position_window_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir, lambda t: windows.total_in_window(_positions(t)).drop("window"), "total")
+
+
+def stream_symbol_quantity_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir, lambda t: windows.symbol_quantity(_positions(t)), "quantity")
+
+
+def stream_cusip_allocations_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.flat_allocations(_events(spark, sf_dir, lambda t: windows.cusip_allocations(_positions(t)), "lists"))
+
+
+def stream_price_enrich_act(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keyed(spark, sf_dir, keyed.price_single_slot, "slot", False, batches_price_enrich_act)
+
+
+def stream_price_enrich_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def plan(ticks: DataFrame) -> DataFrame:
+        return keyed.price_single_slot(ticks, keyed.SYMBOL_SLOT)
+
+    def otherwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+        step = batches.single_slot_step(pricing.SYMBOL_FIELDS)
+        return replay_batches(spark, sf_dir, fixtures.ticks_from, step, "symbol-batches").drop("ts")
+
+    return _keyed(spark, sf_dir, plan, "symbol-slot", False, otherwise)
+
+
 def stream_chained_window_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir, lambda t: desk.rolled_up_quantity(_positions(t)), "rollup")
 
@@ -182,6 +209,11 @@ STREAMS: dict[str, Query] = {
         stream_price_timer_conflation,
         stream_rolling_quantity,
         stream_position_window_sum_10s,
+        stream_position_window_total,
+        stream_symbol_quantity_10s,
+        stream_cusip_allocations_10s,
+        stream_price_enrich_act,
+        stream_price_enrich_symbol,
         stream_chained_window_rollup,
         stream_word_count_5s,
         stream_message_mv_by_account,
