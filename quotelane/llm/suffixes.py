@@ -53,14 +53,16 @@ def _words(text: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sort_directly(at: np.ndarray, words: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Suffixes at some places in order: by eight bytes, then the ties by the next eight, and so on."""
-    at = at[np.argsort(words[at], kind="stable")]
+def _sort_directly(at: np.ndarray, words: np.ndarray, left: np.ndarray, deep: int) -> np.ndarray:
+    """Suffixes at some places in order of ``deep`` bytes: by eight, then the ties by the next eight, and so on."""
     key = words[at]
-    group = np.cumsum(np.append(True, key[1:] != key[:-1]))[: len(at)]
-    tied = np.flatnonzero(np.bincount(group)[group] > 1) if len(at) else at
-    group, depth = group[tied], 8
-    while len(tied):
+    order = np.argsort(key, kind="stable")
+    at, key = at[order], key[order]
+    same = key[1:] == key[:-1]
+    tied = np.flatnonzero(np.append(same, False) | np.append(False, same))
+    group = np.cumsum(np.append(True, ~same))[tied] if len(at) else tied
+    depth = 8
+    while len(tied) and depth < deep:
         some = at[tied]
         more = left[some] > depth
         if not more.any():
@@ -68,16 +70,24 @@ def _sort_directly(at: np.ndarray, words: np.ndarray, left: np.ndarray) -> np.nd
         deeper = np.where(more, words[np.minimum(some + depth, len(words) - 1)], 0)
         order = np.lexsort((deeper, group))
         at[tied], deeper = some[order], deeper[order]
-        group = np.cumsum(np.append(True, (deeper[1:] != deeper[:-1]) | (group[1:] != group[:-1])))
-        again = np.bincount(group)[group] > 1
+        same = (deeper[1:] == deeper[:-1]) & (group[1:] == group[:-1])
+        again = np.append(same, False) | np.append(False, same)
+        group = np.cumsum(np.append(True, ~same))
         tied, group, depth = tied[again], group[again], depth + 8
     return at
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
+def _left(text: np.ndarray) -> np.ndarray:
+    """Bytes from every place to its string's zero."""
+    end = np.flatnonzero(text == 0)
+    return np.repeat(end, np.diff(end, prepend=-1)) - np.arange(len(text))
+
+
+def suffix_array(text: np.ndarray, deep: int = 1 << 30) -> np.ndarray:
     """Order of the suffixes of strings of bytes above zero, joined with a zero after each.
 
-    A suffix ends at its string's zero; equal suffixes stand together, in any order.
+    A suffix ends at its string's zero; equal suffixes stand together, in any order, and so do
+    suffixes with ``deep`` equal bytes.
 
     Only suffixes smaller than their successor are sorted by their bytes. Every other suffix is
     greater than its successor, so scanning the buckets of first bytes in order meets the successor
@@ -86,13 +96,13 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     n = len(text)
     end = np.flatnonzero(text == 0)
     change = np.flatnonzero(np.append(text[:-1] != text[1:], True))
-    run = change[np.searchsorted(change, np.arange(n))]
+    run = np.repeat(change, np.diff(change, prepend=-1))
     small = (text[run] < text[np.minimum(run + 1, n - 1)]) & (text > 0)
-    left = end[np.searchsorted(end, np.arange(n))] - np.arange(n)
+    left = _left(text)
     past = np.minimum(np.maximum(0, 8 - left), 7).astype(np.uint64) * np.uint64(8)
     words = (_words(text) >> past) << past
     words[end] = 0
-    direct = _sort_directly(np.flatnonzero(small), words, left)
+    direct = _sort_directly(np.flatnonzero(small), words, left, deep)
     bounds = np.searchsorted(text[direct], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     out = [end]
@@ -129,8 +139,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 def equal_runs(text: np.ndarray, order: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The suffixes, in order, of at least ``length`` bytes, and the number of the run of each: adjacent
     ones are in one run if their common prefix has that length."""
-    end = np.flatnonzero(text == 0)
-    order = order[end[np.searchsorted(end, order)] - order >= length]
+    order = order[_left(text)[order] >= length]
     same = np.ones(max(0, len(order) - 1), bool)
     words = _words(text)
     for depth in [*range(0, length - 7, 8), length - 8]:
@@ -152,25 +161,45 @@ def _slide(values: np.ndarray, width: int, pick) -> np.ndarray:
     return values
 
 
-def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of a text's anchors, rising, and their hashes: grams of least hash among all grams of
-    some string of ``length`` bytes (all of them, if several are)."""
+CHUNK = 1 << 18
+
+
+def anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the anchors of texts that follow each other, rising, and a hash of each: grams of least
+    32-bit hash among all grams of some string of ``length`` bytes within a text (all, if several are)."""
     reach = length - gram + 1
-    if len(data) < length:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    code, size = data.astype(np.uint64) + np.uint64(1), 1
-    while size < gram:
-        step = min(size, gram - size)
-        code = code[: len(code) - step] * _A + code[step:] * _B
-        code ^= code >> np.uint64(31)
-        size += step
-    code = mix(code)
-    least = _slide(code, reach, np.minimum)
-    # a gram is the least of some window if the greatest least of its windows is its own
-    edge = np.zeros(reach - 1, np.uint64)
-    most = _slide(np.concatenate([edge, least, edge]), reach, np.maximum)
-    at = np.flatnonzero(most == code)
-    return at, code[at]
+    found = []
+    first = start = 0
+    while first < len(ends):
+        last = max(first + 1, int(np.searchsorted(ends, start + CHUNK, "right")))
+        stop = int(ends[last - 1])
+        part = data[start:stop]
+        if len(part) >= length:
+            code, size = part.astype(np.uint32) + np.uint32(1), 1
+            while size < gram:
+                step = min(size, gram - size)
+                code = code[: len(code) - step] * np.uint32(0x9E3779B1) + code[step:] * np.uint32(0x85EBCA77)
+                code ^= code >> np.uint32(15)
+                size += step
+            code *= np.uint32(0xC2B2AE3D)
+            code ^= code >> np.uint32(13)
+            np.maximum(code, 1, out=code)
+            least = _slide(code, reach, np.minimum)
+            for end in ends[first : last - 1].tolist():  # strings that would cross texts
+                least[max(0, end - start - length + 1) : end - start] = 0
+            # a gram is the least of some string if the greatest least of the strings with it is its own
+            edge = np.zeros(reach - 1, np.uint32)
+            most = _slide(np.concatenate([edge, least, edge]), reach, np.maximum)
+            found.append(np.flatnonzero(most == code) + start)
+        first, start = last, stop
+    at = np.concatenate(found) if found else np.empty(0, np.int64)
+    if not len(at):
+        return at, np.empty(0, np.uint64)
+    grams = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, gram)[at])
+    code = np.zeros(len(at), np.uint64)
+    for k in range(0, gram, 8):
+        code = mix(code * _A + np.ascontiguousarray(grams[:, k : k + 8]).view(np.uint64).ravel() + np.uint64(k))
+    return at, code
 
 
 # ---- groups of documents -------------------------------------------------------------------------
@@ -192,10 +221,10 @@ class Group:
         self.ids = np.array([d for d, _ in rows], np.int64)
         self.texts = [t for _, t in rows]
         self.told = told
-        found = [anchors(np.frombuffer(t, np.uint8), LENGTH, GRAM) for t in self.texts]
-        self.at = np.concatenate([a for a, _ in found]) if found else np.empty(0, np.int64)
-        self.code = np.concatenate([c for _, c in found]) if found else np.empty(0, np.uint64)
-        self.doc = np.repeat(np.arange(len(rows)), [len(a) for a, _ in found])
+        self.data = np.frombuffer(b"".join(self.texts), np.uint8)
+        self.ends = np.cumsum([len(t) for t in self.texts], dtype=np.int64)
+        self.at, self.code = anchors(self.data, self.ends, LENGTH, GRAM)  # places in the joined texts
+        self.doc = np.searchsorted(self.ends, self.at, "right")
         self.keys, self.key = np.unique(self.code, return_inverse=True)
 
     def asked(self, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -223,15 +252,13 @@ class Group:
         use = np.flatnonzero(many[self.key]) if len(self.keys) else np.empty(0, np.int64)
         self.hit_doc, at = self.doc[use], self.at[use]
         records = np.zeros(len(use), RECORD)
-        sizes = np.array([len(t) for t in self.texts], np.int64)
-        start = np.maximum(0, at - LEFT)
-        stop = np.minimum(sizes[self.hit_doc], at + RIGHT) if len(use) else start
+        begin = np.concatenate([[0], self.ends])
+        start = np.maximum(begin[self.hit_doc], at - LEFT)
+        stop = np.minimum(begin[self.hit_doc + 1], at + RIGHT)
         records["before"], records["size"] = at - start, stop - start
         if len(use):
-            base = np.cumsum(sizes) - sizes
-            joined = np.frombuffer(b"".join(self.texts) + b"\0" * SPAN, np.uint8)
-            window = np.lib.stride_tricks.sliding_window_view(joined, SPAN)
-            held = window[base[self.hit_doc] + start].copy()
+            padded = np.concatenate([self.data, np.zeros(SPAN, np.uint8)])
+            held = np.lib.stride_tricks.sliding_window_view(padded, SPAN)[start].copy()
             held[np.arange(SPAN)[None, :] >= (stop - start)[:, None]] = 0
             records["bytes"] = held.view("S1")
         self.hit_start, self.hit_code = start, self.code[use]
@@ -256,25 +283,21 @@ class Group:
         every = (np.uint64(1) << strings.astype(np.uint64)) - np.uint64(1)
         above = self.ids[self.hit_doc] > self.least[self.hit]
         mask = np.where(above, every[self.hit], gone[self.hit])
+        edges = np.zeros(len(self.data) + LENGTH + 1, np.int32)
+        for o in range(LEFT + 1):
+            at = self.hit_start[(mask >> np.uint64(o)) & np.uint64(1) > 0] + o
+            edges[at] = 1
+        # a string covers LENGTH bytes from its start
+        starts = np.flatnonzero(edges)
+        np.subtract.at(edges, starts + LENGTH, 1)
+        covered = np.cumsum(edges)[: len(self.data)] > 0
+        begin = np.concatenate([[0], self.ends]).tolist()
         for d in np.unique(self.hit_doc[mask > 0]).tolist():
-            text = self.texts[d]
-            mine = np.arange(*np.searchsorted(self.hit_doc, [d, d + 1]))
-            mark = np.zeros(len(text) + 1, np.int64)
-            for o in range(LEFT + 1):
-                at = self.hit_start[mine[(mask[mine] >> np.uint64(o)) & np.uint64(1) > 0]] + o
-                mark[at] = 1
-            # a string covers LENGTH bytes from its start
-            starts = np.flatnonzero(mark)
-            edges = np.zeros(len(text) + 2, np.int64)
-            np.add.at(edges, starts, 1)
-            np.add.at(edges, starts + LENGTH, -1)
-            covered = np.cumsum(edges)[: len(text)] > 0
-            if not covered.any():
-                continue
-            runs = int(covered[0]) + int((covered[1:] & ~covered[:-1]).sum())
-            kept = np.frombuffer(text, np.uint8)[~covered].tobytes()
+            text, gone = self.texts[d], covered[begin[d] : begin[d + 1]]
+            runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+            kept = self.data[begin[d] : begin[d + 1]][~gone].tobytes()
             yield (
-                int(self.ids[d]), hashlib.sha256(text).hexdigest(), int(covered.sum()), runs, hashlib.sha256(kept).hexdigest(),
+                int(self.ids[d]), hashlib.sha256(text).hexdigest(), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest(),
             )
 
 
@@ -338,7 +361,7 @@ def _removed_strings(table: pa.Table) -> pa.Table:
     keep = np.arange(SPAN + 1)[None, :] <= sizes[:, None]
     text = cells[keep]
     base = np.cumsum(sizes + 1) - (sizes + 1)
-    order, run = equal_runs(text, suffix_array(text), LENGTH)
+    order, run = equal_runs(text, suffix_array(text, LENGTH), LENGTH)
     owner = np.searchsorted(base, order, "right") - 1
     out = np.full((len(flat), LEFT + 1), np.iinfo(np.int64).max)
     if len(order):
