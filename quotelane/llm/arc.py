@@ -6,7 +6,7 @@ what follows. The converter takes records by their declared lengths alone, so co
 like a header does no harm, and writes one WARC file per ARC file: identifiers are derived from
 address, time and payload (the same record always gets the same), 14-digit times become ISO ones,
 digests are computed anew, and of records with equal payloads of at least ``LEAST_PAYLOAD`` bytes all
-but the first become revisits. Every WARC record is a gzip member of its own.
+but the first become revisits. Every record of either format is a gzip member of its own.
 
 Payloads are never shuffled: an index of digests decides which records are revisits, and each file
 is then converted by the task that gets its part of the index.
@@ -117,19 +117,18 @@ def _write_arcs(folder: str, file_bytes: int):
             for page, url, html in zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True):
                 if not parts:
                     version = 1 + (part + count) % 2
-                    name = f"pages-{part:06d}-{count:06d}.arc"
-                    parts = [arc_head(version, name)]
-                    size, count = len(parts[0]), count + 1
+                    name = f"pages-{part:06d}-{count:06d}.arc.gz"
+                    head = arc_head(version, name)
+                    parts, size, count = [gzip.compress(head, mtime=0)], len(head), count + 1
                 payload = (html or "").encode()
                 head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n"
                 head += f"X-Page-Id: {page}\r\n\r\n" if page is not None else "\r\n"
                 when = EPOCH + datetime.timedelta(seconds=(page or 0) % SPAN_SECONDS)
-                parts.append(
-                    arc_record(
-                        version, url or f"urn:page:{page}", when.strftime("%Y%m%d%H%M%S"), head.encode() + payload, size, name
-                    )
+                record = arc_record(
+                    version, url or f"urn:page:{page}", when.strftime("%Y%m%d%H%M%S"), head.encode() + payload, size, name
                 )
-                size += len(parts[-1])
+                parts.append(gzip.compress(record, 6, mtime=0))
+                size += len(record)
                 if size >= file_bytes:
                     yield close()
                     parts = []
@@ -161,7 +160,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column(0).to_pylist():
             rows = []
-            for place, _, body in read_arc(_slurp(path)):
+            for place, _, body in read_arc(gzip.decompress(_slurp(path))):
                 fields, _, payload = http_split(body)
                 page = fields.get("x-page-id")
                 rows.append(
@@ -193,7 +192,7 @@ def _convert(table: pa.Table) -> pa.Table:
     """One ARC file to one WARC file. ``table``: path, place, and the first record of the payload."""
     path = table.column("path")[0].as_py()
     plan = {r["place"]: r for r in table.to_pylist()}
-    target = path.removesuffix(".arc") + ".warc.gz"
+    target = path.removesuffix(".arc.gz") + ".warc.gz"
 
     def records() -> Iterator[bytes]:
         info = b"software: quotelane\r\nformat: WARC File Format 1.1\r\n"
@@ -206,7 +205,7 @@ def _convert(table: pa.Table) -> pa.Table:
             ],
             info,
         )
-        for place, values, body in read_arc(_slurp(path)):
+        for place, values, body in read_arc(gzip.decompress(_slurp(path))):
             row = plan[place]
             _, head, _ = http_split(body)
             when, url, digest = values["Archive-date"], values["URL"], row["digest"]
