@@ -24,11 +24,13 @@ ARROW_ROWS = 1000
 _ARROW_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def written(df: DataFrame, label: str, light: bool = False) -> DataFrame:
+def written(df: DataFrame, label: str, light: bool = False, release: bool = False) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back, which cuts its lineage.
 
     Rows that hold texts or packed lists go to Python a thousand at a time, which bounds a batch.
     ``light`` is for rows of a few numbers: they go to a few files per core of the cluster.
+    ``release`` is for results of large shuffles: Spark removes shuffle files once the driver has
+    collected the plans that made them, so it is asked to.
     """
     spark = df.sparkSession
     path = work_dir(spark, label)
@@ -40,6 +42,8 @@ def written(df: DataFrame, label: str, light: bool = False) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_ARROW_SETTING, before)
+    if release:
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

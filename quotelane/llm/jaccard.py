@@ -362,10 +362,10 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE)
     entries = light.agg(F.sum("n")).first()[0]
     buckets = pieces(entries, ENTRIES_PER_BUCKET * 4)
     asked = heavy.mapInArrow(_ask(buckets), "bucket int, shared boolean, cells binary, base long, reps binary")
-    entries = written(asked.groupBy("bucket").applyInArrow(_shared, "cell long, rep long"), "cells")
+    entries = written(asked.groupBy("bucket").applyInArrow(_shared, "cell long, rep long"), "cells", release=True)
     pivots = entries.groupBy("cell").agg(F.min("rep").alias("pivot"))
     pairs = written(
-        entries.join(pivots, "cell").where("rep <> pivot").select("pivot", "rep").distinct(), "pairs", light=True
+        entries.join(pivots, "cell").where("rep <> pivot").select("pivot", "rep").distinct(), "pairs", light=True, release=True
     )
     # a bit map of fixed size says which documents' sets may be wanted; the joins decide
     wanted = pairs.select("rep").unionByName(pairs.select(F.col("pivot").alias("rep"))).distinct()
@@ -385,7 +385,7 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE)
         lambda batches: _sets_of(width, held.value)(batches), "rep long, set binary"
     )
     keyed = light.where("doc_id IS NOT NULL").select("doc_id", "n", "k1", "k2")
-    sets = written(sets.join(wanted, "rep", "left_semi").dropDuplicates(["rep", "set"]), "wanted")
+    sets = written(sets.join(wanted, "rep", "left_semi").dropDuplicates(["rep", "set"]), "wanted", release=True)
     star = written(
         pairs.join(sets, "rep")
         .select("pivot", "rep", "set")
@@ -393,6 +393,7 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE)
         .select("pivot", "rep", "set", "pivot_set")
         .mapInArrow(_measure(part, whole), "pivot long, rep long, far double, linked boolean"),
         "star",
+        release=True,
     )
     links = star.where("linked").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
     links = links.unionByName(_regions(star, sets, part, whole))

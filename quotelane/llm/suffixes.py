@@ -424,7 +424,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         )
 
     asked = grouped.cogroup(own.groupBy("grp")).applyInArrow(ask, "bucket int, grp int, keys binary")
-    shared = written(asked.groupBy("bucket").applyInArrow(_shared_anchors, TOLD), "anchors")
+    shared = written(asked.groupBy("bucket").applyInArrow(_shared_anchors, TOLD), "anchors", release=True)
     # shared anchors, with what is shared within groups alone at most as much again
     hits = shared.agg(F.sum("hits")).first()[0]
     sorters = max(pieces((hits or 0) * SPAN, BUCKET_BYTES // 2), pieces(total, 8 * BUCKET_BYTES))
@@ -443,7 +443,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     told = own.unionByName(shared)
     sent = grouped.cogroup(told.groupBy("grp")).applyInArrow(send, "bucket int, grp int, records binary, least binary")
-    removed = written(sent.groupBy("bucket").applyInArrow(_removed_strings, TOLD), "strings")
+    removed = written(sent.groupBy("bucket").applyInArrow(_removed_strings, TOLD), "strings", release=True)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         found = Group(left, right)
