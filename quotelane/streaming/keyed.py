@@ -48,13 +48,14 @@ def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
 class SingleSlot(StatefulProcessor):
     """One waiting position or one kept price per security."""
 
-    def __init__(self, slot: str) -> None:
+    def __init__(self, slot: str, ttl_ms: int | None = None) -> None:
         self.slot = slot
         self.names = _names(slot)
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.waiting = handle.getValueState("waiting", self.slot)
-        self.price = handle.getValueState("price", "price DOUBLE")
+        self.waiting = handle.getValueState("waiting", self.slot, self.ttl_ms)
+        self.price = handle.getValueState("price", "price DOUBLE", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows)
@@ -278,8 +279,11 @@ class TimerConflation(StatefulProcessor):
 class RollingTotal(StatefulProcessor):
     """The key's total so far, for every row."""
 
+    def __init__(self, ttl_ms: int | None = None) -> None:
+        self.ttl_ms = ttl_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", "total BIGINT")
+        self.total = handle.getValueState("total", "total BIGINT", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows)
@@ -296,14 +300,24 @@ class RollingTotal(StatefulProcessor):
         ]
 
 
-def price_single_slot(events: DataFrame, slot: str = ACCOUNT_SLOT) -> DataFrame:
-    """Streaming form of ``operators.pricing.price_single_slot``; events carry a watermark on ``ts``."""
+def _time(ttl_ms: int | None) -> tuple[str, str]:
+    """Time mode and event-time column. State lives by the wall clock where it expires, so no
+    event-time operator can follow then."""
+    return ("eventTime", "ts") if ttl_ms is None else ("processingTime", "")
+
+
+def price_single_slot(events: DataFrame, slot: str = ACCOUNT_SLOT, ttl_ms: int | None = None) -> DataFrame:
+    """Streaming form of ``operators.pricing.price_single_slot``; events carry a watermark on ``ts``.
+
+    With ``ttl_ms``, what a security holds is forgotten that long after it was last set.
+    """
+    mode, column = _time(ttl_ms)
     return events.groupBy("cusip").transformWithStateInPandas(
-        SingleSlot(slot),
+        SingleSlot(slot, ttl_ms),
         f"cusip STRING, {slot}, price DOUBLE, {_STAMP}",
         "append",
-        "eventTime",
-        eventTimeColumnName="ts",
+        mode,
+        eventTimeColumnName=column,
     )
 
 
@@ -342,12 +356,13 @@ def price_timer_conflation(events: DataFrame, period_ms: int = PERIOD_MS) -> Dat
     )
 
 
-def rolling_quantity(positions: DataFrame) -> DataFrame:
+def rolling_quantity(positions: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+    mode, column = _time(ttl_ms)
     return positions.groupBy("account", "subAccount", "cusip").transformWithStateInPandas(
-        RollingTotal(),
+        RollingTotal(ttl_ms),
         "account STRING, subAccount STRING, cusip STRING, ord BIGINT, timestamp BIGINT, ts TIMESTAMP, "
         "quantity INT, rollingQuantity BIGINT",
         "append",
-        "eventTime",
-        eventTimeColumnName="ts",
+        mode,
+        eventTimeColumnName=column,
     )

@@ -202,3 +202,20 @@ def test_lagging_watermark_is_set(spark, cut_events):
     )
     out = legs.with_lagging_watermark(fixtures.ticks_from(stream))
     assert "5 seconds" in out._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize(("ttl_ms", "total"), [(None, 30), (3_600_000, 30), (1, 20)])
+def test_state_may_expire(spark, tmp_path, ttl_ms, total):
+    """Two positions of one account, each in a micro-batch of its own."""
+    columns = "account STRING, subAccount STRING, cusip STRING, ord BIGINT, timestamp BIGINT, ts TIMESTAMP, quantity INT"
+    (tmp_path / "in").mkdir()
+    rows = spark.readStream.schema(columns).parquet(str(tmp_path / "in"))
+    out = keyed.rolling_quantity(legs.with_periodic_watermark(rows), ttl_ms)
+    query = out.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+    query = query.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(once=True)
+    for i, quantity in enumerate((10, 20)):
+        row = spark.createDataFrame([("A", "S", "X", i, 1000 + i, None, quantity)], columns)
+        row.withColumn("ts", F.timestamp_millis(F.col("timestamp"))).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        query.start().awaitTermination(60)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.where("ord = 1").first()["rollingQuantity"] == total
