@@ -29,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelane.llm.common import written
+from quotelane.llm.common import positive, written
 from quotelane.llm.files import open_fs, put
 from quotelane.session import work_dir
 
 LEAST_PAYLOAD = 100
 FILE_BYTES = 16 << 20
+LEVEL = 1
 EPOCH = datetime.datetime(2024, 1, 1)
 SPAN_SECONDS = 10 * 365 * 86400
 # The fields of a record's header line in each version of the format.
@@ -127,7 +128,7 @@ def _write_arcs(folder: str, file_bytes: int):
                 record = arc_record(
                     version, url or f"urn:page:{page}", when.strftime("%Y%m%d%H%M%S"), head.encode() + payload, size, name
                 )
-                parts.append(gzip.compress(record, 6, mtime=0))
+                parts.append(gzip.compress(record, LEVEL, mtime=0))
                 size += len(record)
                 if size >= file_bytes:
                     yield close()
@@ -145,6 +146,21 @@ def write_arcs(pages: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
     return written(rows.mapInArrow(_write_arcs(folder, file_bytes), "path string"), "arc-files")
 
 
+def gzip_members(raw: bytes, step: int = 1 << 15) -> Iterator[bytes]:
+    """The content of each gzip member of a file; what follows a member is never copied whole."""
+    view, at = memoryview(raw), 0
+    while at < len(view):
+        member, parts = zlib.decompressobj(31), []
+        while not member.eof:
+            if at >= len(view):
+                raise ValueError("the last record is cut short")
+            piece = view[at : at + step]
+            parts.append(member.decompress(piece))
+            at += len(piece)
+        at -= len(member.unused_data)
+        yield b"".join(parts)
+
+
 def _slurp(path: str) -> bytes:
     system, place = open_fs(path)
     with system.open_input_file(place) as file:
@@ -160,7 +176,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column(0).to_pylist():
             rows = []
-            for place, _, body in read_arc(gzip.decompress(_slurp(path))):
+            for place, _, body in read_arc(b"".join(gzip_members(_slurp(path)))):
                 fields, _, payload = http_split(body)
                 page = fields.get("x-page-id")
                 rows.append(
@@ -185,7 +201,7 @@ def warc_record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     fields = [*fields, ("WARC-Block-Digest", f"sha256:{digest}"), ("Content-Length", str(len(block)))]
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n"
     raw = head.encode("utf-8", "surrogateescape") + block + b"\r\n\r\n"
-    return gzip.compress(raw, 6, mtime=0)
+    return gzip.compress(raw, LEVEL, mtime=0)
 
 
 def _convert(table: pa.Table) -> pa.Table:
@@ -205,7 +221,7 @@ def _convert(table: pa.Table) -> pa.Table:
             ],
             info,
         )
-        for place, values, body in read_arc(gzip.decompress(_slurp(path))):
+        for place, values, body in read_arc(b"".join(gzip_members(_slurp(path)))):
             row = plan[place]
             _, head, _ = http_split(body)
             when, url, digest = values["Archive-date"], values["URL"], row["digest"]
@@ -234,8 +250,9 @@ def _convert(table: pa.Table) -> pa.Table:
 
 def convert(arcs: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
     """Convert ARC files to WARC files; returns the new paths."""
-    spread = arcs.repartition("path")
-    index = written(spread.mapInArrow(_index, "path string, place long, page_id long, payload_bytes long, digest string"), "arc-index", light=True)
+    files = positive(arcs.count())  # a task per file
+    spread = arcs.repartition(files, "path")
+    index = written(spread.mapInArrow(_index, "path string, place long, page_id long, payload_bytes long, digest string"), "arc-index")
     own = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "path", "place")
     first = (
         index.where(F.col("payload_bytes") >= least)
@@ -247,17 +264,12 @@ def convert(arcs: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
     plan = index.join(first, "digest", "left").select(
         "path", "place", "page_id", "digest", revisit.alias("revisit"), F.col("kept.page_id").alias("first")
     )
-    return written(plan.groupBy("path").applyInArrow(_convert, "path string"), "warc-files")
+    return written(plan.repartition(files, "path").groupBy("path").applyInArrow(_convert, "path string"), "warc-files")
 
 
 def read_warc(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields and block of every record of a file of gzip members."""
-    while raw:
-        member = zlib.decompressobj(31)
-        record = member.decompress(raw)
-        if not member.eof:
-            raise ValueError("the last record is cut short")
-        raw = member.unused_data
+    for record in gzip_members(raw):
         head, _, rest = record.partition(b"\r\n\r\n")
         lines = head.decode("utf-8", "surrogateescape").split("\r\n")[1:]
         fields = {k: v for k, _, v in (line.partition(": ") for line in lines)}
@@ -297,7 +309,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_warcs(warcs: DataFrame) -> DataFrame:
     """A row per response or revisit record; the digests of responses are checked."""
-    return warcs.repartition("path").mapInArrow(
+    return warcs.repartition(positive(warcs.count()), "path").mapInArrow(
         _read,
         "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
         "warc_record_id string, warc_date string",
