@@ -174,6 +174,8 @@ def _ask(buckets: int):
             reps = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(b) // 8 for b in blobs])
             order = np.lexsort((reps, cells))
             cells, reps = cells[order], reps[order]
+            new = np.append(True, (cells[1:] != cells[:-1]) | (reps[1:] != reps[:-1]))  # equal sets are one
+            cells, reps = cells[new], reps[new]
             again = np.zeros(len(cells), bool)
             again[1:] = cells[1:] == cells[:-1]
             known = again.copy()
@@ -204,8 +206,10 @@ def _shared(table: pa.Table) -> pa.Table:
     found = [(np.concatenate(c), np.concatenate(r)) for c, r in parts.values() if c]
     if parts[False][0]:
         cells, reps = found[0]
-        order = np.argsort(cells, kind="stable")
+        order = np.lexsort((reps, cells))
         cells, reps = cells[order], reps[order]
+        new = np.append(True, (cells[1:] != cells[:-1]) | (reps[1:] != reps[:-1]))
+        cells, reps = cells[new], reps[new]
         same = cells[1:] == cells[:-1]
         use = np.append(same, False) | np.append(False, same)
         found[0] = (cells[use], reps[use])
@@ -350,22 +354,29 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     fields = "doc_id long, n long, k1 long, k2 long"
     light = written(texts.mapInArrow(_described(width, None), fields), "sets")
-    # equal sets are one; the smallest id stands for them
+    # equal sets are one: until pairs are found a set goes by its hash, then by its smallest id
     heavy = (
         texts.where("doc_id IS NOT NULL")
         .mapInArrow(_described(width, plan), fields + ", cells binary")
         .where("length(cells) > 0")
-        .groupBy("k1", "k2", "n")
-        .agg(F.min("doc_id").alias("rep"), F.first("cells").alias("cells"))
-        .select("rep", "cells")
+        .select(F.col("k1").alias("rep"), "cells")
     )
+    keyed = light.where("doc_id IS NOT NULL").select("doc_id", "n", "k1", "k2")
+    reps = written(keyed.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep")), "reps", light=True)
     entries = light.agg(F.sum("n")).first()[0]
     buckets = pieces(entries, ENTRIES_PER_BUCKET * 4)
     asked = heavy.mapInArrow(_ask(buckets), "bucket int, shared boolean, cells binary, base long, reps binary")
     entries = written(asked.groupBy("bucket").applyInArrow(_shared, "cell long, rep long"), "cells", release=True)
     pivots = entries.groupBy("cell").agg(F.min("rep").alias("pivot"))
+    hashed = entries.join(pivots, "cell").where("rep <> pivot").select("pivot", "rep").distinct()
+    names = reps.groupBy("k1").agg(F.min("rep").alias("name"))
     pairs = written(
-        entries.join(pivots, "cell").where("rep <> pivot").select("pivot", "rep").distinct(), "pairs", light=True, release=True
+        hashed.join(names.select(F.col("k1").alias("pivot"), F.col("name").alias("p")), "pivot")
+        .join(names.select(F.col("k1").alias("rep"), F.col("name").alias("r")), "rep")
+        .select(F.col("p").alias("pivot"), F.col("r").alias("rep")),
+        "pairs",
+        light=True,
+        release=True,
     )
     # a bit map of fixed size says which documents' sets may be wanted; the joins decide
     wanted = pairs.select("rep").unionByName(pairs.select(F.col("pivot").alias("rep"))).distinct()
@@ -384,7 +395,6 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE)
     sets = texts.where("doc_id IS NOT NULL").mapInArrow(
         lambda batches: _sets_of(width, held.value)(batches), "rep long, set binary"
     )
-    keyed = light.where("doc_id IS NOT NULL").select("doc_id", "n", "k1", "k2")
     sets = written(sets.join(wanted, "rep", "left_semi").dropDuplicates(["rep", "set"]), "wanted", release=True)
     star = written(
         pairs.join(sets, "rep")
@@ -398,7 +408,6 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE)
     links = star.where("linked").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
     links = links.unionByName(_regions(star, sets, part, whole))
     found = components(links)
-    reps = keyed.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"))
     named = reps.join(found, reps["rep"] == found["node"], "left").select(
         "k1", "k2", "n", F.coalesce("component", "rep").alias("component_id")
     )
