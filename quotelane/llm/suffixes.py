@@ -7,13 +7,16 @@ neighbourhoods of equal anchors (all strings that have it) can be compared apart
 1. Equal texts are one; all but the one of smallest id are removed whole.
 2. Documents are dealt into groups, each a few megabytes. The groups ask, by hash of the anchor, which anchors
    other groups have too.
-3. The neighbourhoods of shared anchors go to buckets by hash. A bucket sorts all their suffixes in
+3. The neighbourhoods of shared anchors go to buckets by hash of the anchor. A bucket sorts all their suffixes in
    two stages: suffixes smaller than their successors are sorted directly, the rest follow by
    scanning the buckets of first bytes in order. Adjacent common prefixes of at least ``LENGTH`` bytes
-   make runs of equal strings; a string is removed where a smaller id is in its run.
+   make runs of equal strings; a string is removed where a smaller id is in its run. Groups count the neighbourhoods
+   of every anchor when they ask; an anchor with more than a part of a bucket's is hot, and its strings go to buckets
+   of their own, each by hash of its own bytes, once a group with the least id. Both kinds of bucket are as many as
+   what they take needs.
 4. The answers return to the groups, which cut the removed bytes out.
 
-A group sends an anchor, and each distinct neighbourhood, once, however many of its documents have it.
+A group sends an anchor, and each distinct neighbourhood or string, once, however many of its documents have it.
 
 Defined cases: a null text is empty; texts shorter than the length keep all bytes; rows of one id
 don't remove from each other; rows without id remove nothing and lose nothing; an empty table gives
@@ -38,6 +41,7 @@ LENGTH = 50
 GRAM = 16
 GROUP_BYTES = 6 << 20
 BUCKET_BYTES = 4 << 20
+FEW = 16  # neighbourhoods of an anchor in a group that are counted without a look at their bytes
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -231,13 +235,46 @@ class Group:
         """Distinct anchors by bucket."""
         yield from _by_bucket(self.keys, buckets)
 
+    def _span(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the neighbourhoods of some anchors begin and end."""
+        begin = np.concatenate([[0], self.ends])
+        return np.maximum(begin[self.doc[some]], self.at[some] - LEFT), np.minimum(begin[self.doc[some] + 1], self.at[some] + RIGHT)
+
+    def _held(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """The bytes of neighbourhoods, zeros past their ends."""
+        padded = np.concatenate([self.data, np.zeros(SPAN, np.uint8)])
+        held = np.lib.stride_tricks.sliding_window_view(padded, SPAN)[start].copy()
+        held[np.arange(SPAN)[None, :] >= (stop - start)[:, None]] = 0
+        return held
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each distinct anchor, its neighbourhoods and the places of their strings. Of more than ``FEW``
+        neighbourhoods the distinct ones count, told by a hash."""
+        order = np.argsort(self.key, kind="stable")  # places rise within an anchor
+        key = self.key[order]
+        records = np.bincount(key, minlength=len(self.keys))
+        start, stop = self._span(order)
+        last = stop - LENGTH
+        from_ = start.copy()
+        same = key[1:] == key[:-1]
+        from_[1:][same] = np.maximum(start[1:], last[:-1] + 1)[same]
+        strings = np.bincount(key, weights=np.maximum(0, last - from_ + 1), minlength=len(self.keys))
+        much = records[key] > FEW
+        if much.any():
+            start, stop, key = start[much], stop[much], key[much]
+            code = _code(self._held(start, stop)) + mix(key.astype(np.uint64)) + (stop - start).astype(np.uint64)
+            _, first = np.unique(code, return_index=True)
+            distinct = np.bincount(key[first], minlength=len(self.keys))
+            records = np.where(records > FEW, np.maximum(distinct, 1), records)
+        return records.astype(np.uint32), strings.astype(np.uint32)
+
     def _answers(self, kind: int) -> dict[int, bytes]:
         told = self.told.filter(self.told.column("kind").to_numpy() == kind)
         return dict(zip(told.column("at").to_pylist(), told.column("blob").to_pylist(), strict=True))
 
     def neighbourhoods(self, buckets: int) -> None:
-        """Find the shared anchors' neighbourhoods: distinct ones, the least id of each, and whose they are."""
-        many = np.zeros(len(self.keys), bool)
+        """Find the shared anchors' neighbourhoods, or strings if hot: distinct ones, the least id of each, whose they are."""
+        many, hot = np.zeros(len(self.keys), bool), np.zeros(len(self.keys), bool)
         if len(self.keys):
             # an anchor that two documents of the group have
             order = np.lexsort((self.ids[self.doc], self.key))
@@ -247,20 +284,18 @@ class Group:
         answers = self._answers(1)
         for bucket, rows in self.asked(buckets):
             if bucket in answers:
-                bits = np.unpackbits(np.frombuffer(answers[bucket], np.uint8), count=len(rows), bitorder="little")
-                many[rows] |= bits.astype(bool)
-        use = np.flatnonzero(many[self.key]) if len(self.keys) else np.empty(0, np.int64)
+                bits = np.frombuffer(answers[bucket], np.uint8).reshape(2, -1)
+                bits = np.unpackbits(bits, axis=1, count=len(rows), bitorder="little").astype(bool)
+                many[rows] |= bits[0]
+                hot[rows] = bits[1]
+        self._strings(np.flatnonzero((many & hot)[self.key]) if len(self.keys) else np.empty(0, np.int64))
+        use = np.flatnonzero((many & ~hot)[self.key]) if len(self.keys) else np.empty(0, np.int64)
         self.hit_doc, at = self.doc[use], self.at[use]
         records = np.zeros(len(use), RECORD)
-        begin = np.concatenate([[0], self.ends])
-        start = np.maximum(begin[self.hit_doc], at - LEFT)
-        stop = np.minimum(begin[self.hit_doc + 1], at + RIGHT)
+        start, stop = self._span(use)
         records["before"], records["size"] = at - start, stop - start
         if len(use):
-            padded = np.concatenate([self.data, np.zeros(SPAN, np.uint8)])
-            held = np.lib.stride_tricks.sliding_window_view(padded, SPAN)[start].copy()
-            held[np.arange(SPAN)[None, :] >= (stop - start)[:, None]] = 0
-            records["bytes"] = held.view("S1")
+            records["bytes"] = self._held(start, stop).view("S1")
         self.hit_start, self.hit_code = start, self.code[use]
         raw = np.concatenate([self.hit_code.view(np.uint8).reshape(-1, 8), records.view(np.uint8).reshape(-1, RECORD.itemsize)], 1) if len(use) else np.empty((0, 8 + RECORD.itemsize), np.uint8)
         rows = np.ascontiguousarray(raw).view([("raw", f"V{8 + RECORD.itemsize}")]).ravel()
@@ -271,13 +306,43 @@ class Group:
         self.least = np.full(len(distinct), np.iinfo(np.int64).max)
         np.minimum.at(self.least, self.hit, self.ids[self.hit_doc])
 
-    def cut(self, buckets: int) -> Iterator[tuple]:
+    def _strings(self, use: np.ndarray) -> None:
+        """The strings with some anchors: places, distinct strings, the least id of each."""
+        start, stop = self._span(use)
+        edges = np.zeros(len(self.data) + 1, np.int32)
+        np.add.at(edges, start, 1)
+        np.add.at(edges, stop - LENGTH + 1, -1)
+        self.place = np.flatnonzero(np.cumsum(edges) > 0)
+        self.place_doc = np.searchsorted(self.ends, self.place, "right")
+        if len(self.place):
+            held = np.lib.stride_tricks.sliding_window_view(self.data, LENGTH)[self.place]
+            distinct, self.string = np.unique(np.ascontiguousarray(held).view(f"V{LENGTH}").ravel(), return_inverse=True)
+            self.strings = distinct.view(np.uint8).reshape(-1, LENGTH)
+        else:
+            self.strings, self.string = np.empty((0, LENGTH), np.uint8), np.empty(0, np.int64)
+        self.string_code = _code(self.strings)
+        self.string_least = np.full(len(self.strings), np.iinfo(np.int64).max)
+        np.minimum.at(self.string_least, self.string, self.ids[self.place_doc])
+
+    def sent(self, buckets: int, string_buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
+        """Neighbourhoods by bucket, and strings by buckets with numbers below 0, each with the least ids."""
+        for bucket, rows in _by_bucket(self.codes, buckets):
+            yield bucket, self.records[rows].tobytes(), self.least[rows].tobytes()
+        for bucket, rows in _by_bucket(self.string_code, string_buckets):
+            yield -1 - bucket, self.strings[rows].tobytes(), self.string_least[rows].tobytes()
+
+    def cut(self, buckets: int, string_buckets: int) -> Iterator[tuple]:
         """doc_id, hash of the text, bytes and runs removed, hash of the rest, where anything is removed."""
         gone = np.zeros(len(self.codes), np.uint64)
         answers = self._answers(2)
         for bucket, rows in _by_bucket(self.codes, buckets):
             if bucket in answers:
                 gone[rows] = np.frombuffer(answers[bucket], np.uint64)
+        fallen = np.zeros(len(self.strings), bool)
+        for bucket, rows in _by_bucket(self.string_code, string_buckets):
+            if -1 - bucket in answers:
+                fallen[rows] = np.frombuffer(answers[-1 - bucket], bool)
+        lost = (self.ids[self.place_doc] > self.string_least[self.string]) | fallen[self.string]
         # documents above the group's least id lose the whole neighbourhood's strings, which it has too
         strings = np.maximum(0, self.records[:, 1].astype(np.int64) - LENGTH + 1)
         every = (np.uint64(1) << strings.astype(np.uint64)) - np.uint64(1)
@@ -287,12 +352,13 @@ class Group:
         for o in range(LEFT + 1):
             at = self.hit_start[(mask >> np.uint64(o)) & np.uint64(1) > 0] + o
             edges[at] = 1
+        edges[self.place[lost]] = 1
         # a string covers LENGTH bytes from its start
         starts = np.flatnonzero(edges)
         np.subtract.at(edges, starts + LENGTH, 1)
         covered = np.cumsum(edges)[: len(self.data)] > 0
         begin = np.concatenate([[0], self.ends]).tolist()
-        for d in np.unique(self.hit_doc[mask > 0]).tolist():
+        for d in np.union1d(self.hit_doc[mask > 0], self.place_doc[lost]).tolist():
             text, gone = self.texts[d], covered[begin[d] : begin[d + 1]]
             runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
             kept = self.data[begin[d] : begin[d + 1]][~gone].tobytes()
@@ -301,6 +367,17 @@ class Group:
             )
 
 
+def _code(rows: np.ndarray) -> np.ndarray:
+    """A hash of each row of bytes."""
+    width = -(-rows.shape[1] // 8) * 8
+    words = np.zeros((len(rows), width), np.uint8)
+    words[:, : rows.shape[1]] = rows
+    code = np.zeros(len(rows), np.uint64)
+    for k, word in enumerate(words.view(np.uint64).T):
+        code = mix(code * _A + word + np.uint64(k))
+    return code
+
+
 def _by_bucket(codes: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """Rows of each bucket, in a fixed order."""
     home = (mix(codes) % np.uint64(buckets)).astype(np.int64)
@@ -315,32 +392,45 @@ def _by_bucket(codes: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarra
 # ---- buckets -------------------------------------------------------------------------------------
 
 
-def _shared_anchors(table: pa.Table) -> pa.Table:
-    """For each group, which of the anchors it asks for another group has too."""
+def _shared_anchors(table: pa.Table, most: int) -> pa.Table:
+    """For each group, which of the anchors it asks for another group has too, and which are hot: those with more
+    than ``most`` neighbourhoods in all groups."""
     groups, blobs = table.column("grp").to_pylist(), table.column("keys").to_pylist()
     keys = np.frombuffer(b"".join(blobs), np.uint64)
+    records, strings = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint32).astype(np.int64) for c in ("records", "strings"))
     order = np.argsort(keys, kind="stable")
     same = keys[order][1:] == keys[order][:-1]
     shared = np.zeros(len(keys), bool)
     shared[order[1:][same]] = True
     shared[order[:-1][same]] = True
-    masks, at = [], 0
+    hot = np.zeros(len(keys), bool)
+    if len(keys):
+        first = np.flatnonzero(np.append(True, ~same))
+        total = np.add.reduceat(records[order], first)
+        hot[order] = np.repeat(total > most, np.diff(first, append=len(keys)))
+    # what the groups send at most: an anchor of one document has one neighbourhood as a rule, and stays
+    sends = shared | (records > 1)
+    masks, hits, long, at = [], [], [], 0
     for blob in blobs:
-        masks.append(np.packbits(shared[at : at + len(blob) // 8], bitorder="little").tobytes())
-        at += len(blob) // 8
-    hits = [int(np.unpackbits(np.frombuffer(m, np.uint8)).sum()) for m in masks]
+        own = slice(at, at + len(blob) // 8)
+        masks.append(b"".join(np.packbits(x[own], bitorder="little").tobytes() for x in (shared, hot)))
+        hits.append(int(records[own][sends[own] & ~hot[own]].sum()))
+        long.append(int(strings[own][hot[own]].sum()))
+        at = own.stop
     return pa.table(
         {
             "grp": pa.array(groups, pa.int32()), "kind": pa.array([1] * len(groups), pa.int32()),
             "at": pa.array(table.column("bucket").to_pylist(), pa.int64()), "blob": pa.array(masks, pa.binary()),
-            "hits": pa.array(hits, pa.int64()),
+            "hits": pa.array(hits, pa.int64()), "strings": pa.array(long, pa.int64()),
         }
     )
 
 
 def _removed_strings(table: pa.Table) -> pa.Table:
-    """For each group's neighbourhoods, a bit per string: does a document of smaller id have it."""
-    groups, records, leasts = (table.column(c).to_pylist() for c in ("grp", "records", "least"))
+    """For each group's neighbourhoods, a bit per string: does a document of smaller id have it; for strings, a byte of each."""
+    if table.column("bucket")[0].as_py() < 0:
+        return _removed_alone(table)
+    records, leasts = (table.column(c).to_pylist() for c in ("records", "least"))
     size = RECORD.itemsize
     raw = np.frombuffer(b"".join(records), np.uint8).reshape(-1, size)
     least = np.frombuffer(b"".join(leasts), np.int64)
@@ -373,16 +463,36 @@ def _removed_strings(table: pa.Table) -> pa.Table:
     for blob in leasts:
         blobs.append(masks[at : at + len(blob) // 8].tobytes())
         at += len(blob) // 8
+    return _answered(table, blobs)
+
+
+def _removed_alone(table: pa.Table) -> pa.Table:
+    """For each group's strings, whether a document of smaller id has it."""
+    records, leasts = (table.column(c).to_pylist() for c in ("records", "least"))
+    least = np.frombuffer(b"".join(leasts), np.int64)
+    distinct, which = np.unique(np.frombuffer(b"".join(records), f"V{LENGTH}"), return_inverse=True)
+    low = np.full(len(distinct), np.iinfo(np.int64).max)
+    np.minimum.at(low, which, least)
+    fallen = low[which] < least
+    blobs, at = [], 0
+    for blob in leasts:
+        blobs.append(fallen[at : at + len(blob) // 8].tobytes())
+        at += len(blob) // 8
+    return _answered(table, blobs)
+
+
+def _answered(table: pa.Table, blobs: list[bytes]) -> pa.Table:
+    n = table.num_rows
     return pa.table(
         {
-            "grp": pa.array(groups, pa.int32()), "kind": pa.array([2] * len(groups), pa.int32()),
-            "at": pa.array(table.column("bucket").to_pylist(), pa.int64()), "blob": pa.array(blobs, pa.binary()),
-            "hits": pa.array([0] * len(groups), pa.int64()),
+            "grp": table.column("grp").cast(pa.int32()), "kind": pa.array([2] * n, pa.int32()),
+            "at": table.column("bucket").cast(pa.int64()), "blob": pa.array(blobs, pa.binary()),
+            "hits": pa.array([0] * n, pa.int64()), "strings": pa.array([0] * n, pa.int64()),
         }
     )
 
 
-TOLD = "grp int, kind int, at long, blob binary, hits long"
+TOLD = "grp int, kind int, at long, blob binary, hits long, strings long"
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -409,30 +519,37 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     grouped = spark.table(held).groupBy("grp")
     own = reps.where("rep IS NOT NULL").select(
         F.pmod(F.hash("rep"), F.lit(groups)).alias("grp"), F.lit(0).alias("kind"), F.col("rep").alias("at"),
-        F.lit(None).cast("binary").alias("blob"), F.lit(0).cast("long").alias("hits"),
+        F.lit(None).cast("binary").alias("blob"), F.lit(0).cast("long").alias("hits"), F.lit(0).cast("long").alias("strings"),
     )
 
     def ask(left: pa.Table, right: pa.Table) -> pa.Table:
         found = Group(left, right)
-        rows = [(b, found.keys[r].tobytes()) for b, r in found.asked(askers)] if left.num_rows else []
+        sizes = found.counted()
+        rows = [(b, *(x[r].tobytes() for x in (found.keys, *sizes))) for b, r in found.asked(askers)] if left.num_rows else []
         name = left.column("grp")[0].as_py() if left.num_rows else 0
         return pa.table(
             {
-                "bucket": pa.array([b for b, _ in rows], pa.int32()), "grp": pa.array([name] * len(rows), pa.int32()),
-                "keys": pa.array([k for _, k in rows], pa.binary()),
+                "bucket": pa.array([r[0] for r in rows], pa.int32()), "grp": pa.array([name] * len(rows), pa.int32()),
+                "keys": pa.array([r[1] for r in rows], pa.binary()), "records": pa.array([r[2] for r in rows], pa.binary()),
+                "strings": pa.array([r[3] for r in rows], pa.binary()),
             }
         )
 
-    asked = grouped.cogroup(own.groupBy("grp")).applyInArrow(ask, "bucket int, grp int, keys binary")
-    shared = written(asked.groupBy("bucket").applyInArrow(_shared_anchors, TOLD), "anchors", release=True)
-    # shared anchors, with what is shared within groups alone at most as much again
-    hits = shared.agg(F.sum("hits")).first()[0]
+    most = BUCKET_BYTES // 8 // RECORD.itemsize
+
+    def answer(asked: pa.Table) -> pa.Table:
+        return _shared_anchors(asked, most)
+
+    asked = grouped.cogroup(own.groupBy("grp")).applyInArrow(ask, "bucket int, grp int, keys binary, records binary, strings binary")
+    shared = written(asked.groupBy("bucket").applyInArrow(answer, TOLD), "anchors", release=True)
+    hits, strings = shared.agg(F.sum("hits"), F.sum("strings")).first()
     sorters = max(pieces((hits or 0) * SPAN, BUCKET_BYTES // 2), pieces(total, 8 * BUCKET_BYTES))
+    alone = pieces((strings or 0) * LENGTH, BUCKET_BYTES)
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
         found = Group(left, right)
         found.neighbourhoods(askers)
-        rows = [(b, found.records[r].tobytes(), found.least[r].tobytes()) for b, r in _by_bucket(found.codes, sorters)]
+        rows = list(found.sent(sorters, alone))
         name = left.column("grp")[0].as_py() if left.num_rows else 0
         return pa.table(
             {
@@ -448,7 +565,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         found = Group(left, right)
         found.neighbourhoods(askers)
-        columns = list(zip(*found.cut(sorters), strict=True)) or [()] * 5
+        columns = list(zip(*found.cut(sorters, alone), strict=True)) or [()] * 5
         kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string())
         names = ("id", "sha", "n_removed", "n_spans", "kept")
         return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds, strict=True)})

@@ -168,6 +168,26 @@ def test_repeated_strings(spark, make_docs, monkeypatch):
     assert suffixes.remove_repeats(make_docs(rows).limit(0)).count() == 0
 
 
+def test_an_anchor_of_all_documents_loads_no_bucket(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(suffixes, "GROUP_BYTES", 40_000)
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 80_000)
+    plainly = suffixes._removed_strings
+
+    def bounded(table):
+        held = sum(len(blob) for blob in table.column("records").to_pylist())
+        if held > 160_000:
+            raise ValueError(f"a bucket holds {held} bytes")
+        return plainly(table)
+
+    monkeypatch.setattr(suffixes, "_removed_strings", bounded)
+    rng = random.Random(6)
+    own = lambda: "".join(rng.choice("abcdefgh ") for _ in range(60))
+    head = own()
+    rows = [(i, rng.choice(["", head]) + own() + "-" * rng.choice([50, 60, 110]) + own(), None, None) for i in range(600)]
+    got = suffixes.remove_repeats(make_docs(rows)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted((tuple(r) for r in got), key=repr) == plain.without_repeats(small(rows))
+
+
 # ---- 6 ----
 
 
