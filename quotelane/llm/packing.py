@@ -37,16 +37,19 @@ PIECES = (
 
 
 def cut_windows(
-    places: np.ndarray, penalty: np.ndarray, length: int, window: float = WINDOW
+    places: np.ndarray, penalty: np.ndarray, length: int, window: float = WINDOW, shortest: int | None = None
 ) -> list[int]:
-    """Cheapest cuts of a stream from 0 to the last place; ``places`` rise, in steps of at most ``length``."""
+    """Cheapest cuts of a stream from 0 to the last place; ``places`` rise, in steps of at most ``length``.
+
+    Powers of two from ``shortest`` on need no padding; the packer takes all, the default those from a quarter of ``length``.
+    """
     at = [0, *places.tolist()]
     price = [0.0, *penalty.tolist()]
     n = len(at)
     cost, come = [0.0] * n, [0] * n
     where = {p: i for i, p in enumerate(at)}
-    powers = [1 << k for k in range(length.bit_length() - 1, max(0, length.bit_length() - 4), -1)]
-    powers = [p for p in powers if p < length]
+    shortest = -(-length // 4) if shortest is None else shortest
+    powers = [p for p in (1 << k for k in range(length.bit_length() - 1, -1, -1)) if shortest <= p < length]
     queue: deque[tuple[float, int]] = deque([(0.0, 0)])
     for j in range(1, n):
         here = at[j]
@@ -125,7 +128,7 @@ class Packer:
     def _solve(self, end: bool) -> Iterator[tuple]:
         ids = np.concatenate(self.ids)
         doc_ends = np.cumsum([n - skipped for _, skipped, n in self.docs])
-        cuts = cut_windows(*_candidates(ids, doc_ends, self.stops, self.length), self.length)
+        cuts = cut_windows(*_candidates(ids, doc_ends, self.stops, self.length), self.length, shortest=1)
         if end:
             before = cuts[-2] if len(cuts) > 1 else 0
             cuts = cuts[:-1] + _powers(before, cuts[-1])

@@ -1,5 +1,6 @@
 """Operators on the awkward cases: nulls, empty and long texts, ties, repeated rows, empty tables."""
 
+import collections
 import datetime
 import random
 import zlib
@@ -258,6 +259,25 @@ def test_cuts_are_cheapest():
         assert price(got) == best[int(places[-1])][0]
 
 
+def test_the_packer_takes_every_power_of_two(monkeypatch):
+    monkeypatch.setattr(packing, "_powers", lambda start, end: [end])  # leave the last window as it was cut
+    rng = random.Random(8)
+    length = 64
+    price = lambda n: packing.WINDOW + (0 if n & (n - 1) == 0 else length - n)
+    for _ in range(100):
+        docs = [rng.choice([1, 2, 4, 8, 3, 9, 24]) for _ in range(rng.randint(8, 40))]
+        best = {0: 0.0}
+        for end in np.cumsum(docs).tolist():  # the documents' ends are the only places
+            best[end] = min(cost + price(end - p) for p, cost in best.items() if end - p <= length)
+        packer = packing.Packer(np.zeros(2, bool), length, 1 << 20, 0)
+        for i, n in enumerate(docs):
+            assert not list(packer.add(i, np.ones(n, np.int64)))
+        sizes = collections.Counter()
+        for piece in packer.finish():
+            sizes[piece[5]] += piece[2]
+        assert sum(price(n) for n in sizes.values()) == best[sum(docs)]
+
+
 def test_packing(spark, make_docs):
     rows = odd_rows()
     got = packing.pack(make_docs(rows), with_ids=True).toPandas()
