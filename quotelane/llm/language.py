@@ -6,7 +6,8 @@ fewest bytes wins. Blocks keep the dictionary's part the same in long texts as i
 margin is the part of the second-best size that the best saves; narrow margins are rejected. Case is ignored.
 
 The dictionaries are made from a bounded sample: of every language the ``SAMPLE_DOCS`` labelled
-texts of smallest hash, the first ``SAMPLE_BYTES / SAMPLE_DOCS`` bytes of each. All else sees whole texts.
+texts of smallest hash, ``SAMPLE_BYTES / SAMPLE_DOCS`` bytes of each (less one that parts them), from a place told by
+the hash, so that openings which many texts share don't fill it. All else sees whole texts.
 
 Defined cases: a null text or one without letters is ``und`` with score 0, and rejected; with one
 learned language every other text is that language; with none, every text is ``und``; equal sizes
@@ -38,22 +39,29 @@ def learn(labelled: DataFrame, docs: int = SAMPLE_DOCS, size: int = SAMPLE_BYTES
     Only the sample reaches the driver: languages x ``size`` bytes.
     """
     part = max(1, size // docs)
+    key = F.xxhash64("text")
+    places = F.greatest(F.lit(1), F.length("text") - part + 1)
     sample = labelled.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")
-    ).select("lang", F.substring("text", 1, part).alias("head"), F.xxhash64("text").alias("key"))
-    best = Window.partitionBy("lang").orderBy("key", "head")
+    ).select("lang", F.col("text").substr(F.pmod(F.hash(key), places) + 1, F.lit(part)).alias("piece"), key.alias("key"))
+    best = Window.partitionBy("lang").orderBy("key", "piece")
     rows = sample.distinct().withColumn("n", F.row_number().over(best)).where(F.col("n") <= docs).collect()
     texts: dict[str, list[tuple[int, str]]] = {}
     for row in rows:
-        texts.setdefault(row["lang"], []).append((row["n"], row["head"]))
+        texts.setdefault(row["lang"], []).append((row["n"], _first_bytes(row["piece"].lower(), part - 1)))
     if len(texts) > MOST_LANGUAGES:
         raise ValueError(f"{len(texts)} languages; dictionaries are sent to every task, at most {MOST_LANGUAGES}")
     often = {r["lang"]: r["count"] for r in labelled.where(F.col("lang").isin(list(texts))).groupBy("lang").count().collect()}
     return {
-        lang: "\n".join(t for _, t in sorted(texts[lang])).lower().encode()[:size] for lang in sorted(texts, key=lambda x: (-often[x], x))
+        lang: b"\n".join(t for _, t in sorted(texts[lang])) for lang in sorted(texts, key=lambda x: (-often[x], x))
     }
 
 
+def _first_bytes(text: str, size: int) -> bytes:
+    """Whole characters of a text in at most ``size`` bytes, one character at least."""
+    return text.encode()[:size].decode(errors="ignore").encode() or text[:1].encode()
+
+
 def _classify(dictionaries: dict[str, bytes], block: int, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard

@@ -334,6 +334,18 @@ def test_language(spark, make_docs):
     assert (only["lang_pred"], only["score"]) == ("en", 1.0)
 
 
+def test_all_sampled_texts_enter_a_dictionary(make_docs):
+    letters = "абвгдежзиклмнопр"
+    marks = [f"ы{letters[i // 16]}{letters[i % 16]}ы" for i in range(128)]
+    head = "одна и та же лицензия стоит в начале каждого текста; " * 6
+    rows = [(i, head + f"{mark} " * 2000, "ru", "s") for i, mark in enumerate(marks)]
+    raw = language.learn(make_docs(rows))["ru"]
+    text = raw.decode(errors="ignore")
+    assert len(raw) <= language.SAMPLE_BYTES
+    entered = sum(mark in text for mark in marks)
+    assert entered >= 120 and text.count("лицензия") < 40, (entered, text.count("лицензия"))
+
+
 # ---- 10 ----
 
 
