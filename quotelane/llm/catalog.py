@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelane.llm import arc, frames, jaccard, language, mixing, mtree, packing, quality, secrets, suffixes
-from quotelane.llm.common import table, word_count
+from quotelane.llm import (
+    arc,
+    frames,
+    jaccard,
+    language,
+    merkle,
+    mixing,
+    mtree,
+    packing,
+    quality,
+    secrets,
+    spelling,
+    suffixes,
+    templates,
+)
+from quotelane.llm.common import table, word_count, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +103,34 @@ def op10_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(vectors, F.col("id") % 20 == 0)
 
 
+def op11_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    words = written(spelling.vocabulary(table(spark, sf_dir, "documents")), "vocabulary", light=True)
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, subroots and root of all documents; the root again from rows of which some are tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    changed = merkle.leaf([more if f == "n_chars" else F.col(f) for f in fields])
+    made = merkle.manifest(docs, fields, "doc_id", "lang", carry={"changed": F.when(hit, changed)})
+    refolded = merkle.folded(F.coalesce("changed", "leaf"), F.col("proof"))
+    checked = made.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        refolded.alias("folded_root"),
+    )
+    return checked.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = templates.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_secrets": op2_secrets,
@@ -100,4 +142,7 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_frames": op9_frames,
     "op10_mtree": op10_mtree,
+    "op11_permuterm": op11_permuterm,
+    "op12_merkle": op12_merkle,
+    "op13_templates": op13_templates,
 }

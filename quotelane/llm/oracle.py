@@ -141,4 +141,105 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20
 """
 
-SQL = {"op1_mixing": MIX, "op2_secrets": SECRETS, "op3_quality": QUALITY, "op4_arc": ARC, "op10_mtree": MTREE}
+
+
+def _crc_table() -> str:
+    """The table of the usual CRC-32, from its polynomial."""
+    rows = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        rows.append(str(value))
+    return f"([{', '.join(rows)}]::UBIGINT[])"
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes."""
+    code = f"hex(encode({text}))"
+    digits = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr({code}, 2 * i + 1, 2))::UBIGINT)"
+    step = f"lambda c, b: xor(c >> 8, {_crc_table()}[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {digits}), {step}), 4294967295::UBIGINT)"
+
+
+SPELLING = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS c FROM (
+    SELECT COALESCE(doc_id::VARCHAR, '') AS doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents) WHERE length(run) >= 5 GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, c, {_crc("doc_id || ':' || run")}::BIGINT AS h FROM runs
+), words AS (
+  SELECT word, SUM(c)::BIGINT AS n FROM (
+    SELECT c, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM hashed) WHERE length(word) >= 5 GROUP BY word HAVING SUM(c) >= 3
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*)::BIGINT AS n_near, first(other ORDER BY m DESC, other COLLATE "binary") AS form, max(m) AS form_n FROM pairs GROUP BY word
+), formed AS (
+  SELECT w.word, n, COALESCE(n_near, 0)::BIGINT AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form,
+         CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT w.word, f.form FROM walk w JOIN formed f ON f.word = w.at WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN walk w ON w.word = f.word JOIN formed e ON e.word = w.at AND e.form IS NULL
+""".replace(' COLLATE "binary"', "")
+
+
+def _leaf(n_chars: str) -> str:
+    values = ("doc_id::VARCHAR", "source", "lang", n_chars, "text")
+    return "sha256(" + " || ".join(f"COALESCE(octet_length(encode({v})) || ':' || ({v}), '-')" for v in values) + ")"
+
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n,
+         row_number() OVER () AS row
+  FROM (SELECT doc_id, lang, {_leaf("n_chars::VARCHAR")} AS leaf,
+               CASE WHEN {_crc("COALESCE(doc_id::VARCHAR, '')")} % 7 = 0 AND doc_id IS NOT NULL
+                    THEN {_leaf("(n_chars::HUGEINT + 1)::VARCHAR")} END AS changed FROM documents)
+), nodes AS (
+  SELECT lang, 0 AS level, i, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, i // 2, sha256(string_agg(digest, '' ORDER BY i)), (max(n) + 1) // 2
+  FROM nodes WHERE n > 1 GROUP BY lang, level, i // 2
+), subroots AS (
+  SELECT lang, level AS top, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), uppers AS (
+  SELECT 0 AS level, i, subroot AS digest, n FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 2, sha256(string_agg(digest, '' ORDER BY i)), (max(n) + 1) // 2
+  FROM uppers WHERE n > 1 GROUP BY level, i // 2
+), climb AS (
+  SELECT l.row, 0 AS level, s.top, false AS above, l.i, COALESCE(l.changed, l.leaf) AS acc, '' AS proof, s.i AS group_i
+  FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT c.row, c.level + 1, c.top, c.level + 1 > c.top, CASE WHEN c.level = c.top THEN c.group_i ELSE c.i // 2 END,
+         CASE WHEN c.level = c.top THEN c.acc
+              WHEN c.i % 2 = 0 THEN sha256(c.acc || COALESCE(c.other, '')) ELSE sha256(c.other || c.acc) END,
+         CASE WHEN c.level = c.top THEN c.proof ELSE c.proof || COALESCE(c.other, '') END, c.group_i
+  FROM (
+    SELECT c.*, CASE WHEN c.above THEN u.digest ELSE o.digest END AS other
+    FROM climb c JOIN leaves l ON l.row = c.row
+    LEFT JOIN nodes o ON NOT c.above AND o.lang IS NOT DISTINCT FROM l.lang AND o.level = c.level AND o.i = xor(c.i, 1)
+    LEFT JOIN uppers u ON c.above AND u.level = c.level - c.top - 1 AND u.i = xor(c.i, 1)
+    WHERE c.level <= c.top + (SELECT max(level) FROM uppers)
+  ) c
+)
+SELECT l.doc_id, l.leaf, s.subroot, r.digest AS root, sha256(c.proof) AS proof_sha256, c.acc AS folded_root, c.acc = r.digest AS verified
+FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+JOIN climb c ON c.row = l.row AND c.level = c.top + 1 + (SELECT max(level) FROM uppers)
+CROSS JOIN (SELECT digest FROM uppers WHERE n = 1) r
+"""
+
+SQL = {"op1_mixing": MIX, "op2_secrets": SECRETS, "op3_quality": QUALITY, "op4_arc": ARC, "op10_mtree": MTREE,
+    "op11_permuterm": SPELLING, "op12_merkle": MERKLE}
