@@ -150,15 +150,15 @@ def _crc_table() -> str:
         for _ in range(8):
             value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
         rows.append(str(value))
-    return f"([{', '.join(rows)}]::UBIGINT[])"
+    return f"([{', '.join(rows)}]::BIGINT[])"
 
 
 def _crc(text: str) -> str:
     """CRC-32 of a text's UTF-8 bytes."""
     code = f"hex(encode({text}))"
-    digits = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr({code}, 2 * i + 1, 2))::UBIGINT)"
+    digits = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr({code}, 2 * i + 1, 2))::BIGINT)"
     step = f"lambda c, b: xor(c >> 8, {_crc_table()}[(xor(c, b) & 255) + 1])"
-    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {digits}), {step}), 4294967295::UBIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), {step}), 4294967295::BIGINT)"
 
 
 SPELLING = rf"""
