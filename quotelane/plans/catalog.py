@@ -17,6 +17,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The registered late-data and fixture parameters, repeated by the SQL in oracle.py.
 LATE_WINDOW_MS = 10_000
+PARTITIONS = 4
+ROLLED_COLUMNS = ("timestamp", "account", "subAccount", "cusip", "quantity", "rollingQuantity")
 
 
 # ---- records built from the views -------------------------------------------------------------
@@ -306,7 +308,7 @@ def _in_topic(messages: DataFrame, start_ms: int) -> DataFrame:
         "key",
         "value",
         "topic",
-        (offset % 4).cast("int").alias("partition"),
+        (offset % PARTITIONS).cast("int").alias("partition"),
         offset.alias("offset"),
         F.timestamp_millis(at).alias("timestamp"),
     )
@@ -322,6 +324,20 @@ def message_mv_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec.decode_symbol_positions(jobs.symbol_value_messages(positions, price_messages(spark, sf_dir)))
 
 
+def message_timer_conflation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = jobs.conflated_value_messages(position_messages(spark, sf_dir), price_messages(spark, sf_dir))
+    return codec.decode_positions(messages)
+
+
+def message_list_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = jobs.listed_value_messages(position_messages(spark, sf_dir), price_messages(spark, sf_dir))
+    return codec.decode_positions(messages)
+
+
+def message_rolling_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.running_quantities(position_messages(spark, sf_dir)).select(*ROLLED_COLUMNS)
+
+
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order topic; an order's number is its offset."""
     return _in_topic(codec.encode_orders(fixtures.block_orders(spark, sf_dir), "orders"), fixtures.START_MS)
@@ -403,6 +419,9 @@ BATCH: dict[str, Query] = {
         rolling_then_priced,
         message_mv_by_account,
         message_mv_by_symbol,
+        message_timer_conflation,
+        message_list_values,
+        message_rolling_quantity,
         message_symbol_quantity,
         message_cusip_allocations,
         source_keyed_json_lines,

@@ -7,6 +7,7 @@ same on a replay.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quotelane import schemas
 from quotelane.functions import event_time
-from quotelane.operators import codec, pricing, projection, windows
+from quotelane.operators import codec, conflation, pricing, projection, windows
 from quotelane.operators.numbering import numbered
 from quotelane.plans import desk
+from quotelane.session import stream_settings
 from quotelane.sinks import writers
 from quotelane.sources import files, kafka
-from quotelane.streaming import legs
+from quotelane.streaming import held, legs
 
 
 # Messages are taken in this order: by time, positions before prices, then as their topic has them.
@@ -35,48 +37,91 @@ def _arrived(messages: DataFrame, schema: str, fields: Sequence[str], kind: str)
     )
 
 
+Topic = DataFrame | Sequence[DataFrame]
+
+
+def _parts(topic: Topic) -> list[DataFrame]:
+    return [topic] if isinstance(topic, DataFrame) else list(topic)
+
+
 def leg_events(
-    positions: DataFrame, prices: DataFrame, schema: str, fields: Sequence[str], slack_ms: int = SLACK_MS
+    positions: Topic, prices: Topic, schema: str, fields: Sequence[str], slack_ms: int = SLACK_MS
 ) -> DataFrame:
-    """Both sides of a leg as one frame, from two message frames.
+    """Both sides of a leg as one frame, from message frames.
 
-    Static rows get a dense arrival number. Streaming sides get a watermark each, ``slack_ms`` behind
-    their latest message, before they are united: the slower side holds the clock, so a side that
-    runs ahead makes no row of the other late. ``slack_ms`` covers disorder within a side.
+    Static rows get a dense arrival number. A streaming side is one stream or a stream per partition of its
+    topic. Each stream gets a watermark of its own, ``slack_ms`` behind its latest message, before all
+    are united: the one that lags most holds the clock. Within a partition messages are in order by
+    arrival, so with a stream per partition none is late, even without slack; with one stream for a
+    side, messages further out of order than ``slack_ms`` are.
     """
-    left = _arrived(positions, schema, fields, "position")
-    right = _arrived(prices, schemas.PRICE, ("price",), "price").withColumn("price", F.col("price").cast("double"))
-    if positions.isStreaming or prices.isStreaming:
-        left, right = (legs.with_periodic_watermark(s.withColumn("ts", event_time("timestamp")), slack_ms) for s in (left, right))
-        return left.unionByName(right, allowMissingColumns=True)
-    both = left.unionByName(right, allowMissingColumns=True)
+    left = [_arrived(p, schema, fields, "position") for p in _parts(positions)]
+    right = [_arrived(p, schemas.PRICE, ("price",), "price").withColumn("price", F.col("price").cast("double")) for p in _parts(prices)]
+    if left[0].isStreaming:
+        timed = [[p.withColumn("ts", event_time("timestamp")) for p in side] for side in (left, right)]
+        sides = [legs.with_watermark_each(side, slack_ms) for side in timed]
+        return sides[0].unionByName(sides[1], allowMissingColumns=True)
+    sides = [reduce(DataFrame.unionByName, side) for side in (left, right)]
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
     return numbered(both, [F.col(c) for c in ARRIVAL], "ord").withColumn("ts", event_time("timestamp"))
 
 
 def account_value_messages(
-    positions: DataFrame, prices: DataFrame, topic: str = kafka.ACCOUNT_VALUES, slack_ms: int = SLACK_MS
+    positions: Topic, prices: Topic, topic: str = kafka.ACCOUNT_VALUES, slack_ms: int = SLACK_MS
 ) -> DataFrame:
     """Position and price messages to market-value messages by account."""
     events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS, slack_ms)
     if events.isStreaming:
-        values = legs.account_leg(events, in_order=False)
+        values = legs.account_leg(events, order=held.MESSAGES)
     else:
         values = desk.account_leg(events)
     return codec.encode_positions(values, topic)
 
 
 def symbol_value_messages(
-    positions: DataFrame, prices: DataFrame, topic: str = kafka.SYMBOL_VALUES, slack_ms: int = SLACK_MS
+    positions: Topic, prices: Topic, topic: str = kafka.SYMBOL_VALUES, slack_ms: int = SLACK_MS
 ) -> DataFrame:
     """Position and price messages to market-value messages by security."""
     events = leg_events(positions, prices, schemas.SYMBOL_POSITION, pricing.SYMBOL_FIELDS, slack_ms)
     if events.isStreaming:
-        values = legs.symbol_leg(events, in_order=False)
+        values = legs.symbol_leg(events, order=held.MESSAGES)
     else:
         values = desk.symbol_leg(events)
     return codec.encode_symbol_positions(values, topic)
 
 
+def conflated_value_messages(
+    positions: Topic,
+    prices: Topic,
+    topic: str = kafka.ACCOUNT_VALUES,
+    slack_ms: int = SLACK_MS,
+    period_ms: int = conflation.PERIOD_MS,
+) -> DataFrame:
+    """Position and price messages to a message per account slot at each fire of its security's timer."""
+    events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS, slack_ms)
+    price = held.price_timer_conflation if events.isStreaming else conflation.price_timer_conflation
+    return codec.encode_positions(price(events, period_ms), topic)
+
+
+def listed_value_messages(
+    positions: Topic, prices: Topic, topic: str = kafka.ACCOUNT_VALUES, slack_ms: int = SLACK_MS
+) -> DataFrame:
+    """Position and price messages to a message per position, valued at its security's next price."""
+    events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS, slack_ms)
+    price = held.price_list_buffer if events.isStreaming else pricing.price_list_buffer
+    return codec.encode_positions(price(events), topic)
+
+
+def running_quantities(positions: Topic, slack_ms: int = SLACK_MS) -> DataFrame:
+    """Position messages to running totals by account and security, in the order of arrival."""
+    parts = [_arrived(p, schemas.POSITION, ("account", "subAccount", "quantity"), "position") for p in _parts(positions)]
+    timed = [p.withColumn("ts", event_time("timestamp")) for p in parts]
+    if timed[0].isStreaming:
+        return held.rolling_quantity(legs.with_watermark_each(timed, slack_ms))
+    both = numbered(reduce(DataFrame.unionByName, timed), [F.col(c) for c in ARRIVAL], "ord")
+    return windows.rolling_quantity(both)
+
+
 def compliance_messages(positions: DataFrame, topic: str = "out") -> DataFrame:
     """Position messages to compliance messages."""
     return codec.encode_compliance(
@@ -122,12 +167,14 @@ def start_roll_ups(
     spark: SparkSession, servers: str, checkpoint: str, orders: str = "orders", **source_options
 ) -> list[StreamingQuery]:
     """Order messages to quantities and allocation lists by security, topic to topic."""
-    return [
-        kafka.topic_writer(make(kafka.topic_stream(spark, servers, orders, **source_options)), servers, f"{checkpoint}/{name}")
-        .queryName(name)
-        .start()
-        for name, make in (("symbol-quantities", symbol_quantity_messages), ("cusip-allocations", cusip_allocation_messages))
-    ]
+    makers = (("symbol-quantities", symbol_quantity_messages), ("cusip-allocations", cusip_allocation_messages))
+    with stream_settings(spark):
+        return [
+            kafka.topic_writer(make(kafka.topic_stream(spark, servers, orders, **source_options)), servers, f"{checkpoint}/{name}")
+            .queryName(name)
+            .start()
+            for name, make in makers
+        ]
 
 
 def start_desk(
@@ -140,22 +187,30 @@ def start_desk(
     account_values: str = kafka.ACCOUNT_VALUES,
     symbol_values: str = kafka.SYMBOL_VALUES,
     trigger: str = "5 seconds",
+    partitions: int | None = None,
     **source_options,
 ) -> list[StreamingQuery]:
-    """Start both legs on topics. Each leg is a query of its own and reads the prices itself."""
+    """Start both legs on topics. Each leg is a query of its own and reads the prices itself.
+
+    With ``partitions``, the number of the topics' partitions, each has a clock of its own and no message is late.
+    """
 
-    def topic(name: str) -> DataFrame:
+    def topic(name: str) -> Topic:
+        if partitions:
+            return kafka.partition_streams(spark, servers, name, partitions, **source_options)
         return kafka.topic_stream(spark, servers, name, **source_options)
 
-    by_account = account_value_messages(topic(account_positions), topic(prices), account_values)
-    by_symbol = symbol_value_messages(topic(symbol_positions), topic(prices), symbol_values)
-    return [
-        kafka.topic_writer(messages, servers, f"{checkpoint}/{name}")
-        .trigger(processingTime=trigger)
-        .queryName(name)
-        .start()
-        for name, messages in (("account-leg", by_account), ("symbol-leg", by_symbol))
-    ]
+    slack_ms = 0 if partitions else SLACK_MS
+    by_account = account_value_messages(topic(account_positions), topic(prices), account_values, slack_ms)
+    by_symbol = symbol_value_messages(topic(symbol_positions), topic(prices), symbol_values, slack_ms)
+    with stream_settings(spark):
+        return [
+            kafka.topic_writer(messages, servers, f"{checkpoint}/{name}")
+            .trigger(processingTime=trigger)
+            .queryName(name)
+            .start()
+            for name, messages in (("account-leg", by_account), ("symbol-leg", by_symbol))
+        ]
 
 
 def start_price_log(
@@ -163,7 +218,8 @@ def start_price_log(
 ) -> StreamingQuery:
     """Log every price to text files under ``path``."""
     prices = kafka.price_stream(spark, servers, topic, **source_options)
-    return writers.log_writer(prices, "price {}", path, checkpoint).start()
+    with stream_settings(spark):
+        return writers.log_writer(prices, "price {}", path, checkpoint).start()
 
 
 def start_compliance(
@@ -176,7 +232,8 @@ def start_compliance(
 ) -> StreamingQuery:
     """Position messages to compliance messages, topic to topic."""
     messages = compliance_messages(kafka.topic_stream(spark, servers, positions, **source_options), topic)
-    return kafka.topic_writer(messages, servers, checkpoint).queryName("compliance").start()
+    with stream_settings(spark):
+        return kafka.topic_writer(messages, servers, checkpoint).queryName("compliance").start()
 
 
 def start_word_count(
@@ -185,7 +242,8 @@ def start_word_count(
     """Print word counts of the text files that appear under ``path``."""
     lines = legs.with_periodic_watermark(files.text_stream(spark, path))
     counts = windows.word_count(projection.split_words(lines), width)
-    return writers.print_writer(counts, checkpoint, out).outputMode("append").start()
+    with stream_settings(spark):
+        return writers.print_writer(counts, checkpoint, out).outputMode("append").start()
 
 
 def rolled_then_priced(

@@ -267,4 +267,7 @@ SELECT "sourcePartition", "arrivalTimestamp", ord, arrival, "timestamp", "window
     "windowEnd" - 1 <= watermark AS "isLate" FROM marked""",
 }
 
+ORACLE["message_timer_conflation"] = ORACLE["price_timer_conflation"]
+ORACLE["message_list_values"] = f"""SELECT * EXCLUDE (ord, "positionOrd") FROM ({ORACLE["price_enrich_list"]})"""
+ORACLE["message_rolling_quantity"] = f"""SELECT * EXCLUDE (ord) FROM ({ORACLE["rolling_quantity"]})"""
 ORACLE["source_keyed_json_lines"] = ORACLE["kafka_decode_order"]

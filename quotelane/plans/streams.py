@@ -9,66 +9,73 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelane import fixtures, schemas
-from quotelane.operators import codec, pricing, projection, windows
+from quotelane.operators import codec, projection, windows
 from quotelane.plans import catalog, desk, jobs
 from quotelane.plans.catalog import Query
-from quotelane.session import work_dir
+from quotelane.session import stream_settings, work_dir
 from quotelane.sinks.writers import file_writer
-from quotelane.streaming import batches, keyed, legs
-from quotelane.streaming.replay import files_in_order, replay, replay_batches, timed_ticks
+from quotelane.streaming import held, keyed, legs
+from quotelane.streaming.replay import replay, timed_ticks
 
+ROWS_PER_FILE = 2_000_000
+DEALT_FILES = 6
+ORDER = held.NUMBERED
 
-def _events(spark: SparkSession, sf_dir: str, plan, label: str, close: bool = True) -> DataFrame:
-    return replay(spark, sf_dir, "events", "event_id", lambda e: plan(timed_ticks(e)), label, close)
 
-
-def _keyed(spark: SparkSession, sf_dir: str, plan, label: str, close: bool, otherwise: Query) -> DataFrame:
-    """Keyed-state processors hold one key's rows of a micro-batch in one task, so they run where
-    micro-batches can be bounded: on files in row order. ``otherwise`` does without that."""
-    if files_in_order(fixtures.table(spark, sf_dir, "events"), "event_id"):
-        return _events(spark, sf_dir, plan, label, close).drop("ts")
-    return otherwise(spark, sf_dir)
+def _events(spark: SparkSession, sf_dir: str, plan, label: str) -> DataFrame:
+    return replay(spark, sf_dir, "events", "event_id", lambda e, back: plan(timed_ticks(e, back)), label)
 
 
 def _positions(ticks: DataFrame) -> DataFrame:
     return ticks.where(F.col("kind") == "position").drop("kind", "price")
 
 
-def _account_leg_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    step = batches.single_slot_step()
-    priced = replay_batches(spark, sf_dir, fixtures.ticks_from, step, "slot-batches")
-    return windows.last_value_in_window(priced, windows.ACCOUNT_KEY, ("orderId",))
+def _account_leg(ticks: DataFrame) -> DataFrame:
+    return legs.account_leg(ticks, order=ORDER)
+
+
+def _symbol_leg(ticks: DataFrame) -> DataFrame:
+    return legs.symbol_leg(ticks, order=ORDER)
+
+
+def _slot(ticks: DataFrame) -> DataFrame:
+    return held.price_single_slot(ticks, order=ORDER)
+
+
+def _symbol_slot(ticks: DataFrame) -> DataFrame:
+    return held.price_single_slot(ticks, keyed.SYMBOL_SLOT, ORDER)
 
 
-def _symbol_leg_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    step = batches.single_slot_step(pricing.SYMBOL_FIELDS)
-    priced = replay_batches(spark, sf_dir, fixtures.ticks_from, step, "symbol-batches")
-    return windows.last_value_in_window(priced, windows.SYMBOL_KEY)
+def _list(ticks: DataFrame) -> DataFrame:
+    return held.price_list_buffer(ticks, order=ORDER)
+
+
+def _timer(ticks: DataFrame) -> DataFrame:
+    return held.price_timer_conflation(ticks, order=ORDER)
+
+
+def _rolling(ticks: DataFrame) -> DataFrame:
+    return held.rolling_quantity(_positions(ticks), ORDER)
 
 
 def stream_mv_by_account_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed(spark, sf_dir, legs.account_leg, "mv-account", True, _account_leg_in_batches)
+    return _events(spark, sf_dir, _account_leg, "mv-account")
 
 
 def stream_mv_by_symbol_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed(spark, sf_dir, legs.symbol_leg, "mv-symbol", True, _symbol_leg_in_batches)
+    return _events(spark, sf_dir, _symbol_leg, "mv-symbol")
 
 
 def stream_price_enrich_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = keyed.price_list_buffer
-    return _keyed(spark, sf_dir, plan, "list", False, batches_price_enrich_list)
+    return _events(spark, sf_dir, _list, "list").drop("ts")
 
 
 def stream_price_timer_conflation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = keyed.price_timer_conflation
-    return _keyed(spark, sf_dir, plan, "timer", True, batches_price_timer_conflation)
+    return _events(spark, sf_dir, _timer, "timer").drop("ts")
 
 
 def stream_rolling_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def plan(ticks: DataFrame) -> DataFrame:
-        return keyed.rolling_quantity(_positions(ticks))
-
-    return _keyed(spark, sf_dir, plan, "rolling", False, batches_rolling_quantity)
+    return _events(spark, sf_dir, _rolling, "rolling").drop("ts")
 
 
 def stream_position_window_sum_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,18 +97,11 @@ def stream_cusip_allocations_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_price_enrich_act(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed(spark, sf_dir, keyed.price_single_slot, "slot", False, batches_price_enrich_act)
+    return _events(spark, sf_dir, _slot, "slot").drop("ts")
 
 
 def stream_price_enrich_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def plan(ticks: DataFrame) -> DataFrame:
-        return keyed.price_single_slot(ticks, keyed.SYMBOL_SLOT)
-
-    def otherwise(spark: SparkSession, sf_dir: str) -> DataFrame:
-        step = batches.single_slot_step(pricing.SYMBOL_FIELDS)
-        return replay_batches(spark, sf_dir, fixtures.ticks_from, step, "symbol-batches").drop("ts")
-
-    return _keyed(spark, sf_dir, plan, "symbol-slot", False, otherwise)
+    return _events(spark, sf_dir, _symbol_slot, "symbol-slot").drop("ts")
 
 
 def stream_chained_window_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,95 +109,120 @@ def stream_chained_window_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_word_count_5s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def plan(documents: DataFrame) -> DataFrame:
-        lines = legs.with_periodic_watermark(fixtures.lines_from(documents))
+    def plan(documents: DataFrame, back: int) -> DataFrame:
+        # a document a second
+        lines = legs.with_periodic_watermark(fixtures.lines_from(documents), (back + 1) * 1000 if back else 0)
         return windows.word_count(projection.split_words(lines))
 
     return replay(spark, sf_dir, "documents", "doc_id", plan, "words")
 
 
-def _topic_files(messages: DataFrame, path: str, files: int) -> None:
-    """A topic as files, each with a span of time, written one after another."""
-    first, last = messages.agg(F.min("timestamp"), F.max("timestamp")).first()
-    for i in range(files):
-        cut = [first + (last - first) * (i + k) / files for k in range(2)]
-        inside = F.col("timestamp") >= F.lit(cut[0])
-        inside = inside & ((F.col("timestamp") < F.lit(cut[1])) if i + 1 < files else F.lit(True))
-        messages.where(inside).coalesce(1).write.mode("append").parquet(path)
+def _topic_files(messages: DataFrame, path: str, rows_per_file: int) -> None:
+    """A topic as files of about ``rows_per_file`` messages, cut by time where a topic is in order of it."""
+    files = max(1, -(-messages.count() // rows_per_file))
+    messages.repartitionByRange(files, "timestamp").write.parquet(path)
 
 
-def live_messages(topics: dict[str, tuple[DataFrame, int]], make, label: str, slack_ms: int = 0) -> DataFrame:
-    """The messages that a live job makes of topics, each cut into a number of files.
+def live_messages(topics: dict[str, tuple[DataFrame, int]], make, label: str, partitions: int = 0, **options) -> DataFrame:
+    """The messages that a live job makes of topics, each cut into files of a number of rows.
 
-    Topics of fewer files run ahead. A late message on every topic closes the last windows; it makes
-    no value itself.
+    A micro-batch takes a file of each topic, so topics of fewer files run ahead. With ``partitions``, a topic is given
+    to the job as a stream per partition. A late message on every topic closes what is open; it makes no value
+    itself.
     """
     spark = next(iter(topics.values()))[0].sparkSession
     work = work_dir(spark, label)
-    for name, (messages, files) in topics.items():
-        _topic_files(messages, f"{work}/{name}", files)
+    for name, (messages, rows_per_file) in topics.items():
+        _topic_files(messages, f"{work}/{name}", rows_per_file)
 
-    def topic(name: str) -> DataFrame:
-        return spark.readStream.schema(schemas.MESSAGE).option("maxFilesPerTrigger", 1).parquet(f"{work}/{name}")
+    def topic(name: str):
+        stream = spark.readStream.schema(schemas.MESSAGE).option("maxFilesPerTrigger", 1).parquet(f"{work}/{name}")
+        return [stream.where(F.col("partition") == p) for p in range(partitions)] if partitions else stream
 
-    out = make(*[topic(name) for name in topics], slack_ms=slack_ms)
+    out = make(*[topic(name) for name in topics], **options)
 
     def run() -> None:
-        query = file_writer(out, f"{work}/out", f"{work}/checkpoint").trigger(availableNow=True).start()
+        with stream_settings(spark):
+            query = file_writer(out, f"{work}/out", f"{work}/checkpoint").trigger(availableNow=True).start()
         query.awaitTermination()
 
     run()
     for name, (messages, _) in topics.items():
         late = messages.limit(1).withColumn("timestamp", F.expr("timestamp'2100-01-01 00:00:00'"))
-        late.write.mode("append").parquet(f"{work}/{name}")
+        if partitions:
+            late = late.withColumn("partition", F.explode(F.sequence(F.lit(0), F.lit(partitions - 1))))
+        late.coalesce(1).write.mode("append").parquet(f"{work}/{name}")
     run()
     return spark.read.schema(out.schema).parquet(f"{work}/out")
 
 
+def _leg_topics(spark: SparkSession, sf_dir: str, by_symbol: bool = False) -> dict[str, tuple[DataFrame, int]]:
+    """Positions in more files than prices, which run ahead."""
+    positions = catalog.position_messages(spark, sf_dir, by_symbol)
+    return {"positions": (positions, ROWS_PER_FILE // 8), "prices": (catalog.price_messages(spark, sf_dir), ROWS_PER_FILE)}
+
+
 def stream_message_mv_by_account(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topics = {"positions": (catalog.position_messages(spark, sf_dir), 5), "prices": (catalog.price_messages(spark, sf_dir), 1)}
-    return codec.decode_positions(live_messages(topics, jobs.account_value_messages, "live-account"))
+    made = live_messages(_leg_topics(spark, sf_dir), jobs.account_value_messages, "live-account", catalog.PARTITIONS, slack_ms=0)
+    return codec.decode_positions(made)
 
 
 def stream_message_mv_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topics = {"positions": (catalog.position_messages(spark, sf_dir, True), 5), "prices": (catalog.price_messages(spark, sf_dir), 1)}
-    return codec.decode_symbol_positions(live_messages(topics, jobs.symbol_value_messages, "live-symbol"))
+    topics = _leg_topics(spark, sf_dir, by_symbol=True)
+    made = live_messages(topics, jobs.symbol_value_messages, "live-symbol", catalog.PARTITIONS, slack_ms=0)
+    return codec.decode_symbol_positions(made)
+
+
+def stream_message_timer_conflation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = live_messages(_leg_topics(spark, sf_dir), jobs.conflated_value_messages, "live-timer", catalog.PARTITIONS, slack_ms=0)
+    return codec.decode_positions(made)
+
+
+def stream_message_list_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = live_messages(_leg_topics(spark, sf_dir), jobs.listed_value_messages, "live-list", catalog.PARTITIONS, slack_ms=0)
+    return codec.decode_positions(made)
+
+
+def stream_message_rolling_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topics = {"positions": (catalog.position_messages(spark, sf_dir), ROWS_PER_FILE // 8)}
+    made = live_messages(topics, jobs.running_quantities, "live-rolling", catalog.PARTITIONS, slack_ms=0)
+    return made.select(*catalog.ROLLED_COLUMNS)
 
 
 def stream_message_symbol_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topics = {"orders": (catalog.order_messages(spark, sf_dir), 4)}
+    topics = {"orders": (catalog.order_messages(spark, sf_dir), ROWS_PER_FILE)}
     return codec.decode_symbol_positions(live_messages(topics, jobs.symbol_quantity_messages, "live-quantity"))
 
 
 def stream_message_cusip_allocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topics = {"orders": (catalog.order_messages(spark, sf_dir), 4)}
+    topics = {"orders": (catalog.order_messages(spark, sf_dir), ROWS_PER_FILE)}
     out = live_messages(topics, jobs.cusip_allocation_messages, "live-allocations")
     return out.withColumns({c: F.col(c).cast("string") for c in ("key", "value")})
 
 
+def _dealt(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the events dealt over files in no order, for micro-batches that go back and forth."""
+    folder = work_dir(spark, "dealt")
+    events = fixtures.table(spark, sf_dir, "events")
+    files = max(DEALT_FILES, -(-events.count() // ROWS_PER_FILE))
+    events.repartition(files, F.xxhash64("event_id")).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
 def batches_price_enrich_act(spark: SparkSession, sf_dir: str) -> DataFrame:
-    step = batches.single_slot_step()
-    return replay_batches(spark, sf_dir, fixtures.ticks_from, step, "slot-batches").drop("ts")
+    return stream_price_enrich_act(spark, _dealt(spark, sf_dir))
 
 
 def batches_price_enrich_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    step = batches.list_buffer_step()
-    return replay_batches(spark, sf_dir, fixtures.ticks_from, step, "list-batches").drop("ts")
+    return stream_price_enrich_list(spark, _dealt(spark, sf_dir))
 
 
 def batches_price_timer_conflation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    step = batches.timer_conflation_step()
-    out = replay_batches(spark, sf_dir, fixtures.ticks_from, step, "timer-batches", close=True)
-    return out.drop("ts")
+    return stream_price_timer_conflation(spark, _dealt(spark, sf_dir))
 
 
 def batches_rolling_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    step = batches.rolling_quantity_step()
-
-    def prepare(events: DataFrame) -> DataFrame:
-        return _positions(fixtures.ticks_from(events)).drop("ts", "orderId")
-
-    return replay_batches(spark, sf_dir, prepare, step, "rolling-batches")
+    return stream_rolling_quantity(spark, _dealt(spark, sf_dir))
 
 
 STREAMS: dict[str, Query] = {
@@ -218,6 +243,9 @@ STREAMS: dict[str, Query] = {
         stream_word_count_5s,
         stream_message_mv_by_account,
         stream_message_mv_by_symbol,
+        stream_message_timer_conflation,
+        stream_message_list_values,
+        stream_message_rolling_quantity,
         stream_message_symbol_quantity,
         stream_message_cusip_allocations,
         batches_price_enrich_act,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +38,26 @@ def build_session(app: str = "quotelane", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+@contextmanager
+def stream_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Settings that a stream takes over when it starts, whatever session it starts in; the session's own
+    come back after. ``partitions``: into how many parts state is cut, if not the session's number."""
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.session.timeZone": "UTC",
+    }
+    if partitions:
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder for stream checkpoints, state and staged output.
 

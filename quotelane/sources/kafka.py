@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -23,16 +25,18 @@ def source_options(
     starting: str = "latest",
     max_per_batch: int | None = None,
     max_records_per_partition: int | None = None,
+    partition: int | None = None,
 ) -> dict[str, str]:
     """Options of a topic scan. ``starting`` counts for a new query; then its checkpoint does.
 
-    ``max_records_per_partition`` cuts large topic partitions into several tasks.
+    ``max_records_per_partition`` cuts large topic partitions into several tasks. ``partition`` reads one
+    partition only.
     """
     if not servers:
         raise ValueError("the address of the brokers is required")
     options = {
         "kafka.bootstrap.servers": servers,
-        "subscribe": topic,
+        **({"subscribe": topic} if partition is None else {"assign": json.dumps({topic: [partition]})}),
         "startingOffsets": starting,
         "failOnDataLoss": "true",
     }
@@ -50,6 +54,11 @@ def topic_stream(spark: SparkSession, servers: str, topic: str, **options) -> Da
     return spark.readStream.format("kafka").options(**source_options(servers, topic, **options)).load()
 
 
+def partition_streams(spark: SparkSession, servers: str, topic: str, partitions: int, **options) -> list[DataFrame]:
+    """A message frame per partition of a topic, each read once."""
+    return [topic_stream(spark, servers, topic, partition=p, **options) for p in range(partitions)]
+
+
 def record_stream(spark: SparkSession, servers: str, topic: str, schema: str, **options) -> DataFrame:
     """Decoded records of a topic; the schema is a parameter."""
     return codec.decode(topic_stream(spark, servers, topic, **options), schema)

@@ -1,10 +1,11 @@
 """Keyed-state processors: pricing and running totals as rows arrive.
 
-Each processor keeps one security's (or account's) state and sees a micro-batch's rows of that key
-in no order, so it sorts them by arrival. A key's rows of one micro-batch are held in memory by
-one task; bound the micro-batch at the source (``maxBytesPerTrigger``, ``maxOffsetsPerTrigger``).
-Where one key outgrows that, use the micro-batch forms in ``streaming.batches``, which spread a
-key over tasks.
+Each processor keeps one security's (or account's) state. On its own it takes the rows of a key in
+order from one micro-batch to the next, and sorts those of a micro-batch. Where rows come in any
+order, ``streaming.held`` puts them in order first and hands them on by spans of time.
+
+A key's rows of one micro-batch (or span) are held in memory by one task; bound the micro-batch at
+the source (``maxBytesPerTrigger``, ``maxOffsetsPerTrigger``).
 """
 
 from __future__ import annotations
@@ -23,6 +24,16 @@ SYMBOL_SLOT = "quantity INT"
 # Rows given out at a time from a list of any length.
 CHUNK = 10_000
 _STAMP = "ord BIGINT, timestamp BIGINT, ts TIMESTAMP"
+CONFLATED = f"cusip STRING, {ACCOUNT_SLOT}, price DOUBLE, marketValue DOUBLE, timestamp BIGINT, ts TIMESTAMP"
+ROLLED = f"account STRING, subAccount STRING, cusip STRING, {_STAMP}, quantity INT, rollingQuantity BIGINT"
+
+
+def priced_schema(slot: str) -> str:
+    return f"cusip STRING, {slot}, price DOUBLE, {_STAMP}"
+
+
+def listed_schema(slot: str) -> str:
+    return f"cusip STRING, {slot}, price DOUBLE, marketValue DOUBLE, {_STAMP}, positionOrd BIGINT"
 
 
 def _names(ddl: str) -> list[str]:
@@ -58,7 +69,9 @@ class SingleSlot(StatefulProcessor):
         self.price = handle.getValueState("price", "price DOUBLE", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows)
+        yield from self.ordered(key, _in_order(rows))
+
+    def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         priced = []
         if not self.price.exists():
             batch, spent = self._before_lock(batch)
@@ -68,9 +81,9 @@ class SingleSlot(StatefulProcessor):
             latest = batch["price"].where(batch["kind"] == "price").ffill().fillna(kept)
             self.price.update((float(latest.iloc[-1]),))
             priced.append(batch.assign(price=latest)[batch["kind"] == "position"])
-        out = pd.concat(priced)
-        if len(out):
-            yield self._output(key[0], out)
+        priced = [rows for rows in priced if len(rows)]
+        if priced:
+            yield self._output(key[0], pd.concat(priced))
 
     def _before_lock(self, batch: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
         """Rows after the locking price, and the positions that prices before it were spent on."""
@@ -102,59 +115,6 @@ class SingleSlot(StatefulProcessor):
         return out
 
 
-class HeldSlot(SingleSlot):
-    """Single-slot pricing of rows that arrive in any order.
-
-    Rows wait in state until the watermark has passed them, for then no earlier one can come, and
-    are priced in the order of time, kind, partition and offset. What waits is what one side of the
-    leg is ahead of the other, and the slack.
-    """
-
-    ORDER = ("timestamp", "kind", "partition", "offset")
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.handle = handle
-        self.columns = ["timestamp", "kind", "partition", "offset", "price", *self.names]
-        self.held = handle.getListState(
-            "held", f"timestamp BIGINT, kind STRING, partition INT, offset BIGINT, price DOUBLE, {self.slot}"
-        )
-        self.taken = handle.getValueState("taken", "taken BIGINT")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            whole = {"timestamp", "partition", "offset", "quantity"}
-            columns = [
-                [None if pd.isna(v) else int(v) if c in whole else v for v in batch[c].tolist()] for c in self.columns
-            ]
-            if len(batch):
-                self.held.appendList(list(zip(*columns, strict=True)))
-        yield from self._release(key, timerValues)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._release(key, timerValues)
-
-    def _release(self, key, timerValues) -> Iterator[pd.DataFrame]:
-        clock = timerValues.getCurrentWatermarkInMs()
-        waiting = list(self.held.get())
-        ready = [tuple(r) for r in waiting if r[0] <= clock]
-        later = [tuple(r) for r in waiting if r[0] > clock]
-        if later:
-            self.handle.registerTimer(min(r[0] for r in later))
-        if not ready:
-            return
-        if later:
-            self.held.put(later)
-        else:
-            self.held.clear()
-        batch = pd.DataFrame(ready, columns=self.columns).sort_values(list(self.ORDER), ignore_index=True)
-        first = self.taken.get()[0] if self.taken.exists() else 0
-        self.taken.update((first + len(batch),))
-        batch["ord"] = range(first, first + len(batch))
-        batch["ts"] = pd.to_datetime(batch["timestamp"], unit="ms")
-        yield from super().handleInputRows(key, iter([batch]), timerValues)
-
-
 class ListBuffer(StatefulProcessor):
     """All positions wait for the security's next price."""
 
@@ -166,7 +126,9 @@ class ListBuffer(StatefulProcessor):
         self.waiting = handle.getListState("waiting", f"{self.slot}, positionOrd BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows)
+        yield from self.ordered(key, _in_order(rows))
+
+    def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         is_price = batch["kind"] == "price"
         columns = [*self.names, "positionOrd"]
         stamps = ["price", "ord", "timestamp", "ts"]
@@ -222,7 +184,9 @@ class TimerConflation(StatefulProcessor):
         self.deadline = handle.getValueState("deadline", "at BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["timestamp", "ord"], ignore_index=True)
+        yield from self.ordered(key, pd.concat(list(rows)).sort_values(["timestamp", "ord"], ignore_index=True))
+
+    def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         at = batch["timestamp"].to_numpy()
         is_price = (batch["kind"] == "price").to_numpy()
         start = 0
@@ -234,20 +198,32 @@ class TimerConflation(StatefulProcessor):
                     break
                 deadline = int(at[start + prices[0]]) + self.period_ms
                 self.deadline.update((deadline,))
-                self.handle.registerTimer(deadline)
+                self.wait_until(deadline)
             deadline = self.deadline.get()[0]
             stop = start + int(at[start:].searchsorted(deadline))
             self._hold(batch.iloc[start:stop])
             if stop < len(batch):
-                self.handle.deleteTimer(deadline)
+                self.wait_no_more(deadline)
                 yield from self._fire(key[0], deadline)
             start = stop
 
+    def wait_until(self, deadline: int) -> None:
+        self.handle.registerTimer(deadline)
+
+    def wait_no_more(self, deadline: int) -> None:
+        self.handle.deleteTimer(deadline)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         at = expiredTimerInfo.getExpiryTimeInMs()
         if self.deadline.exists() and self.deadline.get()[0] == at:
             yield from self._fire(key[0], at)
 
+    def due(self) -> int | None:
+        return self.deadline.get()[0] if self.deadline.exists() else None
+
+    def passed(self, key) -> Iterator[pd.DataFrame]:
+        yield from self._fire(key[0], self.due())
+
     def _hold(self, rows: pd.DataFrame) -> None:
         prices = rows[rows["kind"] == "price"]
         if len(prices):
@@ -286,7 +262,9 @@ class RollingTotal(StatefulProcessor):
         self.total = handle.getValueState("total", "total BIGINT", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows)
+        yield from self.ordered(key, _in_order(rows))
+
+    def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         before = self.total.get()[0] if self.total.exists() else None
         # null until the first quantity, as a running sum is
         known = batch["quantity"].notna().cummax() | (before is not None)
@@ -314,32 +292,17 @@ def price_single_slot(events: DataFrame, slot: str = ACCOUNT_SLOT, ttl_ms: int |
     mode, column = _time(ttl_ms)
     return events.groupBy("cusip").transformWithStateInPandas(
         SingleSlot(slot, ttl_ms),
-        f"cusip STRING, {slot}, price DOUBLE, {_STAMP}",
+        priced_schema(slot),
         "append",
         mode,
         eventTimeColumnName=column,
     )
 
 
-def price_single_slot_held(events: DataFrame, slot: str = ACCOUNT_SLOT) -> DataFrame:
-    """``price_single_slot`` for sides that run ahead of each other; see ``HeldSlot``.
-
-    Events have ``partition`` and ``offset`` in place of ``ord``, and a watermark on ``ts``. The
-    ``ord`` of the result numbers a security's rows.
-    """
-    return events.groupBy("cusip").transformWithStateInPandas(
-        HeldSlot(slot),
-        f"cusip STRING, {slot}, price DOUBLE, {_STAMP}",
-        "append",
-        "eventTime",
-        eventTimeColumnName="ts",
-    )
-
-
 def price_list_buffer(events: DataFrame, slot: str = ACCOUNT_SLOT) -> DataFrame:
     return events.groupBy("cusip").transformWithStateInPandas(
         ListBuffer(slot),
-        f"cusip STRING, {slot}, price DOUBLE, marketValue DOUBLE, {_STAMP}, positionOrd BIGINT",
+        listed_schema(slot),
         "append",
         "eventTime",
         eventTimeColumnName="ts",
@@ -349,7 +312,7 @@ def price_list_buffer(events: DataFrame, slot: str = ACCOUNT_SLOT) -> DataFrame:
 def price_timer_conflation(events: DataFrame, period_ms: int = PERIOD_MS) -> DataFrame:
     return events.groupBy("cusip").transformWithStateInPandas(
         TimerConflation(period_ms),
-        f"cusip STRING, {ACCOUNT_SLOT}, price DOUBLE, marketValue DOUBLE, timestamp BIGINT, ts TIMESTAMP",
+        CONFLATED,
         "append",
         "eventTime",
         eventTimeColumnName="ts",
@@ -360,8 +323,7 @@ def rolling_quantity(positions: DataFrame, ttl_ms: int | None = None) -> DataFra
     mode, column = _time(ttl_ms)
     return positions.groupBy("account", "subAccount", "cusip").transformWithStateInPandas(
         RollingTotal(ttl_ms),
-        "account STRING, subAccount STRING, cusip STRING, ord BIGINT, timestamp BIGINT, ts TIMESTAMP, "
-        "quantity INT, rollingQuantity BIGINT",
+        ROLLED,
         "append",
         mode,
         eventTimeColumnName=column,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 
 from quotelane.operators import windows
-from quotelane.streaming import keyed
+from quotelane.streaming import held, keyed
 
 
 def with_periodic_watermark(df: DataFrame, slack_ms: int = 0) -> DataFrame:
@@ -25,14 +28,26 @@ def with_lagging_watermark(df: DataFrame, lag_ms: int = 5_000) -> DataFrame:
     return df.withWatermark("ts", f"{lag_ms} milliseconds")
 
 
-def account_leg(events: DataFrame, width: str = "1 minute", in_order: bool = True) -> DataFrame:
-    """``in_order``: a security's rows arrive in order from one micro-batch to the next."""
-    price = keyed.price_single_slot if in_order else keyed.price_single_slot_held
-    priced = price(events, keyed.ACCOUNT_SLOT)
-    return windows.last_value_in_window(priced, windows.ACCOUNT_KEY, ("orderId",), width)
+def with_watermark_each(parts: Sequence[DataFrame], slack_ms: int = 0) -> DataFrame:
+    """Streams united, each with a watermark of its own: the one that lags most holds the clock.
+
+    A partition of a topic is in order by arrival, so with a stream per partition no row is late, whatever the
+    partitions' lags. A partition that has sent nothing yet holds the clock too.
+    """
+    return reduce(DataFrame.unionByName, [with_periodic_watermark(p, slack_ms) for p in parts])
+
+
+def account_leg(events: DataFrame, width: str = "1 minute", order: str | None = None) -> DataFrame:
+    """``order``: what orders rows that arrive in none (``held.MESSAGES`` or ``held.NUMBERED``); without it a
+    security's rows must arrive in order from one micro-batch to the next."""
+    return windows.last_value_in_window(_priced(events, keyed.ACCOUNT_SLOT, order), windows.ACCOUNT_KEY, ("orderId",), width)
+
+
+def symbol_leg(events: DataFrame, width: str = "1 minute", order: str | None = None) -> DataFrame:
+    return windows.last_value_in_window(_priced(events, keyed.SYMBOL_SLOT, order), windows.SYMBOL_KEY, (), width)
 
 
-def symbol_leg(events: DataFrame, width: str = "1 minute", in_order: bool = True) -> DataFrame:
-    price = keyed.price_single_slot if in_order else keyed.price_single_slot_held
-    priced = price(events, keyed.SYMBOL_SLOT)
-    return windows.last_value_in_window(priced, windows.SYMBOL_KEY, (), width)
+def _priced(events: DataFrame, slot: str, order: str | None) -> DataFrame:
+    if order is None:
+        return keyed.price_single_slot(events, slot)
+    return held.price_single_slot(events, slot, order)

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
 
 from quotelane import fixtures
-from quotelane.session import ROCKSDB, work_dir
+from quotelane.session import stream_settings, work_dir
 from quotelane.sinks.writers import file_writer
-from quotelane.streaming import batches
 from quotelane.streaming.legs import with_periodic_watermark
 
 # A micro-batch takes about this much input, which bounds what a task holds of one key.
@@ -21,51 +18,34 @@ BYTES_PER_BATCH = 256 << 20
 CLOSING_GAP = 1_000_000
 
 
-def files_in_order(rows: DataFrame, number: str) -> bool:
-    """Whether the files, oldest first, hold rising ranges of ``number``."""
-    ranges = rows.groupBy(
-        F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("path")
-    ).agg(F.min(number).alias("lo"), F.max(number).alias("hi"))
-    before = Window.orderBy("at", "path").rowsBetween(Window.unboundedPreceding, -1)
+def disorder(rows: DataFrame, number: str) -> int:
+    """How far the files, oldest first, go back in ``number``; files of one age may come in any order."""
+    age = F.unix_millis("_metadata.file_modification_time")
+    ranges = rows.groupBy(age.alias("at"), F.col("_metadata.file_path").alias("path")).agg(
+        F.min(number).alias("lo"), F.max(number).alias("hi")
+    )
     # one row per file
-    overlaps = ranges.withColumn("seen", F.max("hi").over(before)).where(F.col("lo") < F.col("seen"))
-    return overlaps.isEmpty()
+    older = F.max("hi").over(Window.orderBy("at").rangeBetween(Window.unboundedPreceding, -1))
+    together = Window.partitionBy("at")
+    beside = F.when(F.count("*").over(together) > 1, F.max("hi").over(together))
+    back = ranges.select((F.greatest(older, beside) - F.col("lo")).alias("back")).agg(F.max("back")).first()[0]
+    return max(0, back or 0)
 
 
-def _table_stream(spark: SparkSession, path: str, number: str) -> DataFrame:
-    """Stream of a table's files. Files in row order go in micro-batches of bounded size; others
-    go in one, for rows behind the watermark of an earlier micro-batch would be lost."""
+def _table_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Stream of a table's files in micro-batches of bounded size."""
     given = spark.read.parquet(path)
     # a brace pattern, since a stream does not take the plain path of a single file
     folder, name = path.rsplit("/", 1)
-    reader = spark.readStream.schema(given.schema)
-    if files_in_order(given, number):
-        reader = reader.option("maxBytesPerTrigger", BYTES_PER_BATCH)
+    reader = spark.readStream.schema(given.schema).option("maxBytesPerTrigger", BYTES_PER_BATCH)
     return reader.parquet(f"{folder}/{{{name}}}")
 
 
-@contextmanager
-def _stream_settings(spark: SparkSession, rows: DataFrame) -> Iterator[None]:
-    """Settings a stream takes over when it starts; the session's own come back after.
-
-    State is cut into the session's number of shuffle partitions, or fewer on inputs of fewer
-    splits than cores, where most partitions would be empty.
-    """
+def _state_parts(spark: SparkSession, rows: DataFrame) -> int:
+    """The session's number of shuffle partitions, or fewer on inputs of fewer splits than cores, where
+    most partitions would be empty."""
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    useful = max(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
-    settings = {
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.shuffle.partitions": str(min(wanted, useful)),
-    }
-    before = {key: spark.conf.get(key) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    return min(wanted, max(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()))
 
 
 def _finish(writer) -> None:
@@ -73,30 +53,9 @@ def _finish(writer) -> None:
     query.awaitTermination()
 
 
-def _run(
-    spark: SparkSession,
-    path: str,
-    number: str,
-    work: str,
-    writer: Callable[[DataFrame], DataStreamWriter],
-    close: bool,
-) -> None:
-    given = spark.read.parquet(path)
-    rows = _table_stream(spark, path, number)
-    closing = f"{work}/closing"
-    if close:
-        given.limit(0).write.parquet(closing)
-        rows = rows.unionByName(spark.readStream.schema(given.schema).parquet(closing))
-    with _stream_settings(spark, given):
-        _finish(writer(rows))
-        if close:
-            _closing_row(given, number).write.mode("append").parquet(closing)
-            _finish(writer(rows))
-
-
-def _closing_row(given: DataFrame, number: str) -> DataFrame:
+def _closing_row(given: DataFrame, number: str, past: int) -> DataFrame:
     """One row numbered far past the last, its texts empty and all else null."""
-    last = given.agg((F.max(number) + CLOSING_GAP).alias(number))
+    last = given.agg((F.max(number) + past).alias(number))
     rest = {
         f.name: F.lit("" if f.dataType.simpleString() == "string" else None).cast(f.dataType)
         for f in given.schema
@@ -110,45 +69,31 @@ def replay(
     sf_dir: str,
     table: str,
     number: str,
-    plan: Callable[[DataFrame], DataFrame],
+    plan: Callable[[DataFrame, int], DataFrame],
     label: str,
-    close: bool = True,
 ) -> DataFrame:
-    """Stream ``table`` through ``plan`` into files, close the last windows, read the files.
+    """Stream ``table`` through ``plan`` into files, close what is open, read the files.
 
-    Windows close once a later row has come. After the table is through, one row numbered far
-    past the last (column ``number``) is added on a second input; its own window stays open.
-    Plans without windows or timers take ``close=False``.
+    ``plan`` takes the stream and how far its files go back in ``number``, which the watermark must lag
+    behind: no row is late then, in whatever order the files are. After the table is through, one row
+    numbered far past the last is added on a second input; its own window stays open.
     """
     work = work_dir(spark, label)
-    schema = []
-
-    def writer(rows: DataFrame) -> DataStreamWriter:
-        out = plan(rows)
-        schema.append(out.schema)
-        return file_writer(out, f"{work}/out", f"{work}/checkpoint")
-
-    _run(spark, f"{sf_dir}/{table}.parquet", number, work, writer, close)
-    return spark.read.schema(schema[0]).parquet(f"{work}/out")
-
-
-def replay_batches(
-    spark: SparkSession,
-    sf_dir: str,
-    prepare: Callable[[DataFrame], DataFrame],
-    step: batches.Step,
-    label: str,
-    close: bool = False,
-) -> DataFrame:
-    """Stream the events through a micro-batch pricing step and read what it wrote."""
-    work = work_dir(spark, label)
-
-    def writer(rows: DataFrame) -> DataStreamWriter:
-        return batches.writer(prepare(rows), step, f"{work}/out", f"{work}/state", f"{work}/checkpoint")
-
-    _run(spark, f"{sf_dir}/events.parquet", "event_id", work, writer, close)
-    return spark.read.parquet(f"{work}/out").drop("batch")
-
-
-def timed_ticks(events: DataFrame) -> DataFrame:
-    return with_periodic_watermark(fixtures.ticks_from(events))
+    path = f"{sf_dir}/{table}.parquet"
+    given = spark.read.parquet(path)
+    back = disorder(given, number)
+    closing = f"{work}/closing"
+    given.limit(0).write.parquet(closing)
+    rows = _table_stream(spark, path).unionByName(spark.readStream.schema(given.schema).parquet(closing))
+    out = plan(rows, back)
+    with stream_settings(spark, _state_parts(spark, given)):
+        _finish(file_writer(out, f"{work}/out", f"{work}/checkpoint"))
+        _closing_row(given, number, back + CLOSING_GAP).write.mode("append").parquet(closing)
+        _finish(file_writer(out, f"{work}/out", f"{work}/checkpoint"))
+    return spark.read.schema(out.schema).parquet(f"{work}/out")
+
+
+def timed_ticks(events: DataFrame, back: int = 0) -> DataFrame:
+    """Ticks of the event stream, its watermark behind by ``back`` events; one more, as the watermark's own
+    time counts as passed."""
+    return with_periodic_watermark(fixtures.ticks_from(events), (back + 1) * fixtures.STEP_MS if back else 0)
