@@ -40,6 +40,13 @@ def decode(messages: DataFrame, schema: str, extra: tuple[str, ...] = ()) -> Dat
     return messages.withColumn("_m", whole).select(*_fields(fields), *extra)
 
 
+def broken(schema: str) -> Column:
+    """Whether a message holds no record of the schema: absent, or malformed."""
+    text = F.col("value").cast("string")
+    parsed = F.from_json(text, f"{schema}, {_BROKEN} STRING", {"columnNameOfCorruptRecord": _BROKEN})
+    return parsed.isNull() | parsed[_BROKEN].isNotNull()
+
+
 def decode_split(messages: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
     """The rows of well-formed messages, and the malformed messages as they came."""
     parsed, fields = _parsed(messages, schema)

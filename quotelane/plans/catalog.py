@@ -18,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The registered late-data and fixture parameters, repeated by the SQL in oracle.py.
 LATE_WINDOW_MS = 10_000
 PARTITIONS = 4
+ARRIVAL_COLUMNS = ("timestamp", "kind", "partition", "offset", "cusip", "account", "subAccount", "quantity", "orderId", "price")
 ROLLED_COLUMNS = ("timestamp", "account", "subAccount", "cusip", "quantity", "rollingQuantity")
 
 
@@ -88,15 +89,18 @@ def kafka_decode_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.withColumn("bidOffer", F.col("bidOffer").cast("double"))
 
 
-def kafka_decode_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events' free-form messages cut short on every sign-up: sound ones parse, cut ones are set aside."""
+def partly_cut_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A message of every event, cut short on every sign-up."""
     events = fixtures.table(spark, sf_dir, "events")
     whole = F.concat(
         F.lit('{"cusip":"Cusip'), F.col("user_id"), F.lit('","unknown":1,"quantity":'), F.col("event_id"), F.lit("}")
     )
     value = F.when(F.col("event_type") == "signup", F.substring(whole, 1, 12))
-    messages = events.select(F.col("event_id").alias("offset"), value.otherwise(whole).cast("binary").alias("value"))
-    good, dead = codec.decode_split(messages, schemas.SYMBOL_POSITION)
+    return events.select(F.col("event_id").alias("offset"), value.otherwise(whole).cast("binary").alias("value"))
+
+
+def outcomes(good: DataFrame, dead: DataFrame) -> DataFrame:
+    """Decoded records and messages set aside, as one frame."""
     return good.select(
         F.lit("row").alias("outcome"), "cusip", "quantity", F.lit(None).cast("string").alias("raw")
     ).unionByName(
@@ -109,6 +113,11 @@ def kafka_decode_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def kafka_decode_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events' free-form messages, some cut short: sound ones parse, cut ones are set aside."""
+    return outcomes(*codec.decode_split(partly_cut_messages(spark, sf_dir), schemas.SYMBOL_POSITION))
+
+
 def kafka_encode_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _readable(codec.encode_positions(position_records(spark, sf_dir)))
 
@@ -314,6 +323,11 @@ def _in_topic(messages: DataFrame, start_ms: int) -> DataFrame:
     )
 
 
+def closing_messages(messages: DataFrame) -> DataFrame:
+    """One message far past the others, which closes what is open on a topic."""
+    return messages.limit(1).withColumn("timestamp", F.expr("timestamp'2100-01-01 00:00:00'"))
+
+
 def message_mv_by_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = jobs.account_value_messages(position_messages(spark, sf_dir), price_messages(spark, sf_dir))
     return codec.decode_positions(messages)
@@ -334,6 +348,14 @@ def message_list_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec.decode_positions(messages)
 
 
+def message_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message of the account leg."""
+    events = jobs.leg_events(
+        position_messages(spark, sf_dir), price_messages(spark, sf_dir), schemas.POSITION, jobs.pricing.ACCOUNT_FIELDS
+    )
+    return events.select(*ARRIVAL_COLUMNS)
+
+
 def message_rolling_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.running_quantities(position_messages(spark, sf_dir)).select(*ROLLED_COLUMNS)
 
@@ -422,6 +444,7 @@ BATCH: dict[str, Query] = {
         message_timer_conflation,
         message_list_values,
         message_rolling_quantity,
+        message_arrivals,
         message_symbol_quantity,
         message_cusip_allocations,
         source_keyed_json_lines,

@@ -67,12 +67,12 @@ def leg_events(
 
 
 def account_value_messages(
-    positions: Topic, prices: Topic, topic: str = kafka.ACCOUNT_VALUES, slack_ms: int = SLACK_MS
+    positions: Topic, prices: Topic, topic: str = kafka.ACCOUNT_VALUES, slack_ms: int = SLACK_MS, shards: int = 1
 ) -> DataFrame:
     """Position and price messages to market-value messages by account."""
     events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS, slack_ms)
     if events.isStreaming:
-        values = legs.account_leg(events, order=held.MESSAGES)
+        values = legs.account_leg(events, order=held.MESSAGES, shards=shards)
     else:
         values = desk.account_leg(events)
     return codec.encode_positions(values, topic)
@@ -90,6 +90,44 @@ def symbol_value_messages(
     return codec.encode_symbol_positions(values, topic)
 
 
+def arrivals(positions: Topic, prices: Topic, slack_ms: int = SLACK_MS) -> DataFrame:
+    """Every message of a leg once: in order and numbered by security, or late. ``route`` tells which."""
+    events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS, slack_ms)
+    rows = held.in_order(events, "kind STRING, price DOUBLE, account STRING, subAccount STRING, quantity INT, orderId STRING")
+    return _routed(rows, "taken")
+
+
+def account_prices(positions: Topic, prices: Topic, slack_ms: int = SLACK_MS) -> DataFrame:
+    """The account leg up to its windows: priced positions, and the messages that came too late for it."""
+    events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS, slack_ms)
+    return _routed(held.price_single_slot_with_late(events), "priced")
+
+
+def _routed(rows: DataFrame, usual: str) -> DataFrame:
+    return rows.withColumn("route", F.when(F.col("late"), "late").otherwise(usual)).drop("late")
+
+
+def start_account_leg_with_late(
+    spark: SparkSession, positions: Topic, prices: Topic, path: str, checkpoint: str, slack_ms: int = SLACK_MS, **trigger
+) -> list[StreamingQuery]:
+    """The account leg as two queries, whose late messages are kept under ``path``/routes as route ``late``.
+
+    The second values what the first priced, minute by minute, into messages under ``path``/values.
+    """
+    with stream_settings(spark):
+        routed = account_prices(positions, prices, slack_ms)
+        first = writers.routed_writer(routed, "route", f"{path}/routes", f"{checkpoint}/prices").trigger(**trigger).start()
+        priced = spark.readStream.schema(routed.schema).parquet(f"{path}/routes").where("route = 'priced'")
+        values = windows.last_value_in_window(
+            legs.with_periodic_watermark(priced, held.BUCKET_MS), windows.ACCOUNT_KEY, ("orderId",)
+        )
+        if "availableNow" in trigger:
+            first.awaitTermination()
+        messages = codec.encode_positions(values, kafka.ACCOUNT_VALUES)
+        second = writers.file_writer(messages, f"{path}/values", f"{checkpoint}/values").trigger(**trigger).start()
+    return [first, second]
+
+
 def conflated_value_messages(
     positions: Topic,
     prices: Topic,
@@ -122,6 +160,14 @@ def running_quantities(positions: Topic, slack_ms: int = SLACK_MS) -> DataFrame:
     return windows.rolling_quantity(both)
 
 
+def sorted_out(messages: DataFrame, schema: str, topic: str, dead_topic: str = "dead-letters") -> DataFrame:
+    """Messages that hold a record of the schema, for ``topic``; the others as they are, for ``dead_topic``.
+
+    One query on a sink that goes by each row's topic, or on ``writers.routed_writer``, has both.
+    """
+    return messages.withColumn("topic", F.when(codec.broken(schema), dead_topic).otherwise(topic))
+
+
 def compliance_messages(positions: DataFrame, topic: str = "out") -> DataFrame:
     """Position messages to compliance messages."""
     return codec.encode_compliance(
@@ -188,28 +234,42 @@ def start_desk(
     symbol_values: str = kafka.SYMBOL_VALUES,
     trigger: str = "5 seconds",
     partitions: int | None = None,
+    dead_topic: str | None = None,
     **source_options,
 ) -> list[StreamingQuery]:
     """Start both legs on topics. Each leg is a query of its own and reads the prices itself.
 
     With ``partitions``, the number of the topics' partitions, each has a clock of its own and no message is late.
+    With ``dead_topic``, malformed messages go there by a query of their own and the legs leave them out;
+    otherwise one stops its leg.
     """
+    given = {
+        prices: schemas.PRICE, account_positions: schemas.POSITION, symbol_positions: schemas.SYMBOL_POSITION
+    }
 
     def topic(name: str) -> Topic:
         if partitions:
-            return kafka.partition_streams(spark, servers, name, partitions, **source_options)
-        return kafka.topic_stream(spark, servers, name, **source_options)
+            parts = kafka.partition_streams(spark, servers, name, partitions, **source_options)
+        else:
+            parts = [kafka.topic_stream(spark, servers, name, **source_options)]
+        return [p.where(~codec.broken(given[name])) for p in parts] if dead_topic else parts
 
     slack_ms = 0 if partitions else SLACK_MS
-    by_account = account_value_messages(topic(account_positions), topic(prices), account_values, slack_ms)
-    by_symbol = symbol_value_messages(topic(symbol_positions), topic(prices), symbol_values, slack_ms)
+    started = {
+        "account-leg": account_value_messages(topic(account_positions), topic(prices), account_values, slack_ms),
+        "symbol-leg": symbol_value_messages(topic(symbol_positions), topic(prices), symbol_values, slack_ms),
+    }
+    for name, schema in given.items() if dead_topic else ():
+        messages = kafka.topic_stream(spark, servers, name, **source_options)
+        dead = sorted_out(messages, schema, name, dead_topic).where(F.col("topic") == dead_topic)
+        started[f"dead-{name}"] = dead.select("key", "value", "topic")
     with stream_settings(spark):
         return [
             kafka.topic_writer(messages, servers, f"{checkpoint}/{name}")
             .trigger(processingTime=trigger)
             .queryName(name)
             .start()
-            for name, messages in (("account-leg", by_account), ("symbol-leg", by_symbol))
+            for name, messages in started.items()
         ]
 
 

@@ -270,4 +270,9 @@ SELECT "sourcePartition", "arrivalTimestamp", ord, arrival, "timestamp", "window
 ORACLE["message_timer_conflation"] = ORACLE["price_timer_conflation"]
 ORACLE["message_list_values"] = f"""SELECT * EXCLUDE (ord, "positionOrd") FROM ({ORACLE["price_enrich_list"]})"""
 ORACLE["message_rolling_quantity"] = f"""SELECT * EXCLUDE (ord) FROM ({ORACLE["rolling_quantity"]})"""
+ORACLE["message_arrivals"] = f"""WITH {_TICKS}
+SELECT "timestamp", kind, (ord % 4)::INTEGER AS partition, ord AS "offset", cusip,
+    CASE WHEN kind = 'position' THEN account END AS account, CASE WHEN kind = 'position' THEN "subAccount" END AS "subAccount",
+    quantity, CASE WHEN kind = 'position' THEN "orderId" END AS "orderId", price FROM ticks"""
+ORACLE["message_mv_by_account_spread"] = ORACLE["message_mv_by_account"]
 ORACLE["source_keyed_json_lines"] = ORACLE["kafka_decode_order"]

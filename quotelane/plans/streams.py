@@ -13,8 +13,8 @@ from quotelane.operators import codec, projection, windows
 from quotelane.plans import catalog, desk, jobs
 from quotelane.plans.catalog import Query
 from quotelane.session import stream_settings, work_dir
-from quotelane.sinks.writers import file_writer
-from quotelane.streaming import held, keyed, legs
+from quotelane.sinks.writers import file_writer, routed_writer
+from quotelane.streaming import held, keyed, legs, spread
 from quotelane.streaming.replay import replay, timed_ticks
 
 ROWS_PER_FILE = 2_000_000
@@ -148,7 +148,7 @@ def live_messages(topics: dict[str, tuple[DataFrame, int]], make, label: str, pa
 
     run()
     for name, (messages, _) in topics.items():
-        late = messages.limit(1).withColumn("timestamp", F.expr("timestamp'2100-01-01 00:00:00'"))
+        late = catalog.closing_messages(messages)
         if partitions:
             late = late.withColumn("partition", F.explode(F.sequence(F.lit(0), F.lit(partitions - 1))))
         late.coalesce(1).write.mode("append").parquet(f"{work}/{name}")
@@ -167,6 +167,63 @@ def stream_message_mv_by_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec.decode_positions(made)
 
 
+def stream_message_mv_by_account_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One security's positions over several tasks."""
+    topics = _leg_topics(spark, sf_dir)
+    options = {"slack_ms": 0, "shards": spread.SHARDS}
+    made = live_messages(topics, jobs.account_value_messages, "live-spread", catalog.PARTITIONS, **options)
+    return codec.decode_positions(made)
+
+
+def routed_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message once, in order or late, of a topic whose partitions come one after another: with one
+    clock for all of them, most of the later partitions' messages are late."""
+    positions = catalog.position_messages(spark, sf_dir)
+    work = work_dir(spark, "arrivals")
+    for p in range(catalog.PARTITIONS):
+        positions.where(F.col("partition") == p).coalesce(1).write.mode("append").parquet(f"{work}/positions")
+    prices = catalog.price_messages(spark, sf_dir)
+    _topic_files(prices, f"{work}/prices", ROWS_PER_FILE)
+    topics = [
+        spark.readStream.schema(schemas.MESSAGE).option("maxFilesPerTrigger", 1).parquet(f"{work}/{name}")
+        for name in ("positions", "prices")
+    ]
+    out = jobs.arrivals(*topics)
+
+    def run() -> None:
+        with stream_settings(spark):
+            writer = routed_writer(out, "route", f"{work}/out", f"{work}/checkpoint")
+            writer.trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    closing = catalog.closing_messages(positions), catalog.closing_messages(prices)
+    for name, messages in zip(("positions", "prices"), closing, strict=True):
+        messages.coalesce(1).write.mode("append").parquet(f"{work}/{name}")
+    run()
+    return spark.read.schema(out.schema).parquet(f"{work}/out")
+
+
+def stream_message_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages on time and late messages are all messages."""
+    return routed_arrivals(spark, sf_dir).select(*catalog.ARRIVAL_COLUMNS)
+
+
+def stream_kafka_decode_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sound and malformed messages by one query into a folder each."""
+    work = work_dir(spark, "letters")
+    messages = catalog.partly_cut_messages(spark, sf_dir)
+    files = max(3, -(-messages.count() // ROWS_PER_FILE))
+    messages.repartition(files).write.parquet(f"{work}/topic")
+    stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/topic")
+    out = jobs.sorted_out(stream, schemas.SYMBOL_POSITION, "positions")
+    with stream_settings(spark):
+        writer = routed_writer(out, "topic", f"{work}/out", f"{work}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.schema(out.schema).parquet(f"{work}/out")
+    good = codec.decode_symbol_positions(found.where("topic = 'positions'"))
+    return catalog.outcomes(good, found.where("topic = 'dead-letters'"))
+
+
 def stream_message_mv_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = _leg_topics(spark, sf_dir, by_symbol=True)
     made = live_messages(topics, jobs.symbol_value_messages, "live-symbol", catalog.PARTITIONS, slack_ms=0)
@@ -242,6 +299,9 @@ STREAMS: dict[str, Query] = {
         stream_chained_window_rollup,
         stream_word_count_5s,
         stream_message_mv_by_account,
+        stream_message_mv_by_account_spread,
+        stream_message_arrivals,
+        stream_kafka_decode_dead_letters,
         stream_message_mv_by_symbol,
         stream_message_timer_conflation,
         stream_message_list_values,

@@ -16,6 +16,14 @@ def file_writer(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet
     )
 
 
+def routed_writer(rows: DataFrame, route: str, path: str, checkpoint: str) -> DataStreamWriter:
+    """Each row exactly once, in the folder under ``path`` that its ``route`` column names: one query, many sinks.
+
+    Readers take ``path`` and ask for a route, which reads its folder alone.
+    """
+    return file_writer(rows, path, checkpoint).partitionBy(route)
+
+
 def log_frame(rows: DataFrame, marker: str, level: str = "INFO") -> DataFrame:
     """Marker, level and the row as text."""
     if level not in LEVELS:

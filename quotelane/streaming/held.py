@@ -9,6 +9,10 @@ proportion to its rows.
 What a processor makes of a bucket carries the bucket's last millisecond as event time (``ts``), as
 the watermark may have passed single rows of it already; ``timestamp`` stays the row's own. Where
 windows follow, their width must be a multiple of the bucket's.
+
+A row whose bucket has closed is late. Spark drops rows behind the watermark before a processor sees
+them; the ``late`` forms take the time column's mark away first, so these rows come in, and go out again as
+they are with ``late`` set. Together with the rows taken they are all rows.
 """
 
 from __future__ import annotations
@@ -16,7 +20,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from quotelane.operators.conflation import PERIOD_MS
@@ -33,17 +38,26 @@ class Held(StatefulProcessor):
     """``inner`` takes the rows of a bucket by ``ordered``; where it has a time that it is ``due`` at, it is told
     by ``passed`` once all rows before that are in."""
 
-    def __init__(self, inner: StatefulProcessor, columns: str, order: str, bucket_ms: int = BUCKET_MS) -> None:
+    def __init__(
+        self,
+        inner: StatefulProcessor,
+        columns: str,
+        order: str,
+        bucket_ms: int = BUCKET_MS,
+        late: tuple[list[str], list[str]] | None = None,
+    ) -> None:
+        """``late``: names of the key and of all columns that go out, where late rows go out too."""
         fields = {"timestamp": "BIGINT"}
         for part in f"{order}, {columns}".split(","):
             name, kind = part.split()
             fields[name] = kind
         self.inner = inner
+        self.late = late
         self.columns = list(fields)
         self.whole = {c for c, kind in fields.items() if kind in _WHOLE}
         self.row = ", ".join(f"{c}: {kind}" for c, kind in fields.items())
         self.order = ["timestamp", *keyed._names(order)]
-        self.numbers = order != NUMBERED
+        self.numbers = order == MESSAGES
         self.bucket_ms = bucket_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -73,7 +87,13 @@ class Held(StatefulProcessor):
         return list(zip(*columns, strict=True))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        clock = timerValues.getCurrentWatermarkInMs()
         for frame in rows:
+            if self.late:
+                closed = (frame["timestamp"] // self.bucket_ms + 1) * self.bucket_ms - 1 < clock
+                if closed.any():
+                    yield self._late(key, frame[closed])
+                    frame = frame[~closed]
             for bucket, part in frame.groupby(frame["timestamp"] // self.bucket_ms):
                 place = (int(bucket),)
                 number = self.parts.getValue(place)[0] if self.parts.containsKey(place) else 0
@@ -83,7 +103,15 @@ class Held(StatefulProcessor):
                     number += 1
                 self.parts.updateValue(place, (number,))
                 self._wake(int(bucket))
-        return iter(())
+
+    def _late(self, key, rows: pd.DataFrame) -> pd.DataFrame:
+        names, columns = self.late
+        out = pd.DataFrame(self._plain(rows), columns=self.columns)
+        out["ts"] = pd.to_datetime(out["timestamp"], unit="ms")
+        out = out.assign(**dict(zip(names, key, strict=True)), late=True).reindex(columns=columns)
+        if "quantity" in columns:
+            out["quantity"] = out["quantity"].astype("Int32")
+        return out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         at = expiredTimerInfo.getExpiryTimeInMs()
@@ -102,7 +130,7 @@ class Held(StatefulProcessor):
                 batch["ord"] = range(first, first + len(batch))
             batch["ts"] = pd.to_datetime(batch["timestamp"], unit="ms")
             for frame in self.inner.ordered(key, batch):
-                yield frame.assign(ts=pd.Timestamp(at, unit="ms"))
+                yield self._made(frame, at)
         due = self.inner.due() if hasattr(self.inner, "due") else None
         if due is None:
             return
@@ -112,7 +140,28 @@ class Held(StatefulProcessor):
         if end < timerValues.getCurrentWatermarkInMs() or end <= at:
             if not any(self.parts.containsKey((b,)) for b in range(bucket + 1, last + 1)):
                 for frame in self.inner.passed(key):
-                    yield frame.assign(ts=pd.Timestamp(max(at, end), unit="ms"))
+                    yield self._made(frame, max(at, end))
+
+    def _made(self, frame: pd.DataFrame, at: int) -> pd.DataFrame:
+        if self.late:
+            return frame.assign(late=False).reindex(columns=self.late[1])
+        return frame.assign(ts=pd.Timestamp(at, unit="ms"))
+
+
+class Passing:
+    """Rows as they are, in order."""
+
+    def __init__(self, names: list[str]) -> None:
+        self.names = names
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        out = batch.assign(**dict(zip(self.names, key, strict=True)))
+        if "quantity" in out.columns:
+            out["quantity"] = out["quantity"].astype("Int32")
+        yield out
 
 
 def _run(
@@ -123,6 +172,33 @@ def _run(
     )
 
 
+def _run_with_late(
+    events: DataFrame, keys: Sequence[str], inner: StatefulProcessor, columns: str, order: str, schema: str, bucket_ms: int
+) -> DataFrame:
+    """As ``_run``, with late rows; the result has no watermark, as they are older than it."""
+    unmarked = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 0 SECONDS"))
+    late = (list(keys), [*keyed._names(schema), "late"])
+    return unmarked.groupBy(*keys).transformWithStateInPandas(
+        Held(inner, columns, order, bucket_ms, late), f"{schema}, late BOOLEAN", "append", "eventTime"
+    )
+
+
+def in_order(events: DataFrame, columns: str, order: str = MESSAGES, bucket_ms: int = BUCKET_MS) -> DataFrame:
+    """Every row of a security once: in order and numbered (``ord``), or late and without number."""
+    fields = {part.split()[0]: part for part in f"cusip STRING,{columns},{order},ord BIGINT,timestamp BIGINT,ts TIMESTAMP".split(",")}
+    schema = ", ".join(part.strip() for part in fields.values())
+    return _run_with_late(events, ["cusip"], Passing(["cusip"]), columns, order, schema, bucket_ms)
+
+
+def price_single_slot_with_late(
+    events: DataFrame, slot: str = keyed.ACCOUNT_SLOT, order: str = MESSAGES, bucket_ms: int = BUCKET_MS
+) -> DataFrame:
+    """``price_single_slot`` whose late rows go out too, with ``late`` set, ``kind``, and no ``ord``."""
+    columns = f"kind STRING, price DOUBLE, {slot}"
+    schema = f"{keyed.priced_schema(slot)}, kind STRING"
+    return _run_with_late(events, ["cusip"], keyed.SingleSlot(slot), columns, order, schema, bucket_ms)
+
+
 def price_single_slot(
     events: DataFrame, slot: str = keyed.ACCOUNT_SLOT, order: str = MESSAGES, bucket_ms: int = BUCKET_MS
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from quotelane.operators import windows
-from quotelane.streaming import held, keyed
+from quotelane.streaming import held, keyed, spread
 
 
 def with_periodic_watermark(df: DataFrame, slack_ms: int = 0) -> DataFrame:
@@ -37,17 +37,23 @@ def with_watermark_each(parts: Sequence[DataFrame], slack_ms: int = 0) -> DataFr
     return reduce(DataFrame.unionByName, [with_periodic_watermark(p, slack_ms) for p in parts])
 
 
-def account_leg(events: DataFrame, width: str = "1 minute", order: str | None = None) -> DataFrame:
+def account_leg(events: DataFrame, width: str = "1 minute", order: str | None = None, shards: int = 1) -> DataFrame:
     """``order``: what orders rows that arrive in none (``held.MESSAGES`` or ``held.NUMBERED``); without it a
-    security's rows must arrive in order from one micro-batch to the next."""
-    return windows.last_value_in_window(_priced(events, keyed.ACCOUNT_SLOT, order), windows.ACCOUNT_KEY, ("orderId",), width)
+    security's rows must arrive in order from one micro-batch to the next. ``shards``: over how many
+    tasks one security's positions are spread."""
+    priced = _priced(events, keyed.ACCOUNT_SLOT, order, shards)
+    return windows.last_value_in_window(priced, windows.ACCOUNT_KEY, ("orderId",), width)
 
 
-def symbol_leg(events: DataFrame, width: str = "1 minute", order: str | None = None) -> DataFrame:
-    return windows.last_value_in_window(_priced(events, keyed.SYMBOL_SLOT, order), windows.SYMBOL_KEY, (), width)
+def symbol_leg(events: DataFrame, width: str = "1 minute", order: str | None = None, shards: int = 1) -> DataFrame:
+    priced = _priced(events, keyed.SYMBOL_SLOT, order, shards)
+    return windows.last_value_in_window(priced, windows.SYMBOL_KEY, (), width)
 
 
-def _priced(events: DataFrame, slot: str, order: str | None) -> DataFrame:
+def _priced(events: DataFrame, slot: str, order: str | None, shards: int) -> DataFrame:
     if order is None:
         return keyed.price_single_slot(events, slot)
-    return held.price_single_slot(events, slot, order)
+    if shards == 1:
+        return held.price_single_slot(events, slot, order)
+    numbers = ("partition", "offset") if order == held.MESSAGES else ("ord",)
+    return spread.price_single_slot(events.withColumn("seq", spread.sequence(*numbers)), slot, shards)
