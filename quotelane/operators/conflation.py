@@ -155,6 +155,23 @@ def assign_fires(rows: DataFrame, fires: DataFrame, period_ms: int = PERIOD_MS)
     )
 
 
+def timer_state(
+    events: DataFrame, period_ms: int = PERIOD_MS, span_ms: int = SPAN_MS
+) -> DataFrame:
+    """The rows of ``events`` since each security's last fire that is over, which alone put conflation where
+    it ends. A timer that is armed but not over at a security's latest row is still to fire."""
+    latest = events.groupBy("cusip").agg(F.max("timestamp").alias("_latest"))
+    over = (
+        fire_times(events.where(F.col("kind") == "price"), period_ms, span_ms)
+        .join(latest, "cusip")
+        .where(F.col("fire") <= F.col("_latest"))
+        .groupBy("cusip")
+        .agg(F.max("fire").alias("_over"))
+    )
+    since = events.join(over, "cusip", "left")
+    return since.where(F.col("_over").isNull() | (F.col("timestamp") >= F.col("_over"))).drop("_over")
+
+
 def price_timer_conflation(
     events: DataFrame,
     slot: Sequence[str] = ("account", "subAccount"),

@@ -161,6 +161,14 @@ def with_next_price(
     )
 
 
+def list_state(
+    events: DataFrame, fields: Sequence[str] = ACCOUNT_FIELDS, segment_rows: int | None = None
+) -> DataFrame:
+    """The positions that still wait for a price after ``events``."""
+    waiting = with_next_price(events, fields, segment_rows).where((F.col("kind") == "position") & F.col("_next").isNull())
+    return waiting.drop("_next")
+
+
 def value_at_next_price(scanned: DataFrame, fields: Sequence[str] = ACCOUNT_FIELDS) -> DataFrame:
     return scanned.where((F.col("kind") == "position") & F.col("_next").isNotNull()).select(
         "cusip",

@@ -71,6 +71,14 @@ class SingleSlot(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         yield from self.ordered(key, _in_order(rows))
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """A price to keep, or a position to wait; see ``operators.pricing.slot_state``."""
+        for row in initialState.to_dict("records"):
+            if row["kind"] == "price":
+                self.price.update((float(row["price"]),))
+            else:
+                self.waiting.update(_slot(row, self.names))
+
     def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         priced = []
         if not self.price.exists():
@@ -128,6 +136,11 @@ class ListBuffer(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         yield from self.ordered(key, _in_order(rows))
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Positions to wait; see ``operators.pricing.list_state``."""
+        rows = initialState.sort_values("ord").to_dict("records")
+        self.waiting.appendList([(*_slot(row, self.names), int(row["ord"])) for row in rows])
+
     def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         is_price = batch["kind"] == "price"
         columns = [*self.names, "positionOrd"]
@@ -186,6 +199,11 @@ class TimerConflation(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         yield from self.ordered(key, pd.concat(list(rows)).sort_values(["timestamp", "ord"], ignore_index=True))
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """The rows since the last fire, as they came; see ``operators.conflation.timer_state``."""
+        for _ in self.ordered(key, initialState.sort_values(["timestamp", "ord"], ignore_index=True)):
+            raise ValueError("initial rows reach past a fire")
+
     def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         at = batch["timestamp"].to_numpy()
         is_price = (batch["kind"] == "price").to_numpy()
@@ -264,6 +282,12 @@ class RollingTotal(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         yield from self.ordered(key, _in_order(rows))
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """The total so far, in ``rollingQuantity``; none where it is null."""
+        so_far = _plain(initialState["rollingQuantity"].iloc[0])
+        if so_far is not None:
+            self.total.update((int(so_far),))
+
     def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         before = self.total.get()[0] if self.total.exists() else None
         # null until the first quantity, as a running sum is
@@ -284,10 +308,17 @@ def _time(ttl_ms: int | None) -> tuple[str, str]:
     return ("eventTime", "ts") if ttl_ms is None else ("processingTime", "")
 
 
-def price_single_slot(events: DataFrame, slot: str = ACCOUNT_SLOT, ttl_ms: int | None = None) -> DataFrame:
+def _initial(state: DataFrame | None, *keys: str):
+    return None if state is None else state.groupBy(*keys)
+
+
+def price_single_slot(
+    events: DataFrame, slot: str = ACCOUNT_SLOT, ttl_ms: int | None = None, initial: DataFrame | None = None
+) -> DataFrame:
     """Streaming form of ``operators.pricing.price_single_slot``; events carry a watermark on ``ts``.
 
-    With ``ttl_ms``, what a security holds is forgotten that long after it was last set.
+    With ``ttl_ms``, what a security holds is forgotten that long after it was last set. ``initial`` is what
+    a batch run left (``slot_state``): the stream goes on from there.
     """
     mode, column = _time(ttl_ms)
     return events.groupBy("cusip").transformWithStateInPandas(
@@ -295,36 +326,44 @@ def price_single_slot(events: DataFrame, slot: str = ACCOUNT_SLOT, ttl_ms: int |
         priced_schema(slot),
         "append",
         mode,
+        initialState=_initial(initial, "cusip"),
         eventTimeColumnName=column,
     )
 
 
-def price_list_buffer(events: DataFrame, slot: str = ACCOUNT_SLOT) -> DataFrame:
+def price_list_buffer(events: DataFrame, slot: str = ACCOUNT_SLOT, initial: DataFrame | None = None) -> DataFrame:
     return events.groupBy("cusip").transformWithStateInPandas(
         ListBuffer(slot),
         listed_schema(slot),
         "append",
         "eventTime",
+        initialState=_initial(initial, "cusip"),
         eventTimeColumnName="ts",
     )
 
 
-def price_timer_conflation(events: DataFrame, period_ms: int = PERIOD_MS) -> DataFrame:
+def price_timer_conflation(
+    events: DataFrame, period_ms: int = PERIOD_MS, initial: DataFrame | None = None
+) -> DataFrame:
     return events.groupBy("cusip").transformWithStateInPandas(
         TimerConflation(period_ms),
         CONFLATED,
         "append",
         "eventTime",
+        initialState=_initial(initial, "cusip"),
         eventTimeColumnName="ts",
     )
 
 
-def rolling_quantity(positions: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def rolling_quantity(
+    positions: DataFrame, ttl_ms: int | None = None, initial: DataFrame | None = None
+) -> DataFrame:
     mode, column = _time(ttl_ms)
     return positions.groupBy("account", "subAccount", "cusip").transformWithStateInPandas(
         RollingTotal(ttl_ms),
         ROLLED,
         "append",
         mode,
+        initialState=_initial(initial, "account", "subAccount", "cusip"),
         eventTimeColumnName=column,
     )

@@ -9,7 +9,8 @@ import __spark_entry__ as contract
 from quotelane import fixtures
 from quotelane.operators import conflation, pricing, windows
 from quotelane.plans import desk
-from quotelane.streaming import batches, keyed, legs, replay
+from quotelane.session import stream_settings
+from quotelane.streaming import held, keyed, legs, replay, spread
 from tests.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
@@ -53,69 +54,140 @@ def _same(a, b):
     assert left == right
 
 
-def _stream(spark, folder, plan, close=True):
-    return replay.replay(
-        spark, folder, "events", "event_id", lambda e: plan(replay.timed_ticks(e)), "test", close
-    )
+@pytest.fixture(scope="module")
+def dealt_events(spark, tmp_path_factory):
+    """The events dealt over several files in no order."""
+    folder = tmp_path_factory.mktemp("dealt")
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    events.repartition(FILES, F.xxhash64("event_id")).write.parquet(str(folder / "events.parquet"))
+    return str(folder)
+
+
+def _stream(spark, folder, plan, cusips=fixtures.CUSIPS):
+    def ticks(events, back):
+        rows = fixtures.ticks_from(events, cusips)
+        return plan(legs.with_periodic_watermark(rows, (back + 1) * fixtures.STEP_MS if back else 0))
+
+    return replay.replay(spark, folder, "events", "event_id", ticks, "test")
 
 
 def _positions(ticks):
     return ticks.where(F.col("kind") == "position").drop("kind", "price")
 
 
-def test_micro_batches_are_cut(spark, cut_events):
+def _numbered(operator, **options):
+    return lambda t: operator(t, order=held.NUMBERED, **options).drop("ts")
+
+
+CASES = {
+    "slot": (_numbered(held.price_single_slot), pricing.price_single_slot, None),
+    "list": (_numbered(held.price_list_buffer), pricing.price_list_buffer, 8),
+    # a short period and a security per user: most timers fire on keys without further rows
+    "timer": (_numbered(held.price_timer_conflation, period_ms=3_000), lambda t: conflation.price_timer_conflation(t, period_ms=3_000), None),
+    "long timer": (_numbered(held.price_timer_conflation), conflation.price_timer_conflation, 8),
+    "rolling": (
+        lambda t: held.rolling_quantity(_positions(t), held.NUMBERED).drop("ts"),
+        lambda t: windows.rolling_quantity(_positions(t)).select(
+            "account", "subAccount", "cusip", "ord", "timestamp", "quantity", "rollingQuantity"
+        ),
+        8,
+    ),
+}
+
+
+def test_disorder_is_measured(spark, cut_events, dealt_events):
     given = spark.read.parquet(f"{cut_events}/events.parquet")
-    assert replay.files_in_order(given, "event_id")
-    assert not replay.files_in_order(given.withColumn("back", -F.col("event_id")), "back")
+    assert replay.disorder(given, "event_id") == 0
+    assert replay.disorder(given.withColumn("back", -F.col("event_id")), "back") > 0
+    dealt = spark.read.parquet(f"{dealt_events}/events.parquet")
+    span = dealt.agg(F.max("event_id") - F.min("event_id")).first()[0]
+    assert 0 < replay.disorder(dealt, "event_id") <= span
 
 
-def test_account_leg(spark, cut_events):
-    _same(_stream(spark, cut_events, legs.account_leg), desk.account_leg(fixtures.ticks(spark, SF)))
+@pytest.mark.parametrize("layout", ["cut_events", "dealt_events"])
+@pytest.mark.parametrize("case", list(CASES))
+def test_held_rows_equal_batch(spark, request, layout, case):
+    plan, batch, cusips = CASES[case]
+    out = _stream(spark, request.getfixturevalue(layout), plan, cusips)
+    _same(out, batch(fixtures.ticks(spark, SF, cusips)).drop("ts"))
 
 
-def test_single_slot_many_securities(spark, cut_events):
-    out = replay.replay(
-        spark,
-        cut_events,
-        "events",
-        "event_id",
-        lambda e: keyed.price_single_slot(
-            legs.with_periodic_watermark(fixtures.ticks_from(e, None)), keyed.ACCOUNT_SLOT
-        ),
-        "test",
-        close=False,
-    )
-    _same(out, pricing.price_single_slot(fixtures.ticks(spark, SF, None)))
+def test_account_leg(spark, cut_events, dealt_events):
+    batch = desk.account_leg(fixtures.ticks(spark, SF))
+    _same(_stream(spark, cut_events, legs.account_leg), batch)
+    _same(_stream(spark, dealt_events, lambda t: legs.account_leg(t, order=held.NUMBERED)), batch)
 
 
-def test_list_buffer(spark, cut_events):
-    out = _stream(spark, cut_events, keyed.price_list_buffer, close=False)
-    _same(out, pricing.price_list_buffer(fixtures.ticks(spark, SF)))
+def test_one_security_over_many_tasks(spark, dealt_events):
+    def plan(ticks):
+        return spread.price_single_slot(ticks.withColumn("seq", spread.sequence("ord")), shards=5)
 
+    for cusips in (8, None):
+        out = _stream(spark, dealt_events, plan, cusips).drop("ts", "ord")
+        _same(out, pricing.price_single_slot(fixtures.ticks(spark, SF, cusips)).drop("ts", "ord"))
 
-def test_timer_conflation(spark, cut_events):
-    out = _stream(spark, cut_events, keyed.price_timer_conflation)
-    _same(out, conflation.price_timer_conflation(fixtures.ticks(spark, SF)))
 
+ORDERED = {
+    "slot": (keyed.price_single_slot, pricing.price_single_slot, pricing.slot_state),
+    "list": (keyed.price_list_buffer, pricing.price_list_buffer, pricing.list_state),
+    "timer": (keyed.price_timer_conflation, conflation.price_timer_conflation, conflation.timer_state),
+}
 
-def test_timer_conflation_of_a_quiet_security(spark, cut_events):
-    """A short period and a security per user: most timers fire on keys without further rows."""
-    ticks = fixtures.ticks(spark, SF, None)
-    out = replay.replay(
-        spark,
-        cut_events,
-        "events",
-        "event_id",
-        lambda e: keyed.price_timer_conflation(
-            legs.with_periodic_watermark(fixtures.ticks_from(e, None)), 3_000
-        ),
-        "test",
-    )
-    _same(out, conflation.price_timer_conflation(ticks, period_ms=3_000))
+
+@pytest.mark.parametrize("case", list(ORDERED))
+def test_stream_goes_on_from_a_batch(spark, tmp_path, case):
+    """Batch over the first part, live from its state over the rest: as batch over all."""
+    live, batch, state = ORDERED[case]
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    cut = events.count() * 2 // 5
+    events.where(F.col("event_id") >= cut).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    first = fixtures.ticks_from(events.where(F.col("event_id") < cut))
+    initial = spark.createDataFrame(state(first).collect(), state(first).schema)
+    later = _stream(spark, str(tmp_path), lambda t: live(t, initial=initial)).drop("ts")
+    done = batch(first)
+    if case == "timer":  # what is armed at the cut fires in the stream
+        latest = first.groupBy("cusip").agg(F.max("timestamp").alias("latest"))
+        done = done.join(latest, "cusip").where(F.col("timestamp") <= F.col("latest")).drop("latest")
+    _same(done.drop("ts").unionByName(later), batch(fixtures.ticks(spark, SF)).drop("ts"))
+
+
+@pytest.mark.parametrize("lost", [False, True], ids=["stopped", "lost commit"])
+def test_restart_at_every_micro_batch(spark, tmp_path, lost):
+    """A query stopped after each micro-batch, or before the batch was committed, goes on as one that ran through."""
+    source = tmp_path / "in"
+    ticks = fixtures.ticks(spark, SF)
+    rows = ticks.count()
+    schema = ticks.schema
+    for i in range(FILES):
+        part = ticks.where((F.col("ord") >= rows * i // FILES) & (F.col("ord") < rows * (i + 1) // FILES))
+        part.coalesce(1).write.mode("append").parquet(str(source))
+        stream = legs.with_periodic_watermark(spark.readStream.schema(schema).parquet(str(source)))
+        out = keyed.price_single_slot(stream)
+        with stream_settings(spark):
+            writer = out.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+            writer = writer.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True)
+            writer.start().awaitTermination()
+        if lost:
+            commits = sorted((tmp_path / "checkpoint/commits").glob("[0-9]*"), key=lambda f: int(f.name))
+            commits[-1].unlink()
+            (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    _same(spark.read.parquet(str(tmp_path / "out")), pricing.price_single_slot(ticks))
+    if lost:
+        return
+    # what the store holds is what a batch run says it must
+    with stream_settings(spark):
+        held_price, waiting = (
+            {r["key"]["cusip"]: r["value"] for r in
+             spark.read.format("statestore").option("stateVarName", name).load(str(tmp_path / "checkpoint")).collect()}
+            for name in ("price", "waiting")
+        )
+    expected = {r["cusip"]: r for r in pricing.slot_state(ticks).collect()}
+    assert {c: v["price"] for c, v in held_price.items()} == {c: r["price"] for c, r in expected.items() if r["kind"] == "price"}
+    assert {c: v["orderId"] for c, v in waiting.items()} == {c: r["orderId"] for c, r in expected.items() if r["kind"] == "position"}
 
 
 def test_rolling_quantity(spark, cut_events):
-    out = _stream(spark, cut_events, lambda t: keyed.rolling_quantity(_positions(t)), close=False)
+    out = _stream(spark, cut_events, lambda t: keyed.rolling_quantity(_positions(t)))
     batch = windows.rolling_quantity(fixtures.positions(spark, SF)).select(*out.columns)
     _same(out, batch)
 
@@ -130,34 +202,6 @@ def test_chained_allocation_lists(spark, cut_events):
     _same(out, desk.rolled_up_allocations(fixtures.positions(spark, SF)))
 
 
-@pytest.mark.parametrize(
-    ("step", "batch"),
-    [
-        (batches.single_slot_step(segment_rows=16), lambda t: pricing.price_single_slot(t)),
-        (batches.list_buffer_step(segment_rows=16), lambda t: pricing.price_list_buffer(t)),
-        (batches.timer_conflation_step(3_000), lambda t: conflation.price_timer_conflation(t, period_ms=3_000)),
-    ],
-    ids=["slot", "list", "timer"],
-)
-@pytest.mark.parametrize("cusips", [8, None])
-def test_micro_batch_pricing(spark, cut_events, step, batch, cusips):
-    out = replay.replay_batches(
-        spark, cut_events, lambda e: fixtures.ticks_from(e, cusips), step, "test", close=True
-    )
-    _same(out, batch(fixtures.ticks(spark, SF, cusips)))
-
-
-def test_micro_batch_rolling(spark, cut_events):
-    out = replay.replay_batches(
-        spark,
-        cut_events,
-        lambda e: _positions(fixtures.ticks_from(e)).drop("ts", "orderId"),
-        batches.rolling_quantity_step(16),
-        "test",
-    )
-    _same(out, windows.rolling_quantity(fixtures.positions(spark, SF)).select(*out.columns))
-
-
 def test_word_stream_equals_sql(spark):
     name = "stream_word_count_5s"
     ours = contract.queries()[name](spark, SF).toPandas()
