@@ -44,7 +44,19 @@ def written(df: DataFrame, label: str, light: bool = False, release: bool = Fals
         spark.conf.set(_ARROW_SETTING, before)
     if release:
         spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._written_to = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete intermediate results once all that was made of them is written too.
+
+    Nothing may need them again, not even after an executor is lost.
+    """
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def word_count(text: Column) -> Column:

@@ -13,6 +13,13 @@ What lies further out is parted into rings of that width. By the triangle inequa
 neighbouring rings at most, so each ring is joined with itself and the next only, large rings in
 blocks. Components of the links found are components of all links.
 
+Most documents are near no other, and first such are set aside. In the order of their hashes, the first
+elements that two linked sets have in common lie near the beginning of both: of a set of n, among the first
+n - part + k, if k of them are asked for. So a document that may be linked has at least that many elements at its
+beginning which other documents have at theirs; passages that documents share are too few. The
+beginnings are compared by short hashes in buckets of the hash range, and only documents that reach the number
+have cells.
+
 Whether sets are equal and how far they are apart is decided on 64-bit hashes of the shingles.
 
 Defined cases: a null or wordless text has an empty set, linked with nothing; a text of fewer words
@@ -28,10 +35,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelane.llm.common import pieces, written
+from quotelane.llm.common import discard, pieces, written
 from quotelane.llm.graph import components
 from quotelane.llm.shingles import chunked, mix, shingle_sets
 
@@ -40,7 +47,10 @@ WIDTH = 3
 BAND = 1.5
 ENTRIES_PER_BUCKET = 400_000
 BLOCK = 512
-FILTER_BITS = 1 << 24
+# A bit map of ids has 16 bits an id, 64 MiB at most; beyond 32 million ids it lets more others through.
+MOST_FILTER_BITS = 1 << 29
+# One in so many elements is asked for at the beginning of a set.
+ASKED_SHARE = 10
 
 
 class Plan:
@@ -158,6 +168,162 @@ def _widen(base: int, raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<i8") if base < 0 else np.frombuffer(raw, "<u4").astype(np.int64) + base
 
 
+def _beginning(n, part: int, whole: int):
+    """How many of a set's elements are its beginning."""
+    return np.minimum(n, n - -(-part * n // whole) + 1 + n // ASKED_SHARE)
+
+
+def _needed(n: Column, part: int, whole: int) -> Column:
+    """How many of its beginning a linked document shares: the smaller of two linked sets has part / whole
+    of the larger at least, and each set asks for its own number."""
+    least = -F.floor(-n * part / whole)
+    return (1 + F.floor(least / ASKED_SHARE)).cast("long")
+
+
+OFFERED = pa.schema([("bucket", pa.int32()), ("names", pa.binary()), ("refs", pa.binary()), ("known", pa.binary())])
+
+
+def _short(refs: np.ndarray) -> bytes:
+    """48-bit numbers in six bytes each."""
+    return refs.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _long(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return wide.view("<u8").ravel()
+
+
+def _sorted_names(codes: np.ndarray, bits: int) -> np.ndarray:
+    return mix(codes ^ np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits)
+
+
+def _steps(names: np.ndarray) -> bytes:
+    """Sorted numbers as the first and 32-bit steps where they fit, else as they are (marked by their first byte)."""
+    steps = np.diff(names)
+    if not len(steps) or int(steps.max()) < 1 << 32:
+        return b"\x00" + names[:1].tobytes() + steps.astype("<u4").tobytes()
+    return b"\x01" + names.tobytes()
+
+
+def _from_steps(raw: bytes) -> np.ndarray:
+    if raw[0]:
+        return np.frombuffer(raw, "<u8", offset=1)
+    first = np.frombuffer(raw, "<u8", 1, 1)
+    return np.cumsum(np.append(first, np.frombuffer(raw, "<u4", offset=9).astype(np.uint64)))
+
+
+def _offer(width: int, part: int, whole: int, buckets: int, bits: int):
+    """Beginnings of sets, packed by bucket. What a chunk of documents holds twice is known to be shared: it is counted
+    here (buckets below 0) and sent once, marked, so no bucket gathers a frequent element."""
+
+    def packed(codes: np.ndarray, ends: np.ndarray) -> pa.RecordBatch | None:
+        n = np.diff(ends, prepend=0)
+        some = np.flatnonzero(n)
+        if not len(some):
+            return None
+        starts = (ends - n)[some]
+        refs = np.add.reduceat(mix(codes), starts) >> np.uint64(16)
+        first = _beginning(n[some], part, whole)
+        at = np.repeat(starts - (np.cumsum(first) - first), first) + np.arange(first.sum())
+        names, owner = _sorted_names(codes[at], bits), np.repeat(refs, first)
+        order = np.lexsort((owner, names))
+        names, owner = names[order], owner[order]
+        new = np.append(True, (names[1:] != names[:-1]) | (owner[1:] != owner[:-1]))  # equal sets are one
+        names, owner = names[new], owner[new]
+        again = np.append(False, names[1:] == names[:-1])
+        shared = again.copy()
+        shared[:-1] |= again[1:]
+        rows: tuple[list, ...] = ([], [], [], [])
+
+        def put(bucket: np.ndarray, make) -> None:
+            if not len(bucket):
+                return
+            cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            for a, b in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
+                for column, value in zip(rows, (int(bucket[a]), *make(a, b)), strict=True):
+                    column.append(value)
+
+        sent_names, sent_refs, sent_known = names[~again], owner[~again], shared[~again]
+        # buckets are ranges of the names, so steps within them are short
+        places = (sent_names >> np.uint64(bits - 24)) * np.uint64(buckets) >> np.uint64(24)
+        put(places.astype(np.int64), lambda a, b: (_steps(sent_names[a:b]), _short(sent_refs[a:b]), np.packbits(sent_known[a:b]).tobytes()))
+        mine, counts = np.unique(owner[shared], return_counts=True)
+        home = -1 - (mix(mine) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(home, kind="stable")
+        mine, counts, home = mine[order], counts[order], home[order]
+        put(home, lambda a, b: (counts[a:b].astype("<u4").tobytes(), _short(mine[a:b]), b""))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, OFFERED, strict=True)], schema=OFFERED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for a, b in chunked(texts):
+                out = packed(*shingle_sets(texts[a:b], width))
+                if out is not None:
+                    yield out
+
+    return run
+
+
+def _counted(table: pa.Table) -> pa.Table:
+    """Elements of each document that others have, of one bucket."""
+    bucket = table.column("bucket")[0].as_py()
+    refs = np.concatenate([_long(r) for r in table.column("refs").to_pylist()])
+    if bucket < 0:
+        counts = np.concatenate([np.frombuffer(c, "<u4") for c in table.column("names").to_pylist()])
+    else:
+        names = np.concatenate([_from_steps(r) for r in table.column("names").to_pylist()])
+        sizes = [len(r) // 6 for r in table.column("refs").to_pylist()]
+        known = [np.unpackbits(np.frombuffer(k, np.uint8), count=c) for k, c in zip(table.column("known").to_pylist(), sizes, strict=True)]
+        known = np.concatenate(known).astype(bool)
+        order = np.lexsort((refs, names))
+        names, refs, known = names[order], refs[order], known[order]
+        first = np.append(True, names[1:] != names[:-1])
+        group = np.cumsum(first) - 1
+        apart = np.append(True, first[1:] | (refs[1:] != refs[:-1]))
+        several = (np.bincount(group, weights=apart) > 1) | (np.bincount(group, weights=known) > 0)
+        # marked ones are counted where they come from
+        refs = refs[several[group] & ~known & apart]
+        counts = np.ones(len(refs), np.int64)
+    found, place = np.unique(refs, return_inverse=True)
+    sums = np.bincount(place, weights=counts, minlength=len(found)).astype(np.int64)
+    return pa.table({"ref": pa.array(found.astype(np.int64)), "shared": pa.array(sums)})
+
+
+def _bit_map(ids: DataFrame, count: int) -> tuple[np.ndarray, int]:
+    """A bit map of ids and its number of bits, which is bounded."""
+    size = 1 << 16
+    while size < 16 * count and size < MOST_FILTER_BITS:
+        size *= 2
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) & np.uint64(size - 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((at >> np.uint64(6)).astype(np.int64)), _ints(np.uint64(1) << (at & np.uint64(63)))], names=["place", "bit"]
+            )
+
+    marks = ids.mapInArrow(places, "place long, bit long").groupBy("place").agg(F.bit_or("bit").alias("bits")).toPandas()
+    bits = np.zeros(size // 64, np.uint64)
+    bits[marks["place"].to_numpy()] = marks["bits"].to_numpy().astype(np.int64).view(np.uint64)
+    return bits, size
+
+
+def _maybe(held):
+    """Rows whose id (first column) may be in the bit map."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, size = held.value
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            at = mix(ids.astype(np.int64).view(np.uint64)) & np.uint64(size - 1)
+            maybe = (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
+            yield batch.take(pa.array(np.flatnonzero(maybe)))
+
+    return run
+
+
 ASKED = pa.schema([("bucket", pa.int32()), ("shared", pa.bool_()), ("cells", pa.binary()), ("base", pa.int64()), ("reps", pa.binary())])
 
 
@@ -216,19 +382,15 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.table({"cell": _ints(np.concatenate([c for c, _ in found])), "rep": pa.array(np.concatenate([r for _, r in found]), pa.int64())})
 
 
-def _sets_of(width: int, bits: np.ndarray):
-    """The sets of documents whose id may be wanted."""
+def _sets_of(width: int):
+    """The sets of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            at = mix(ids.astype(np.int64).view(np.uint64)) & np.uint64(FILTER_BITS - 1)
-            maybe = (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
-            rows = np.flatnonzero(maybe)
-            texts = batch.column(1).take(pa.array(rows)).to_pylist()
+            texts = batch.column(1).to_pylist()
             for a, b in chunked(texts):
                 codes, ends = shingle_sets(texts[a:b], width)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[rows[a:b]], pa.int64()), _blobs(codes, ends)], names=["rep", "set"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _blobs(codes, ends)], names=["rep", "set"])
 
     return run
 
@@ -354,22 +516,40 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     fields = "doc_id long, n long, k1 long, k2 long"
     light = written(texts.mapInArrow(_described(width, None), fields), "sets")
-    # equal sets are one: until pairs are found a set goes by its hash, then by its smallest id
+    named_texts = texts.where("doc_id IS NOT NULL")
+    keyed = light.where("doc_id IS NOT NULL").select("doc_id", "n", "k1", "k2")
+    # equal sets are one: the text of smallest id stands for them
+    reps = written(keyed.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep")), "reps", light=True)
+    # which documents have enough in common with others to be linked at all
+    n = F.col("n")
+    offered = light.agg(F.sum(n + 1 + F.floor(n / ASKED_SHARE) + F.floor(-n * part / whole))).first()[0]
+    buckets = pieces(offered, ENTRIES_PER_BUCKET * 4)
+    bits = min(64, max(24, int(offered or 1).bit_length() + 16))
+    counted = (
+        named_texts.mapInArrow(_offer(width, part, whole, buckets, bits), "bucket int, names binary, refs binary, known binary")
+        .groupBy("bucket")
+        .applyInArrow(_counted, "ref long, shared long")
+        .groupBy("ref")
+        .agg(F.sum("shared").alias("shared"))
+    )
+    counted = written(counted, "beginnings", light=True, release=True)
+    met = reps.withColumn("ref", F.shiftrightunsigned("k1", 16)).join(counted, "ref")
+    near = written(met.where(F.col("shared") >= _needed(n, part, whole)).drop("ref", "shared"), "near", light=True)
+    held = spark.sparkContext.broadcast(_bit_map(near.select("rep").distinct(), near.count()))
+    some = named_texts.mapInArrow(_maybe(held), "doc_id long, text string")
+    # until pairs are found a set goes by its hash, then by its smallest id
     heavy = (
-        texts.where("doc_id IS NOT NULL")
-        .mapInArrow(_described(width, plan), fields + ", cells binary")
+        some.mapInArrow(_described(width, plan), fields + ", cells binary")
         .where("length(cells) > 0")
         .select(F.col("k1").alias("rep"), "cells")
     )
-    keyed = light.where("doc_id IS NOT NULL").select("doc_id", "n", "k1", "k2")
-    reps = written(keyed.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep")), "reps", light=True)
-    entries = light.agg(F.sum("n")).first()[0]
+    entries = near.agg(F.sum("n")).first()[0]
     buckets = pieces(entries, ENTRIES_PER_BUCKET * 4)
     asked = heavy.mapInArrow(_ask(buckets), "bucket int, shared boolean, cells binary, base long, reps binary")
     entries = written(asked.groupBy("bucket").applyInArrow(_shared, "cell long, rep long"), "cells", release=True)
     pivots = entries.groupBy("cell").agg(F.min("rep").alias("pivot"))
     hashed = entries.join(pivots, "cell").where("rep <> pivot").select("pivot", "rep").distinct()
-    names = reps.groupBy("k1").agg(F.min("rep").alias("name"))
+    names = near.groupBy("k1").agg(F.min("rep").alias("name"))
     pairs = written(
         hashed.join(names.select(F.col("k1").alias("pivot"), F.col("name").alias("p")), "pivot")
         .join(names.select(F.col("k1").alias("rep"), F.col("name").alias("r")), "rep")
@@ -378,23 +558,11 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE)
         light=True,
         release=True,
     )
-    # a bit map of fixed size says which documents' sets may be wanted; the joins decide
-    wanted = pairs.select("rep").unionByName(pairs.select(F.col("pivot").alias("rep"))).distinct()
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) & np.uint64(FILTER_BITS - 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((at >> np.uint64(6)).astype(np.int64)), _ints(np.uint64(1) << (at & np.uint64(63)))], names=["place", "bit"]
-            )
-
-    marks = wanted.mapInArrow(places, "place long, bit long").groupBy("place").agg(F.bit_or("bit").alias("bits")).toPandas()
-    bits = np.zeros(FILTER_BITS // 64, np.uint64)
-    bits[marks["place"].to_numpy()] = marks["bits"].to_numpy().astype(np.int64).view(np.uint64)
-    held = spark.sparkContext.broadcast(bits)
-    sets = texts.where("doc_id IS NOT NULL").mapInArrow(
-        lambda batches: _sets_of(width, held.value)(batches), "rep long, set binary"
-    )
+    discard(entries, counted)
+    # a bit map says which documents' sets may be wanted; the joins decide
+    wanted = written(pairs.select("rep").unionByName(pairs.select(F.col("pivot").alias("rep"))).distinct(), "asked", light=True)
+    chosen = spark.sparkContext.broadcast(_bit_map(wanted, wanted.count()))
+    sets = named_texts.mapInArrow(_maybe(chosen), "doc_id long, text string").mapInArrow(_sets_of(width), "rep long, set binary")
     sets = written(sets.join(wanted, "rep", "left_semi").dropDuplicates(["rep", "set"]), "wanted", release=True)
     star = written(
         pairs.join(sets, "rep")
@@ -408,6 +576,7 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE)
     links = star.where("linked").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
     links = links.unionByName(_regions(star, sets, part, whole))
     found = components(links)
+    discard(star, sets, wanted, pairs, near)
     named = reps.join(found, reps["rep"] == found["node"], "left").select(
         "k1", "k2", "n", F.coalesce("component", "rep").alias("component_id")
     )
