@@ -27,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotelane.llm.common import written
+from quotelane.llm.common import pieces, written
 from quotelane.operators.numbering import numbered
 
 LEAST_LENGTH = 5
 LEAST_COUNT = 3
 SLIPS = 97
 HEAD = 24
+WORDS_PER_TASK = 20_000
 MARK = "$"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PRIMES = ((1 << 61) - 1, (1 << 61) - 31)
@@ -105,7 +106,9 @@ def rotations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def neighbours(words: DataFrame) -> DataFrame:
     """Of words (number, word, n): n_near and the best near word (form_n, form_number) of each that has any."""
-    sorted_ = words.select("number", "word", "n").mapInArrow(rotations, ROTATION)
+    # by count, as the file of a vocabulary may be one small split
+    dealt = words.select("number", "word", "n").repartition(pieces(words.count(), WORDS_PER_TASK))
+    sorted_ = dealt.mapInArrow(rotations, ROTATION)
     start = ["head", "rest1", "rest2"]
     ranged = sorted_.repartitionByRange(*start)
     run = Window.partitionBy(*start)
