@@ -5,13 +5,14 @@ last, whose rows are pieces of packed sequences. ``run`` writes each stage's res
 reads it back for the next.
 
 Defined cases, beside those of the operators: a null text has no language and goes in the first
-stage; documents without id can't be named by the join and stay, repeated ones once; an empty table
-passes through every stage.
+stage; decisions go by the row, not the id, so of rows of one id each is judged by its own text, and rows
+without id are judged too; rows equal in all columns are one to the join, and each of them takes its part in
+a mix; an empty table passes through every stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelane.llm import jaccard, language, mixing, packing, secrets
@@ -32,13 +33,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     )
 
 
+def _row_key() -> Column:
+    """A number of the row's contents; equal rows have one."""
+    return F.xxhash64("doc_id", "text", "lang", "source", "n_chars")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of smallest id of each group of near copies."""
+    """Keep one document of each group of near copies: that of smallest id, those without id last."""
     docs = docs.select(*COLUMNS)
-    found = jaccard.classes(docs, NEAR_WORDS, NEAR_SHARE)
-    goes = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(goes, "doc_id", "left_anti")
-    return kept.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).select(*COLUMNS)
+    keyed = docs.select(_row_key().alias("doc_id"), F.col("doc_id").alias("id"), "text")
+    found = jaccard.classes(keyed, NEAR_WORDS, NEAR_SHARE).select(F.col("doc_id").alias("_row"), "component_id")
+    found = written(found, "near-copies", light=True)
+    ids = keyed.select(F.col("doc_id").alias("_row"), "id")
+    first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("_row")))
+    stays = found.join(ids, "_row").groupBy("component_id").agg(first["_row"].alias("_row"))
+    goes = found.select("_row").distinct().join(stays, "_row", "left_anti")
+    kept = docs.withColumn("_row", _row_key()).join(goes, "_row", "left_anti")
+    return kept.dropDuplicates(["_row"]).select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,21 +69,22 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; where a source's budget ends, the words up to there."""
-    docs = docs.select(*COLUMNS).withColumn("_hash", F.xxhash64("text"))
-    taken = mixing.mix(docs, word_count(F.col("text")), keys=("doc_id", "_hash")).where(F.col("taken") > 0)
-    taken = taken.select(
-        F.col("doc_id").alias("_id"),
-        F.col("_hash").alias("_key"),
-        F.col("epochs").cast("int").alias("_epochs"),
-        (F.col("taken") - F.col("epochs") * F.col("size")).cast("int").alias("_cut"),
+    docs = docs.select(*COLUMNS).withColumn("_row", _row_key())
+    taken = mixing.mix(docs, word_count(F.col("text")), keys=("doc_id", "_row")).where(F.col("taken") > 0)
+    cut = F.col("taken") - F.col("epochs") * F.col("size")
+    whole = F.col("epochs") + F.when(cut == F.col("size"), 1).otherwise(0)
+    # equal rows are interchangeable: together they have their whole copies, and one of a source at most is cut
+    taken = taken.groupBy("_row").agg(
+        F.sum(whole).cast("int").alias("_copies"),
+        F.max(F.when(cut < F.col("size"), cut).otherwise(0)).cast("int").alias("_cut"),
     )
-    rows = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_id"]) & (docs["_hash"] == taken["_key"]))
+    rows = docs.join(taken, "_row").dropDuplicates(["_row"])
     words = F.regexp_extract_all("text", F.lit(rf"([\x20\x09-\x0D]*{WORD})"), F.lit(1))
     rest = F.when(F.col("_cut") > 0, F.array(F.array_join(F.slice(words, 1, F.col("_cut")), ""))).otherwise(
         F.array().cast("array<string>")
     )
     copies = rows.select(
-        "doc_id", F.explode(F.concat(F.array_repeat("text", F.col("_epochs")), rest)).alias("text"), "lang", "source", "n_chars"
+        "doc_id", F.explode(F.concat(F.array_repeat("text", F.col("_copies")), rest)).alias("text"), "lang", "source", "n_chars"
     )
     return copies.withColumn("n_chars", F.length("text").cast("long"))
 
