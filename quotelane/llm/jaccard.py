@@ -13,7 +13,8 @@ What lies further out is parted into rings of that width. By the triangle inequa
 neighbouring rings at most, so each ring is joined with itself and the next only, large rings in
 blocks. Components of the links found are components of all links.
 
-Most documents are near no other, and first such are set aside. In the order of their hashes, the first
+Most documents are near no other. With ``screen``, such are set aside first; it pays where cells outweigh the
+texts, as for low shares. In the order of their hashes, the first
 elements that two linked sets have in common lie near the beginning of both: of a set of n, among the first
 n - part + k, if k of them are asked for. So a document that may be linked has at least that many elements at its
 beginning which other documents have at theirs; passages that documents share are too few. The
@@ -267,7 +268,7 @@ def _offer(width: int, part: int, whole: int, buckets: int, bits: int):
 
 
 def _counted(table: pa.Table) -> pa.Table:
-    """Elements of each document that others have, of one bucket."""
+    """The shared elements of one bucket: a row for each document that has one (or its count of a chunk)."""
     bucket = table.column("bucket")[0].as_py()
     refs = np.concatenate([_long(r) for r in table.column("refs").to_pylist()])
     if bucket < 0:
@@ -286,9 +287,7 @@ def _counted(table: pa.Table) -> pa.Table:
         # marked ones are counted where they come from
         refs = refs[several[group] & ~known & apart]
         counts = np.ones(len(refs), np.int64)
-    found, place = np.unique(refs, return_inverse=True)
-    sums = np.bincount(place, weights=counts, minlength=len(found)).astype(np.int64)
-    return pa.table({"ref": pa.array(found.astype(np.int64)), "shared": pa.array(sums)})
+    return pa.table({"ref": pa.array(refs.astype(np.int64)), "shared": pa.array(counts.astype(np.int64))})
 
 
 def _bit_map(ids: DataFrame, count: int) -> tuple[np.ndarray, int]:
@@ -508,25 +507,15 @@ def _regions(star: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFra
     return full.groupBy("pivot", "r1", "b1", "r2", "b2").applyInArrow(_join_blocks(part, whole), "a long, b long")
 
 
-def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row."""
+def _screened(texts: DataFrame, light: DataFrame, reps: DataFrame, width: int, share: tuple[int, int]) -> DataFrame:
+    """Of the sets in ``reps``, those that have enough in common with others to be linked at all."""
     part, whole = share
-    plan = Plan(part, whole)
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    fields = "doc_id long, n long, k1 long, k2 long"
-    light = written(texts.mapInArrow(_described(width, None), fields), "sets")
-    named_texts = texts.where("doc_id IS NOT NULL")
-    keyed = light.where("doc_id IS NOT NULL").select("doc_id", "n", "k1", "k2")
-    # equal sets are one: the text of smallest id stands for them
-    reps = written(keyed.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep")), "reps", light=True)
-    # which documents have enough in common with others to be linked at all
     n = F.col("n")
     offered = light.agg(F.sum(n + 1 + F.floor(n / ASKED_SHARE) + F.floor(-n * part / whole))).first()[0]
     buckets = pieces(offered, ENTRIES_PER_BUCKET * 4)
     bits = min(64, max(24, int(offered or 1).bit_length() + 16))
     counted = (
-        named_texts.mapInArrow(_offer(width, part, whole, buckets, bits), "bucket int, names binary, refs binary, known binary")
+        texts.mapInArrow(_offer(width, part, whole, buckets, bits), "bucket int, names binary, refs binary, known binary")
         .groupBy("bucket")
         .applyInArrow(_counted, "ref long, shared long")
         .groupBy("ref")
@@ -535,8 +524,28 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE)
     counted = written(counted, "beginnings", light=True, release=True)
     met = reps.withColumn("ref", F.shiftrightunsigned("k1", 16)).join(counted, "ref")
     near = written(met.where(F.col("shared") >= _needed(n, part, whole)).drop("ref", "shared"), "near", light=True)
-    held = spark.sparkContext.broadcast(_bit_map(near.select("rep").distinct(), near.count()))
-    some = named_texts.mapInArrow(_maybe(held), "doc_id long, text string")
+    discard(counted)
+    return near
+
+
+def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE, screen: bool = False) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row."""
+    part, whole = share
+    plan = Plan(part, whole)
+    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    fields = "doc_id long, n long, k1 long, k2 long"
+    light = written(texts.mapInArrow(_described(width, None), fields), "sets")
+    named_texts = texts.where("doc_id IS NOT NULL")
+    keyed = light.where("doc_id IS NOT NULL").select("doc_id", "n", "k1", "k2")
+    # equal sets are one: the text of smallest id stands for them
+    reps = written(keyed.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep")), "reps", light=True)
+    if screen:
+        near = _screened(named_texts, light, reps, width, share)
+        held = spark.sparkContext.broadcast(_bit_map(near.select("rep").distinct(), near.count()))
+        some = named_texts.mapInArrow(_maybe(held), "doc_id long, text string")
+    else:
+        near, some = reps, named_texts
     # until pairs are found a set goes by its hash, then by its smallest id
     heavy = (
         some.mapInArrow(_described(width, plan), fields + ", cells binary")
@@ -558,7 +567,7 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE)
         light=True,
         release=True,
     )
-    discard(entries, counted)
+    discard(entries)
     # a bit map says which documents' sets may be wanted; the joins decide
     wanted = written(pairs.select("rep").unionByName(pairs.select(F.col("pivot").alias("rep"))).distinct(), "asked", light=True)
     chosen = spark.sparkContext.broadcast(_bit_map(wanted, wanted.count()))
@@ -576,7 +585,7 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE)
     links = star.where("linked").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
     links = links.unionByName(_regions(star, sets, part, whole))
     found = components(links)
-    discard(star, sets, wanted, pairs, near)
+    discard(star, sets, wanted, pairs, *([near] if screen else []))
     named = reps.join(found, reps["rep"] == found["node"], "left").select(
         "k1", "k2", "n", F.coalesce("component", "rep").alias("component_id")
     )

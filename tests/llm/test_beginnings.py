@@ -45,8 +45,9 @@ def test_links_at_the_border_are_found(spark, make_docs):
             texts.append(" ".join(edited))
         texts.append(" ".join(f"o{base}y{i}" for i in range(300)) + " " + passage)
     rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
-    for width, share in ((5, (80, 100)), (3, (90, 100))):
-        found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.classes(make_docs(rows), width, share).collect()}
+    for width, share, screen in ((5, (80, 100), True), (3, (90, 100), True), (3, (90, 100), False)):
+        classes = jaccard.classes(make_docs(rows), width, share, screen)
+        found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in classes.collect()}
         assert found == plain.near([(i, t) for i, t, _, _ in rows], width, *share)
         assert len({c for _, c in found.values()}) < len(rows)
 
