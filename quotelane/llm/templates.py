@@ -8,7 +8,7 @@ one order on all its pages. The tokens of valid classes nest into the template:
 that of the longest path before it, and what lies between them is a slot.
 
 A slot is judged on all pages of the host: by what its elements say (article, menu, advert, form...), by the
-share of its text in links, and by the share of its blocks that are template text themselves. What
+share of its text in links (as each block of it is), and by the share of its blocks that are template text themselves. What
 remains is extracted: of a page with an article, the article; else of one with a main part, that; else
 of the parts named as text; else all other slots. Blocks that the template holds as text are left out,
 but not within an article, whose copies on one host would else pass for its template. Elements within a
@@ -211,6 +211,7 @@ def main_text(page: str | None, slots: dict[int, bool], fixed: set[int]) -> str:
             if kept is None:
                 linked, chars = links[element.path]
                 kept = linked <= MOST_LINKED * chars
+            kept = kept and block.linked <= MOST_LINKED * len(block.text)
             held.append(block.text)
             if not kept or _text_code(element.path, block.text) in fixed:
                 continue
