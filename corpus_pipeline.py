@@ -42,7 +42,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Keep one document of each group of near copies: that of smallest id, those without id last."""
     docs = docs.select(*COLUMNS)
     keyed = docs.select(_row_key().alias("doc_id"), F.col("doc_id").alias("id"), "text")
-    found = jaccard.classes(keyed, NEAR_WORDS, NEAR_SHARE).select(F.col("doc_id").alias("_row"), "component_id")
+    found = jaccard.classes(keyed, NEAR_WORDS, NEAR_SHARE, screen=True).select(F.col("doc_id").alias("_row"), "component_id")
     found = written(found, "near-copies", light=True)
     ids = keyed.select(F.col("doc_id").alias("_row"), "id")
     first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("_row")))
