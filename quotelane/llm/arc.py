@@ -6,7 +6,7 @@ what follows. The converter takes records by their declared lengths alone, so co
 like a header does no harm, and writes one WARC file per ARC file: identifiers are derived from
 address, time and payload (the same record always gets the same), 14-digit times become ISO ones,
 digests are computed anew, and of records with equal payloads of at least ``LEAST_PAYLOAD`` bytes all
-but the first become revisits. Every record of either format is a gzip member of its own.
+but the first become revisits, which name its record, address and time. Every record of either format is a gzip member of its own.
 
 Payloads are never shuffled: an index of digests decides which records are revisits, and each file
 is then converted by the task that gets its part of the index.
@@ -168,20 +168,22 @@ def _slurp(path: str) -> bytes:
 
 
 INDEX = pa.schema(
-    [("path", pa.string()), ("place", pa.int64()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("digest", pa.string())]
-)
+    [
+        ("path", pa.string()), ("place", pa.int64()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()),
+        ("digest", pa.string()), ("url", pa.string()), ("moment", pa.string()),
+    ]
+)
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column(0).to_pylist():
             rows = []
-            for place, _, body in read_arc(b"".join(gzip_members(_slurp(path)))):
+            for place, values, body in read_arc(b"".join(gzip_members(_slurp(path)))):
                 fields, _, payload = http_split(body)
                 page = fields.get("x-page-id")
-                rows.append(
-                    (path, place, None if page is None else int(page), len(payload), hashlib.sha256(payload).hexdigest())
-                )
+                page, digest = None if page is None else int(page), hashlib.sha256(payload).hexdigest()
+                rows.append((path, place, page, len(payload), digest, values["URL"], values["Archive-date"]))
             columns = list(zip(*rows, strict=True)) or [()] * len(INDEX)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, INDEX, strict=True)], schema=INDEX
@@ -189,6 +191,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def record_id(url: str, when: str, digest: str) -> str:
+    """The same for the same contents, so a revisit can name a record of another file."""
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {when} {digest}')}>"
 
 
@@ -239,8 +242,12 @@ def _convert(table: pa.Table) -> pa.Table:
                 fields.append(("X-Page-Id", str(row["page_id"])))
             if row["revisit"]:
                 fields.append(("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))
-                if row["first"] is not None:
-                    fields.append(("X-Refers-To-Page-Id", str(row["first"])))
+                first = row["first"]
+                fields += [
+                    ("WARC-Refers-To", record_id(first["url"], first["moment"], f"{digest} {first['page_id']}")),
+                    ("WARC-Refers-To-Target-URI", first["url"]),
+                    ("WARC-Refers-To-Date", iso_time(first["moment"])),
+                ]
                 body = head
             yield warc_record(fields, body)
 
@@ -252,8 +259,8 @@ def convert(arcs: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
     """Convert ARC files to WARC files; returns the new paths."""
     files = positive(arcs.count())  # a task per file
     spread = arcs.repartition(files, "path")
-    index = written(spread.mapInArrow(_index, "path string, place long, page_id long, payload_bytes long, digest string"), "arc-index")
-    own = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "path", "place")
+    index = written(spread.mapInArrow(_index, "path string, place long, page_id long, payload_bytes long, digest string, url string, moment string"), "arc-index")
+    own = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "path", "place", "url", "moment")
     first = (
         index.where(F.col("payload_bytes") >= least)
         .groupBy("digest")
@@ -262,7 +269,7 @@ def convert(arcs: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
     )
     revisit = F.col("kept").isNotNull() & ~((F.col("kept.path") == F.col("path")) & (F.col("kept.place") == F.col("place")))
     plan = index.join(first, "digest", "left").select(
-        "path", "place", "page_id", "digest", revisit.alias("revisit"), F.col("kept.page_id").alias("first")
+        "path", "place", "page_id", "digest", revisit.alias("revisit"), F.when(revisit, F.struct("kept.page_id", "kept.url", "kept.moment")).alias("first")
     )
     return written(plan.repartition(files, "path").groupBy("path").applyInArrow(_convert, "path string"), "warc-files")
 
@@ -279,7 +286,7 @@ def read_warc(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 OUT = pa.schema(
     [
         ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
-        ("refers_to", pa.int64()), ("warc_record_id", pa.string()), ("warc_date", pa.string()),
+        ("refers_to_record", pa.string()), ("warc_record_id", pa.string()), ("warc_date", pa.string()),
     ]
 )
 
@@ -300,7 +307,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.append(
                     (
                         whole(fields.get("X-Page-Id")), int(http["content-length"]), digest, kind,
-                        whole(fields.get("X-Refers-To-Page-Id")), fields["WARC-Record-ID"], fields["WARC-Date"],
+                        fields.get("WARC-Refers-To"), fields["WARC-Record-ID"], fields["WARC-Date"],
                     )
                 )
             columns = list(zip(*rows, strict=True)) or [()] * len(OUT)
@@ -308,9 +315,22 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_warcs(warcs: DataFrame) -> DataFrame:
-    """A row per response or revisit record; the digests of responses are checked."""
-    return warcs.repartition(positive(warcs.count()), "path").mapInArrow(
+    """A row per response or revisit record; the digests of responses are checked.
+
+    ``refers_to`` is the page of the record that a revisit names, in whichever file it is.
+    """
+    records = warcs.repartition(positive(warcs.count()), "path").mapInArrow(
         _read,
-        "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
+        "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to_record string, "
         "warc_record_id string, warc_date string",
     )
+    records = written(records, "warc-records")
+    named = (
+        records.where("record_type = 'response'")
+        .select(F.col("warc_record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to"))
+        .dropDuplicates(["refers_to_record"])
+    )
+    found = records.join(named, "refers_to_record", "left")
+    return found.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "warc_record_id", "warc_date", "refers_to_record"
+    )

@@ -241,5 +241,58 @@ JOIN climb c ON c.row = l.row AND c.level = c.top + 1 + (SELECT max(level) FROM
 CROSS JOIN (SELECT digest FROM uppers WHERE n = 1) r
 """
 
-SQL = {"op1_mixing": MIX, "op2_secrets": SECRETS, "op3_quality": QUALITY, "op4_arc": ARC, "op10_mtree": MTREE,
+REPEATS = """
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS row, encode(COALESCE(text, '')) AS b, octet_length(encode(COALESCE(text, ''))) AS n FROM documents
+), strings AS (
+  SELECT row, doc_id, i, array_slice(b, i + 1, i + 50) AS s FROM (SELECT *, unnest(range(n - 49)) AS i FROM texts WHERE n >= 50)
+), least AS (
+  SELECT s, min(doc_id) AS low FROM strings GROUP BY s
+), fallen AS (
+  SELECT row, i, CASE WHEN i - lag(i) OVER (PARTITION BY row ORDER BY i) <= 50 THEN 0 ELSE 1 END AS starts
+  FROM strings JOIN least USING (s) WHERE low < doc_id
+), runs AS (
+  SELECT row, min(i) AS a, max(i) + 50 AS e FROM (
+    SELECT row, i, SUM(starts) OVER (PARTITION BY row ORDER BY i) AS run FROM fallen) GROUP BY row, run
+), gaps AS (
+  SELECT row, a, COALESCE(lag(e) OVER (PARTITION BY row ORDER BY a), 0) AS from_, a AS to_ FROM runs
+  UNION ALL SELECT t.row, t.n, COALESCE((SELECT max(e) FROM runs r WHERE r.row = t.row), 0), t.n FROM texts t
+), kept AS (
+  SELECT row, string_agg(hex(array_slice(b, from_ + 1, to_)), '' ORDER BY a, to_) AS h
+  FROM gaps JOIN texts USING (row) GROUP BY row
+), removed AS (
+  SELECT row, SUM(e - a)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans FROM runs GROUP BY row
+)
+SELECT doc_id, n::BIGINT AS n_bytes, COALESCE(n_removed, 0)::BIGINT AS n_removed, COALESCE(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(h)) AS kept_sha256
+FROM texts JOIN kept USING (row) LEFT JOIN removed USING (row)
+"""
+
+LINKS = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, row_number() OVER () AS row,
+         regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT row, doc_id, CASE WHEN len(w) < 3 THEN w ELSE list_slice(w, i, i + 2) END AS s
+  FROM (SELECT *, unnest(range(1, greatest(2, len(w) - 1))) AS i FROM words WHERE len(w) > 0)
+), sized AS (
+  SELECT row, doc_id, count(*) AS n FROM shingles GROUP BY row, doc_id
+), shared AS (
+  SELECT a.row AS x, b.row AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.row < b.row GROUP BY a.row, b.row
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM shared JOIN sized x ON x.row = shared.x JOIN sized y ON y.row = shared.y
+  WHERE 100 * c >= 90 * (x.n + y.n - c)
+), edges AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, e.b FROM reach r JOIN edges e ON e.a = r.seen
+), least AS (
+  SELECT node, min(seen) AS component_id FROM reach GROUP BY node
+)
+SELECT w.doc_id, COALESCE(n, 0)::BIGINT AS n_shingles, CASE WHEN n IS NULL THEN w.doc_id ELSE component_id END AS component_id
+FROM words w LEFT JOIN sized USING (row) LEFT JOIN least l ON l.node = w.doc_id
+"""
+
+SQL = {"op1_mixing": MIX, "op2_secrets": SECRETS, "op3_quality": QUALITY, "op4_arc": ARC, "op5_suffixes": REPEATS, "op6_jaccard": LINKS, "op10_mtree": MTREE,
     "op11_permuterm": SPELLING, "op12_merkle": MERKLE}

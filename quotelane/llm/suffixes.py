@@ -38,6 +38,8 @@ from quotelane.llm.common import pieces, written
 from quotelane.llm.shingles import mix
 
 LENGTH = 50
+# Spark takes 100,000 buckets of a table at most.
+MOST_TABLE_BUCKETS = 16_384
 GRAM = 16
 GROUP_BYTES = 6 << 20
 BUCKET_BYTES = 4 << 20
@@ -507,16 +509,36 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     reps = written(light.groupBy("sha").agg(F.min("doc_id").alias("rep")), "reps", light=True)
     group = F.pmod(F.hash("doc_id"), F.lit(groups)).alias("grp")
     held = f"quotelane_repeats_{uuid.uuid4().hex}"
-    # bucketed by group, so that the passes below read it without a shuffle
-    (
-        texts.where((F.octet_length("text") >= LENGTH) & F.col("doc_id").isNotNull())
-        .select(group, "doc_id", "text")
-        .repartition(groups, "grp")
-        .write.format("parquet")
-        .bucketBy(groups, "grp")
-        .saveAsTable(held)
+    # bucketed by group, so that the passes below read it without a shuffle; beyond some 100 GB a
+    # bucket has several groups, each still taken by itself
+    parts = min(groups, MOST_TABLE_BUCKETS)
+    try:
+        (
+            texts.where((F.octet_length("text") >= LENGTH) & F.col("doc_id").isNotNull())
+            .select(group, "doc_id", "text")
+            .repartition(parts, "grp")
+            .write.format("parquet")
+            .bucketBy(parts, "grp")
+            .saveAsTable(held)
+        )
+        cuts = _cuts(spark.table(held), reps, groups, askers, total)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {held}")
+    known = light.join(reps, "sha")
+    copy = F.col("doc_id") > F.col("rep")
+    whole = copy & (F.col("n_bytes") >= LENGTH)
+    return known.join(cuts, (F.col("doc_id") == F.col("id")) & (F.col("sha") == F.col("cut_sha")) & ~copy, "left").select(
+        "doc_id",
+        "n_bytes",
+        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(whole, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"),
     )
-    grouped = spark.table(held).groupBy("grp")
+
+
+def _cuts(held: DataFrame, reps: DataFrame, groups: int, askers: int, total: int | None) -> DataFrame:
+    """What is cut of the texts of ``held``, a row per text; written, so ``held`` is needed no more."""
+    grouped = held.groupBy("grp")
     own = reps.where("rep IS NOT NULL").select(
         F.pmod(F.hash("rep"), F.lit(groups)).alias("grp"), F.lit(0).alias("kind"), F.col("rep").alias("at"),
         F.lit(None).cast("binary").alias("blob"), F.lit(0).cast("long").alias("hits"), F.lit(0).cast("long").alias("strings"),
@@ -573,15 +595,4 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     cuts = grouped.cogroup(told.unionByName(removed).groupBy("grp")).applyInArrow(
         cut, "id long, sha string, n_removed long, n_spans long, kept string"
     )
-    cuts = written(cuts, "cuts").withColumnRenamed("sha", "cut_sha")
-    spark.sql(f"DROP TABLE {held}")
-    known = light.join(reps, "sha")
-    copy = F.col("doc_id") > F.col("rep")
-    whole = copy & (F.col("n_bytes") >= LENGTH)
-    return known.join(cuts, (F.col("doc_id") == F.col("id")) & (F.col("sha") == F.col("cut_sha")) & ~copy, "left").select(
-        "doc_id",
-        "n_bytes",
-        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(whole, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"),
-    )
+    return written(cuts, "cuts").withColumnRenamed("sha", "cut_sha")
