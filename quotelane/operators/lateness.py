@@ -19,6 +19,30 @@ def _flag(df: DataFrame, watermark: Column, width_ms: int) -> DataFrame:
     )
 
 
+def late_by_punctuation(
+    df: DataFrame,
+    marks: Column | None = None,
+    width_ms: int = 60_000,
+    source: str = "sourcePartition",
+    arrival: str = "arrival",
+    segment_rows: int | None = None,
+) -> DataFrame:
+    """The watermark moves at the rows that carry a mark (``marks``; without it, all do), to their time.
+
+    A row sees the marks before it; one that would go back is ignored.
+    """
+    marked = df.withColumn("_mark", F.col("timestamp") if marks is None else F.when(marks, F.col("timestamp")))
+    seen = running(
+        numbered(marked, [F.col(arrival)], "_number"),
+        [source],
+        "_number",
+        [Running("_seen", "max", F.col("_mark"))],
+        inclusive=False,
+        segment_rows=segment_rows,
+    )
+    return _flag(seen, F.col("_seen"), width_ms).drop("_seen", "_number", "_mark")
+
+
 def late_by_running_max(
     df: DataFrame,
     width_ms: int = 60_000,
@@ -29,8 +53,8 @@ def late_by_running_max(
 ) -> DataFrame:
     """The watermark is the latest time a source has shown, less ``slack_ms``.
 
-    Slack 0 is the periodic and the punctuated rule, slack 1 the rule for ascending times, which
-    allows for further rows of the latest millisecond.
+    Slack 0 is the periodic rule, slack 1 the rule for ascending times, which allows for further rows of
+    the latest millisecond.
     """
     # arrival numbers may be far apart; segments of dense ones are full
     seen = running(

@@ -287,7 +287,15 @@ def watermark_late_ascending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def watermark_late_punctuated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row emits a watermark; those that go back are ignored, which leaves the running latest."""
-    return watermark_late_periodic(spark, sf_dir)
+    out = lateness.late_by_punctuation(fixtures.late_ticks(spark, sf_dir), width_ms=LATE_WINDOW_MS)
+    return out.select("sourcePartition", *_LATE_COLUMNS)
+
+
+def watermark_late_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only every fourth order emits a watermark."""
+    marks = F.col("ord") % 4 == 0
+    out = lateness.late_by_punctuation(fixtures.late_ticks(spark, sf_dir), marks, LATE_WINDOW_MS)
+    return out.select("sourcePartition", *_LATE_COLUMNS)
 
 
 def watermark_late_timelag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -452,6 +460,7 @@ BATCH: dict[str, Query] = {
         watermark_late_periodic,
         watermark_late_ascending,
         watermark_late_punctuated,
+        watermark_late_marked,
         watermark_late_timelag,
     )
 }

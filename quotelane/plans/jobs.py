@@ -21,7 +21,7 @@ from quotelane.plans import desk
 from quotelane.session import stream_settings
 from quotelane.sinks import writers
 from quotelane.sources import files, kafka
-from quotelane.streaming import held, legs
+from quotelane.streaming import held, legs, spread
 
 
 # Messages are taken in this order: by time, positions before prices, then as their topic has them.
@@ -150,12 +150,18 @@ def listed_value_messages(
     return codec.encode_positions(price(events), topic)
 
 
-def running_quantities(positions: Topic, slack_ms: int = SLACK_MS) -> DataFrame:
-    """Position messages to running totals by account and security, in the order of arrival."""
+def running_quantities(positions: Topic, slack_ms: int = SLACK_MS, shards: int = 1) -> DataFrame:
+    """Position messages to running totals by account and security, in the order of arrival.
+
+    ``shards``: over how many tasks one key's stretches of time are spread.
+    """
     parts = [_arrived(p, schemas.POSITION, ("account", "subAccount", "quantity"), "position") for p in _parts(positions)]
     timed = [p.withColumn("ts", event_time("timestamp")) for p in parts]
     if timed[0].isStreaming:
-        return held.rolling_quantity(legs.with_watermark_each(timed, slack_ms))
+        rows = legs.with_watermark_each(timed, slack_ms)
+        if shards == 1:
+            return held.rolling_quantity(rows)
+        return spread.rolling_quantity(rows.withColumn("seq", spread.sequence("partition", "offset")), shards)
     both = numbered(reduce(DataFrame.unionByName, timed), [F.col(c) for c in ARRIVAL], "ord")
     return windows.rolling_quantity(both)
 

@@ -95,9 +95,9 @@ _SUM_10S = f"""sums AS (
 _ENTRY = """string_agg(account || '/' || "subAccount" || '/' || quantity, ',' ORDER BY ord)"""
 
 
-def _late_by_max(slack: int) -> str:
+def _late_by_max(slack: int, mark: str = '"timestamp"') -> str:
     return f"""WITH {_LATE}, marked AS (
-    SELECT *, max("timestamp") OVER (PARTITION BY "sourcePartition" ORDER BY arrival
+    SELECT *, max({mark}) OVER (PARTITION BY "sourcePartition" ORDER BY arrival
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {slack} AS watermark,
         "timestamp" - "timestamp" % 10000 + 10000 AS "windowEnd"
     FROM late)
@@ -259,6 +259,7 @@ FROM lineitem GROUP BY 1""",
     "watermark_late_periodic": _late_by_max(0),
     "watermark_late_ascending": _late_by_max(1),
     "watermark_late_punctuated": _late_by_max(0),
+    "watermark_late_marked": _late_by_max(0, 'CASE WHEN ord % 4 = 0 THEN "timestamp" END'),
     "watermark_late_timelag": f"""WITH {_LATE}, marked AS (
     SELECT *, "arrivalTimestamp" - 5000 AS watermark,
         "timestamp" - "timestamp" % 10000 + 10000 AS "windowEnd"
@@ -274,5 +275,6 @@ ORACLE["message_arrivals"] = f"""WITH {_TICKS}
 SELECT "timestamp", kind, (ord % 4)::INTEGER AS partition, ord AS "offset", cusip,
     CASE WHEN kind = 'position' THEN account END AS account, CASE WHEN kind = 'position' THEN "subAccount" END AS "subAccount",
     quantity, CASE WHEN kind = 'position' THEN "orderId" END AS "orderId", price FROM ticks"""
+ORACLE["message_rolling_quantity_spread"] = ORACLE["message_rolling_quantity"]
 ORACLE["message_mv_by_account_spread"] = ORACLE["message_mv_by_account"]
 ORACLE["source_keyed_json_lines"] = ORACLE["kafka_decode_order"]

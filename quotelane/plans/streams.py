@@ -20,6 +20,9 @@ from quotelane.streaming.replay import replay, timed_ticks
 ROWS_PER_FILE = 2_000_000
 DEALT_FILES = 6
 ORDER = held.NUMBERED
+# A replay needs no early results: its buckets are a window of the legs, or half an hour where no window follows.
+WINDOW_MS = 60_000
+STRETCH_MS = 1_800_000
 
 
 def _events(spark: SparkSession, sf_dir: str, plan, label: str) -> DataFrame:
@@ -31,31 +34,31 @@ def _positions(ticks: DataFrame) -> DataFrame:
 
 
 def _account_leg(ticks: DataFrame) -> DataFrame:
-    return legs.account_leg(ticks, order=ORDER)
+    return legs.account_leg(ticks, order=ORDER, bucket_ms=WINDOW_MS)
 
 
 def _symbol_leg(ticks: DataFrame) -> DataFrame:
-    return legs.symbol_leg(ticks, order=ORDER)
+    return legs.symbol_leg(ticks, order=ORDER, bucket_ms=WINDOW_MS)
 
 
 def _slot(ticks: DataFrame) -> DataFrame:
-    return held.price_single_slot(ticks, order=ORDER)
+    return held.price_single_slot(ticks, order=ORDER, bucket_ms=STRETCH_MS)
 
 
 def _symbol_slot(ticks: DataFrame) -> DataFrame:
-    return held.price_single_slot(ticks, keyed.SYMBOL_SLOT, ORDER)
+    return held.price_single_slot(ticks, keyed.SYMBOL_SLOT, ORDER, STRETCH_MS)
 
 
 def _list(ticks: DataFrame) -> DataFrame:
-    return held.price_list_buffer(ticks, order=ORDER)
+    return held.price_list_buffer(ticks, order=ORDER, bucket_ms=STRETCH_MS)
 
 
 def _timer(ticks: DataFrame) -> DataFrame:
-    return held.price_timer_conflation(ticks, order=ORDER)
+    return held.price_timer_conflation(ticks, order=ORDER, bucket_ms=STRETCH_MS)
 
 
 def _rolling(ticks: DataFrame) -> DataFrame:
-    return held.rolling_quantity(_positions(ticks), ORDER)
+    return held.rolling_quantity(_positions(ticks), ORDER, STRETCH_MS)
 
 
 def stream_mv_by_account_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,6 +249,14 @@ def stream_message_rolling_quantity(spark: SparkSession, sf_dir: str) -> DataFra
     return made.select(*catalog.ROLLED_COLUMNS)
 
 
+def stream_message_rolling_quantity_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key's stretches of time over several tasks."""
+    topics = {"positions": (catalog.position_messages(spark, sf_dir), ROWS_PER_FILE // 8)}
+    options = {"slack_ms": 0, "shards": spread.SHARDS}
+    made = live_messages(topics, jobs.running_quantities, "live-spread-total", catalog.PARTITIONS, **options)
+    return made.select(*catalog.ROLLED_COLUMNS)
+
+
 def stream_message_symbol_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = {"orders": (catalog.order_messages(spark, sf_dir), ROWS_PER_FILE)}
     return codec.decode_symbol_positions(live_messages(topics, jobs.symbol_quantity_messages, "live-quantity"))
@@ -306,6 +317,7 @@ STREAMS: dict[str, Query] = {
         stream_message_timer_conflation,
         stream_message_list_values,
         stream_message_rolling_quantity,
+        stream_message_rolling_quantity_spread,
         stream_message_symbol_quantity,
         stream_message_cusip_allocations,
         batches_price_enrich_act,

@@ -108,11 +108,15 @@ class Held(StatefulProcessor):
         names, columns = self.late
         out = pd.DataFrame(self._plain(rows), columns=self.columns)
         out["ts"] = pd.to_datetime(out["timestamp"], unit="ms")
-        out = out.assign(**dict(zip(names, key, strict=True)), late=True).reindex(columns=columns)
+        out = self._shaped(out.assign(**dict(zip(names, key, strict=True)), late=True))
         if "quantity" in columns:
             out["quantity"] = out["quantity"].astype("Int32")
         return out
 
+    def _shaped(self, frame: pd.DataFrame) -> pd.DataFrame:
+        columns = self.late[1]
+        return frame.assign(**{c: None for c in columns if c not in frame.columns})[columns]
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         at = expiredTimerInfo.getExpiryTimeInMs()
         bucket = self._bucket(at)
@@ -144,7 +148,7 @@ class Held(StatefulProcessor):
 
     def _made(self, frame: pd.DataFrame, at: int) -> pd.DataFrame:
         if self.late:
-            return frame.assign(late=False).reindex(columns=self.late[1])
+            return self._shaped(frame.assign(late=False))
         return frame.assign(ts=pd.Timestamp(at, unit="ms"))
 
 

@@ -37,23 +37,35 @@ def with_watermark_each(parts: Sequence[DataFrame], slack_ms: int = 0) -> DataFr
     return reduce(DataFrame.unionByName, [with_periodic_watermark(p, slack_ms) for p in parts])
 
 
-def account_leg(events: DataFrame, width: str = "1 minute", order: str | None = None, shards: int = 1) -> DataFrame:
+def account_leg(
+    events: DataFrame,
+    width: str = "1 minute",
+    order: str | None = None,
+    shards: int = 1,
+    bucket_ms: int = held.BUCKET_MS,
+) -> DataFrame:
     """``order``: what orders rows that arrive in none (``held.MESSAGES`` or ``held.NUMBERED``); without it a
     security's rows must arrive in order from one micro-batch to the next. ``shards``: over how many
-    tasks one security's positions are spread."""
-    priced = _priced(events, keyed.ACCOUNT_SLOT, order, shards)
+    tasks one security's positions are spread. ``width`` is a multiple of ``bucket_ms``."""
+    priced = _priced(events, keyed.ACCOUNT_SLOT, order, shards, bucket_ms)
     return windows.last_value_in_window(priced, windows.ACCOUNT_KEY, ("orderId",), width)
 
 
-def symbol_leg(events: DataFrame, width: str = "1 minute", order: str | None = None, shards: int = 1) -> DataFrame:
-    priced = _priced(events, keyed.SYMBOL_SLOT, order, shards)
+def symbol_leg(
+    events: DataFrame,
+    width: str = "1 minute",
+    order: str | None = None,
+    shards: int = 1,
+    bucket_ms: int = held.BUCKET_MS,
+) -> DataFrame:
+    priced = _priced(events, keyed.SYMBOL_SLOT, order, shards, bucket_ms)
     return windows.last_value_in_window(priced, windows.SYMBOL_KEY, (), width)
 
 
-def _priced(events: DataFrame, slot: str, order: str | None, shards: int) -> DataFrame:
+def _priced(events: DataFrame, slot: str, order: str | None, shards: int, bucket_ms: int) -> DataFrame:
     if order is None:
         return keyed.price_single_slot(events, slot)
     if shards == 1:
-        return held.price_single_slot(events, slot, order)
+        return held.price_single_slot(events, slot, order, bucket_ms)
     numbers = ("partition", "offset") if order == held.MESSAGES else ("ord",)
-    return spread.price_single_slot(events.withColumn("seq", spread.sequence(*numbers)), slot, shards)
+    return spread.price_single_slot(events.withColumn("seq", spread.sequence(*numbers)), slot, shards, bucket_ms)

@@ -1,13 +1,17 @@
-"""Single-slot pricing with the rows of one security spread over many tasks.
+"""Pricing and running totals with the rows of one key spread over many tasks.
 
-Once a security has kept a price, each of its positions goes out at the latest price, which needs the prices and
+Running totals. Time is cut into buckets, and a key's buckets go round its shards. A shard sums up a
+bucket of its own in order and tells all shards its total; each shard then adds to its rows the totals of all buckets
+before. A bucket, which the clock bounds, is what one task holds of a key.
+
+Single-slot pricing. Once a security has kept a price, each of its positions goes out at the latest price, which needs the prices and
 the position alone. So positions are dealt into shards, and every shard has all prices. A shard
 values its positions at the latest price before them, and says of each price which of its own positions
 came last before it (a gap). Whether a position came between two prices, and which was last, is then decided from the
 gaps of all shards: each shard gets them, finds the lock by itself, gives out what prices were spent
 on if the position was its own, and drops its values from before the lock.
 
-Both steps take rows in order by ``streaming.held``. Rows are ordered by ``seq``, a text that sorts as
+All steps take rows in order by ``streaming.held``. Rows are ordered by ``seq``, a text that sorts as
 time, kind, partition and offset do.
 """
 
@@ -142,3 +146,75 @@ def price_single_slot(
         "eventTime",
         eventTimeColumnName="ts",
     )
+
+
+class BucketTotals:
+    """Totals within each bucket for its rows, and a row for the bucket's total."""
+
+    def __init__(self, bucket_ms: int) -> None:
+        self.bucket_ms = bucket_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        out = batch.drop(columns=["account", "subAccount", "cusip"])
+        # null until the first quantity, as a running sum is
+        known = batch["quantity"].notna()
+        out["total"] = batch["quantity"].where(known, 0).astype("int64").cumsum().astype("Int64").where(known.cummax())
+        out["sums"] = False
+        out = pd.concat([out, out.iloc[-1:].assign(sums=True, quantity=None)])
+        out.insert(0, "account", key[0])
+        out.insert(1, "subAccount", key[1])
+        out.insert(2, "cusip", key[2])
+        out.insert(3, "shard", key[3])
+        out["quantity"] = out["quantity"].astype("Int32")
+        yield out[["account", "subAccount", "cusip", "shard", "quantity", "total", "sums", "seq", "timestamp", "ts"]]
+
+
+class BasedTotals:
+    """Totals over all buckets so far, of a shard's rows and the totals of all buckets."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.base = handle.getValueState("base", "base BIGINT")
+
+    def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        base = self.base.get()[0] if self.base.exists() else None
+        sums = batch["sums"].astype(bool)
+        rows, told = batch[~sums], batch.loc[sums, "total"].dropna()
+        if len(rows):
+            out = rows.rename(columns={"seq": "ord"}).assign(account=key[0], subAccount=key[1], cusip=key[2])
+            total = out["total"].astype("Int64")
+            out["rollingQuantity"] = total if base is None else total.fillna(0) + base
+            out["quantity"] = out["quantity"].astype("Int32")
+            yield out[["account", "subAccount", "cusip", "ord", "timestamp", "ts", "quantity", "rollingQuantity"]]
+        if len(told):
+            self.base.update((int(told.iloc[0]) + (base or 0),))
+
+
+def rolling_quantity(positions: DataFrame, shards: int = SHARDS, bucket_ms: int = BUCKET_MS) -> DataFrame:
+    """Running totals by account and security of rows in any order, a key's buckets dealt over ``shards``.
+
+    Positions have ``seq`` and a watermark on ``ts``, as in ``price_single_slot``.
+    """
+    keys = ["account", "subAccount", "cusip", "shard"]
+    bucket = F.floor(F.col("timestamp") / bucket_ms)
+    dealt = positions.withColumn("shard", F.pmod(bucket, F.lit(shards)).cast("int"))
+    columns = "account STRING, subAccount STRING, cusip STRING, quantity INT"
+    summed = dealt.groupBy(*keys).transformWithStateInPandas(
+        Held(BucketTotals(bucket_ms), columns, _SEQ, bucket_ms),
+        f"account STRING, subAccount STRING, cusip STRING, shard INT, quantity INT, total BIGINT, sums BOOLEAN, {_SEQ}, "
+        "timestamp BIGINT, ts TIMESTAMP",
+        "append",
+        "eventTime",
+        eventTimeColumnName="ts",
+    )
+    everywhere = F.sequence(F.lit(0), F.lit(shards - 1))
+    told = summed.withColumn("shard", F.explode(F.when(F.col("sums"), everywhere).otherwise(F.array("shard"))))
+    return told.groupBy(*keys).transformWithStateInPandas(
+        Held(BasedTotals(), "quantity INT, total BIGINT, sums BOOLEAN", _SEQ, bucket_ms),
+        "account STRING, subAccount STRING, cusip STRING, ord STRING, timestamp BIGINT, ts TIMESTAMP, quantity INT, rollingQuantity BIGINT",
+        "append",
+        "eventTime",
+        eventTimeColumnName="ts",
+    )
