@@ -67,24 +67,33 @@ def leg_events(
 
 
 def account_value_messages(
-    positions: Topic, prices: Topic, topic: str = kafka.ACCOUNT_VALUES, slack_ms: int = SLACK_MS, shards: int = 1
+    positions: Topic,
+    prices: Topic,
+    topic: str = kafka.ACCOUNT_VALUES,
+    slack_ms: int = SLACK_MS,
+    shards: int = 1,
+    bucket_ms: int = held.BUCKET_MS,
 ) -> DataFrame:
     """Position and price messages to market-value messages by account."""
     events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS, slack_ms)
     if events.isStreaming:
-        values = legs.account_leg(events, order=held.MESSAGES, shards=shards)
+        values = legs.account_leg(events, order=held.MESSAGES, shards=shards, bucket_ms=bucket_ms)
     else:
         values = desk.account_leg(events)
     return codec.encode_positions(values, topic)
 
 
 def symbol_value_messages(
-    positions: Topic, prices: Topic, topic: str = kafka.SYMBOL_VALUES, slack_ms: int = SLACK_MS
+    positions: Topic,
+    prices: Topic,
+    topic: str = kafka.SYMBOL_VALUES,
+    slack_ms: int = SLACK_MS,
+    bucket_ms: int = held.BUCKET_MS,
 ) -> DataFrame:
     """Position and price messages to market-value messages by security."""
     events = leg_events(positions, prices, schemas.SYMBOL_POSITION, pricing.SYMBOL_FIELDS, slack_ms)
     if events.isStreaming:
-        values = legs.symbol_leg(events, order=held.MESSAGES)
+        values = legs.symbol_leg(events, order=held.MESSAGES, bucket_ms=bucket_ms)
     else:
         values = desk.symbol_leg(events)
     return codec.encode_symbol_positions(values, topic)
@@ -134,23 +143,36 @@ def conflated_value_messages(
     topic: str = kafka.ACCOUNT_VALUES,
     slack_ms: int = SLACK_MS,
     period_ms: int = conflation.PERIOD_MS,
+    bucket_ms: int = held.BUCKET_MS,
 ) -> DataFrame:
     """Position and price messages to a message per account slot at each fire of its security's timer."""
     events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS, slack_ms)
-    price = held.price_timer_conflation if events.isStreaming else conflation.price_timer_conflation
-    return codec.encode_positions(price(events, period_ms), topic)
+    if events.isStreaming:
+        values = held.price_timer_conflation(events, period_ms, bucket_ms=bucket_ms)
+    else:
+        values = conflation.price_timer_conflation(events, period_ms=period_ms)
+    return codec.encode_positions(values, topic)
 
 
 def listed_value_messages(
-    positions: Topic, prices: Topic, topic: str = kafka.ACCOUNT_VALUES, slack_ms: int = SLACK_MS
+    positions: Topic,
+    prices: Topic,
+    topic: str = kafka.ACCOUNT_VALUES,
+    slack_ms: int = SLACK_MS,
+    bucket_ms: int = held.BUCKET_MS,
 ) -> DataFrame:
     """Position and price messages to a message per position, valued at its security's next price."""
     events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS, slack_ms)
-    price = held.price_list_buffer if events.isStreaming else pricing.price_list_buffer
-    return codec.encode_positions(price(events), topic)
+    if events.isStreaming:
+        values = held.price_list_buffer(events, bucket_ms=bucket_ms)
+    else:
+        values = pricing.price_list_buffer(events)
+    return codec.encode_positions(values, topic)
 
 
-def running_quantities(positions: Topic, slack_ms: int = SLACK_MS, shards: int = 1) -> DataFrame:
+def running_quantities(
+    positions: Topic, slack_ms: int = SLACK_MS, shards: int = 1, bucket_ms: int = held.BUCKET_MS
+) -> DataFrame:
     """Position messages to running totals by account and security, in the order of arrival.
 
     ``shards``: over how many tasks one key's stretches of time are spread.
@@ -160,8 +182,8 @@ def running_quantities(positions: Topic, slack_ms: int = SLACK_MS, shards: int =
     if timed[0].isStreaming:
         rows = legs.with_watermark_each(timed, slack_ms)
         if shards == 1:
-            return held.rolling_quantity(rows)
-        return spread.rolling_quantity(rows.withColumn("seq", spread.sequence("partition", "offset")), shards)
+            return held.rolling_quantity(rows, bucket_ms=bucket_ms)
+        return spread.rolling_quantity(rows.withColumn("seq", spread.sequence("partition", "offset")), shards, bucket_ms)
     both = numbered(reduce(DataFrame.unionByName, timed), [F.col(c) for c in ARRIVAL], "ord")
     return windows.rolling_quantity(both)
 

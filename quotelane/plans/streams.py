@@ -23,6 +23,7 @@ ORDER = held.NUMBERED
 # A replay needs no early results: its buckets are a window of the legs, or half an hour where no window follows.
 WINDOW_MS = 60_000
 STRETCH_MS = 1_800_000
+LIVE = {"slack_ms": 0, "bucket_ms": WINDOW_MS}
 
 
 def _events(spark: SparkSession, sf_dir: str, plan, label: str) -> DataFrame:
@@ -166,14 +167,14 @@ def _leg_topics(spark: SparkSession, sf_dir: str, by_symbol: bool = False) -> di
 
 
 def stream_message_mv_by_account(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = live_messages(_leg_topics(spark, sf_dir), jobs.account_value_messages, "live-account", catalog.PARTITIONS, slack_ms=0)
+    made = live_messages(_leg_topics(spark, sf_dir), jobs.account_value_messages, "live-account", catalog.PARTITIONS, **LIVE)
     return codec.decode_positions(made)
 
 
 def stream_message_mv_by_account_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One security's positions over several tasks."""
     topics = _leg_topics(spark, sf_dir)
-    options = {"slack_ms": 0, "shards": spread.SHARDS}
+    options = {**LIVE, "shards": spread.SHARDS}
     made = live_messages(topics, jobs.account_value_messages, "live-spread", catalog.PARTITIONS, **options)
     return codec.decode_positions(made)
 
@@ -229,30 +230,30 @@ def stream_kafka_decode_dead_letters(spark: SparkSession, sf_dir: str) -> DataFr
 
 def stream_message_mv_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = _leg_topics(spark, sf_dir, by_symbol=True)
-    made = live_messages(topics, jobs.symbol_value_messages, "live-symbol", catalog.PARTITIONS, slack_ms=0)
+    made = live_messages(topics, jobs.symbol_value_messages, "live-symbol", catalog.PARTITIONS, **LIVE)
     return codec.decode_symbol_positions(made)
 
 
 def stream_message_timer_conflation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = live_messages(_leg_topics(spark, sf_dir), jobs.conflated_value_messages, "live-timer", catalog.PARTITIONS, slack_ms=0)
+    made = live_messages(_leg_topics(spark, sf_dir), jobs.conflated_value_messages, "live-timer", catalog.PARTITIONS, **LIVE)
     return codec.decode_positions(made)
 
 
 def stream_message_list_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = live_messages(_leg_topics(spark, sf_dir), jobs.listed_value_messages, "live-list", catalog.PARTITIONS, slack_ms=0)
+    made = live_messages(_leg_topics(spark, sf_dir), jobs.listed_value_messages, "live-list", catalog.PARTITIONS, **LIVE)
     return codec.decode_positions(made)
 
 
 def stream_message_rolling_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = {"positions": (catalog.position_messages(spark, sf_dir), ROWS_PER_FILE // 8)}
-    made = live_messages(topics, jobs.running_quantities, "live-rolling", catalog.PARTITIONS, slack_ms=0)
+    made = live_messages(topics, jobs.running_quantities, "live-rolling", catalog.PARTITIONS, **LIVE)
     return made.select(*catalog.ROLLED_COLUMNS)
 
 
 def stream_message_rolling_quantity_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One key's stretches of time over several tasks."""
     topics = {"positions": (catalog.position_messages(spark, sf_dir), ROWS_PER_FILE // 8)}
-    options = {"slack_ms": 0, "shards": spread.SHARDS}
+    options = {"slack_ms": 0, "bucket_ms": 5 * WINDOW_MS, "shards": spread.SHARDS}
     made = live_messages(topics, jobs.running_quantities, "live-spread-total", catalog.PARTITIONS, **options)
     return made.select(*catalog.ROLLED_COLUMNS)
 
