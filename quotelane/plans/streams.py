@@ -15,7 +15,7 @@ from quotelane.plans.catalog import Query
 from quotelane.session import stream_settings, work_dir
 from quotelane.sinks.writers import file_writer, routed_writer
 from quotelane.streaming import held, keyed, legs, spread
-from quotelane.streaming.replay import replay, timed_ticks
+from quotelane.streaming.replay import disorder, replay, timed_ticks
 
 ROWS_PER_FILE = 2_000_000
 DEALT_FILES = 6
@@ -127,11 +127,21 @@ def _topic_files(messages: DataFrame, path: str, rows_per_file: int) -> None:
     messages.repartitionByRange(files, "timestamp").write.parquet(path)
 
 
-def live_messages(topics: dict[str, tuple[DataFrame, int]], make, label: str, partitions: int = 0, **options) -> DataFrame:
+def _back(spark: SparkSession, path: str, partitions: int) -> int:
+    """How far a topic's files go back in time (ms), within each partition if these have clocks of their own."""
+    rows = spark.read.schema(schemas.MESSAGE).parquet(path).withColumn("_ms", F.unix_millis("timestamp"))
+    parts = [rows.where(F.col("partition") == p) for p in range(partitions)] if partitions else [rows]
+    return max(disorder(part, "_ms") for part in parts)
+
+
+def live_messages(
+    topics: dict[str, tuple[DataFrame, int]], make, label: str, partitions: int = 0, slack_ms: int = 0, **options
+) -> DataFrame:
     """The messages that a live job makes of topics, each cut into files of a number of rows.
 
     A micro-batch takes a file of each topic, so topics of fewer files run ahead. With ``partitions``, a topic is given
-    to the job as a stream per partition. A late message on every topic closes what is open; it makes no value
+    to the job as a stream per partition. Files of one age may come in any order; ``slack_ms`` is widened by what that
+    can set a topic back. A late message on every topic closes what is open; it makes no value
     itself.
     """
     spark = next(iter(topics.values()))[0].sparkSession
@@ -143,7 +153,8 @@ def live_messages(topics: dict[str, tuple[DataFrame, int]], make, label: str, pa
         stream = spark.readStream.schema(schemas.MESSAGE).option("maxFilesPerTrigger", 1).parquet(f"{work}/{name}")
         return [stream.where(F.col("partition") == p) for p in range(partitions)] if partitions else stream
 
-    out = make(*[topic(name) for name in topics], **options)
+    back = max(_back(spark, f"{work}/{name}", partitions) for name in topics)
+    out = make(*[topic(name) for name in topics], slack_ms=slack_ms + (back + 1 if back else 0), **options)
 
     def run() -> None:
         with stream_settings(spark):

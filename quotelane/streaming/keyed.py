@@ -86,7 +86,7 @@ class SingleSlot(StatefulProcessor):
             priced.append(spent)
         if self.price.exists() and len(batch):
             kept = self.price.get()[0]
-            latest = batch["price"].where(batch["kind"] == "price").ffill().fillna(kept)
+            latest = batch["price"].where(batch["kind"] == "price").astype(float).ffill().fillna(kept)
             self.price.update((float(latest.iloc[-1]),))
             priced.append(batch.assign(price=latest)[batch["kind"] == "position"])
         priced = [rows for rows in priced if len(rows)]

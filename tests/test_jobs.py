@@ -22,29 +22,56 @@ def _rows(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
+class _Dropped(StreamingQueryListener):
+    def __init__(self):
+        self.rows = []
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.rows.extend(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def _watched(spark, run):
+    watch = _Dropped()
+    spark.streams.addListener(watch)
+    try:
+        return run(), watch.rows
+    finally:
+        spark.streams.removeListener(watch)
+
+
 @pytest.mark.parametrize("by_symbol", [False, True])
 def test_live_leg_loses_nothing(spark, by_symbol):
     """Prices come in one file, positions in five: no row is late, and the values are the batch's."""
     make = jobs.symbol_value_messages if by_symbol else jobs.account_value_messages
     decode = codec.decode_symbol_positions if by_symbol else codec.decode_positions
     positions, prices = catalog.position_messages(spark, SF, by_symbol), catalog.price_messages(spark, SF)
-    dropped = []
+    topics = {"positions": (positions, 170), "prices": (prices, 10_000)}
+    got, dropped = _watched(spark, lambda: _rows(decode(streams.live_messages(topics, make, "test"))))
+    assert got == _rows(decode(make(positions, prices))) and got
+    assert dropped and not any(dropped)
 
-    class Watch(StreamingQueryListener):
-        def onQueryStarted(self, event):
-            pass
 
-        def onQueryProgress(self, event):
-            dropped.extend(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+def test_partitions_one_after_another(spark, tmp_path, monkeypatch):
+    """Each partition of the position topic comes whole before the next: a clock for each loses nothing."""
+    positions, prices = catalog.position_messages(spark, SF), catalog.price_messages(spark, SF)
 
-        def onQueryTerminated(self, event):
-            pass
+    def by_partition(messages, path, rows_per_file):
+        for p in range(catalog.PARTITIONS):
+            messages.where(F.col("partition") == p).coalesce(1).write.mode("append").parquet(path)
 
-    watch = Watch()
-    spark.streams.addListener(watch)
-    got = _rows(decode(streams.live_messages({"positions": (positions, 5), "prices": (prices, 1)}, make, "test")))
-    spark.streams.removeListener(watch)
-    assert got == _rows(decode(make(positions, prices))) and got
+    monkeypatch.setattr(streams, "_topic_files", by_partition)
+    topics = {"positions": (positions, 0), "prices": (prices, 0)}
+    make = jobs.account_value_messages
+    got, dropped = _watched(
+        spark, lambda: _rows(codec.decode_positions(streams.live_messages(topics, make, "test", catalog.PARTITIONS, **streams.LIVE)))
+    )
+    assert got == _rows(codec.decode_positions(make(positions, prices))) and len(got) == 136
     assert dropped and not any(dropped)
 
 
@@ -109,8 +136,20 @@ def test_every_row_is_printed_and_logged(spark, tmp_path):
     assert lines == {f'INFO saw {{"id":{i}}}.' for i in range(50)}
 
 
-@pytest.mark.parametrize("name", ["stream_mv_by_account_1m", "stream_mv_by_symbol_1m", "stream_price_enrich_list"])
-def test_streams_without_row_order(spark, monkeypatch, name):
-    monkeypatch.setattr(streams, "files_in_order", lambda rows, number: False)
-    ours = contract.queries()[name](spark, SF).toPandas()
+@pytest.mark.parametrize(
+    "name",
+    ["batches_price_enrich_act", "stream_message_timer_conflation", "stream_message_mv_by_account_spread",
+     "stream_message_rolling_quantity_spread", "stream_kafka_decode_dead_letters", "stream_message_cusip_allocations"],
+)
+def test_registered_streams_in_a_plain_session(spark, monkeypatch, name):
+    """The session's own state store can't run them; they set the one they need and put the other back."""
+    monkeypatch.setattr(streams, "ROWS_PER_FILE", 400)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before, plain = spark.conf.get(key), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(key, plain)
+    try:
+        ours = contract.queries()[name](spark, SF).toPandas()
+        assert spark.conf.get(key) == plain
+    finally:
+        spark.conf.set(key, before)
     assert difference(ours, connect(SF).execute(contract.oracle_sql()[name]).df()) is None

@@ -131,3 +131,9 @@ def test_work_folder_lies_in_the_shared_folder():
     with pytest.raises(RuntimeError):
         work_dir(session("spark://host"), "x")
     assert work_dir(session("local[2]"), "x")
+
+
+def test_a_partition_is_read_by_itself():
+    options = kafka.source_options("host:9092", "price", partition=3)
+    assert options["assign"] == '{"price": [3]}' and "subscribe" not in options
+    assert kafka.source_options("host:9092", "price")["subscribe"] == "price"
