@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,3 +81,40 @@ def worker_state(key: str, make: Callable[[], object]) -> object:
     if not hasattr(home, key):
         setattr(home, key, make())
     return getattr(home, key)
+
+
+# Groups below so many bytes leave little behind.
+LARGE_GROUP = 4 << 20
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same over batches; at the end of a task, what it has freed goes back to the system.
+
+    Python workers outlive their tasks, and what their allocators keep counts against the executor.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _give_back()
+
+    return tidied
+
+
+def tidy_group(run: Callable[[pa.Table], pa.Table]):
+    """The same for a group of rows."""
+
+    def tidied(table: pa.Table) -> pa.Table:
+        found, size = run(table), table.nbytes
+        del table
+        if size >= LARGE_GROUP:
+            _give_back()
+        return found
+
+    return tidied

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelane.llm.common import discard, pieces, written
+from quotelane.llm.common import discard, pieces, tidy, tidy_group, written
 from quotelane.llm.graph import components
 from quotelane.llm.shingles import chunked, mix, shingle_sets
 
@@ -504,7 +504,7 @@ def _regions(star: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFra
     over = pairs(F.col("above"), lambda o: pair(r, b, r + 1, o, F.lit(1)))
     dealt = placed.select("pivot", "rep", F.explode(F.concat(same, under, over)).alias("to")).select("pivot", "rep", "to.*")
     full = dealt.join(sets, "rep")
-    return full.groupBy("pivot", "r1", "b1", "r2", "b2").applyInArrow(_join_blocks(part, whole), "a long, b long")
+    return full.groupBy("pivot", "r1", "b1", "r2", "b2").applyInArrow(tidy_group(_join_blocks(part, whole)), "a long, b long")
 
 
 def _screened(texts: DataFrame, light: DataFrame, reps: DataFrame, width: int, share: tuple[int, int]) -> DataFrame:
@@ -512,12 +512,12 @@ def _screened(texts: DataFrame, light: DataFrame, reps: DataFrame, width: int, s
     part, whole = share
     n = F.col("n")
     offered = light.agg(F.sum(n + 1 + F.floor(n / ASKED_SHARE) + F.floor(-n * part / whole))).first()[0]
-    buckets = pieces(offered, ENTRIES_PER_BUCKET * 4)
+    buckets = pieces(offered, ENTRIES_PER_BUCKET * 2)
     bits = min(64, max(24, int(offered or 1).bit_length() + 16))
     counted = (
-        texts.mapInArrow(_offer(width, part, whole, buckets, bits), "bucket int, names binary, refs binary, known binary")
+        texts.mapInArrow(tidy(_offer(width, part, whole, buckets, bits)), "bucket int, names binary, refs binary, known binary")
         .groupBy("bucket")
-        .applyInArrow(_counted, "ref long, shared long")
+        .applyInArrow(tidy_group(_counted), "ref long, shared long")
         .groupBy("ref")
         .agg(F.sum("shared").alias("shared"))
     )
@@ -535,7 +535,7 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE,
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     fields = "doc_id long, n long, k1 long, k2 long"
-    light = written(texts.mapInArrow(_described(width, None), fields), "sets")
+    light = written(texts.mapInArrow(tidy(_described(width, None)), fields), "sets")
     named_texts = texts.where("doc_id IS NOT NULL")
     keyed = light.where("doc_id IS NOT NULL").select("doc_id", "n", "k1", "k2")
     # equal sets are one: the text of smallest id stands for them
@@ -548,14 +548,14 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE,
         near, some = reps, named_texts
     # until pairs are found a set goes by its hash, then by its smallest id
     heavy = (
-        some.mapInArrow(_described(width, plan), fields + ", cells binary")
+        some.mapInArrow(tidy(_described(width, plan)), fields + ", cells binary")
         .where("length(cells) > 0")
         .select(F.col("k1").alias("rep"), "cells")
     )
     entries = near.agg(F.sum("n")).first()[0]
-    buckets = pieces(entries, ENTRIES_PER_BUCKET * 4)
-    asked = heavy.mapInArrow(_ask(buckets), "bucket int, shared boolean, cells binary, base long, reps binary")
-    entries = written(asked.groupBy("bucket").applyInArrow(_shared, "cell long, rep long"), "cells", release=True)
+    buckets = pieces(entries, ENTRIES_PER_BUCKET * 2)
+    asked = heavy.mapInArrow(tidy(_ask(buckets)), "bucket int, shared boolean, cells binary, base long, reps binary")
+    entries = written(asked.groupBy("bucket").applyInArrow(tidy_group(_shared), "cell long, rep long"), "cells", release=True)
     pivots = entries.groupBy("cell").agg(F.min("rep").alias("pivot"))
     hashed = entries.join(pivots, "cell").where("rep <> pivot").select("pivot", "rep").distinct()
     names = near.groupBy("k1").agg(F.min("rep").alias("name"))
@@ -571,14 +571,14 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE,
     # a bit map says which documents' sets may be wanted; the joins decide
     wanted = written(pairs.select("rep").unionByName(pairs.select(F.col("pivot").alias("rep"))).distinct(), "asked", light=True)
     chosen = spark.sparkContext.broadcast(_bit_map(wanted, wanted.count()))
-    sets = named_texts.mapInArrow(_maybe(chosen), "doc_id long, text string").mapInArrow(_sets_of(width), "rep long, set binary")
+    sets = named_texts.mapInArrow(_maybe(chosen), "doc_id long, text string").mapInArrow(tidy(_sets_of(width)), "rep long, set binary")
     sets = written(sets.join(wanted, "rep", "left_semi").dropDuplicates(["rep", "set"]), "wanted", release=True)
     star = written(
         pairs.join(sets, "rep")
         .select("pivot", "rep", "set")
         .join(sets.select(F.col("rep").alias("pivot"), F.col("set").alias("pivot_set")), "pivot")
         .select("pivot", "rep", "set", "pivot_set")
-        .mapInArrow(_measure(part, whole), "pivot long, rep long, far double, linked boolean"),
+        .mapInArrow(tidy(_measure(part, whole)), "pivot long, rep long, far double, linked boolean"),
         "star",
         release=True,
     )

@@ -11,7 +11,8 @@ the hash, so that openings which many texts share don't fill it. All else sees w
 
 Defined cases: a null text or one without letters is ``und`` with score 0, and rejected; with one
 learned language every other text is that language; with none, every text is ``und``; equal sizes
-go to the language that more of the labelled texts have.
+go to the language that more of the labelled texts have; repeated rows are one in the sample, count each in how often a
+language is, and are each identified; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quotelane.llm.common import tidy
+
 UNKNOWN = "und"
 SAMPLE_DOCS = 128
 SAMPLE_BYTES = 32 * 1024
@@ -43,9 +46,11 @@ def learn(labelled: DataFrame, docs: int = SAMPLE_DOCS, size: int = SAMPLE_BYTES
     places = F.greatest(F.lit(1), F.length("text") - part + 1)
     sample = labelled.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")
-    ).select("lang", F.col("text").substr(F.pmod(F.hash(key), places) + 1, F.lit(part)).alias("piece"), key.alias("key"))
+    ).select("lang", key.alias("key"), F.col("text").substr(F.pmod(F.hash(key), places) + 1, F.lit(part)).alias("piece"))
+    # a task gives its own smallest ones, so what is shuffled is bounded by the tasks, not the rows
+    few = sample.mapInArrow(_smallest(docs), "lang string, key long, piece string").distinct()
     best = Window.partitionBy("lang").orderBy("key", "piece")
-    rows = sample.distinct().withColumn("n", F.row_number().over(best)).where(F.col("n") <= docs).collect()
+    rows = few.withColumn("n", F.row_number().over(best)).where(F.col("n") <= docs).collect()
     texts: dict[str, list[tuple[int, str]]] = {}
     for row in rows:
         texts.setdefault(row["lang"], []).append((row["n"], _first_bytes(row["piece"].lower(), part - 1)))
@@ -57,12 +62,40 @@ def learn(labelled: DataFrame, docs: int = SAMPLE_DOCS, size: int = SAMPLE_BYTES
     }
 
 
+def _smallest(docs: int):
+    """Of each language the ``docs`` smallest distinct (key, piece) of a task. One language too many is enough
+    for the driver to refuse, so no more are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, set[tuple[int, str]]] = {}
+        bounds: dict[str, int] = {}
+        for batch in batches:
+            for lang, key, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if lang not in held:
+                    if len(held) > MOST_LANGUAGES:
+                        continue
+                    held[lang], bounds[lang] = set(), 1 << 63
+                if key <= bounds[lang]:
+                    held[lang].add((key, piece))
+                    if len(held[lang]) >= 2 * docs:
+                        held[lang] = set(sorted(held[lang])[:docs])
+                        bounds[lang] = max(held[lang])[0]
+        rows = [(lang, *row) for lang, some in held.items() for row in sorted(some)[:docs]]
+        columns = list(zip(*rows, strict=True)) or [(), (), ()]
+        kinds = (pa.string(), pa.int64(), pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["lang", "key", "piece"]
+        )
+
+    return run
+
+
 def _first_bytes(text: str, size: int) -> bytes:
     """Whole characters of a text in at most ``size`` bytes, one character at least."""
     return text.encode()[:size].decode(errors="ignore").encode() or text[:1].encode()
 
 
-def _classify(dictionaries: dict[str, bytes], block: int, level: int):
+def _classify(dictionaries: dict[str, bytes], block: int, level: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
@@ -95,10 +128,11 @@ def _classify(dictionaries: dict[str, bytes], block: int, level: int):
                     sizes = ranked(fine, parts)
                 langs.append(names[sizes[0][1]])
                 scores.append(1 - sizes[0][0] / sizes[1][0] if len(sizes) > 1 else 1.0)
-            kept = [batch.column(i) for i in range(1, batch.num_columns)]
+            first = 0 if with_text else 1
+            kept = [batch.column(i) for i in range(first, batch.num_columns)]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names[1:], "lang_pred", "margin"],
+                names=[*batch.schema.names[first:], "lang_pred", "margin"],
             )
 
     return run
@@ -113,11 +147,12 @@ def identify(
     least_margin: float = LEAST_MARGIN,
     least_bytes: int = LEAST_BYTES,
 ) -> DataFrame:
-    """``keep`` columns with lang_pred, score (the margin, 0 to 1) and rejected."""
-    kept = docs.select(F.col("text").alias("_text"), F.octet_length("text").alias("_bytes"), *keep)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[1:])
+    """``keep`` columns with lang_pred, score (the margin, 0 to 1) and rejected. A text that is kept too goes once."""
+    with_text = "text" in keep
+    kept = docs.select("text", F.octet_length("text").alias("_bytes"), *(k for k in keep if k != "text"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[0 if with_text else 1 :])
     found = kept.mapInArrow(
-        _classify(dictionaries, block, level), f"{fields}, lang_pred string, margin double"
+        tidy(_classify(dictionaries, block, level, with_text)), f"{fields}, lang_pred string, margin double"
     )
     narrow = (F.col("margin") < least_margin) & (F.col("_bytes") >= least_bytes)
     rejected = (F.col("lang_pred") == UNKNOWN) | narrow
