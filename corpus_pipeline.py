@@ -27,10 +27,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Keep the documents whose language is told; it replaces the given one."""
     docs = docs.select(*COLUMNS)
     dictionaries = language.learn(docs.select("text", "lang"))
-    found = language.identify(docs.withColumn("_kept", F.col("text")), dictionaries, ["doc_id", "_kept", "source", "n_chars"])
-    return found.where(~F.col("rejected")).select(
-        "doc_id", F.col("_kept").alias("text"), F.col("lang_pred").alias("lang"), "source", "n_chars"
-    )
+    found = language.identify(docs, dictionaries, ["doc_id", "text", "source", "n_chars"])
+    return found.where(~F.col("rejected")).select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
 
 
 def _row_key() -> Column:
