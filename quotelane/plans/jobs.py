@@ -73,11 +73,12 @@ def account_value_messages(
     slack_ms: int = SLACK_MS,
     shards: int = 1,
     bucket_ms: int = held.BUCKET_MS,
+    together: int = 1,
 ) -> DataFrame:
     """Position and price messages to market-value messages by account."""
     events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS, slack_ms)
     if events.isStreaming:
-        values = legs.account_leg(events, order=held.MESSAGES, shards=shards, bucket_ms=bucket_ms)
+        values = legs.account_leg(events, order=held.MESSAGES, shards=shards, bucket_ms=bucket_ms, together=together)
     else:
         values = desk.account_leg(events)
     return codec.encode_positions(values, topic)
@@ -89,20 +90,22 @@ def symbol_value_messages(
     topic: str = kafka.SYMBOL_VALUES,
     slack_ms: int = SLACK_MS,
     bucket_ms: int = held.BUCKET_MS,
+    together: int = 1,
 ) -> DataFrame:
     """Position and price messages to market-value messages by security."""
     events = leg_events(positions, prices, schemas.SYMBOL_POSITION, pricing.SYMBOL_FIELDS, slack_ms)
     if events.isStreaming:
-        values = legs.symbol_leg(events, order=held.MESSAGES, bucket_ms=bucket_ms)
+        values = legs.symbol_leg(events, order=held.MESSAGES, bucket_ms=bucket_ms, together=together)
     else:
         values = desk.symbol_leg(events)
     return codec.encode_symbol_positions(values, topic)
 
 
-def arrivals(positions: Topic, prices: Topic, slack_ms: int = SLACK_MS) -> DataFrame:
+def arrivals(positions: Topic, prices: Topic, slack_ms: int = SLACK_MS, together: int = 1) -> DataFrame:
     """Every message of a leg once: in order and numbered by security, or late. ``route`` tells which."""
     events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS, slack_ms)
-    rows = held.in_order(events, "kind STRING, price DOUBLE, account STRING, subAccount STRING, quantity INT, orderId STRING")
+    columns = "kind STRING, price DOUBLE, account STRING, subAccount STRING, quantity INT, orderId STRING"
+    rows = held.in_order(events, columns, together=together)
     return _routed(rows, "taken")
 
 
@@ -144,11 +147,12 @@ def conflated_value_messages(
     slack_ms: int = SLACK_MS,
     period_ms: int = conflation.PERIOD_MS,
     bucket_ms: int = held.BUCKET_MS,
+    together: int = 1,
 ) -> DataFrame:
     """Position and price messages to a message per account slot at each fire of its security's timer."""
     events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS, slack_ms)
     if events.isStreaming:
-        values = held.price_timer_conflation(events, period_ms, bucket_ms=bucket_ms)
+        values = held.price_timer_conflation(events, period_ms, bucket_ms=bucket_ms, together=together)
     else:
         values = conflation.price_timer_conflation(events, period_ms=period_ms)
     return codec.encode_positions(values, topic)
@@ -160,18 +164,23 @@ def listed_value_messages(
     topic: str = kafka.ACCOUNT_VALUES,
     slack_ms: int = SLACK_MS,
     bucket_ms: int = held.BUCKET_MS,
+    together: int = 1,
 ) -> DataFrame:
     """Position and price messages to a message per position, valued at its security's next price."""
     events = leg_events(positions, prices, schemas.POSITION, pricing.ACCOUNT_FIELDS, slack_ms)
     if events.isStreaming:
-        values = held.price_list_buffer(events, bucket_ms=bucket_ms)
+        values = held.price_list_buffer(events, bucket_ms=bucket_ms, together=together)
     else:
         values = pricing.price_list_buffer(events)
     return codec.encode_positions(values, topic)
 
 
 def running_quantities(
-    positions: Topic, slack_ms: int = SLACK_MS, shards: int = 1, bucket_ms: int = held.BUCKET_MS
+    positions: Topic,
+    slack_ms: int = SLACK_MS,
+    shards: int = 1,
+    bucket_ms: int = held.BUCKET_MS,
+    together: int = 1,
 ) -> DataFrame:
     """Position messages to running totals by account and security, in the order of arrival.
 
@@ -182,8 +191,8 @@ def running_quantities(
     if timed[0].isStreaming:
         rows = legs.with_watermark_each(timed, slack_ms)
         if shards == 1:
-            return held.rolling_quantity(rows, bucket_ms=bucket_ms)
-        return spread.rolling_quantity(rows.withColumn("seq", spread.sequence("partition", "offset")), shards, bucket_ms)
+            return held.rolling_quantity(rows, bucket_ms=bucket_ms, together=together)
+        return spread.rolling_quantity(rows.withColumn("seq", spread.sequence("partition", "offset")), shards, bucket_ms, together)
     both = numbered(reduce(DataFrame.unionByName, timed), [F.col(c) for c in ARRIVAL], "ord")
     return windows.rolling_quantity(both)
 

@@ -15,7 +15,7 @@ from quotelane.plans.catalog import Query
 from quotelane.session import stream_settings, work_dir
 from quotelane.sinks.writers import file_writer, routed_writer
 from quotelane.streaming import held, keyed, legs, spread
-from quotelane.streaming.replay import disorder, replay, timed_ticks
+from quotelane.streaming.replay import disorder, replay, state_parts, timed_ticks
 
 ROWS_PER_FILE = 2_000_000
 DEALT_FILES = 6
@@ -23,7 +23,10 @@ ORDER = held.NUMBERED
 # A replay needs no early results: its buckets are a window of the legs, or half an hour where no window follows.
 WINDOW_MS = 60_000
 STRETCH_MS = 1_800_000
-LIVE = {"slack_ms": 0, "bucket_ms": WINDOW_MS}
+# Buckets of four hours lie together in the state.
+HELD_MS = 4 * 3_600_000
+LIVE = {"slack_ms": 0, "bucket_ms": WINDOW_MS, "together": HELD_MS // WINDOW_MS}
+STRETCHES = {"bucket_ms": STRETCH_MS, "together": HELD_MS // STRETCH_MS}
 
 
 def _events(spark: SparkSession, sf_dir: str, plan, label: str) -> DataFrame:
@@ -35,31 +38,31 @@ def _positions(ticks: DataFrame) -> DataFrame:
 
 
 def _account_leg(ticks: DataFrame) -> DataFrame:
-    return legs.account_leg(ticks, order=ORDER, bucket_ms=WINDOW_MS)
+    return legs.account_leg(ticks, order=ORDER, bucket_ms=WINDOW_MS, together=HELD_MS // WINDOW_MS)
 
 
 def _symbol_leg(ticks: DataFrame) -> DataFrame:
-    return legs.symbol_leg(ticks, order=ORDER, bucket_ms=WINDOW_MS)
+    return legs.symbol_leg(ticks, order=ORDER, bucket_ms=WINDOW_MS, together=HELD_MS // WINDOW_MS)
 
 
 def _slot(ticks: DataFrame) -> DataFrame:
-    return held.price_single_slot(ticks, order=ORDER, bucket_ms=STRETCH_MS)
+    return held.price_single_slot(ticks, order=ORDER, **STRETCHES)
 
 
 def _symbol_slot(ticks: DataFrame) -> DataFrame:
-    return held.price_single_slot(ticks, keyed.SYMBOL_SLOT, ORDER, STRETCH_MS)
+    return held.price_single_slot(ticks, keyed.SYMBOL_SLOT, ORDER, **STRETCHES)
 
 
 def _list(ticks: DataFrame) -> DataFrame:
-    return held.price_list_buffer(ticks, order=ORDER, bucket_ms=STRETCH_MS)
+    return held.price_list_buffer(ticks, order=ORDER, **STRETCHES)
 
 
 def _timer(ticks: DataFrame) -> DataFrame:
-    return held.price_timer_conflation(ticks, order=ORDER, bucket_ms=STRETCH_MS)
+    return held.price_timer_conflation(ticks, order=ORDER, **STRETCHES)
 
 
 def _rolling(ticks: DataFrame) -> DataFrame:
-    return held.rolling_quantity(_positions(ticks), ORDER, STRETCH_MS)
+    return held.rolling_quantity(_positions(ticks), ORDER, **STRETCHES)
 
 
 def stream_mv_by_account_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,6 +137,11 @@ def _back(spark: SparkSession, path: str, partitions: int) -> int:
     return max(disorder(part, "_ms") for part in parts)
 
 
+def _parts(spark: SparkSession, work: str, names) -> int:
+    """Into how many parts a replay of topics cuts its state."""
+    return max(state_parts(spark, spark.read.schema(schemas.MESSAGE).parquet(f"{work}/{name}")) for name in names)
+
+
 def live_messages(
     topics: dict[str, tuple[DataFrame, int]], make, label: str, partitions: int = 0, slack_ms: int = 0, **options
 ) -> DataFrame:
@@ -156,8 +164,10 @@ def live_messages(
     back = max(_back(spark, f"{work}/{name}", partitions) for name in topics)
     out = make(*[topic(name) for name in topics], slack_ms=slack_ms + (back + 1 if back else 0), **options)
 
+    parts = _parts(spark, work, topics)
+
     def run() -> None:
-        with stream_settings(spark):
+        with stream_settings(spark, parts):
             query = file_writer(out, f"{work}/out", f"{work}/checkpoint").trigger(availableNow=True).start()
         query.awaitTermination()
 
@@ -203,10 +213,11 @@ def routed_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.readStream.schema(schemas.MESSAGE).option("maxFilesPerTrigger", 1).parquet(f"{work}/{name}")
         for name in ("positions", "prices")
     ]
-    out = jobs.arrivals(*topics)
+    out = jobs.arrivals(*topics, together=HELD_MS // held.BUCKET_MS)
+    parts = _parts(spark, work, ("positions", "prices"))
 
     def run() -> None:
-        with stream_settings(spark):
+        with stream_settings(spark, parts):
             writer = routed_writer(out, "route", f"{work}/out", f"{work}/checkpoint")
             writer.trigger(availableNow=True).start().awaitTermination()
 
@@ -264,7 +275,7 @@ def stream_message_rolling_quantity(spark: SparkSession, sf_dir: str) -> DataFra
 def stream_message_rolling_quantity_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One key's stretches of time over several tasks."""
     topics = {"positions": (catalog.position_messages(spark, sf_dir), ROWS_PER_FILE // 8)}
-    options = {"slack_ms": 0, "bucket_ms": 5 * WINDOW_MS, "shards": spread.SHARDS}
+    options = {"slack_ms": 0, "bucket_ms": 5 * WINDOW_MS, "together": HELD_MS // (5 * WINDOW_MS), "shards": spread.SHARDS}
     made = live_messages(topics, jobs.running_quantities, "live-spread-total", catalog.PARTITIONS, **options)
     return made.select(*catalog.ROLLED_COLUMNS)
 

@@ -1,10 +1,13 @@
 """Rows in any order, put in order before a keyed processor takes them.
 
 A key's rows wait in a map state by buckets of time. A bucket is written in parts, one per
-micro-batch that brings rows of it, and read once, by the timer that fires when the watermark has
-passed its end: then no earlier row can come. Its rows go to the processor in order. What lies in
-later buckets is neither read nor written meanwhile, so a side that runs ahead costs state in
-proportion to its rows.
+micro-batch that brings rows of it, and read once, when the watermark has passed its end: then no
+earlier row can come. A key has one timer, at its first bucket that waits; it takes all buckets that the
+watermark has passed, in order. What lies in later buckets is neither read nor written meanwhile, so a
+side that runs ahead costs state in proportion to its rows.
+
+Where results may wait for each other, as in a replay, some buckets lie ``together`` in the state, and go to
+the processor at once. Of those that the watermark stands in, what is still open is written again.
 
 What a processor makes of a bucket carries the bucket's last millisecond as event time (``ts``), as
 the watermark may have passed single rows of it already; ``timestamp`` stays the row's own. Where
@@ -45,6 +48,7 @@ class Held(StatefulProcessor):
         order: str,
         bucket_ms: int = BUCKET_MS,
         late: tuple[list[str], list[str]] | None = None,
+        together: int = 1,
     ) -> None:
         """``late``: names of the key and of all columns that go out, where late rows go out too."""
         fields = {"timestamp": "BIGINT"}
@@ -59,17 +63,20 @@ class Held(StatefulProcessor):
         self.order = ["timestamp", *keyed._names(order)]
         self.numbers = order == MESSAGES
         self.bucket_ms = bucket_ms
+        self.together = together
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.inner.init(handle)
         if hasattr(self.inner, "wait_until"):
-            # fires are due once all rows before them are in, which the bucket's timer tells
-            self.inner.wait_until = lambda deadline: self._wake(self._bucket(deadline - 1))
+            # fires are due once all rows before them are in, which the key's own timer tells
+            self.inner.wait_until = lambda deadline: None
             self.inner.wait_no_more = lambda deadline: None
-        self.parts = handle.getMapState("parts", "bucket BIGINT", "parts BIGINT")
-        self.rows = handle.getMapState("rows", "bucket BIGINT, part BIGINT", f"rows ARRAY<STRUCT<{self.row}>>")
+        # of buckets that lie together: how many parts, and the first bucket in them
+        self.parts = handle.getMapState("parts", "stretch BIGINT", "parts BIGINT, first BIGINT")
+        self.rows = handle.getMapState("rows", "stretch BIGINT, part BIGINT", f"rows ARRAY<STRUCT<{self.row}>>")
         self.taken = handle.getValueState("taken", "taken BIGINT")
+        self.woken = handle.getValueState("woken", "bucket BIGINT")
 
     def _bucket(self, at: int) -> int:
         return at // self.bucket_ms
@@ -81,28 +88,42 @@ class Held(StatefulProcessor):
         self.handle.registerTimer(self._end(bucket))
 
     def _plain(self, frame: pd.DataFrame) -> list[tuple]:
-        columns = [
-            [None if pd.isna(v) else int(v) if c in self.whole else v for v in frame[c].tolist()] for c in self.columns
-        ]
+        columns = []
+        for c in self.columns:
+            values = frame[c].astype(object).where(frame[c].notna(), None).tolist()
+            columns.append([None if v is None else int(v) for v in values] if c in self.whole else values)
         return list(zip(*columns, strict=True))
 
+    def _keep(self, stretch: int, number: int, rows: list[tuple]) -> int:
+        """Write rows as parts from ``number`` on; the number after the last."""
+        for at in range(0, len(rows), keyed.CHUNK):
+            self.rows.updateValue((stretch, number), (rows[at : at + keyed.CHUNK],))
+            number += 1
+        return number
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         clock = timerValues.getCurrentWatermarkInMs()
+        found: dict[int, tuple[int, int]] = {}
         for frame in rows:
             if self.late:
                 closed = (frame["timestamp"] // self.bucket_ms + 1) * self.bucket_ms - 1 < clock
                 if closed.any():
                     yield self._late(key, frame[closed])
                     frame = frame[~closed]
-            for bucket, part in frame.groupby(frame["timestamp"] // self.bucket_ms):
-                place = (int(bucket),)
-                number = self.parts.getValue(place)[0] if self.parts.containsKey(place) else 0
-                plain = self._plain(part)
-                for at in range(0, len(plain), keyed.CHUNK):
-                    self.rows.updateValue((*place, number), (plain[at : at + keyed.CHUNK],))
-                    number += 1
-                self.parts.updateValue(place, (number,))
-                self._wake(int(bucket))
+            for stretch, part in frame.groupby(frame["timestamp"] // (self.bucket_ms * self.together)):
+                place, first = int(stretch), self._bucket(int(part["timestamp"].min()))
+                if place not in found:
+                    known = self.parts.containsKey((place,))
+                    found[place] = tuple(self.parts.getValue((place,))) if known else (0, first)
+                number, lowest = found[place]
+                found[place] = self._keep(place, number, self._plain(part)), min(lowest, first)
+        for place, held in found.items():
+            self.parts.updateValue((place,), held)
+        if found:
+            first = min(lowest for _, lowest in found.values())
+            if not self.woken.exists() or first < self.woken.get()[0]:
+                self.woken.update((first,))
+                self._wake(first)
 
     def _late(self, key, rows: pd.DataFrame) -> pd.DataFrame:
         names, columns = self.late
@@ -119,37 +140,61 @@ class Held(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         at = expiredTimerInfo.getExpiryTimeInMs()
-        bucket = self._bucket(at)
-        waiting: list[tuple] = []
-        if self.parts.containsKey((bucket,)):
-            for number in range(self.parts.getValue((bucket,))[0]):
-                waiting += map(tuple, self.rows.getValue((bucket, number))[0])
-                self.rows.removeKey((bucket, number))
-            self.parts.removeKey((bucket,))
-        if waiting:
-            batch = pd.DataFrame(waiting, columns=self.columns).sort_values(self.order, ignore_index=True)
+        # the last bucket that is over
+        closed = max(timerValues.getCurrentWatermarkInMs() // self.bucket_ms - 1, self._bucket(at))
+        left = []
+        for (stretch,), (parts, first) in sorted((tuple(k), tuple(v)) for k, v in self.parts.iterator()):
+            if first > closed:
+                left.append(first)
+                continue
+            batch, after = self._take(stretch, parts, closed)
+            if after is not None:
+                left.append(after)
             if self.numbers:
-                first = self.taken.get()[0] if self.taken.exists() else 0
-                self.taken.update((first + len(batch),))
-                batch["ord"] = range(first, first + len(batch))
+                number = self.taken.get()[0] if self.taken.exists() else 0
+                self.taken.update((number + len(batch),))
+                batch["ord"] = range(number, number + len(batch))
             batch["ts"] = pd.to_datetime(batch["timestamp"], unit="ms")
             for frame in self.inner.ordered(key, batch):
                 yield self._made(frame, at)
         due = self.inner.due() if hasattr(self.inner, "due") else None
-        if due is None:
-            return
-        # a fire whose time has passed goes out now if no bucket before it waits, as timers set here come later
-        last = self._bucket(due - 1)
-        end = self._end(last)
-        if end < timerValues.getCurrentWatermarkInMs() or end <= at:
-            if not any(self.parts.containsKey((b,)) for b in range(bucket + 1, last + 1)):
+        if due is not None:
+            # no bucket before it waits once its own is over
+            last = self._bucket(due - 1)
+            if last > closed:
+                left.append(last)
+            else:
                 for frame in self.inner.passed(key):
-                    yield self._made(frame, max(at, end))
+                    yield self._made(frame, at)
+        if left:
+            self.woken.update((min(left),))
+            self._wake(min(left))
+        else:
+            self.woken.clear()
+
+    def _take(self, stretch: int, parts: int, closed: int) -> tuple[pd.DataFrame, int | None]:
+        """The rows of a stretch up to a bucket, in order, and the first bucket of it that is left."""
+        waiting: list[tuple] = []
+        for number in range(parts):
+            waiting += map(tuple, self.rows.getValue((stretch, number))[0])
+            self.rows.removeKey((stretch, number))
+        batch = pd.DataFrame(waiting, columns=self.columns)
+        later = batch["timestamp"] // self.bucket_ms > closed
+        if later.any():
+            kept = batch[later]
+            after = self._bucket(int(kept["timestamp"].min()))
+            self.parts.updateValue((stretch,), (self._keep(stretch, 0, self._plain(kept)), after))
+            batch = batch[~later]
+        else:
+            after = None
+            self.parts.removeKey((stretch,))
+        return batch.sort_values(self.order, ignore_index=True), after
 
     def _made(self, frame: pd.DataFrame, at: int) -> pd.DataFrame:
         if self.late:
             return self._shaped(frame.assign(late=False))
-        return frame.assign(ts=pd.Timestamp(at, unit="ms"))
+        ends = ((frame["timestamp"] // self.bucket_ms + 1) * self.bucket_ms - 1).clip(lower=at)
+        return frame.assign(ts=pd.to_datetime(ends.astype("int64"), unit="ms"))
 
 
 class Passing:
@@ -169,29 +214,33 @@ class Passing:
 
 
 def _run(
-    events: DataFrame, keys: Sequence[str], inner: StatefulProcessor, columns: str, order: str, schema: str, bucket_ms: int
+    events: DataFrame, keys: Sequence[str], inner: StatefulProcessor, columns: str, order: str, schema: str, bucket_ms: int,
+    together: int = 1,
 ) -> DataFrame:
     return events.groupBy(*keys).transformWithStateInPandas(
-        Held(inner, columns, order, bucket_ms), schema, "append", "eventTime", eventTimeColumnName="ts"
+        Held(inner, columns, order, bucket_ms, together=together), schema, "append", "eventTime", eventTimeColumnName="ts"
     )
 
 
 def _run_with_late(
-    events: DataFrame, keys: Sequence[str], inner: StatefulProcessor, columns: str, order: str, schema: str, bucket_ms: int
+    events: DataFrame, keys: Sequence[str], inner: StatefulProcessor, columns: str, order: str, schema: str, bucket_ms: int,
+    together: int = 1,
 ) -> DataFrame:
     """As ``_run``, with late rows; the result has no watermark, as they are older than it."""
     unmarked = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 0 SECONDS"))
     late = (list(keys), [*keyed._names(schema), "late"])
     return unmarked.groupBy(*keys).transformWithStateInPandas(
-        Held(inner, columns, order, bucket_ms, late), f"{schema}, late BOOLEAN", "append", "eventTime"
+        Held(inner, columns, order, bucket_ms, late, together), f"{schema}, late BOOLEAN", "append", "eventTime"
     )
 
 
-def in_order(events: DataFrame, columns: str, order: str = MESSAGES, bucket_ms: int = BUCKET_MS) -> DataFrame:
+def in_order(
+    events: DataFrame, columns: str, order: str = MESSAGES, bucket_ms: int = BUCKET_MS, together: int = 1
+) -> DataFrame:
     """Every row of a security once: in order and numbered (``ord``), or late and without number."""
     fields = {part.split()[0]: part for part in f"cusip STRING,{columns},{order},ord BIGINT,timestamp BIGINT,ts TIMESTAMP".split(",")}
     schema = ", ".join(part.strip() for part in fields.values())
-    return _run_with_late(events, ["cusip"], Passing(["cusip"]), columns, order, schema, bucket_ms)
+    return _run_with_late(events, ["cusip"], Passing(["cusip"]), columns, order, schema, bucket_ms, together)
 
 
 def price_single_slot_with_late(
@@ -204,7 +253,11 @@ def price_single_slot_with_late(
 
 
 def price_single_slot(
-    events: DataFrame, slot: str = keyed.ACCOUNT_SLOT, order: str = MESSAGES, bucket_ms: int = BUCKET_MS
+    events: DataFrame,
+    slot: str = keyed.ACCOUNT_SLOT,
+    order: str = MESSAGES,
+    bucket_ms: int = BUCKET_MS,
+    together: int = 1,
 ) -> DataFrame:
     """Single-slot pricing of rows in any order; events carry a watermark on ``ts``.
 
@@ -212,30 +265,36 @@ def price_single_slot(
     security's rows.
     """
     columns = f"kind STRING, price DOUBLE, {slot}"
-    return _run(events, ["cusip"], keyed.SingleSlot(slot), columns, order, keyed.priced_schema(slot), bucket_ms)
+    return _run(events, ["cusip"], keyed.SingleSlot(slot), columns, order, keyed.priced_schema(slot), bucket_ms, together)
 
 
 def price_list_buffer(
-    events: DataFrame, slot: str = keyed.ACCOUNT_SLOT, order: str = MESSAGES, bucket_ms: int = BUCKET_MS
+    events: DataFrame,
+    slot: str = keyed.ACCOUNT_SLOT,
+    order: str = MESSAGES,
+    bucket_ms: int = BUCKET_MS,
+    together: int = 1,
 ) -> DataFrame:
     """Every position waits for its security's next price, rows in any order."""
     columns = f"kind STRING, price DOUBLE, {slot}"
-    return _run(events, ["cusip"], keyed.ListBuffer(slot), columns, order, keyed.listed_schema(slot), bucket_ms)
+    return _run(events, ["cusip"], keyed.ListBuffer(slot), columns, order, keyed.listed_schema(slot), bucket_ms, together)
 
 
 def price_timer_conflation(
-    events: DataFrame, period_ms: int = PERIOD_MS, order: str = MESSAGES, bucket_ms: int = BUCKET_MS
+    events: DataFrame, period_ms: int = PERIOD_MS, order: str = MESSAGES, bucket_ms: int = BUCKET_MS, together: int = 1
 ) -> DataFrame:
     """The latest position of every account slot at each fire of the security's timer, rows in any order.
 
     A fire goes out once the watermark has passed its bucket.
     """
     columns = f"kind STRING, price DOUBLE, {keyed.ACCOUNT_SLOT}"
-    return _run(events, ["cusip"], keyed.TimerConflation(period_ms), columns, order, keyed.CONFLATED, bucket_ms)
+    return _run(events, ["cusip"], keyed.TimerConflation(period_ms), columns, order, keyed.CONFLATED, bucket_ms, together)
 
 
-def rolling_quantity(positions: DataFrame, order: str = MESSAGES, bucket_ms: int = BUCKET_MS) -> DataFrame:
+def rolling_quantity(
+    positions: DataFrame, order: str = MESSAGES, bucket_ms: int = BUCKET_MS, together: int = 1
+) -> DataFrame:
     """Running totals by account and security, rows in any order."""
     keys = ["account", "subAccount", "cusip"]
     columns = "account STRING, subAccount STRING, cusip STRING, quantity INT"
-    return _run(positions, keys, keyed.RollingTotal(), columns, order, keyed.ROLLED, bucket_ms)
+    return _run(positions, keys, keyed.RollingTotal(), columns, order, keyed.ROLLED, bucket_ms, together)

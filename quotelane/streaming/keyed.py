@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import islice
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -207,23 +208,31 @@ class TimerConflation(StatefulProcessor):
     def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         at = batch["timestamp"].to_numpy()
         is_price = (batch["kind"] == "price").to_numpy()
-        start = 0
+        prices = is_price.nonzero()[0]
+        armed = deadline = self.due()
+        fires, ends, start = [], [], 0
         while start < len(batch):
-            if not self.deadline.exists():
-                prices = is_price[start:].nonzero()[0]
-                if not len(prices):
-                    self._hold(batch.iloc[start:])
+            if deadline is None:
+                arming = prices.searchsorted(start)
+                if arming == len(prices):
                     break
-                deadline = int(at[start + prices[0]]) + self.period_ms
-                self.deadline.update((deadline,))
-                self.wait_until(deadline)
-            deadline = self.deadline.get()[0]
-            stop = start + int(at[start:].searchsorted(deadline))
-            self._hold(batch.iloc[start:stop])
-            if stop < len(batch):
-                self.wait_no_more(deadline)
-                yield from self._fire(key[0], deadline)
-            start = stop
+                deadline = int(at[prices[arming]]) + self.period_ms
+            start = max(start, int(at.searchsorted(deadline)))
+            if start < len(batch):
+                fires.append(deadline)
+                ends.append(start)
+                deadline = None
+        if fires:
+            if armed is not None:
+                self.wait_no_more(armed)
+            # how many of the fires come before a row
+            past = np.searchsorted(ends, np.arange(len(batch)), side="right")
+            yield from self._fires(key[0], batch[past < len(fires)], past[past < len(fires)], np.array(fires))
+            batch = batch[past == len(fires)]
+        self._hold(batch)
+        if deadline is not None and (fires or deadline != armed):
+            self.deadline.update((deadline,))
+            self.wait_until(deadline)
 
     def wait_until(self, deadline: int) -> None:
         self.handle.registerTimer(deadline)
@@ -253,20 +262,33 @@ class TimerConflation(StatefulProcessor):
             )
 
     def _fire(self, cusip: str, at: int) -> Iterator[pd.DataFrame]:
-        price = self.price.get()[0]
+        none = pd.DataFrame(columns=["kind", *_names(ACCOUNT_SLOT), "price"])
+        yield from self._fires(cusip, none, np.array([], dtype="int64"), np.array([at]))
+
+    def _fires(self, cusip: str, rows: pd.DataFrame, past: np.ndarray, fires: np.ndarray) -> Iterator[pd.DataFrame]:
+        """What the fires give out, of what is held and the rows up to the last fire; ``past`` numbers each row's fire."""
+        slot, names = ["account", "subAccount"], ["account", "subAccount", "quantity", "orderId"]
         # a snapshot, as the store is cleared before the rows go out
-        rows = [(*slot, *position) for slot, position in self.held.iterator()]
+        held = pd.DataFrame([(*s, *position) for s, position in self.held.iterator()], columns=names, dtype=object)
+        price = self.price.get()[0] if self.price.exists() else None
         self.held.clear()
         self.price.clear()
         self.deadline.clear()
-        if rows:
-            out = pd.DataFrame(rows, columns=["account", "subAccount", "quantity", "orderId"])
+        is_price = (rows["kind"] == "price").to_numpy()
+        quotes = pd.Series(price, index=[0], dtype=float)
+        quotes = pd.concat([quotes, rows["price"][is_price].astype(float).set_axis(past[is_price])])
+        latest = quotes[~quotes.index.duplicated(keep="last")]
+        positions = rows.loc[~is_price, names].astype(object).assign(_fire=past[~is_price])
+        out = pd.concat([held.assign(_fire=0), positions]).drop_duplicates(["_fire", *slot], keep="last")
+        if len(out):
+            number = out.pop("_fire").astype("int64").to_numpy()
             out.insert(0, "cusip", cusip)
-            out["price"] = price
-            out["marketValue"] = out["quantity"].astype(float) * price
-            out["quantity"] = out["quantity"].astype("Int32")
-            out["timestamp"] = at
-            out["ts"] = pd.Timestamp(at, unit="ms")
+            quantity = out["quantity"].astype(float)
+            out["price"] = latest.reindex(number).to_numpy()
+            out["marketValue"] = quantity * out["price"]
+            out["quantity"] = quantity.astype("Int32")
+            out["timestamp"] = fires[number]
+            out["ts"] = pd.to_datetime(out["timestamp"], unit="ms")
             yield out
 
 

@@ -43,11 +43,12 @@ def account_leg(
     order: str | None = None,
     shards: int = 1,
     bucket_ms: int = held.BUCKET_MS,
+    together: int = 1,
 ) -> DataFrame:
     """``order``: what orders rows that arrive in none (``held.MESSAGES`` or ``held.NUMBERED``); without it a
     security's rows must arrive in order from one micro-batch to the next. ``shards``: over how many
     tasks one security's positions are spread. ``width`` is a multiple of ``bucket_ms``."""
-    priced = _priced(events, keyed.ACCOUNT_SLOT, order, shards, bucket_ms)
+    priced = _priced(events, keyed.ACCOUNT_SLOT, order, shards, bucket_ms, together)
     return windows.last_value_in_window(priced, windows.ACCOUNT_KEY, ("orderId",), width)
 
 
@@ -57,15 +58,16 @@ def symbol_leg(
     order: str | None = None,
     shards: int = 1,
     bucket_ms: int = held.BUCKET_MS,
+    together: int = 1,
 ) -> DataFrame:
-    priced = _priced(events, keyed.SYMBOL_SLOT, order, shards, bucket_ms)
+    priced = _priced(events, keyed.SYMBOL_SLOT, order, shards, bucket_ms, together)
     return windows.last_value_in_window(priced, windows.SYMBOL_KEY, (), width)
 
 
-def _priced(events: DataFrame, slot: str, order: str | None, shards: int, bucket_ms: int) -> DataFrame:
+def _priced(events: DataFrame, slot: str, order: str | None, shards: int, bucket_ms: int, together: int) -> DataFrame:
     if order is None:
         return keyed.price_single_slot(events, slot)
     if shards == 1:
-        return held.price_single_slot(events, slot, order, bucket_ms)
+        return held.price_single_slot(events, slot, order, bucket_ms, together)
     numbers = ("partition", "offset") if order == held.MESSAGES else ("ord",)
-    return spread.price_single_slot(events.withColumn("seq", spread.sequence(*numbers)), slot, shards, bucket_ms)
+    return spread.price_single_slot(events.withColumn("seq", spread.sequence(*numbers)), slot, shards, bucket_ms, together)

@@ -41,7 +41,7 @@ def _table_stream(spark: SparkSession, path: str) -> DataFrame:
     return reader.parquet(f"{folder}/{{{name}}}")
 
 
-def _state_parts(spark: SparkSession, rows: DataFrame) -> int:
+def state_parts(spark: SparkSession, rows: DataFrame) -> int:
     """The session's number of shuffle partitions, or fewer on inputs of fewer splits than cores, where
     most partitions would be empty."""
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -86,7 +86,7 @@ def replay(
     given.limit(0).write.parquet(closing)
     rows = _table_stream(spark, path).unionByName(spark.readStream.schema(given.schema).parquet(closing))
     out = plan(rows, back)
-    with stream_settings(spark, _state_parts(spark, given)):
+    with stream_settings(spark, state_parts(spark, given)):
         _finish(file_writer(out, f"{work}/out", f"{work}/checkpoint"))
         _closing_row(given, number, back + CLOSING_GAP).write.mode("append").parquet(closing)
         _finish(file_writer(out, f"{work}/out", f"{work}/checkpoint"))

@@ -119,7 +119,8 @@ class LockedValues:
 
 
 def price_single_slot(
-    events: DataFrame, slot: str = keyed.ACCOUNT_SLOT, shards: int = SHARDS, bucket_ms: int = BUCKET_MS
+    events: DataFrame, slot: str = keyed.ACCOUNT_SLOT, shards: int = SHARDS, bucket_ms: int = BUCKET_MS,
+    together: int = 1,
 ) -> DataFrame:
     """Single-slot pricing of rows in any order, a security's rows in ``shards`` parts.
 
@@ -130,7 +131,7 @@ def price_single_slot(
     own = F.array(F.pmod(F.xxhash64("seq"), F.lit(shards)).cast("int"))
     dealt = events.withColumn("shard", F.explode(F.when(F.col("kind") == "price", everywhere).otherwise(own)))
     valued = dealt.groupBy("cusip", "shard").transformWithStateInPandas(
-        Held(ShardValues(slot), f"kind STRING, price DOUBLE, {slot}", _SEQ, bucket_ms),
+        Held(ShardValues(slot), f"kind STRING, price DOUBLE, {slot}", _SEQ, bucket_ms, together=together),
         f"cusip STRING, shard INT, {slot}, price DOUBLE, gap BOOLEAN, position STRING, {_SEQ}, timestamp BIGINT, ts TIMESTAMP",
         "append",
         "eventTime",
@@ -140,7 +141,7 @@ def price_single_slot(
     others = F.when(F.col("gap") & F.col("position").isNotNull(), everywhere).otherwise(F.array("shard"))
     told = valued.withColumn("origin", F.col("shard")).withColumn("shard", F.explode(others))
     return told.groupBy("cusip", "shard").transformWithStateInPandas(
-        Held(LockedValues(slot), f"{slot}, price DOUBLE, gap BOOLEAN, position STRING, origin INT", _SEQ, bucket_ms),
+        Held(LockedValues(slot), f"{slot}, price DOUBLE, gap BOOLEAN, position STRING, origin INT", _SEQ, bucket_ms, together=together),
         f"cusip STRING, {slot}, price DOUBLE, ord STRING, timestamp BIGINT, ts TIMESTAMP",
         "append",
         "eventTime",
@@ -159,11 +160,13 @@ class BucketTotals:
 
     def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         out = batch.drop(columns=["account", "subAccount", "cusip"])
+        bucket = batch["timestamp"] // self.bucket_ms
         # null until the first quantity, as a running sum is
         known = batch["quantity"].notna()
-        out["total"] = batch["quantity"].where(known, 0).astype("int64").cumsum().astype("Int64").where(known.cummax())
+        total = batch["quantity"].where(known, 0).astype("int64").groupby(bucket).cumsum()
+        out["total"] = total.astype("Int64").where(known.groupby(bucket).cummax())
         out["sums"] = False
-        out = pd.concat([out, out.iloc[-1:].assign(sums=True, quantity=None)])
+        out = pd.concat([out, out.groupby(bucket).tail(1).assign(sums=True, quantity=None)])
         out.insert(0, "account", key[0])
         out.insert(1, "subAccount", key[1])
         out.insert(2, "cusip", key[2])
@@ -175,24 +178,35 @@ class BucketTotals:
 class BasedTotals:
     """Totals over all buckets so far, of a shard's rows and the totals of all buckets."""
 
+    def __init__(self, bucket_ms: int) -> None:
+        self.bucket_ms = bucket_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.base = handle.getValueState("base", "base BIGINT")
 
     def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         base = self.base.get()[0] if self.base.exists() else None
+        bucket = batch["timestamp"] // self.bucket_ms
         sums = batch["sums"].astype(bool)
-        rows, told = batch[~sums], batch.loc[sums, "total"].dropna()
+        told = batch.loc[sums, "total"].dropna().astype("int64")
+        # a total counts from the bucket after its own
+        so_far = told.cumsum() + (base or 0)
+        rows = batch[~sums]
         if len(rows):
             out = rows.rename(columns={"seq": "ord"}).assign(account=key[0], subAccount=key[1], cusip=key[2])
+            before = bucket[told.index].searchsorted(bucket[rows.index])
+            bases = pd.array([base, *so_far], dtype="Int64")[before]
             total = out["total"].astype("Int64")
-            out["rollingQuantity"] = total if base is None else total.fillna(0) + base
+            out["rollingQuantity"] = (total.fillna(0) + bases).where(~bases.isna(), total)
             out["quantity"] = out["quantity"].astype("Int32")
             yield out[["account", "subAccount", "cusip", "ord", "timestamp", "ts", "quantity", "rollingQuantity"]]
         if len(told):
-            self.base.update((int(told.iloc[0]) + (base or 0),))
+            self.base.update((int(so_far.iloc[-1]),))
 
 
-def rolling_quantity(positions: DataFrame, shards: int = SHARDS, bucket_ms: int = BUCKET_MS) -> DataFrame:
+def rolling_quantity(
+    positions: DataFrame, shards: int = SHARDS, bucket_ms: int = BUCKET_MS, together: int = 1
+) -> DataFrame:
     """Running totals by account and security of rows in any order, a key's buckets dealt over ``shards``.
 
     Positions have ``seq`` and a watermark on ``ts``, as in ``price_single_slot``.
@@ -202,7 +216,7 @@ def rolling_quantity(positions: DataFrame, shards: int = SHARDS, bucket_ms: int
     dealt = positions.withColumn("shard", F.pmod(bucket, F.lit(shards)).cast("int"))
     columns = "account STRING, subAccount STRING, cusip STRING, quantity INT"
     summed = dealt.groupBy(*keys).transformWithStateInPandas(
-        Held(BucketTotals(bucket_ms), columns, _SEQ, bucket_ms),
+        Held(BucketTotals(bucket_ms), columns, _SEQ, bucket_ms, together=together),
         f"account STRING, subAccount STRING, cusip STRING, shard INT, quantity INT, total BIGINT, sums BOOLEAN, {_SEQ}, "
         "timestamp BIGINT, ts TIMESTAMP",
         "append",
@@ -212,7 +226,7 @@ def rolling_quantity(positions: DataFrame, shards: int = SHARDS, bucket_ms: int
     everywhere = F.sequence(F.lit(0), F.lit(shards - 1))
     told = summed.withColumn("shard", F.explode(F.when(F.col("sums"), everywhere).otherwise(F.array("shard"))))
     return told.groupBy(*keys).transformWithStateInPandas(
-        Held(BasedTotals(), "quantity INT, total BIGINT, sums BOOLEAN", _SEQ, bucket_ms),
+        Held(BasedTotals(bucket_ms), "quantity INT, total BIGINT, sums BOOLEAN", _SEQ, bucket_ms, together=together),
         "account STRING, subAccount STRING, cusip STRING, ord STRING, timestamp BIGINT, ts TIMESTAMP, quantity INT, rollingQuantity BIGINT",
         "append",
         "eventTime",

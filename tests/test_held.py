@@ -5,7 +5,7 @@ import random
 import pandas as pd
 import pytest
 
-from quotelane.streaming import held, keyed
+from quotelane.streaming import held, keyed, spread
 from quotelane.streaming.clock import ClockWindows
 from tests.fakes import Handle
 
@@ -76,6 +76,62 @@ def test_a_side_that_runs_ahead_costs_its_rows_once(triggers):
     assert handle.counts["read"] <= 2 * rows
 
 
+def test_a_key_has_one_timer_for_all_that_waits():
+    handle = _slot_handle()
+    handle.step(_rows(range(4000)), watermark=0)
+    assert len(handle.timers) == 1
+    out = handle.step(watermark=500_000)
+    assert max(f["timestamp"].max() for f in out) == 499_750
+    assert len(handle.timers) == 1
+    assert not handle.step(watermark=509_000)
+    handle.step(watermark=10**9)
+    assert not handle.timers
+
+
+def _rows_out(frames):
+    rows = pd.concat(frames).astype(object)
+    return sorted(map(str, rows.where(rows.notna(), None).to_dict("records")))
+
+
+TOTALS = "account STRING, subAccount STRING, cusip STRING, quantity INT"
+CASES = {
+    "slot": (lambda: keyed.SingleSlot(SLOT), COLUMNS, held.MESSAGES, ("X",)),
+    "list": (lambda: keyed.ListBuffer(SLOT), COLUMNS, held.MESSAGES, ("X",)),
+    "timer": (lambda: keyed.TimerConflation(3_000), COLUMNS, held.MESSAGES, ("X",)),
+    "rolling": (keyed.RollingTotal, TOTALS, held.MESSAGES, ("A", "S", "X")),
+    "bucket totals": (lambda: spread.BucketTotals(10_000), TOTALS, spread._SEQ, ("A", "S", "X", 1)),
+}
+
+
+@pytest.mark.parametrize("case", list(CASES))
+def test_buckets_together_give_what_they_give_apart(case):
+    inner, columns, order, key = CASES[case]
+    rows = _rows(i for i in range(2000) if not 700 < i < 1100).assign(cusip="X", seq=lambda f: f["offset"].map("{:06d}".format))
+    rows["account"] = [f"A{i % 3}" if i % 5 else None for i in rows["offset"]] if "kind" in columns else "A"
+    rows.loc[rows["offset"] % 4 == 0, "quantity"] = None
+    found = []
+    for together in (1, 6):
+        for steps in ([10**9], [100_000, 333_333, 10**9]):
+            handle = Handle(held.Held(inner(), columns, order, 10_000, together=together), key)
+            handle.step(rows.sample(frac=1, random_state=1), watermark=0)
+            out = [f for at in steps for f in handle.step(watermark=at)]
+            found.append(_rows_out([f.drop(columns="ts") for f in out]))
+            assert len(found[-1]) > 50
+    assert all(f == found[0] for f in found)
+
+
+def test_totals_of_several_buckets_at_once():
+    rows = pd.DataFrame(
+        [(5, "a", 1, 1, False), (5, "b", None, 1, True), (15_000, "c", None, None, False), (15_000, "d", None, None, True)]
+        + [(25_000, "e", 2, 2, False), (26_000, "f", 3, 5, False), (26_000, "g", None, 5, True), (35_000, "h", 4, 4, False)],
+        columns=["timestamp", "seq", "quantity", "total", "sums"],
+    ).assign(ts=pd.Timestamp(0))
+    handle = Handle(spread.BasedTotals(10_000), ("A", "S", "X", 1))
+    (out,) = handle.processor.ordered(handle.key, rows)
+    assert out["rollingQuantity"].tolist() == [1, 1, 3, 6, 10]
+    assert handle.processor.base.get() == (6,)
+
+
 def test_late_rows_come_out_again():
     names = ["cusip"]
     columns = ["cusip", "kind", "price", *keyed._names(SLOT), "partition", "offset", "ord", "timestamp", "ts", "late"]
