@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -35,6 +36,7 @@ BUCKET_MS = 10_000
 NUMBERED = "ord BIGINT"
 MESSAGES = "kind STRING, partition INT, offset BIGINT"
 _WHOLE = {"BIGINT", "INT"}
+_ARROW = {"BIGINT": pa.int64(), "INT": pa.int32(), "DOUBLE": pa.float64(), "STRING": pa.string(), "BOOLEAN": pa.bool_()}
 
 
 class Held(StatefulProcessor):
@@ -59,7 +61,7 @@ class Held(StatefulProcessor):
         self.late = late
         self.columns = list(fields)
         self.whole = {c for c, kind in fields.items() if kind in _WHOLE}
-        self.row = ", ".join(f"{c}: {kind}" for c, kind in fields.items())
+        self.schema = pa.schema([(c, _ARROW[kind]) for c, kind in fields.items()])
         self.order = ["timestamp", *keyed._names(order)]
         self.numbers = order == MESSAGES
         self.bucket_ms = bucket_ms
@@ -74,7 +76,7 @@ class Held(StatefulProcessor):
             self.inner.wait_no_more = lambda deadline: None
         # of buckets that lie together: how many parts, and the first bucket in them
         self.parts = handle.getMapState("parts", "stretch BIGINT", "parts BIGINT, first BIGINT")
-        self.rows = handle.getMapState("rows", "stretch BIGINT, part BIGINT", f"rows ARRAY<STRUCT<{self.row}>>")
+        self.rows = handle.getMapState("rows", "stretch BIGINT, part BIGINT", "rows BINARY")
         self.taken = handle.getValueState("taken", "taken BIGINT")
         self.woken = handle.getValueState("woken", "bucket BIGINT")
 
@@ -94,10 +96,14 @@ class Held(StatefulProcessor):
             columns.append([None if v is None else int(v) for v in values] if c in self.whole else values)
         return list(zip(*columns, strict=True))
 
-    def _keep(self, stretch: int, number: int, rows: list[tuple]) -> int:
+    def _keep(self, stretch: int, number: int, rows: pd.DataFrame) -> int:
         """Write rows as parts from ``number`` on; the number after the last."""
-        for at in range(0, len(rows), keyed.CHUNK):
-            self.rows.updateValue((stretch, number), (rows[at : at + keyed.CHUNK],))
+        table = pa.Table.from_pandas(rows, self.schema, preserve_index=False)
+        for batch in table.to_batches(keyed.CHUNK):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, self.schema) as stream:
+                stream.write_batch(batch)
+            self.rows.updateValue((stretch, number), (sink.getvalue().to_pybytes(),))
             number += 1
         return number
 
@@ -116,7 +122,7 @@ class Held(StatefulProcessor):
                     known = self.parts.containsKey((place,))
                     found[place] = tuple(self.parts.getValue((place,))) if known else (0, first)
                 number, lowest = found[place]
-                found[place] = self._keep(place, number, self._plain(part)), min(lowest, first)
+                found[place] = self._keep(place, number, part), min(lowest, first)
         for place, held in found.items():
             self.parts.updateValue((place,), held)
         if found:
@@ -174,16 +180,21 @@ class Held(StatefulProcessor):
 
     def _take(self, stretch: int, parts: int, closed: int) -> tuple[pd.DataFrame, int | None]:
         """The rows of a stretch up to a bucket, in order, and the first bucket of it that is left."""
-        waiting: list[tuple] = []
+        waiting = []
         for number in range(parts):
-            waiting += map(tuple, self.rows.getValue((stretch, number))[0])
+            with pa.ipc.open_stream(bytes(self.rows.getValue((stretch, number))[0])) as stream:
+                waiting.append(stream.read_all())
             self.rows.removeKey((stretch, number))
-        batch = pd.DataFrame(waiting, columns=self.columns)
+        table = pa.concat_tables(waiting)
+        batch = table.to_pandas()
+        for c in self.whole:
+            if table[c].null_count and table[c].type == pa.int64():  # as doubles they would lose digits
+                batch[c] = table[c].to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
         later = batch["timestamp"] // self.bucket_ms > closed
         if later.any():
             kept = batch[later]
             after = self._bucket(int(kept["timestamp"].min()))
-            self.parts.updateValue((stretch,), (self._keep(stretch, 0, self._plain(kept)), after))
+            self.parts.updateValue((stretch,), (self._keep(stretch, 0, kept), after))
             batch = batch[~later]
         else:
             after = None
