@@ -121,7 +121,7 @@ def stream_word_count_5s(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines = legs.with_periodic_watermark(fixtures.lines_from(documents), (back + 1) * 1000 if back else 0)
         return windows.word_count(projection.split_words(lines))
 
-    return replay(spark, sf_dir, "documents", "doc_id", plan, "words")
+    return replay(spark, sf_dir, "documents", "doc_id", plan, "words", in_order=True)
 
 
 def _topic_files(messages: DataFrame, path: str, rows_per_file: int) -> None:

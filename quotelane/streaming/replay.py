@@ -14,6 +14,8 @@ from quotelane.streaming.legs import with_periodic_watermark
 
 # A micro-batch takes about this much input, which bounds what a task holds of one key.
 BYTES_PER_BATCH = 256 << 20
+# Where a table is put in order first, its files have about this much.
+BYTES_PER_FILE = 16 << 20
 # How far past the last row the closing row lies, in row numbers.
 CLOSING_GAP = 1_000_000
 
@@ -41,6 +43,18 @@ def _table_stream(spark: SparkSession, path: str) -> DataFrame:
     return reader.parquet(f"{folder}/{{{name}}}")
 
 
+def _ranged(spark: SparkSession, path: str, number: str, to: str) -> str:
+    """The table's rows in files by ranges of ``number``, or its own path if it is one such file. The files are written
+    about in order, so they go back by as many as are written at a time, however the table's own files lie."""
+    given = spark.read.parquet(path)
+    sizes = given.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size"))
+    files = -(-(sizes.first()[0] or 0) // BYTES_PER_FILE)
+    if files < 2:
+        return path
+    given.repartitionByRange(files, number).write.parquet(to)
+    return to
+
+
 def state_parts(spark: SparkSession, rows: DataFrame) -> int:
     """The session's number of shuffle partitions, or fewer on inputs of fewer splits than cores, where
     most partitions would be empty."""
@@ -71,15 +85,19 @@ def replay(
     number: str,
     plan: Callable[[DataFrame, int], DataFrame],
     label: str,
+    in_order: bool = False,
 ) -> DataFrame:
     """Stream ``table`` through ``plan`` into files, close what is open, read the files.
 
     ``plan`` takes the stream and how far its files go back in ``number``, which the watermark must lag
     behind: no row is late then, in whatever order the files are. After the table is through, one row
-    numbered far past the last is added on a second input; its own window stays open.
+    numbered far past the last is added on a second input; its own window stays open. ``in_order``: rows are
+    put in ranges first, so that state holds the windows of a few files, not of all files that lie in no order.
     """
     work = work_dir(spark, label)
     path = f"{sf_dir}/{table}.parquet"
+    if in_order:
+        path = _ranged(spark, path, number, f"{work}/{table}.parquet")
     given = spark.read.parquet(path)
     back = disorder(given, number)
     closing = f"{work}/closing"

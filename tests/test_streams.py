@@ -105,6 +105,18 @@ def test_disorder_is_measured(spark, cut_events, dealt_events):
     assert 0 < replay.disorder(dealt, "event_id") <= span
 
 
+def test_word_count_puts_files_in_order(spark, tmp_path, monkeypatch):
+    """Files in no order and of one age: without ranges, no window closes before the last file."""
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    documents.repartition(16, F.xxhash64("doc_id")).write.parquet(str(tmp_path / "documents.parquet"))
+    size = sum(f.stat().st_size for f in (tmp_path / "documents.parquet").glob("*.parquet"))
+    monkeypatch.setattr(replay, "BYTES_PER_FILE", size // 16)
+    lags, plain = [], legs.with_periodic_watermark
+    monkeypatch.setattr(legs, "with_periodic_watermark", lambda rows, lag=0: lags.append(lag) or plain(rows, lag))
+    _same(streams.stream_word_count_5s(spark, str(tmp_path)), catalog.word_count_5s(spark, SF))
+    assert lags[0] < 1000 * documents.count() * 3 // 4
+
+
 @pytest.mark.parametrize("layout", ["cut_events", "dealt_events"])
 @pytest.mark.parametrize("case", list(CASES))
 def test_held_rows_equal_batch(spark, request, layout, case):
