@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,9 +46,10 @@ def sequence(*numbers: str) -> Column:
 class ShardValues:
     """Values of a shard's positions at the latest price, and gaps, of rows in order."""
 
-    def __init__(self, slot: str) -> None:
+    def __init__(self, slot: str, bucket_ms: int) -> None:
         self.slot = slot
         self.names = keyed._names(slot)
+        self.bucket_ms = bucket_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.price = handle.getValueState("price", "price DOUBLE")
@@ -55,9 +57,14 @@ class ShardValues:
 
     def ordered(self, key, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         is_price = batch["kind"] == "price"
-        latest = batch["price"].where(is_price).astype(float).ffill()
-        if self.price.exists():
-            latest = latest.fillna(self.price.get()[0])
+        bucket = batch["timestamp"] // self.bucket_ms
+        price = batch["price"].where(is_price).astype(float)
+        latest = price.groupby(bucket).ffill()
+        # what each bucket with a price leaves to those after it
+        left = price[is_price].groupby(bucket[is_price]).tail(1)
+        kept = [self.price.get()[0] if self.price.exists() else None, *left]
+        carried = np.array(kept, dtype=float)[bucket[left.index].searchsorted(bucket)]
+        latest = latest.fillna(pd.Series(carried, index=batch.index))
         values = batch.assign(price=latest, gap=False, position=None)[~is_price & latest.notna()]
         # the row before a price, if it is a position of this shard
         held = self.before.get() if self.before.exists() else None
@@ -131,7 +138,7 @@ def price_single_slot(
     own = F.array(F.pmod(F.xxhash64("seq"), F.lit(shards)).cast("int"))
     dealt = events.withColumn("shard", F.explode(F.when(F.col("kind") == "price", everywhere).otherwise(own)))
     valued = dealt.groupBy("cusip", "shard").transformWithStateInPandas(
-        Held(ShardValues(slot), f"kind STRING, price DOUBLE, {slot}", _SEQ, bucket_ms, together=together),
+        Held(ShardValues(slot, bucket_ms), f"kind STRING, price DOUBLE, {slot}", _SEQ, bucket_ms, together=together),
         f"cusip STRING, shard INT, {slot}, price DOUBLE, gap BOOLEAN, position STRING, {_SEQ}, timestamp BIGINT, ts TIMESTAMP",
         "append",
         "eventTime",

@@ -99,6 +99,7 @@ CASES = {
     "list": (lambda: keyed.ListBuffer(SLOT), COLUMNS, held.MESSAGES, ("X",)),
     "timer": (lambda: keyed.TimerConflation(3_000), COLUMNS, held.MESSAGES, ("X",)),
     "rolling": (keyed.RollingTotal, TOTALS, held.MESSAGES, ("A", "S", "X")),
+    "shard values": (lambda: spread.ShardValues(SLOT, 10_000), COLUMNS, spread._SEQ, ("X", 1)),
     "bucket totals": (lambda: spread.BucketTotals(10_000), TOTALS, spread._SEQ, ("A", "S", "X", 1)),
 }
 
@@ -109,6 +110,8 @@ def test_buckets_together_give_what_they_give_apart(case):
     rows = _rows(i for i in range(2000) if not 700 < i < 1100).assign(cusip="X", seq=lambda f: f["offset"].map("{:06d}".format))
     rows["account"] = [f"A{i % 3}" if i % 5 else None for i in rows["offset"]] if "kind" in columns else "A"
     rows.loc[rows["offset"] % 4 == 0, "quantity"] = None
+    if case == "shard values":  # a price that is null at a bucket's end leaves none
+        rows.loc[rows["offset"] % 3 == 0, "price"] = None
     found = []
     for together in (1, 6):
         for steps in ([10**9], [100_000, 333_333, 10**9]):
