@@ -5,6 +5,7 @@ Each gives what its batch form gives, and shares its SQL.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,8 @@ from quotelane.streaming import held, keyed, legs, spread
 from quotelane.streaming.replay import disorder, replay, state_parts, timed_ticks
 
 ROWS_PER_FILE = 2_000_000
+# Files of a topic are smaller, and a micro-batch takes several, which are written and read side by side.
+FILES_PER_TRIGGER = 8
 DEALT_FILES = 6
 ORDER = held.NUMBERED
 # A replay needs no early results: its buckets are a window of the legs, or half an hour where no window follows.
@@ -26,6 +29,7 @@ STRETCH_MS = 1_800_000
 # Buckets of four hours lie together in the state.
 HELD_MS = 4 * 3_600_000
 LIVE = {"slack_ms": 0, "bucket_ms": WINDOW_MS, "together": HELD_MS // WINDOW_MS}
+TAKEN = {"files": FILES_PER_TRIGGER}
 STRETCHES = {"bucket_ms": STRETCH_MS, "together": HELD_MS // STRETCH_MS}
 
 
@@ -126,8 +130,17 @@ def stream_word_count_5s(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _topic_files(messages: DataFrame, path: str, rows_per_file: int) -> None:
     """A topic as files of about ``rows_per_file`` messages, cut by time where a topic is in order of it."""
-    files = max(1, -(-messages.count() // rows_per_file))
-    messages.repartitionByRange(files, "timestamp").write.parquet(path)
+    # made once, then counted, sampled for the ranges and written
+    made = messages.persist(StorageLevel.DISK_ONLY)
+    try:
+        files = max(1, -(-made.count() // rows_per_file))
+        made.repartitionByRange(files, "timestamp").write.mode("append").parquet(path)
+    finally:
+        made.unpersist()
+
+
+def _closing(spark: SparkSession, path: str) -> DataFrame:
+    return catalog.closing_messages(spark.read.schema(schemas.MESSAGE).parquet(path))
 
 
 def _back(spark: SparkSession, path: str, partitions: int) -> int:
@@ -143,11 +156,17 @@ def _parts(spark: SparkSession, work: str, names) -> int:
 
 
 def live_messages(
-    topics: dict[str, tuple[DataFrame, int]], make, label: str, partitions: int = 0, slack_ms: int = 0, **options
+    topics: dict[str, tuple[DataFrame, int]],
+    make,
+    label: str,
+    partitions: int = 0,
+    slack_ms: int = 0,
+    files: int = 1,
+    **options,
 ) -> DataFrame:
     """The messages that a live job makes of topics, each cut into files of a number of rows.
 
-    A micro-batch takes a file of each topic, so topics of fewer files run ahead. With ``partitions``, a topic is given
+    A micro-batch takes up to ``files`` files of each topic, so topics of fewer files run ahead. With ``partitions``, a topic is given
     to the job as a stream per partition. Files of one age may come in any order; ``slack_ms`` is widened by what that
     can set a topic back. A late message on every topic closes what is open; it makes no value
     itself.
@@ -158,7 +177,7 @@ def live_messages(
         _topic_files(messages, f"{work}/{name}", rows_per_file)
 
     def topic(name: str):
-        stream = spark.readStream.schema(schemas.MESSAGE).option("maxFilesPerTrigger", 1).parquet(f"{work}/{name}")
+        stream = spark.readStream.schema(schemas.MESSAGE).option("maxFilesPerTrigger", files).parquet(f"{work}/{name}")
         return [stream.where(F.col("partition") == p) for p in range(partitions)] if partitions else stream
 
     back = max(_back(spark, f"{work}/{name}", partitions) for name in topics)
@@ -172,8 +191,8 @@ def live_messages(
         query.awaitTermination()
 
     run()
-    for name, (messages, _) in topics.items():
-        late = catalog.closing_messages(messages)
+    for name in topics:
+        late = _closing(spark, f"{work}/{name}")
         if partitions:
             late = late.withColumn("partition", F.explode(F.sequence(F.lit(0), F.lit(partitions - 1))))
         late.coalesce(1).write.mode("append").parquet(f"{work}/{name}")
@@ -181,14 +200,19 @@ def live_messages(
     return spark.read.schema(out.schema).parquet(f"{work}/out")
 
 
+def _rows_per_file() -> int:
+    return max(1, ROWS_PER_FILE // FILES_PER_TRIGGER)
+
+
 def _leg_topics(spark: SparkSession, sf_dir: str, by_symbol: bool = False) -> dict[str, tuple[DataFrame, int]]:
     """Positions in more files than prices, which run ahead."""
     positions = catalog.position_messages(spark, sf_dir, by_symbol)
-    return {"positions": (positions, ROWS_PER_FILE // 8), "prices": (catalog.price_messages(spark, sf_dir), ROWS_PER_FILE)}
+    prices = catalog.price_messages(spark, sf_dir)
+    return {name: (made, _rows_per_file()) for name, made in (("positions", positions), ("prices", prices))}
 
 
 def stream_message_mv_by_account(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = live_messages(_leg_topics(spark, sf_dir), jobs.account_value_messages, "live-account", catalog.PARTITIONS, **LIVE)
+    made = live_messages(_leg_topics(spark, sf_dir), jobs.account_value_messages, "live-account", catalog.PARTITIONS, **TAKEN, **LIVE)
     return codec.decode_positions(made)
 
 
@@ -196,21 +220,26 @@ def stream_message_mv_by_account_spread(spark: SparkSession, sf_dir: str) -> Dat
     """One security's positions over several tasks."""
     topics = _leg_topics(spark, sf_dir)
     options = {**LIVE, "shards": spread.SHARDS}
-    made = live_messages(topics, jobs.account_value_messages, "live-spread", catalog.PARTITIONS, **options)
+    made = live_messages(topics, jobs.account_value_messages, "live-spread", catalog.PARTITIONS, **TAKEN, **options)
     return codec.decode_positions(made)
 
 
 def routed_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message once, in order or late, of a topic whose partitions come one after another: with one
     clock for all of them, most of the later partitions' messages are late."""
-    positions = catalog.position_messages(spark, sf_dir)
+    positions = catalog.position_messages(spark, sf_dir).persist(StorageLevel.DISK_ONLY)
     work = work_dir(spark, "arrivals")
+    # a partition's files are not taken with the next one's, unless it has more than a micro-batch takes
+    files = 1
     for p in range(catalog.PARTITIONS):
-        positions.where(F.col("partition") == p).coalesce(1).write.mode("append").parquet(f"{work}/positions")
-    prices = catalog.price_messages(spark, sf_dir)
-    _topic_files(prices, f"{work}/prices", ROWS_PER_FILE)
+        part = positions.where(F.col("partition") == p)
+        files = max(files, -(-part.count() // _rows_per_file()))
+        _topic_files(part, f"{work}/positions", _rows_per_file())
+    positions.unpersist()
+    _topic_files(catalog.price_messages(spark, sf_dir), f"{work}/prices", _rows_per_file())
+    files = min(files, FILES_PER_TRIGGER)
     topics = [
-        spark.readStream.schema(schemas.MESSAGE).option("maxFilesPerTrigger", 1).parquet(f"{work}/{name}")
+        spark.readStream.schema(schemas.MESSAGE).option("maxFilesPerTrigger", files).parquet(f"{work}/{name}")
         for name in ("positions", "prices")
     ]
     out = jobs.arrivals(*topics, together=HELD_MS // held.BUCKET_MS)
@@ -222,9 +251,8 @@ def routed_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
             writer.trigger(availableNow=True).start().awaitTermination()
 
     run()
-    closing = catalog.closing_messages(positions), catalog.closing_messages(prices)
-    for name, messages in zip(("positions", "prices"), closing, strict=True):
-        messages.coalesce(1).write.mode("append").parquet(f"{work}/{name}")
+    for name in ("positions", "prices"):
+        _closing(spark, f"{work}/{name}").coalesce(1).write.mode("append").parquet(f"{work}/{name}")
     run()
     return spark.read.schema(out.schema).parquet(f"{work}/out")
 
@@ -252,42 +280,42 @@ def stream_kafka_decode_dead_letters(spark: SparkSession, sf_dir: str) -> DataFr
 
 def stream_message_mv_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = _leg_topics(spark, sf_dir, by_symbol=True)
-    made = live_messages(topics, jobs.symbol_value_messages, "live-symbol", catalog.PARTITIONS, **LIVE)
+    made = live_messages(topics, jobs.symbol_value_messages, "live-symbol", catalog.PARTITIONS, **TAKEN, **LIVE)
     return codec.decode_symbol_positions(made)
 
 
 def stream_message_timer_conflation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = live_messages(_leg_topics(spark, sf_dir), jobs.conflated_value_messages, "live-timer", catalog.PARTITIONS, **LIVE)
+    made = live_messages(_leg_topics(spark, sf_dir), jobs.conflated_value_messages, "live-timer", catalog.PARTITIONS, **TAKEN, **LIVE)
     return codec.decode_positions(made)
 
 
 def stream_message_list_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = live_messages(_leg_topics(spark, sf_dir), jobs.listed_value_messages, "live-list", catalog.PARTITIONS, **LIVE)
+    made = live_messages(_leg_topics(spark, sf_dir), jobs.listed_value_messages, "live-list", catalog.PARTITIONS, **TAKEN, **LIVE)
     return codec.decode_positions(made)
 
 
 def stream_message_rolling_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topics = {"positions": (catalog.position_messages(spark, sf_dir), ROWS_PER_FILE // 8)}
-    made = live_messages(topics, jobs.running_quantities, "live-rolling", catalog.PARTITIONS, **LIVE)
+    topics = {"positions": (catalog.position_messages(spark, sf_dir), _rows_per_file())}
+    made = live_messages(topics, jobs.running_quantities, "live-rolling", catalog.PARTITIONS, **TAKEN, **LIVE)
     return made.select(*catalog.ROLLED_COLUMNS)
 
 
 def stream_message_rolling_quantity_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One key's stretches of time over several tasks."""
-    topics = {"positions": (catalog.position_messages(spark, sf_dir), ROWS_PER_FILE // 8)}
+    topics = {"positions": (catalog.position_messages(spark, sf_dir), _rows_per_file())}
     options = {"slack_ms": 0, "bucket_ms": 5 * WINDOW_MS, "together": HELD_MS // (5 * WINDOW_MS), "shards": spread.SHARDS}
-    made = live_messages(topics, jobs.running_quantities, "live-spread-total", catalog.PARTITIONS, **options)
+    made = live_messages(topics, jobs.running_quantities, "live-spread-total", catalog.PARTITIONS, **TAKEN, **options)
     return made.select(*catalog.ROLLED_COLUMNS)
 
 
 def stream_message_symbol_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topics = {"orders": (catalog.order_messages(spark, sf_dir), ROWS_PER_FILE)}
-    return codec.decode_symbol_positions(live_messages(topics, jobs.symbol_quantity_messages, "live-quantity"))
+    topics = {"orders": (catalog.order_messages(spark, sf_dir), _rows_per_file())}
+    return codec.decode_symbol_positions(live_messages(topics, jobs.symbol_quantity_messages, "live-quantity", **TAKEN))
 
 
 def stream_message_cusip_allocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topics = {"orders": (catalog.order_messages(spark, sf_dir), ROWS_PER_FILE)}
-    out = live_messages(topics, jobs.cusip_allocation_messages, "live-allocations")
+    topics = {"orders": (catalog.order_messages(spark, sf_dir), _rows_per_file())}
+    out = live_messages(topics, jobs.cusip_allocation_messages, "live-allocations", **TAKEN)
     return out.withColumns({c: F.col(c).cast("string") for c in ("key", "value")})
 
 

@@ -22,8 +22,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -32,6 +34,8 @@ from quotelane.operators.conflation import PERIOD_MS
 from quotelane.streaming import keyed
 
 BUCKET_MS = 10_000
+# Rows of a key that are gathered before they are cut by stretches, so that a stretch is written in few parts.
+GATHERED = 100_000
 # Arrival orders: of rows that are numbered, and of messages, which get numbers as they are released.
 NUMBERED = "ord BIGINT"
 MESSAGES = "kind STRING, partition INT, offset BIGINT"
@@ -96,10 +100,9 @@ class Held(StatefulProcessor):
             columns.append([None if v is None else int(v) for v in values] if c in self.whole else values)
         return list(zip(*columns, strict=True))
 
-    def _keep(self, stretch: int, number: int, rows: pd.DataFrame) -> int:
+    def _keep(self, stretch: int, number: int, rows: pa.Table) -> int:
         """Write rows as parts from ``number`` on; the number after the last."""
-        table = pa.Table.from_pandas(rows, self.schema, preserve_index=False)
-        for batch in table.to_batches(keyed.CHUNK):
+        for batch in rows.to_batches(keyed.CHUNK):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, self.schema) as stream:
                 stream.write_batch(batch)
@@ -110,19 +113,21 @@ class Held(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         clock = timerValues.getCurrentWatermarkInMs()
         found: dict[int, tuple[int, int]] = {}
+        waiting, size = [], 0
         for frame in rows:
             if self.late:
                 closed = (frame["timestamp"] // self.bucket_ms + 1) * self.bucket_ms - 1 < clock
                 if closed.any():
                     yield self._late(key, frame[closed])
                     frame = frame[~closed]
-            for stretch, part in frame.groupby(frame["timestamp"] // (self.bucket_ms * self.together)):
-                place, first = int(stretch), self._bucket(int(part["timestamp"].min()))
-                if place not in found:
-                    known = self.parts.containsKey((place,))
-                    found[place] = tuple(self.parts.getValue((place,))) if known else (0, first)
-                number, lowest = found[place]
-                found[place] = self._keep(place, number, part), min(lowest, first)
+            table = pa.Table.from_pandas(frame, self.schema, preserve_index=False)
+            # a row without time has no bucket
+            waiting.append(table.filter(pc.is_valid(table["timestamp"])))
+            size += len(frame)
+            if size >= GATHERED:
+                self._hold(waiting, found)
+                waiting, size = [], 0
+        self._hold(waiting, found)
         for place, held in found.items():
             self.parts.updateValue((place,), held)
         if found:
@@ -131,6 +136,23 @@ class Held(StatefulProcessor):
                 self.woken.update((first,))
                 self._wake(first)
 
+    def _hold(self, tables: list[pa.Table], found: dict[int, tuple[int, int]]) -> None:
+        """Write rows to their stretches; ``found`` has the number of parts and the first bucket of those met so far."""
+        rows = pa.concat_tables([self.schema.empty_table(), *tables]).combine_chunks()
+        if not len(rows):
+            return
+        at = rows["timestamp"].to_numpy()
+        order = (at // (self.bucket_ms * self.together)).argsort(kind="stable")
+        rows, at = rows.take(order), at[order]
+        stretches, starts = np.unique(at // (self.bucket_ms * self.together), return_index=True)
+        for place, start, end in zip(stretches.tolist(), starts, [*starts[1:], len(at)], strict=True):
+            first = self._bucket(int(at[start:end].min()))
+            if place not in found:
+                known = self.parts.containsKey((place,))
+                found[place] = tuple(self.parts.getValue((place,))) if known else (0, first)
+            number, lowest = found[place]
+            found[place] = self._keep(place, number, rows.slice(start, end - start)), min(lowest, first)
+
     def _late(self, key, rows: pd.DataFrame) -> pd.DataFrame:
         names, columns = self.late
         out = pd.DataFrame(self._plain(rows), columns=self.columns)
@@ -192,9 +214,9 @@ class Held(StatefulProcessor):
                 batch[c] = table[c].to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
         later = batch["timestamp"] // self.bucket_ms > closed
         if later.any():
-            kept = batch[later]
-            after = self._bucket(int(kept["timestamp"].min()))
-            self.parts.updateValue((stretch,), (self._keep(stretch, 0, kept), after))
+            after = self._bucket(int(batch.loc[later, "timestamp"].min()))
+            kept = self._keep(stretch, 0, table.filter(pa.array(later)).combine_chunks())
+            self.parts.updateValue((stretch,), (kept, after))
             batch = batch[~later]
         else:
             after = None

@@ -56,10 +56,12 @@ def _ranged(spark: SparkSession, path: str, number: str, to: str) -> str:
 
 
 def state_parts(spark: SparkSession, rows: DataFrame) -> int:
-    """The session's number of shuffle partitions, or fewer on inputs of fewer splits than cores, where
-    most partitions would be empty."""
+    """The session's number of shuffle partitions, or fewer: as many as there are cores on inputs of fewer splits, two a
+    core on others, so that few large keys meet in one. A micro-batch opens and commits every partition, however
+    little it brings."""
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(wanted, max(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()))
+    cores = spark.sparkContext.defaultParallelism
+    return min(wanted, cores if rows.rdd.getNumPartitions() < cores else 2 * cores)
 
 
 def _finish(writer) -> None:

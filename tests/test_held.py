@@ -204,3 +204,23 @@ def test_totals_without_quantities_are_null():
     handle.step(pd.DataFrame({"timestamp": [1], "quantity": [None]}), now=1)
     (found,) = handle.step(now=10_001)
     assert found["quantity"].isna().all()
+
+
+def test_frames_of_one_micro_batch_share_a_stretch():
+    frames = [_rows(range(i, 400, 40)) for i in range(40)]
+    handle = _slot_handle()
+    assert not list(handle.processor.handleInputRows(handle.key, iter(frames), handle.clock))
+    # 100 seconds are ten buckets: one part each, and what the bucket holds; not one for every frame
+    assert handle.counts["written"] == 20
+    whole = _slot_handle()
+    assert _numbers(handle.step(watermark=10**9)) == _numbers(whole.step(_rows(range(400))) + whole.step(watermark=10**9))
+
+
+def test_long_numbers_stay_whole_beside_frames_with_nulls(monkeypatch):
+    monkeypatch.setattr(held, "GATHERED", 1 << 40)
+    rows = _rows(range(2)).assign(offset=[(1 << 60) + 1, (1 << 60) + 3], timestamp=5)
+    other = _rows([2]).assign(offset=[None], timestamp=6).astype({"offset": float})
+    handle = Handle(held.Held(held.Passing(["cusip"]), COLUMNS, held.MESSAGES, 10_000))
+    list(handle.processor.handleInputRows(handle.key, iter([rows, other]), handle.clock))
+    out = pd.concat(handle.step(watermark=10**9))
+    assert [None if pd.isna(v) else int(v) for v in out["offset"]] == [(1 << 60) + 1, (1 << 60) + 3, None]

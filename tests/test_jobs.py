@@ -153,3 +153,36 @@ def test_registered_streams_in_a_plain_session(spark, monkeypatch, name):
     finally:
         spark.conf.set(key, before)
     assert difference(ours, connect(SF).execute(contract.oracle_sql()[name]).df()) is None
+
+
+def test_a_topic_is_made_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(600, numPartitions=2).selectExpr("id", "timestamp_millis(id) AS timestamp")
+    streams._topic_files(rows.mapInArrow(counted, rows.schema), str(tmp_path / "topic"), 100)
+    assert made.value == 600
+    assert spark.read.parquet(str(tmp_path / "topic")).select("_metadata.file_path").distinct().count() >= 5
+
+
+def test_a_micro_batch_takes_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "work_dir", lambda spark, label: str(tmp_path / "work"))
+    monkeypatch.setattr(streams, "ROWS_PER_FILE", 400)
+    got = streams.stream_message_rolling_quantity(spark, SF)
+    assert _rows(got) == _rows(catalog.message_rolling_quantity(spark, SF))
+    topic = spark.read.parquet(str(tmp_path / "work" / "positions")).select("_metadata.file_path").distinct().count()
+    commits = [p for p in (tmp_path / "work" / "checkpoint" / "commits").iterdir() if p.name.isdigit()]
+    assert topic > 10 and len(commits) < topic / 2
+
+
+def test_arrivals_have_several_files_a_partition(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "work_dir", lambda spark, label: str(tmp_path / "work"))
+    monkeypatch.setattr(streams, "ROWS_PER_FILE", 400)
+    got = streams.stream_message_arrivals(spark, SF)
+    assert _rows(got) == _rows(catalog.message_arrivals(spark, SF))
+    rows = spark.read.parquet(str(tmp_path / "work" / "positions")).groupBy("_metadata.file_path").count()
+    assert max(r["count"] for r in rows.collect()) < 100
