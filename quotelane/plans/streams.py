@@ -146,8 +146,9 @@ def _closing(spark: SparkSession, path: str) -> DataFrame:
 def _back(spark: SparkSession, path: str, partitions: int) -> int:
     """How far a topic's files go back in time (ms), within each partition if these have clocks of their own."""
     rows = spark.read.schema(schemas.MESSAGE).parquet(path).withColumn("_ms", F.unix_millis("timestamp"))
-    parts = [rows.where(F.col("partition") == p) for p in range(partitions)] if partitions else [rows]
-    return max(disorder(part, "_ms") for part in parts)
+    if not partitions:
+        return disorder(rows, "_ms")
+    return disorder(rows.where(F.col("partition").between(0, partitions - 1)), "_ms", "partition")
 
 
 def _parts(spark: SparkSession, work: str, names) -> int:
@@ -185,18 +186,18 @@ def live_messages(
 
     parts = _parts(spark, work, topics)
 
-    def run() -> None:
-        with stream_settings(spark, parts):
+    def run(ends: bool) -> None:
+        with stream_settings(spark, parts, ends):
             query = file_writer(out, f"{work}/out", f"{work}/checkpoint").trigger(availableNow=True).start()
         query.awaitTermination()
 
-    run()
+    run(ends=False)
     for name in topics:
         late = _closing(spark, f"{work}/{name}")
         if partitions:
             late = late.withColumn("partition", F.explode(F.sequence(F.lit(0), F.lit(partitions - 1))))
         late.coalesce(1).write.mode("append").parquet(f"{work}/{name}")
-    run()
+    run(ends=True)
     return spark.read.schema(out.schema).parquet(f"{work}/out")
 
 
@@ -245,15 +246,15 @@ def routed_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jobs.arrivals(*topics, together=HELD_MS // held.BUCKET_MS)
     parts = _parts(spark, work, ("positions", "prices"))
 
-    def run() -> None:
-        with stream_settings(spark, parts):
+    def run(ends: bool) -> None:
+        with stream_settings(spark, parts, ends):
             writer = routed_writer(out, "route", f"{work}/out", f"{work}/checkpoint")
             writer.trigger(availableNow=True).start().awaitTermination()
 
-    run()
+    run(ends=False)
     for name in ("positions", "prices"):
         _closing(spark, f"{work}/{name}").coalesce(1).write.mode("append").parquet(f"{work}/{name}")
-    run()
+    run(ends=True)
     return spark.read.schema(out.schema).parquet(f"{work}/out")
 
 

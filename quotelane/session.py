@@ -39,23 +39,32 @@ def build_session(app: str = "quotelane", master: str | None = None, **extra: st
 
 
 @contextmanager
-def stream_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+def stream_settings(spark: SparkSession, partitions: int | None = None, ends: bool = True) -> Iterator[None]:
     """Settings that a stream takes over when it starts, whatever session it starts in; the session's own
-    come back after. ``partitions``: into how many parts state is cut, if not the session's number."""
+    come back after. ``partitions``: into how many parts state is cut, if not the session's number. ``ends``: whether
+    a micro-batch without rows follows the last one, for what the watermark closes then; not needed where the
+    stream is started again."""
     settings = {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        # counting the rows of the state costs a lookup at every write
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
         "spark.sql.session.timeZone": "UTC",
     }
     if partitions:
         settings["spark.sql.shuffle.partitions"] = str(partitions)
-    before = {key: spark.conf.get(key) for key in settings}
+    if not ends:
+        settings["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
         yield
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value)
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

@@ -16,11 +16,15 @@ windows follow, their width must be a multiple of the bucket's.
 A row whose bucket has closed is late. Spark drops rows behind the watermark before a processor sees
 them; the ``late`` forms take the time column's mark away first, so these rows come in, and go out again as
 they are with ``late`` set. Together with the rows taken they are all rows.
+
+A keyed processor gets its rows one by one, as Python objects. So where buckets lie together, and in the ``late``
+forms, rows are packed before they are shuffled: a key's rows of a task travel as one Arrow batch. Packets have
+no event time, so the processor itself leaves out rows of buckets that it has given out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -29,6 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from quotelane.operators.conflation import PERIOD_MS
 from quotelane.streaming import keyed
@@ -36,6 +41,8 @@ from quotelane.streaming import keyed
 BUCKET_MS = 10_000
 # Rows of a key that are gathered before they are cut by stretches, so that a stretch is written in few parts.
 GATHERED = 100_000
+# Rows of a task that are gathered before they are packed by keys.
+PACKED = 100_000
 # Arrival orders: of rows that are numbered, and of messages, which get numbers as they are released.
 NUMBERED = "ord BIGINT"
 MESSAGES = "kind STRING, partition INT, offset BIGINT"
@@ -43,6 +50,63 @@ _WHOLE = {"BIGINT", "INT"}
 _ARROW = {"BIGINT": pa.int64(), "INT": pa.int32(), "DOUBLE": pa.float64(), "STRING": pa.string(), "BOOLEAN": pa.bool_()}
 
 
+def _kinds(columns: str, order: str) -> dict[str, str]:
+    fields = {"timestamp": "BIGINT"}
+    for part in f"{order}, {columns}".split(","):
+        name, kind = part.split()
+        fields[name] = kind
+    return fields
+
+
+def _arrow(kinds: dict[str, str]) -> pa.Schema:
+    return pa.schema([(c, _ARROW[kind]) for c, kind in kinds.items()])
+
+
+def packer(keys: Sequence[str], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For ``mapInArrow``: rows of a key, in columns ``_k0`` and on, as packets of at most ``keyed.CHUNK`` rows."""
+    places = [f"_k{i}" for i in range(len(keys))]
+
+    def packets(waiting: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(waiting).combine_chunks()
+        group = np.zeros(len(table), dtype=np.int64)
+        for place in places:
+            codes = pc.dictionary_encode(table[place].combine_chunks(), null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            # numbered anew at each key, so that they stay below the number of rows
+            group = np.unique(group * (int(codes.max()) + 1) + codes, return_inverse=True)[1]
+        order = group.argsort(kind="stable")
+        starts = np.unique(group[order], return_index=True)[1]
+        rows = table.select(schema.names).cast(schema).take(order).combine_chunks()
+        cut = [(int(a), int(b)) for a, b in zip(starts, [*starts[1:], len(order)], strict=True)]
+        cut = [(a, min(keyed.CHUNK, end - a)) for start, end in cut for a in range(start, end, keyed.CHUNK)]
+        firsts = pa.array(order[[a for a, _ in cut]])
+        made = [rows.slice(a, n).to_batches()[0].serialize().to_pybytes() for a, n in cut]
+        columns = [table[place].combine_chunks().take(firsts) for place in places]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(made, pa.binary())], [*keys, "rows"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                waiting.append(batch)
+                size += batch.num_rows
+            if size >= PACKED:
+                yield packets(waiting)
+                waiting, size = [], 0
+        if waiting:
+            yield packets(waiting)
+
+    return pack
+
+
+def _packed(events: DataFrame, keys: Sequence[str], columns: str, order: str) -> DataFrame:
+    kinds = _kinds(columns, order)
+    given = events.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()]
+    )
+    schema = StructType([*[StructField(k, events.schema[k].dataType) for k in keys], StructField("rows", BinaryType())])
+    return given.mapInArrow(packer(keys, _arrow(kinds)), schema)
+
+
 class Held(StatefulProcessor):
     """``inner`` takes the rows of a bucket by ``ordered``; where it has a time that it is ``due`` at, it is told
     by ``passed`` once all rows before that are in."""
@@ -55,17 +119,17 @@ class Held(StatefulProcessor):
         bucket_ms: int = BUCKET_MS,
         late: tuple[list[str], list[str]] | None = None,
         together: int = 1,
+        packed: bool = False,
     ) -> None:
-        """``late``: names of the key and of all columns that go out, where late rows go out too."""
-        fields = {"timestamp": "BIGINT"}
-        for part in f"{order}, {columns}".split(","):
-            name, kind = part.split()
-            fields[name] = kind
+        """``late``: names of the key and of all columns that go out, where late rows go out too. ``packed``: rows
+        come in packets (``packer``)."""
+        fields = _kinds(columns, order)
         self.inner = inner
+        self.packed = packed
         self.late = late
         self.columns = list(fields)
         self.whole = {c for c, kind in fields.items() if kind in _WHOLE}
-        self.schema = pa.schema([(c, _ARROW[kind]) for c, kind in fields.items()])
+        self.schema = _arrow(fields)
         self.order = ["timestamp", *keyed._names(order)]
         self.numbers = order == MESSAGES
         self.bucket_ms = bucket_ms
@@ -83,6 +147,8 @@ class Held(StatefulProcessor):
         self.rows = handle.getMapState("rows", "stretch BIGINT, part BIGINT", "rows BINARY")
         self.taken = handle.getValueState("taken", "taken BIGINT")
         self.woken = handle.getValueState("woken", "bucket BIGINT")
+        # the last bucket that is given out, where Spark does not drop the rows that come after
+        self.given = handle.getValueState("given", "bucket BIGINT") if self.packed and not self.late else None
 
     def _bucket(self, at: int) -> int:
         return at // self.bucket_ms
@@ -114,16 +180,20 @@ class Held(StatefulProcessor):
         clock = timerValues.getCurrentWatermarkInMs()
         found: dict[int, tuple[int, int]] = {}
         waiting, size = [], 0
-        for frame in rows:
+        given = self.given.get()[0] if self.given is not None and self.given.exists() else None
+        for table in self._tables(rows):
             if self.late:
-                closed = (frame["timestamp"] // self.bucket_ms + 1) * self.bucket_ms - 1 < clock
+                at = table["timestamp"].to_pandas()
+                closed = ((at // self.bucket_ms + 1) * self.bucket_ms - 1 < clock).to_numpy()
                 if closed.any():
-                    yield self._late(key, frame[closed])
-                    frame = frame[~closed]
-            table = pa.Table.from_pandas(frame, self.schema, preserve_index=False)
+                    yield self._late(key, table.filter(pa.array(closed)).to_pandas())
+                    table = table.filter(pa.array(~closed))
             # a row without time has no bucket
-            waiting.append(table.filter(pc.is_valid(table["timestamp"])))
-            size += len(frame)
+            table = table.filter(pc.is_valid(table["timestamp"]))
+            if given is not None:
+                table = table.filter(pc.greater(table["timestamp"], self._end(given)))
+            waiting.append(table)
+            size += len(table)
             if size >= GATHERED:
                 self._hold(waiting, found)
                 waiting, size = [], 0
@@ -136,6 +206,14 @@ class Held(StatefulProcessor):
                 self.woken.update((first,))
                 self._wake(first)
 
+    def _tables(self, frames: Iterator[pd.DataFrame]) -> Iterator[pa.Table]:
+        for frame in frames:
+            if not self.packed:
+                yield pa.Table.from_pandas(frame, self.schema, preserve_index=False)
+                continue
+            for rows in frame["rows"]:
+                yield pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(rows), self.schema)])
+
     def _hold(self, tables: list[pa.Table], found: dict[int, tuple[int, int]]) -> None:
         """Write rows to their stretches; ``found`` has the number of parts and the first bucket of those met so far."""
         rows = pa.concat_tables([self.schema.empty_table(), *tables]).combine_chunks()
@@ -185,6 +263,8 @@ class Held(StatefulProcessor):
             batch["ts"] = pd.to_datetime(batch["timestamp"], unit="ms")
             for frame in self.inner.ordered(key, batch):
                 yield self._made(frame, at)
+        if self.given is not None:
+            self.given.update((closed,))
         due = self.inner.due() if hasattr(self.inner, "due") else None
         if due is not None:
             # no bucket before it waits once its own is over
@@ -246,12 +326,15 @@ class Passing:
         yield out
 
 
-def _run(
+def run(
     events: DataFrame, keys: Sequence[str], inner: StatefulProcessor, columns: str, order: str, schema: str, bucket_ms: int,
     together: int = 1,
 ) -> DataFrame:
-    return events.groupBy(*keys).transformWithStateInPandas(
-        Held(inner, columns, order, bucket_ms, together=together), schema, "append", "eventTime", eventTimeColumnName="ts"
+    """``inner`` on rows put in order; where buckets lie together, rows come in packets."""
+    packed = together > 1
+    given = _packed(events, keys, columns, order) if packed else events
+    return given.groupBy(*keys).transformWithStateInPandas(
+        Held(inner, columns, order, bucket_ms, together=together, packed=packed), schema, "append", "eventTime", eventTimeColumnName="ts"
     )
 
 
@@ -259,11 +342,10 @@ def _run_with_late(
     events: DataFrame, keys: Sequence[str], inner: StatefulProcessor, columns: str, order: str, schema: str, bucket_ms: int,
     together: int = 1,
 ) -> DataFrame:
-    """As ``_run``, with late rows; the result has no watermark, as they are older than it."""
-    unmarked = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 0 SECONDS"))
+    """As ``run``, with late rows; the result has no watermark, as they are older than it."""
     late = (list(keys), [*keyed._names(schema), "late"])
-    return unmarked.groupBy(*keys).transformWithStateInPandas(
-        Held(inner, columns, order, bucket_ms, late, together), f"{schema}, late BOOLEAN", "append", "eventTime"
+    return _packed(events, keys, columns, order).groupBy(*keys).transformWithStateInPandas(
+        Held(inner, columns, order, bucket_ms, late, together, packed=True), f"{schema}, late BOOLEAN", "append", "eventTime"
     )
 
 
@@ -298,7 +380,7 @@ def price_single_slot(
     security's rows.
     """
     columns = f"kind STRING, price DOUBLE, {slot}"
-    return _run(events, ["cusip"], keyed.SingleSlot(slot), columns, order, keyed.priced_schema(slot), bucket_ms, together)
+    return run(events, ["cusip"], keyed.SingleSlot(slot), columns, order, keyed.priced_schema(slot), bucket_ms, together)
 
 
 def price_list_buffer(
@@ -310,7 +392,7 @@ def price_list_buffer(
 ) -> DataFrame:
     """Every position waits for its security's next price, rows in any order."""
     columns = f"kind STRING, price DOUBLE, {slot}"
-    return _run(events, ["cusip"], keyed.ListBuffer(slot), columns, order, keyed.listed_schema(slot), bucket_ms, together)
+    return run(events, ["cusip"], keyed.ListBuffer(slot), columns, order, keyed.listed_schema(slot), bucket_ms, together)
 
 
 def price_timer_conflation(
@@ -321,7 +403,7 @@ def price_timer_conflation(
     A fire goes out once the watermark has passed its bucket.
     """
     columns = f"kind STRING, price DOUBLE, {keyed.ACCOUNT_SLOT}"
-    return _run(events, ["cusip"], keyed.TimerConflation(period_ms), columns, order, keyed.CONFLATED, bucket_ms, together)
+    return run(events, ["cusip"], keyed.TimerConflation(period_ms), columns, order, keyed.CONFLATED, bucket_ms, together)
 
 
 def rolling_quantity(
@@ -330,4 +412,4 @@ def rolling_quantity(
     """Running totals by account and security, rows in any order."""
     keys = ["account", "subAccount", "cusip"]
     columns = "account STRING, subAccount STRING, cusip STRING, quantity INT"
-    return _run(positions, keys, keyed.RollingTotal(), columns, order, keyed.ROLLED, bucket_ms, together)
+    return run(positions, keys, keyed.RollingTotal(), columns, order, keyed.ROLLED, bucket_ms, together)

@@ -20,15 +20,16 @@ BYTES_PER_FILE = 16 << 20
 CLOSING_GAP = 1_000_000
 
 
-def disorder(rows: DataFrame, number: str) -> int:
-    """How far the files, oldest first, go back in ``number``; files of one age may come in any order."""
+def disorder(rows: DataFrame, number: str, *apart: str) -> int:
+    """How far the files, oldest first, go back in ``number``; files of one age may come in any order. Rows that differ
+    in ``apart`` are looked at apart."""
     age = F.unix_millis("_metadata.file_modification_time")
-    ranges = rows.groupBy(age.alias("at"), F.col("_metadata.file_path").alias("path")).agg(
+    ranges = rows.groupBy(*apart, age.alias("at"), F.col("_metadata.file_path").alias("path")).agg(
         F.min(number).alias("lo"), F.max(number).alias("hi")
     )
     # one row per file
-    older = F.max("hi").over(Window.orderBy("at").rangeBetween(Window.unboundedPreceding, -1))
-    together = Window.partitionBy("at")
+    older = F.max("hi").over(Window.partitionBy(*apart).orderBy("at").rangeBetween(Window.unboundedPreceding, -1))
+    together = Window.partitionBy(*apart, "at")
     beside = F.when(F.count("*").over(together) > 1, F.max("hi").over(together))
     back = ranges.select((F.greatest(older, beside) - F.col("lo")).alias("back")).agg(F.max("back")).first()[0]
     return max(0, back or 0)
@@ -106,9 +107,11 @@ def replay(
     given.limit(0).write.parquet(closing)
     rows = _table_stream(spark, path).unionByName(spark.readStream.schema(given.schema).parquet(closing))
     out = plan(rows, back)
-    with stream_settings(spark, state_parts(spark, given)):
+    parts = state_parts(spark, given)
+    with stream_settings(spark, parts, ends=False):
         _finish(file_writer(out, f"{work}/out", f"{work}/checkpoint"))
-        _closing_row(given, number, back + CLOSING_GAP).write.mode("append").parquet(closing)
+    _closing_row(given, number, back + CLOSING_GAP).write.mode("append").parquet(closing)
+    with stream_settings(spark, parts):
         _finish(file_writer(out, f"{work}/out", f"{work}/checkpoint"))
     return spark.read.schema(out.schema).parquet(f"{work}/out")
 

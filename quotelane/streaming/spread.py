@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessorHandle
 
 from quotelane.streaming import keyed
-from quotelane.streaming.held import BUCKET_MS, Held
+from quotelane.streaming.held import BUCKET_MS, run
 
 SHARDS = 8
 _SEQ = "seq STRING"
@@ -137,23 +137,15 @@ def price_single_slot(
     everywhere = F.sequence(F.lit(0), F.lit(shards - 1))
     own = F.array(F.pmod(F.xxhash64("seq"), F.lit(shards)).cast("int"))
     dealt = events.withColumn("shard", F.explode(F.when(F.col("kind") == "price", everywhere).otherwise(own)))
-    valued = dealt.groupBy("cusip", "shard").transformWithStateInPandas(
-        Held(ShardValues(slot, bucket_ms), f"kind STRING, price DOUBLE, {slot}", _SEQ, bucket_ms, together=together),
-        f"cusip STRING, shard INT, {slot}, price DOUBLE, gap BOOLEAN, position STRING, {_SEQ}, timestamp BIGINT, ts TIMESTAMP",
-        "append",
-        "eventTime",
-        eventTimeColumnName="ts",
-    )
+    schema = f"cusip STRING, shard INT, {slot}, price DOUBLE, gap BOOLEAN, position STRING, {_SEQ}, timestamp BIGINT, ts TIMESTAMP"
+    columns = f"kind STRING, price DOUBLE, {slot}"
+    valued = run(dealt, ["cusip", "shard"], ShardValues(slot, bucket_ms), columns, _SEQ, schema, bucket_ms, together)
     # a shard needs every price once, and from the others those gaps that hold a position
     others = F.when(F.col("gap") & F.col("position").isNotNull(), everywhere).otherwise(F.array("shard"))
     told = valued.withColumn("origin", F.col("shard")).withColumn("shard", F.explode(others))
-    return told.groupBy("cusip", "shard").transformWithStateInPandas(
-        Held(LockedValues(slot), f"{slot}, price DOUBLE, gap BOOLEAN, position STRING, origin INT", _SEQ, bucket_ms, together=together),
-        f"cusip STRING, {slot}, price DOUBLE, ord STRING, timestamp BIGINT, ts TIMESTAMP",
-        "append",
-        "eventTime",
-        eventTimeColumnName="ts",
-    )
+    columns = f"{slot}, price DOUBLE, gap BOOLEAN, position STRING, origin INT"
+    schema = f"cusip STRING, {slot}, price DOUBLE, ord STRING, timestamp BIGINT, ts TIMESTAMP"
+    return run(told, ["cusip", "shard"], LockedValues(slot), columns, _SEQ, schema, bucket_ms, together)
 
 
 class BucketTotals:
@@ -222,20 +214,13 @@ def rolling_quantity(
     bucket = F.floor(F.col("timestamp") / bucket_ms)
     dealt = positions.withColumn("shard", F.pmod(bucket, F.lit(shards)).cast("int"))
     columns = "account STRING, subAccount STRING, cusip STRING, quantity INT"
-    summed = dealt.groupBy(*keys).transformWithStateInPandas(
-        Held(BucketTotals(bucket_ms), columns, _SEQ, bucket_ms, together=together),
+    schema = (
         f"account STRING, subAccount STRING, cusip STRING, shard INT, quantity INT, total BIGINT, sums BOOLEAN, {_SEQ}, "
-        "timestamp BIGINT, ts TIMESTAMP",
-        "append",
-        "eventTime",
-        eventTimeColumnName="ts",
+        "timestamp BIGINT, ts TIMESTAMP"
     )
+    summed = run(dealt, keys, BucketTotals(bucket_ms), columns, _SEQ, schema, bucket_ms, together)
     everywhere = F.sequence(F.lit(0), F.lit(shards - 1))
     told = summed.withColumn("shard", F.explode(F.when(F.col("sums"), everywhere).otherwise(F.array("shard"))))
-    return told.groupBy(*keys).transformWithStateInPandas(
-        Held(BasedTotals(bucket_ms), "quantity INT, total BIGINT, sums BOOLEAN", _SEQ, bucket_ms, together=together),
-        "account STRING, subAccount STRING, cusip STRING, ord STRING, timestamp BIGINT, ts TIMESTAMP, quantity INT, rollingQuantity BIGINT",
-        "append",
-        "eventTime",
-        eventTimeColumnName="ts",
-    )
+    columns = "quantity INT, total BIGINT, sums BOOLEAN"
+    schema = "account STRING, subAccount STRING, cusip STRING, ord STRING, timestamp BIGINT, ts TIMESTAMP, quantity INT, rollingQuantity BIGINT"
+    return run(told, keys, BasedTotals(bucket_ms), columns, _SEQ, schema, bucket_ms, together)

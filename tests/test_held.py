@@ -3,6 +3,7 @@
 import random
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from quotelane.streaming import held, keyed, spread
@@ -224,3 +225,41 @@ def test_long_numbers_stay_whole_beside_frames_with_nulls(monkeypatch):
     list(handle.processor.handleInputRows(handle.key, iter([rows, other]), handle.clock))
     out = pd.concat(handle.step(watermark=10**9))
     assert [None if pd.isna(v) else int(v) for v in out["offset"]] == [(1 << 60) + 1, (1 << 60) + 3, None]
+
+
+def _packets(frame, keys):
+    """What a task's rows are packed into, as the processor gets it: a frame of packets for every key."""
+    kinds = held._kinds(COLUMNS, held.MESSAGES)
+    rows = {c: frame[c].astype(object).where(frame[c].notna(), None).tolist() for c in kinds}
+    table = pa.table([*[pa.array(frame[k].tolist()) for k in keys], *rows.values()], [*[f"_k{i}" for i in range(len(keys))], *rows])
+    packed = pa.concat_tables(pa.Table.from_batches([b]) for b in held.packer(keys, held._arrow(kinds))(iter(table.to_batches(1000))))
+    return packed.to_pandas()
+
+
+def test_rows_travel_as_a_packet_of_each_key():
+    rows = _rows(range(4000)).assign(cusip=[("X", "Y", None)[i % 3] for i in range(4000)], shard=[i % 2 for i in range(4000)])
+    packets = _packets(rows, ["cusip", "shard"])
+    assert len(packets) == 6  # and not 4000 rows, each an object of its own
+    inner = held.Held(keyed.SingleSlot(SLOT), COLUMNS, held.MESSAGES, 10_000, together=4, packed=True)
+    plain = held.Held(keyed.SingleSlot(SLOT), COLUMNS, held.MESSAGES, 10_000, together=4)
+    handle, other = Handle(inner), Handle(plain)
+    out = handle.step(packets[(packets["cusip"] == "X") & (packets["shard"] == 0)])
+    expected = other.step(rows[(rows["cusip"] == "X") & (rows["shard"] == 0)])
+    found = _numbers(out + handle.step(watermark=10**9))
+    assert len(found) > 300 and found == _numbers(expected + other.step(watermark=10**9))
+
+
+def test_large_packets_are_cut(monkeypatch):
+    monkeypatch.setattr(keyed, "CHUNK", 300)
+    packets = _packets(_rows(range(1000)).assign(cusip="X"), ["cusip"])
+    inner = held.Held(keyed.SingleSlot(SLOT), COLUMNS, held.MESSAGES, 10_000, packed=True)
+    assert [len(t) for t in inner._tables(iter([packets]))] == [300, 300, 300, 100]
+
+
+def test_packets_bring_nothing_to_buckets_that_are_given_out():
+    handle = Handle(held.Held(keyed.SingleSlot(SLOT), COLUMNS, held.MESSAGES, 10_000, packed=True))
+    first = handle.step(_packets(_rows(range(80)).assign(cusip="X"), ["cusip"]), watermark=10_005)
+    assert max(f["timestamp"].max() for f in first) < 10_000
+    late = _packets(_rows([5, 35, 70]).assign(cusip="X", orderId=["late", "late", "in time"], kind="position"), ["cusip"])
+    ids = [i for f in handle.step(late, watermark=10**9) for i in f["orderId"]]
+    assert "in time" in ids and "late" not in ids
