@@ -15,9 +15,9 @@ def split_orders(orders: DataFrame, keep_time: bool = True) -> DataFrame:
     positions have no time (0); being row-wise it needs no single task to gather the window.
     """
     stamp = F.col("timestamp") if keep_time else F.lit(0).cast("bigint")
-    return orders.select(
-        stamp.alias("timestamp"), "cusip", "buySell", F.explode("allocations").alias("a")
-    ).select(
+    # of a plain explode Spark infers a filter on the array, for which a message would be parsed a second time
+    each = orders.select(stamp.alias("timestamp"), "cusip", "buySell", F.posexplode_outer("allocations").alias("_at", "a"))
+    return each.where(F.col("_at").isNotNull()).select(
         "timestamp",
         F.col("a.account").alias("account"),
         F.col("a.subAccount").alias("subAccount"),

@@ -2,6 +2,7 @@
 
 import datetime
 import io
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,10 +10,11 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 import __spark_entry__ as contract
 from quotelane import fixtures, schemas
-from quotelane.operators import codec
+from quotelane.operators import codec, projection
 from quotelane.plans import catalog, jobs, streams
 from quotelane.sinks import writers
 from quotelane.sources import files
+from quotelane.streaming import replay
 from tests.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
@@ -186,3 +188,39 @@ def test_arrivals_have_several_files_a_partition(spark, tmp_path, monkeypatch):
     assert _rows(got) == _rows(catalog.message_arrivals(spark, SF))
     rows = spark.read.parquet(str(tmp_path / "work" / "positions")).groupBy("_metadata.file_path").count()
     assert max(r["count"] for r in rows.collect()) < 100
+
+
+def test_an_order_message_is_parsed_once(spark):
+    orders = catalog.order_messages(spark, SF)
+    plan = jobs.symbol_quantity_messages(orders.localCheckpoint())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_orders_without_allocations_give_no_positions(spark):
+    orders = spark.createDataFrame(
+        [(1, "C", "BUY", [("A", "S", 3), None, ("B", "S", 4)]), (2, "C", "SELL", []), (3, "C", "SELL", None)],
+        "timestamp BIGINT, cusip STRING, buySell STRING, allocations ARRAY<STRUCT<account: STRING, subAccount: STRING, quantity: INT>>",
+    )
+    found = [(r.timestamp, r.account, r.quantity) for r in projection.split_orders(orders).collect()]
+    assert found == [(1, "A", 3), (1, None, None), (1, "B", 4)]
+
+
+def test_a_replay_has_no_empty_micro_batch_before_its_end(spark, tmp_path, monkeypatch):
+    """Rows, the closing row, and what that closes: each micro-batch opens all of the state."""
+    monkeypatch.setattr(replay, "work_dir", lambda spark, label: str(tmp_path))
+    assert streams.stream_symbol_quantity_10s(spark, SF).count() == catalog.symbol_quantity_10s(spark, SF).count()
+    assert len([f for f in (tmp_path / "checkpoint" / "commits").iterdir() if f.name.isdigit()]) == 3
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", None) is None
+
+
+def test_disorder_is_measured_partition_by_partition(spark, tmp_path):
+    rows = spark.createDataFrame([(0, 100), (1, 5)], "partition INT, at BIGINT")
+    dated = set()
+    for p in (0, 1):
+        rows.where(f"partition = {p}").coalesce(1).write.mode("append").parquet(str(tmp_path / "t"))
+        for f in set((tmp_path / "t").glob("*.parquet")) - dated:
+            os.utime(f, (1_700_000_000 + p, 1_700_000_000 + p))
+            dated.add(f)
+    given = spark.read.parquet(str(tmp_path / "t"))
+    assert (replay.disorder(given, "at"), replay.disorder(given, "at", "partition")) == (95, 0)
