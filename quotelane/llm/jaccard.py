@@ -18,8 +18,10 @@ texts, as for low shares. In the order of their hashes, the first
 elements that two linked sets have in common lie near the beginning of both: of a set of n, among the first
 n - part + k, if k of them are asked for. So a document that may be linked has at least that many elements at its
 beginning which other documents have at theirs; passages that documents share are too few. The
-beginnings are compared by short hashes in buckets of the hash range, and only documents that reach the number
-have cells.
+beginnings are compared by short hashes in buckets of the hash range. Of the documents that reach the number, all
+elements are compared in the same way: a set linked to another has part / whole of its own elements in common with
+it, so a document of which the others, taken together, have fewer is linked to none. Documents that share a passage
+and nothing else end here; only the rest have cells.
 
 Whether sets are equal and how far they are apart is decided on 64-bit hashes of the shingles.
 
@@ -32,7 +34,7 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -174,11 +176,15 @@ def _beginning(n, part: int, whole: int):
     return np.minimum(n, n - -(-part * n // whole) + 1 + n // ASKED_SHARE)
 
 
+def _least(n: Column, part: int, whole: int) -> Column:
+    """The smallest set that one of n elements may be linked to, and how many elements it shares with any."""
+    return (-F.floor(-n * part / whole)).cast("long")
+
+
 def _needed(n: Column, part: int, whole: int) -> Column:
     """How many of its beginning a linked document shares: the smaller of two linked sets has part / whole
     of the larger at least, and each set asks for its own number."""
-    least = -F.floor(-n * part / whole)
-    return (1 + F.floor(least / ASKED_SHARE)).cast("long")
+    return (1 + F.floor(_least(n, part, whole) / ASKED_SHARE)).cast("long")
 
 
 OFFERED = pa.schema([("bucket", pa.int32()), ("names", pa.binary()), ("refs", pa.binary()), ("known", pa.binary())])
@@ -214,9 +220,10 @@ def _from_steps(raw: bytes) -> np.ndarray:
     return np.cumsum(np.append(first, np.frombuffer(raw, "<u4", offset=9).astype(np.uint64)))
 
 
-def _offer(width: int, part: int, whole: int, buckets: int, bits: int):
-    """Beginnings of sets, packed by bucket. What a chunk of documents holds twice is known to be shared: it is counted
-    here (buckets below 0) and sent once, marked, so no bucket gathers a frequent element."""
+def _offer(width: int, taken: Callable[[np.ndarray], np.ndarray], buckets: int, bits: int):
+    """The first elements of sets, as many as ``taken`` tells by their sizes, packed by bucket. What a chunk of documents
+    holds twice is known to be shared: it is counted here (buckets below 0) and sent once, marked, so no bucket gathers a
+    frequent element."""
 
     def packed(codes: np.ndarray, ends: np.ndarray) -> pa.RecordBatch | None:
         n = np.diff(ends, prepend=0)
@@ -225,7 +232,7 @@ def _offer(width: int, part: int, whole: int, buckets: int, bits: int):
             return None
         starts = (ends - n)[some]
         refs = np.add.reduceat(mix(codes), starts) >> np.uint64(16)
-        first = _beginning(n[some], part, whole)
+        first = taken(n[some])
         at = np.repeat(starts - (np.cumsum(first) - first), first) + np.arange(first.sum())
         names, owner = _sorted_names(codes[at], bits), np.repeat(refs, first)
         order = np.lexsort((owner, names))
@@ -466,12 +473,17 @@ def _join_blocks(part: int, whole: int):
     return run
 
 
-def _regions(star: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
-    """Links among documents of one pivot of which one at least isn't linked to it."""
+def _ringed(star: DataFrame, part: int, whole: int) -> DataFrame:
+    """Rings of the documents of those pivots of which one document at least isn't linked to them."""
     wide = (whole - part) / whole * (1 + 1e-12)
     ring = F.when(F.col("linked"), 0).otherwise(F.greatest(F.lit(1), F.floor(F.col("far") / wide))).cast("int")
     open_pivots = star.where(~F.col("linked")).select("pivot").distinct()
-    ringed = star.join(open_pivots, "pivot", "left_semi").select("pivot", "rep", ring.alias("ring"))
+    # written, as its counts are asked for several times
+    return written(star.join(open_pivots, "pivot", "left_semi").select("pivot", "rep", ring.alias("ring")), "rings", light=True)
+
+
+def _regions(ringed: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
+    """Links among documents of one pivot of which one at least isn't linked to it."""
     counts = ringed.groupBy("pivot", "ring").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     beside = counts.select("pivot", (F.col("ring") + 1).alias("ring"), F.col("blocks").alias("below")).join(
         counts.select("pivot", (F.col("ring") - 1).alias("ring"), F.col("blocks").alias("above")), ["pivot", "ring"], "full"
@@ -507,24 +519,42 @@ def _regions(star: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFra
     return full.groupBy("pivot", "r1", "b1", "r2", "b2").applyInArrow(tidy_group(_join_blocks(part, whole)), "a long, b long")
 
 
-def _screened(texts: DataFrame, light: DataFrame, reps: DataFrame, width: int, share: tuple[int, int]) -> DataFrame:
-    """Of the sets in ``reps``, those that have enough in common with others to be linked at all."""
-    part, whole = share
-    n = F.col("n")
-    offered = light.agg(F.sum(n + 1 + F.floor(n / ASKED_SHARE) + F.floor(-n * part / whole))).first()[0]
+def _sharing(
+    texts: DataFrame, reps: DataFrame, width: int, offered: int | None, taken: Callable, needed: Column, label: str
+) -> DataFrame:
+    """Of the sets in ``reps``, those that share ``needed`` at least of the elements ``taken`` with any others of
+    ``texts``; ``offered``: how many elements are taken in all."""
     buckets = pieces(offered, ENTRIES_PER_BUCKET * 2)
     bits = min(64, max(24, int(offered or 1).bit_length() + 16))
     counted = (
-        texts.mapInArrow(tidy(_offer(width, part, whole, buckets, bits)), "bucket int, names binary, refs binary, known binary")
+        texts.mapInArrow(tidy(_offer(width, taken, buckets, bits)), "bucket int, names binary, refs binary, known binary")
         .groupBy("bucket")
         .applyInArrow(tidy_group(_counted), "ref long, shared long")
         .groupBy("ref")
         .agg(F.sum("shared").alias("shared"))
     )
-    counted = written(counted, "beginnings", light=True, release=True)
+    counted = written(counted, f"{label}-counts", light=True, release=True)
     met = reps.withColumn("ref", F.shiftrightunsigned("k1", 16)).join(counted, "ref")
-    near = written(met.where(F.col("shared") >= _needed(n, part, whole)).drop("ref", "shared"), "near", light=True)
+    found = written(met.where(F.col("shared") >= needed).drop("ref", "shared"), label, light=True)
     discard(counted)
+    return found
+
+
+def _texts_of(texts: DataFrame, reps: DataFrame) -> DataFrame:
+    """The texts of the sets in ``reps``, and a few others."""
+    held = texts.sparkSession.sparkContext.broadcast(_bit_map(reps.select("rep").distinct(), reps.count()))
+    return texts.mapInArrow(_maybe(held), "doc_id long, text string")
+
+
+def _screened(texts: DataFrame, light: DataFrame, reps: DataFrame, width: int, share: tuple[int, int]) -> DataFrame:
+    """Of the sets in ``reps``, those that have enough in common with others to be linked at all."""
+    part, whole = share
+    n = F.col("n")
+    offered = light.agg(F.sum(n + 1 + F.floor(n / ASKED_SHARE) + F.floor(-n * part / whole))).first()[0]
+    met = _sharing(texts, reps, width, offered, lambda n: _beginning(n, part, whole), _needed(n, part, whole), "beginnings")
+    offered = met.agg(F.sum(n)).first()[0]
+    near = _sharing(_texts_of(texts, met), met, width, offered, lambda n: n, _least(n, part, whole), "near")
+    discard(met)
     return near
 
 
@@ -542,8 +572,7 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE,
     reps = written(keyed.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep")), "reps", light=True)
     if screen:
         near = _screened(named_texts, light, reps, width, share)
-        held = spark.sparkContext.broadcast(_bit_map(near.select("rep").distinct(), near.count()))
-        some = named_texts.mapInArrow(_maybe(held), "doc_id long, text string")
+        some = _texts_of(named_texts, near)
     else:
         near, some = reps, named_texts
     # until pairs are found a set goes by its hash, then by its smallest id
@@ -583,9 +612,10 @@ def classes(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE,
         release=True,
     )
     links = star.where("linked").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
-    links = links.unionByName(_regions(star, sets, part, whole))
+    ringed = _ringed(star, part, whole)
+    links = links.unionByName(_regions(ringed, sets, part, whole))
     found = components(links)
-    discard(star, sets, wanted, pairs, *([near] if screen else []))
+    discard(ringed, star, sets, wanted, pairs, *([near] if screen else []))
     named = reps.join(found, reps["rep"] == found["node"], "left").select(
         "k1", "k2", "n", F.coalesce("component", "rep").alias("component_id")
     )

@@ -52,6 +52,53 @@ def test_links_at_the_border_are_found(spark, make_docs):
         assert len({c for _, c in found.values()}) < len(rows)
 
 
+@pytest.mark.parametrize("count", [60, 240])
+def test_a_passage_of_many_documents_makes_no_pairs(spark, make_docs, monkeypatch, count):
+    """Documents of which half is a common passage are compared with no pivot; copies among them are found."""
+    rng = random.Random(count)
+    passage = [f"shared{i}" for i in range(60)]
+    texts = [" ".join([*passage, *(f"o{rng.random()}" for _ in range(60))]) for _ in range(count)]
+    texts += [" ".join(t.split()[:-1] + ["other"]) for t in texts[:5]]
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    made, written = {}, jaccard.written
+
+    def counted(df, label, **settings):
+        found = written(df, label, **settings)
+        made[label] = found.count()
+        return found
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.classes(make_docs(rows), 5, (80, 100), True).collect()}
+    assert found == plain.near(list(enumerate(texts)), 5, 80, 100)
+    assert [found[count + i][1] for i in range(5)] == list(range(5))
+    assert made["pairs"] <= 100  # those of ten documents, however many share the passage
+
+
+def test_rings_are_made_once(spark, make_docs, monkeypatch):
+    """Copies further from each other than a link: what the join by pivot makes is read back, not made again."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(120)]
+    texts = []
+    for _ in range(40):
+        edited = list(words)
+        for at in rng.sample(range(120), 2):
+            edited[at] = f"e{rng.random()}"
+        texts.append(" ".join(edited))
+    regions, plans = jaccard._regions, []
+
+    def seen(*given):
+        links = regions(*given)
+        plans.append(links._jdf.queryExecution().optimizedPlan().toString())
+        return links
+
+    monkeypatch.setattr(jaccard, "_regions", seen)
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.classes(make_docs(rows), 5, (80, 100), True).collect()}
+    assert found == plain.near(list(enumerate(texts)), 5, 80, 100)
+    assert plans
+    assert "LeftSemi" not in plans[0]
+
+
 def test_packed_numbers_come_back():
     rng = np.random.default_rng(1)
     for values in (np.sort(rng.integers(0, 1 << 62, 50).astype(np.uint64)), np.arange(7, dtype=np.uint64), np.array([5], np.uint64)):
