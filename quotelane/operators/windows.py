@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quotelane.functions import market_value
 from quotelane.operators.scan import Running, running
+from quotelane.streaming import counts
 
 ACCOUNT_KEY = ("account", "subAccount", "cusip")
 SYMBOL_KEY = ("cusip",)
@@ -148,8 +149,14 @@ def allocation_text(allocations: str | Column = "allocations") -> Column:
     )
 
 
-def word_count(words: DataFrame, width: str = "5 seconds") -> DataFrame:
+def word_count(words: DataFrame, width: str = "5 seconds", together: int = 1) -> DataFrame:
+    """``together``: so many windows of a stream lie together in the state, as packets of counts, and are given out at
+    once, where results may wait for each other, as in a replay (``streaming.counts``)."""
     windowed = _Windowed(words, width)
+    if windowed.streaming and together > 1:
+        width_ms = words.sparkSession.sql(f"SELECT unix_millis(timestamp_millis(0) + interval {width})").first()[0]
+        starts = windowed.rows.withColumn("_start", F.unix_millis("_w.start"))
+        return counts.word_count(starts, "_start", width_ms, together)
     return windowed.by("word").agg(F.count("*").alias("count")).select(*windowed.bounds, "word", "count")
 
 

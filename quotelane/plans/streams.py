@@ -30,6 +30,8 @@ STRETCH_MS = 1_800_000
 HELD_MS = 4 * 3_600_000
 LIVE = {"slack_ms": 0, "bucket_ms": WINDOW_MS, "together": HELD_MS // WINDOW_MS}
 TAKEN = {"files": FILES_PER_TRIGGER}
+# Windows of words that lie together in the state: of five seconds, somewhat over five minutes.
+WINDOWS_OF_WORDS = 64
 STRETCHES = {"bucket_ms": STRETCH_MS, "together": HELD_MS // STRETCH_MS}
 
 
@@ -123,7 +125,7 @@ def stream_word_count_5s(spark: SparkSession, sf_dir: str) -> DataFrame:
     def plan(documents: DataFrame, back: int) -> DataFrame:
         # a document a second
         lines = legs.with_periodic_watermark(fixtures.lines_from(documents), (back + 1) * 1000 if back else 0)
-        return windows.word_count(projection.split_words(lines))
+        return windows.word_count(projection.split_words(lines), together=WINDOWS_OF_WORDS)
 
     return replay(spark, sf_dir, "documents", "doc_id", plan, "words", in_order=True)
 

@@ -54,6 +54,17 @@ def stream_settings(spark: SparkSession, partitions: int | None = None, ends: bo
         settings["spark.sql.shuffle.partitions"] = str(partitions)
     if not ends:
         settings["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    with _set(spark, settings):
+        yield
+
+
+def shuffle_once(spark: SparkSession):
+    """Settings under which a query's shuffle files go as it ends, not when the driver next collects its garbage."""
+    return _set(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
+@contextmanager
+def _set(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quotelane import fixtures
-from quotelane.session import stream_settings, work_dir
+from quotelane.session import shuffle_once, stream_settings, work_dir
 from quotelane.sinks.writers import file_writer
 from quotelane.streaming.legs import with_periodic_watermark
 
@@ -52,7 +53,8 @@ def _ranged(spark: SparkSession, path: str, number: str, to: str) -> str:
     files = -(-(sizes.first()[0] or 0) // BYTES_PER_FILE)
     if files < 2:
         return path
-    given.repartitionByRange(files, number).write.parquet(to)
+    with shuffle_once(spark):
+        given.repartitionByRange(files, number).sortWithinPartitions(number).write.option("compression", "zstd").parquet(to)
     return to
 
 
@@ -65,8 +67,13 @@ def state_parts(spark: SparkSession, rows: DataFrame) -> int:
     return min(wanted, cores if rows.rdd.getNumPartitions() < cores else 2 * cores)
 
 
-def _finish(writer) -> None:
-    query = writer.trigger(availableNow=True).start()
+def _finish(spark: SparkSession, out: DataFrame, work: str, parts: int, small: bool, ends: bool = True) -> None:
+    """Run to the end of what is there. ``small``: on less disk, at some more time for compression."""
+    writer = file_writer(out, f"{work}/out", f"{work}/checkpoint")
+    if small:
+        writer = writer.option("compression", "zstd")
+    with stream_settings(spark, parts, ends), shuffle_once(spark) if small else nullcontext():
+        query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
 
 
@@ -95,7 +102,8 @@ def replay(
     ``plan`` takes the stream and how far its files go back in ``number``, which the watermark must lag
     behind: no row is late then, in whatever order the files are. After the table is through, one row
     numbered far past the last is added on a second input; its own window stays open. ``in_order``: rows are
-    put in ranges first, so that state holds the windows of a few files, not of all files that lie in no order.
+    put in ranges first, so that state holds the windows of a few files, not of all files that lie in no order. What is
+    written on the way is compressed more then, and shuffle files go at once, as the ranges are a copy of the table.
     """
     work = work_dir(spark, label)
     path = f"{sf_dir}/{table}.parquet"
@@ -108,11 +116,9 @@ def replay(
     rows = _table_stream(spark, path).unionByName(spark.readStream.schema(given.schema).parquet(closing))
     out = plan(rows, back)
     parts = state_parts(spark, given)
-    with stream_settings(spark, parts, ends=False):
-        _finish(file_writer(out, f"{work}/out", f"{work}/checkpoint"))
+    _finish(spark, out, work, parts, in_order, ends=False)
     _closing_row(given, number, back + CLOSING_GAP).write.mode("append").parquet(closing)
-    with stream_settings(spark, parts):
-        _finish(file_writer(out, f"{work}/out", f"{work}/checkpoint"))
+    _finish(spark, out, work, parts, in_order)
     return spark.read.schema(out.schema).parquet(f"{work}/out")
 
 

@@ -11,7 +11,7 @@ from quotelane import fixtures, schemas
 from quotelane.operators import codec, conflation, pricing, windows
 from quotelane.plans import catalog, desk, jobs, streams
 from quotelane.session import stream_settings
-from quotelane.streaming import clock, held, keyed, legs, replay, spread
+from quotelane.streaming import clock, counts, held, keyed, legs, replay, spread
 from tests.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
@@ -117,6 +117,28 @@ def test_word_count_puts_files_in_order(spark, tmp_path, monkeypatch):
     assert lags[0] < 1000 * documents.count() * 3 // 4
 
 
+def test_word_count_state_is_smaller_than_the_text(spark, tmp_path, monkeypatch):
+    """By rows, the state's change log alone is several times the text where most words stand once in their window."""
+    word = lambda i: F.substring(F.md5((F.col("doc_id") * 200 + i).cast("string")), 1, 7)
+    texts = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(199)), word), " ")
+    documents = spark.range(1500).withColumnRenamed("id", "doc_id").withColumn("text", texts)
+    documents.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(replay, "work_dir", lambda spark, label: str(tmp_path / label))
+    _same(streams.stream_word_count_5s(spark, str(tmp_path)), catalog.word_count_5s(spark, str(tmp_path)))
+    state = sum(f.stat().st_size for f in (tmp_path / "words" / "checkpoint" / "state").rglob("*.changelog"))
+    assert state < documents.agg(F.sum(F.length("text"))).first()[0]
+
+
+def test_word_count_of_repeated_and_missing_numbers(spark, tmp_path, monkeypatch):
+    """One window has most of the words, in many packets of many files; a document has no number, one no text."""
+    monkeypatch.setattr(counts, "GATHERED", 50)
+    rows = [(7, f"w{i} a  b{i % 9} a") for i in range(400)] + [(i, "a b\tc ") for i in range(700)]
+    rows += [(None, "lost"), (3, None), (4, " "), (5, ""), (-20_000, "early")]
+    documents = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    documents.repartition(5).write.parquet(str(tmp_path / "documents.parquet"))
+    _same(streams.stream_word_count_5s(spark, str(tmp_path)), catalog.word_count_5s(spark, str(tmp_path)))
+
+
 @pytest.mark.parametrize("layout", ["cut_events", "dealt_events"])
 @pytest.mark.parametrize("case", list(CASES))
 def test_held_rows_equal_batch(spark, request, layout, case):
