@@ -381,11 +381,13 @@ def rolling_quantity(
     positions: DataFrame, ttl_ms: int | None = None, initial: DataFrame | None = None
 ) -> DataFrame:
     mode, column = _time(ttl_ms)
-    return positions.groupBy("account", "subAccount", "cusip").transformWithStateInPandas(
+    keys = ["account", "subAccount", "cusip"]
+    # a row without key, such as a replay's closing row, takes no part, as in the batch form
+    return positions.dropna(subset=keys).groupBy(*keys).transformWithStateInPandas(
         RollingTotal(ttl_ms),
         ROLLED,
         "append",
         mode,
-        initialState=_initial(initial, "account", "subAccount", "cusip"),
+        initialState=_initial(initial, *keys),
         eventTimeColumnName=column,
     )
