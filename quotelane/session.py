@@ -58,9 +58,14 @@ def stream_settings(spark: SparkSession, partitions: int | None = None, ends: bo
         yield
 
 
-def shuffle_once(spark: SparkSession):
-    """Settings under which a query's shuffle files go as it ends, not when the driver next collects its garbage."""
-    return _set(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+def small_disk(spark: SparkSession):
+    """Settings under which a query's shuffle files go as it ends, not when the driver next collects its garbage, and
+    a stream keeps the state of two micro-batches to go back to, not of a hundred."""
+    settings = {
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+        "spark.sql.streaming.minBatchesToRetain": "2",
+    }
+    return _set(spark, settings)
 
 
 @contextmanager

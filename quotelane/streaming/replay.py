@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quotelane import fixtures
-from quotelane.session import shuffle_once, stream_settings, work_dir
+from quotelane.session import small_disk, stream_settings, work_dir
 from quotelane.sinks.writers import file_writer
 from quotelane.streaming.legs import with_periodic_watermark
 
@@ -36,12 +36,14 @@ def disorder(rows: DataFrame, number: str, *apart: str) -> int:
     return max(0, back or 0)
 
 
-def _table_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Stream of a table's files in micro-batches of bounded size."""
+def _table_stream(spark: SparkSession, path: str, copied: bool = False) -> DataFrame:
+    """Stream of a table's files in micro-batches of bounded size. Files that are copies go once they are through."""
     given = spark.read.parquet(path)
     # a brace pattern, since a stream does not take the plain path of a single file
     folder, name = path.rsplit("/", 1)
     reader = spark.readStream.schema(given.schema).option("maxBytesPerTrigger", BYTES_PER_BATCH)
+    if copied:
+        reader = reader.option("cleanSource", "delete")
     return reader.parquet(f"{folder}/{{{name}}}")
 
 
@@ -53,7 +55,7 @@ def _ranged(spark: SparkSession, path: str, number: str, to: str) -> str:
     files = -(-(sizes.first()[0] or 0) // BYTES_PER_FILE)
     if files < 2:
         return path
-    with shuffle_once(spark):
+    with small_disk(spark):
         given.repartitionByRange(files, number).sortWithinPartitions(number).write.option("compression", "zstd").parquet(to)
     return to
 
@@ -72,20 +74,20 @@ def _finish(spark: SparkSession, out: DataFrame, work: str, parts: int, small: b
     writer = file_writer(out, f"{work}/out", f"{work}/checkpoint")
     if small:
         writer = writer.option("compression", "zstd")
-    with stream_settings(spark, parts, ends), shuffle_once(spark) if small else nullcontext():
+    with stream_settings(spark, parts, ends), small_disk(spark) if small else nullcontext():
         query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def _closing_row(given: DataFrame, number: str, past: int) -> DataFrame:
+def _closing_row(given: DataFrame, number: str, last: int | None, past: int) -> DataFrame:
     """One row numbered far past the last, its texts empty and all else null."""
-    last = given.agg((F.max(number) + past).alias(number))
+    row = given.sparkSession.range(1).select((F.lit(last) + past).cast(given.schema[number].dataType).alias(number))
     rest = {
         f.name: F.lit("" if f.dataType.simpleString() == "string" else None).cast(f.dataType)
         for f in given.schema
         if f.name != number
     }
-    return last.select(number, *[v.alias(n) for n, v in rest.items()]).select(*given.columns)
+    return row.select(number, *[v.alias(n) for n, v in rest.items()]).select(*given.columns)
 
 
 def replay(
@@ -103,21 +105,21 @@ def replay(
     behind: no row is late then, in whatever order the files are. After the table is through, one row
     numbered far past the last is added on a second input; its own window stays open. ``in_order``: rows are
     put in ranges first, so that state holds the windows of a few files, not of all files that lie in no order. What is
-    written on the way is compressed more then, and shuffle files go at once, as the ranges are a copy of the table.
+    written on the way is compressed more then, and the ranges' files and the shuffles' go as soon as they are read.
     """
     work = work_dir(spark, label)
     path = f"{sf_dir}/{table}.parquet"
-    if in_order:
-        path = _ranged(spark, path, number, f"{work}/{table}.parquet")
-    given = spark.read.parquet(path)
+    read = _ranged(spark, path, number, f"{work}/{table}.parquet") if in_order else path
+    given = spark.read.parquet(read)
     back = disorder(given, number)
+    last = given.agg(F.max(number)).first()[0]
     closing = f"{work}/closing"
     given.limit(0).write.parquet(closing)
-    rows = _table_stream(spark, path).unionByName(spark.readStream.schema(given.schema).parquet(closing))
+    rows = _table_stream(spark, read, copied=read != path).unionByName(spark.readStream.schema(given.schema).parquet(closing))
     out = plan(rows, back)
     parts = state_parts(spark, given)
     _finish(spark, out, work, parts, in_order, ends=False)
-    _closing_row(given, number, back + CLOSING_GAP).write.mode("append").parquet(closing)
+    _closing_row(given, number, last, back + CLOSING_GAP).write.mode("append").parquet(closing)
     _finish(spark, out, work, parts, in_order)
     return spark.read.schema(out.schema).parquet(f"{work}/out")
 
